@@ -132,21 +132,33 @@ VIEWS["v_overview_reports"] = (f"""
   FROM part
 """, ())
 
+VIEWS["v_web"] = ("""
+  SELECT p.page_id * 2 AS web_id, a.target_keyword AS keyword, p.url, p.html
+  FROM pages p LEFT JOIN v_articles a ON CAST(a.article_id AS BIGINT) = p.page_id
+  UNION ALL
+  SELECT CAST(article_id AS BIGINT) * 2 + 1 AS web_id, target_keyword AS keyword,
+         'https://blog.example.org/' || article_id AS url, body_html AS html
+  FROM v_articles
+""", ("v_articles",))
+
 VIEWS["v_serp"] = ("""
   SELECT keyword,
-         CAST(row_number() OVER (PARTITION BY keyword ORDER BY page_id) AS INTEGER) AS position,
-         link, page_id
-  FROM (SELECT regexp_replace(string_split(url, '/')[4], '[?#].*$', '') AS keyword,
-               page_id, url AS link FROM pages)
-""", ())
+         CAST(row_number() OVER (PARTITION BY keyword ORDER BY web_id) AS INTEGER) AS position,
+         url AS link, web_id
+  FROM v_web WHERE keyword IS NOT NULL
+""", ("v_web",))
 
 VIEWS["v_serp_responses"] = ("""
-  SELECT page_id AS response_id, keyword,
+  SELECT web_id AS response_id, keyword, position,
          CAST(json_object('searchParameters', json_object('q', keyword),
-              'organic', CASE WHEN page_id % 4 = 0
-                   THEN [json_object('link', link, 'position', position),
-                         json_object('position', position + 1)]
-                   ELSE [json_object('link', link, 'position', position)] END) AS VARCHAR) AS response
+              'organic', list_concat(
+                  CASE WHEN web_id % 5 = 0 THEN [json_object('link', 'https://en.wikipedia.org/wiki/' || keyword,
+                                                             'position', position * 10)] ELSE [] END,
+                  [json_object('link', link, 'position', position * 10 + 1)],
+                  CASE WHEN web_id % 4 = 0 THEN [json_object('position', position * 10 + 2)] ELSE [] END,
+                  CASE WHEN web_id % 7 = 0 THEN [json_object('link', 'https://offline.example.invalid/' || CAST(web_id AS VARCHAR),
+                                                             'position', position * 10 + 3)] ELSE [] END))
+              AS VARCHAR) AS response
   FROM v_serp
 """, ("v_serp",))
 
@@ -270,5 +282,7 @@ def with_views(sql: str, *names: str) -> str:
 
     for n in names:
         visit(n)
+    if not ordered:
+        return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][0]})" for n in ordered)
     return f"WITH {ctes}\n{sql}"

@@ -25,3 +25,48 @@ def parse_float(x: str) -> str:
 def lines(x: str) -> str:
     return (f"list_filter(regexp_split_to_array({x}, '\\r\\n|\\n|\\r'), "
             f"lambda l: NOT regexp_full_match(l, '\\s*'))")
+
+
+# --- HTML (twins of inkwell.functions.html; RE2 has no back-references, so
+# --- one pattern per tag, as in the Spark code) ---
+from inkwell.functions.html import BOILERPLATE_TAGS, ENTITIES  # noqa: E402
+
+
+def decode_entities(x: str) -> str:
+    out = x
+    for ent, ch in ENTITIES:
+        out = f"replace({out}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    return out
+
+
+def strip_boilerplate(x: str, passes: int = 2) -> str:
+    out = x
+    for _ in range(passes):
+        for tag in BOILERPLATE_TAGS:
+            out = f"regexp_replace({out}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
+    return out
+
+
+def html_to_text(x: str) -> str:
+    out = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
+    for tag in ("script", "style"):
+        out = f"regexp_replace({out}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
+    out = f"regexp_replace({out}, '(?s)<[^>]*>', ' ', 'g')"
+    out = decode_entities(out)
+    out = f"regexp_replace({out}, '\\s+', ' ', 'g')"
+    return f"trim({out})"
+
+
+def word_count(x: str) -> str:
+    return f"CAST(len(list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> '')) AS INTEGER)"
+
+
+def inner_text(x: str) -> str:
+    out = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
+    out = f"regexp_replace({out}, '(?s)\\s*<[^>]*>\\s*', '', 'g')"
+    return f"trim({decode_entities(out)})"
+
+
+def tag_texts(x: str, tag: str) -> str:
+    return (f"list_transform(regexp_extract_all({x}, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}\\s*>', 1), "
+            f"lambda t: {inner_text('t')})")

@@ -145,32 +145,57 @@ def v_overview_reports(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(key.alias("report_id"), F.col("p_name").alias("seed"), report.alias("report"))
 
 
-def v_serp(spark: SparkSession, sf: str) -> DataFrame:
-    """Search results: keyword = first path segment of the page URL."""
+ARTICLE_URL_PREFIX = "https://blog.example.org/"
+SKIPPED_RESULT_URL = "https://en.wikipedia.org/wiki/"
+UNREACHABLE_URL = "https://offline.example.invalid/"
+
+
+def v_web(spark: SparkSession, sf: str) -> DataFrame:
+    """The crawlable web: raw ``pages`` plus the articles served as pages.
+    Each document is a search result for one keyword: a page for the target
+    keyword of the document with the same id, an article for its own."""
+    a = v_articles(spark, sf)
     p = read_table(spark, sf, "pages")
-    base = p.select(
-        F.try_element_at(F.split("url", "/"), F.lit(4)).alias("keyword"),
-        F.col("page_id"),
-        F.col("url").alias("link"),
+    kw = a.select(F.col("article_id").cast("bigint").alias("page_id"),
+                  F.col("target_keyword").alias("keyword"))
+    pages = p.join(kw, "page_id", "left").select(
+        (F.col("page_id") * 2).alias("web_id"), "keyword", F.col("url"), F.col("html"))
+    arts = a.select(
+        (F.col("article_id").cast("bigint") * 2 + 1).alias("web_id"),
+        F.col("target_keyword").alias("keyword"),
+        F.concat(F.lit(ARTICLE_URL_PREFIX), F.col("article_id")).alias("url"),
+        F.col("body_html").alias("html"),
     )
-    # strip query/fragment that may follow a bare segment
-    base = base.withColumn("keyword", F.regexp_replace("keyword", r"[?#].*$", ""))
-    return number_within(base, ["keyword"], ["page_id"], "position").select(
-        "keyword", "position", "link", "page_id"
+    return pages.unionByName(arts)
+
+
+def v_serp(spark: SparkSession, sf: str) -> DataFrame:
+    """Organic search results: every web document with a keyword, ranked by
+    ``web_id`` inside the keyword (a common keyword is a hot group)."""
+    w = v_web(spark, sf).where(F.col("keyword").isNotNull()).select(
+        "keyword", "web_id", F.col("url").alias("link"))
+    return number_within(w, ["keyword"], ["web_id"], "position").select(
+        "keyword", "position", "link", "web_id"
     )
 
 
 def v_serp_responses(spark: SparkSession, sf: str) -> DataFrame:
-    """Staged search responses, one JSON document per result: the result
-    itself plus, on every 4th page, an entry without a link."""
+    """Staged search responses, one JSON document per result.  Around the
+    result: a skipped-domain link first on every 5th, an entry without link on
+    every 4th and an unreachable link last on every 7th."""
     s = v_serp(spark, sf)
-    pid = F.col("page_id")
-    organic = F.when(pid % 4 == 0, F.array(
-        F.struct(F.col("link"), F.col("position")),
-        F.struct(F.lit(None).cast("string").alias("link"), (F.col("position") + 1).alias("position")),
-    )).otherwise(F.array(F.struct(F.col("link"), F.col("position"))))
+    wid = F.col("web_id")
+    entry = lambda keep, link, pos: F.struct(keep.alias("keep"), link.alias("link"), pos.alias("position"))
+    entries = F.array(
+        entry(wid % 5 == 0, F.concat(F.lit(SKIPPED_RESULT_URL), F.col("keyword")), F.col("position") * 10),
+        entry(F.lit(True), F.col("link"), F.col("position") * 10 + 1),
+        entry(wid % 4 == 0, F.lit(None).cast("string"), F.col("position") * 10 + 2),
+        entry(wid % 7 == 0, F.concat(F.lit(UNREACHABLE_URL), wid.cast("string")), F.col("position") * 10 + 3),
+    )
+    organic = F.transform(F.filter(entries, lambda e: e["keep"]),
+                          lambda e: F.struct(e["link"].alias("link"), e["position"].alias("position")))
     return s.select(
-        pid.alias("response_id"), "keyword",
+        wid.alias("response_id"), "keyword", "position",
         F.to_json(F.struct(F.struct(F.col("keyword").alias("q")).alias("searchParameters"),
                            organic.alias("organic"))).alias("response"),
     )
