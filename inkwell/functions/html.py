@@ -29,7 +29,8 @@ ENTITIES = (
     ("&amp;", "&"),
 )
 
-HEADING_RE = r"(?is)<h([1-6])\b[^>]*>(.*?)</h\1\s*>"
+# Groups: 1 level, 2 attributes, 3 inner HTML.
+HEADING_RE = r"(?is)<h([1-6])\b([^>]*)>(.*?)</h\1\s*>"
 
 
 def _c(col: Column | str) -> Column:
@@ -88,7 +89,7 @@ def heading_levels(html: Column | str) -> Column:
 def heading_texts(html: Column | str, sep: str = "") -> Column:
     """Texts of all headings in document order, ``array<string>``."""
     return F.transform(
-        F.regexp_extract_all(_c(html), F.lit(HEADING_RE), 2),
+        F.regexp_extract_all(_c(html), F.lit(HEADING_RE), 3),
         lambda x: heading_inner_text(x, sep),
     )
 

@@ -31,5 +31,6 @@ def load_all() -> None:
     """Import every catalog module so that its queries register."""
     from inkwell.plans import (  # noqa: F401
         catalog_competitors,
+        catalog_headings,
         catalog_keywords,
     )
