@@ -149,10 +149,13 @@ def normalize_html_structure(articles: DataFrame, body: str = "body_html", title
     """Adds ``normalized_html``: the body with repaired heading tags, the
     inserted H1 and the section markers; every other byte unchanged.  A blank
     body is returned as it is."""
-    plan = with_heading_plan(articles, body, title)
-    pieces = F.split(F.col(body), HEADING_RE, -1)
-    attrs = F.regexp_extract_all(F.col(body), F.lit(HEADING_RE), 2)
-    inner = F.regexp_extract_all(F.col(body), F.lit(HEADING_RE), 3)
+    # Arrays used inside the lambda are materialised first: an inline
+    # expression would be re-evaluated for every piece.
+    plan = (with_heading_plan(articles, body, title)
+            .withColumn("_pieces", F.split(F.col(body), HEADING_RE, -1))
+            .withColumn("_attrs", F.regexp_extract_all(F.col(body), F.lit(HEADING_RE), 2))
+            .withColumn("_inner", F.regexp_extract_all(F.col(body), F.lit(HEADING_RE), 3)))
+    pieces, attrs, inner = F.col("_pieces"), F.col("_attrs"), F.col("_inner")
     shift = F.when(F.col("h1_inserted"), 1).otherwise(0)
 
     def one(piece, i):
@@ -180,4 +183,4 @@ def normalize_html_structure(articles: DataFrame, body: str = "body_html", title
         .withColumn("normalized_html", F.when(blank, F.coalesce(F.col(body), F.lit("")))
                     .otherwise(F.concat("_with_h1", tail)))
     )
-    return out.drop("_rebuilt", "_lead", "_with_h1")
+    return out.drop("_rebuilt", "_lead", "_with_h1", "_pieces", "_attrs", "_inner")

@@ -242,15 +242,29 @@ VIEWS["v_comment_events"] = (f"""
     FROM v_stories)
 """, ("v_stories",))
 
-VIEWS["v_runs"] = ("""
-  SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS article_id,
-         CAST(o_orderkey % 3 AS VARCHAR) AS blog_id,
-         CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'Article ' || CAST(o_orderkey AS VARCHAR) END AS title,
-         CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'awaiting_approval'
-                            WHEN 'P' THEN 'pending' END AS status,
-         o_orderdate AS created_at, CAST(o_custkey AS VARCHAR) AS task_gid
-  FROM orders
-""", ())
+_RUN_KNOWN = {
+    "id": "o_orderkey",
+    "article_id": "CAST(o_orderkey * 2 + 1 AS VARCHAR)",
+    "blog_id": "CAST(o_orderkey % 3 AS VARCHAR)",
+    "title": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'Article ' || CAST(o_orderkey AS VARCHAR) END",
+    "language": "CASE WHEN o_orderkey % 4 = 0 THEN 'fr' ELSE 'en' END",
+    "status": "CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'awaiting_approval' WHEN 'P' THEN 'pending' END",
+    "asana_task_gid": "CAST(o_custkey AS VARCHAR)",
+    "created_at": "o_orderdate",
+    "updated_at": "o_orderdate",
+}
+_DUCK_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+               "timestamp_ntz": "TIMESTAMP"}
+
+
+def _runs_sql() -> str:
+    from inkwell.sources.views import RUN_COLUMNS
+    cols = ",\n         ".join(
+        f"CAST({_RUN_KNOWN.get(n, 'NULL')} AS {_DUCK_TYPES[t]}) AS {n}" for n, t in RUN_COLUMNS)
+    return f"SELECT {cols}\n  FROM orders"
+
+
+VIEWS["v_runs"] = (_runs_sql(), ())
 
 VIEWS["v_run_events"] = ("""
   SELECT CAST(user_id AS VARCHAR) AS article_id, ts, event_id,
@@ -261,6 +275,24 @@ VIEWS["v_run_events"] = ("""
   FROM events
 """, ())
 
+VIEWS["v_metafields"] = ("""
+  SELECT article_id, 1 AS pos, 'global' AS namespace, 'title_tag' AS key, title AS value FROM v_articles
+  UNION ALL
+  SELECT article_id, 2, 'seo', 'target_keyword', coalesce(target_keyword, '') FROM v_articles
+  UNION ALL
+  SELECT article_id, 3, 'seo', 'target_keyword', 'later-' || article_id FROM v_articles
+  WHERE CAST(article_id AS BIGINT) % 7 = 0
+""", ("v_articles",))
+
+VIEWS["v_doc_responses"] = ("""
+  SELECT o_orderkey AS response_id,
+         CASE WHEN o_orderkey % 3 = 0 THEN '{"id": "doc-' || CAST(o_orderkey AS VARCHAR) || '"}'
+              WHEN o_orderkey % 3 = 1 THEN '{"data": {"id": "nested-' || CAST(o_orderkey AS VARCHAR) || '"}}'
+              WHEN o_orderkey % 5 = 0 THEN '{"id": "", "data": {"id": "nested-' || CAST(o_orderkey AS VARCHAR) || '"}}'
+              ELSE '{}' END AS response
+  FROM orders
+""", ())
+
 VIEWS["v_corpus"] = ("SELECT item_id AS source_id, text FROM benchmark", ())
 
 VIEWS["v_prompts"] = (

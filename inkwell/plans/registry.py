@@ -32,5 +32,8 @@ def load_all() -> None:
     from inkwell.plans import (  # noqa: F401
         catalog_competitors,
         catalog_headings,
+        catalog_events,
         catalog_keywords,
+        catalog_runs,
+        catalog_scores,
     )

@@ -329,22 +329,36 @@ def v_comment_events(spark: SparkSession, sf: str, secret: str = DEFAULT_TASKS_S
     )
 
 
+RUN_COLUMNS = (
+    ("id", "bigint"), ("article_id", "string"), ("blog_id", "string"), ("title", "string"),
+    ("language", "string"), ("status", "string"), ("target_keyword_input", "string"),
+    ("main_keyword", "string"), ("initial_surfer_score", "double"), ("final_surfer_score", "double"),
+    ("score_delta", "double"), ("score_delta_pct", "double"), ("plagiarism_flagged", "boolean"),
+    ("plagiarism_max_similarity", "double"), ("original_content", "string"),
+    ("optimized_content", "string"), ("optimized_metadata", "string"), ("failure_reason", "string"),
+    ("asana_task_gid", "string"), ("surfer_doc_id", "string"), ("created_at", "timestamp_ntz"),
+    ("updated_at", "timestamp_ntz"), ("completed_at", "timestamp_ntz"), ("duration_seconds", "double"),
+)
+
+
 def v_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Run table staged from ``orders``."""
+    """Run table (24 columns) staged from ``orders``; columns the orders do
+    not determine are NULL."""
     o = read_table(spark, sf, "orders")
     key = F.col("o_orderkey")
     st = F.col("o_orderstatus")
-    return o.select(
-        key.alias("id"),
-        key.cast("string").alias("article_id"),
-        (key % 3).cast("string").alias("blog_id"),
-        F.when(key % 3 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("Article "), key.cast("string"))).alias("title"),
-        F.when(st == "F", "failed").when(st == "O", "awaiting_approval")
-        .when(st == "P", "pending").alias("status"),
-        F.col("o_orderdate").alias("created_at"),
-        F.col("o_custkey").cast("string").alias("task_gid"),
-    )
+    known = {
+        "id": key,
+        "article_id": (key * 2 + 1).cast("string"),
+        "blog_id": (key % 3).cast("string"),
+        "title": F.when(key % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("Article "), key.cast("string"))),
+        "language": F.when(key % 4 == 0, F.lit("fr")).otherwise(F.lit("en")),
+        "status": F.when(st == "F", "failed").when(st == "O", "awaiting_approval").when(st == "P", "pending"),
+        "asana_task_gid": F.col("o_custkey").cast("string"),
+        "created_at": F.col("o_orderdate"),
+        "updated_at": F.col("o_orderdate"),
+    }
+    return o.select(*[(known[n] if n in known else F.lit(None)).cast(t).alias(n) for n, t in RUN_COLUMNS])
 
 
 def v_run_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -378,3 +392,36 @@ PROMPTS = (
 
 def v_prompts(spark: SparkSession, sf: str | None = None) -> DataFrame:
     return spark.createDataFrame(list(PROMPTS), "language string, system_prompt string, brand_voice string")
+
+
+def v_metafields(spark: SparkSession, sf: str) -> DataFrame:
+    """Article metafields, long form: a title tag, the target keyword (empty
+    on every 13th article) and, on every 7th, a second, later keyword entry."""
+    a = v_articles(spark, sf)
+    doc = F.col("article_id").cast("bigint")
+    rows = F.array(
+        F.struct(F.lit(True).alias("keep"), F.lit(1).alias("pos"), F.lit("global").alias("namespace"),
+                 F.lit("title_tag").alias("key"), F.col("title").alias("value")),
+        F.struct(F.lit(True).alias("keep"), F.lit(2).alias("pos"), F.lit("seo").alias("namespace"),
+                 F.lit("target_keyword").alias("key"), F.coalesce(F.col("target_keyword"), F.lit("")).alias("value")),
+        F.struct((doc % 7 == 0).alias("keep"), F.lit(3).alias("pos"), F.lit("seo").alias("namespace"),
+                 F.lit("target_keyword").alias("key"), F.concat(F.lit("later-"), F.col("article_id")).alias("value")),
+    )
+    return a.select("article_id", F.explode(F.filter(rows, lambda r: r["keep"])).alias("_m")).select(
+        "article_id", F.col("_m.pos").alias("pos"), F.col("_m.namespace").alias("namespace"),
+        F.col("_m.key").alias("key"), F.col("_m.value").alias("value"))
+
+
+def v_doc_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """Scoring-service document-creation responses: id at the top, nested
+    under ``data``, empty top id with a nested one, or none."""
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    ks = k.cast("string")
+    resp = (
+        F.when(k % 3 == 0, F.concat(F.lit('{"id": "doc-'), ks, F.lit('"}')))
+        .when(k % 3 == 1, F.concat(F.lit('{"data": {"id": "nested-'), ks, F.lit('"}}')))
+        .when(k % 5 == 0, F.concat(F.lit('{"id": "", "data": {"id": "nested-'), ks, F.lit('"}}')))
+        .otherwise(F.lit("{}"))
+    )
+    return o.select(k.alias("response_id"), resp.alias("response"))
