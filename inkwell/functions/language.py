@@ -28,7 +28,11 @@ def detect_language(plain_text: Column) -> Column:
     """Four-way vote (``fr``/``en``/``de``/``es``) on the first 2,000 chars."""
     toks = F.regexp_extract_all(F.lower(F.substring(plain_text, 1, DETECT_CHARS)),
                                 F.lit(r"[\p{L}\p{N}]+"), 0)
-    votes = [(lang, F.size(F.filter(toks, lambda t, ws=words: t.isin(*ws.split())))) for lang, words in PROFILES]
+    def member(words: str):
+        vocab = words.split()
+        return lambda t: t.isin(*vocab)
+
+    votes = [(lang, F.size(F.filter(toks, member(words)))) for lang, words in PROFILES]
     best = F.greatest(*[v for _, v in votes])
     out = None
     for lang, v in votes:

@@ -121,8 +121,8 @@ def heading_union(fetched: DataFrame) -> DataFrame:
     """All H2s of the fetched pages of a keyword, page order then document
     order, duplicates kept."""
     return fetched.select(
-        "keyword", F.col("rank").alias("page_rank"), F.posexplode("h2s").alias("h2_pos", "h2")
-    ).select("keyword", "page_rank", (F.col("h2_pos") + 1).cast("int").alias("h2_pos"), "h2")
+        "keyword", F.col("rank").alias("page_rank"), F.posexplode_outer("h2s").alias("h2_pos", "h2")
+    ).where(F.col("h2").isNotNull()).select("keyword", "page_rank", (F.col("h2_pos") + 1).cast("int").alias("h2_pos"), "h2")
 
 
 def h2_topics(union: DataFrame, kept: int = H2_TOPICS_KEPT) -> DataFrame:

@@ -100,7 +100,8 @@ def heading_rows(plan: DataFrame, keys=("article_id",)) -> DataFrame:
     1-based position of the heading in the original document."""
     z = F.arrays_zip(F.col("fixed_levels").alias("fixed_level"), F.col("levels").alias("level"),
                      F.col("fixed_texts").alias("heading_text"))
-    return plan.select(*keys, "h1_inserted", F.posexplode(z).alias("_i", "_h")).select(
+    return plan.select(*keys, "h1_inserted", F.posexplode_outer(z).alias("_i", "_h")).where(
+        F.col("_h").isNotNull()).select(
         *keys,
         (F.col("_i") + F.when(F.col("h1_inserted"), 0).otherwise(1)).cast("int").alias("seq"),
         F.col("_h.fixed_level").alias("fixed_level"),

@@ -52,10 +52,14 @@ def similarity_join(articles: DataFrame, corpus: DataFrame, text: str = "text",
     """Per (article, source) sharing at least one shingle: shared
     shingles, the article's shingles and ``similarity`` = shared / article
     shingles x 100."""
+    # explode_outer + a filter after it: plain explode makes the optimizer
+    # infer ``size(_s) > 0`` and push it (with the whole shingle expression)
+    # below the projection that computes the shingles once.
     a = with_shingles(articles.select("article_id", text), text, "_s", k).select(
-        "article_id", F.size("_s").alias("article_shingles"), F.explode("_s").alias("shingle"))
+        "article_id", F.size("_s").alias("article_shingles"), F.explode_outer("_s").alias("shingle")
+    ).where(F.col("shingle").isNotNull())
     c = with_shingles(corpus.select("source_id", text), text, "_s", k).select(
-        "source_id", F.explode("_s").alias("shingle"))
+        "source_id", F.explode_outer("_s").alias("shingle")).where(F.col("shingle").isNotNull())
     c = broadcast_if_small(c, max_broadcast_rows)
     pairs = a.join(c, "shingle").groupBy("article_id", "source_id", "article_shingles").agg(
         F.count(F.lit(1)).cast("int").alias("shared"))

@@ -82,18 +82,25 @@ def document_id(spark, sf):
     return S.document_id(V.v_doc_responses(spark, sf))
 
 
-def _sql_shingles(text: str, k: int = SIM.SHINGLE_WORDS) -> str:
-    t = f"regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')"
-    return (f"list_distinct(list_transform(range(1, len({t}) - {k - 2}), "
-            f"lambda i: array_to_string(({t})[i:i + {k - 1}], ' ')))")
+def _sql_tokens(text: str) -> str:
+    return f"regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+def _sql_shingles(tok: str, k: int = SIM.SHINGLE_WORDS) -> str:
+    """Shingles of a token-list *column* (a subquery computes it first)."""
+    return (f"list_distinct(list_transform(range(1, len({tok}) - {k - 2}), "
+            f"lambda i: array_to_string({tok}[i:i + {k - 1}], ' ')))")
 
 
 _PAIRS = f"""
   SELECT a.article_id, c.source_id, CAST(count(*) AS INTEGER) AS shared,
          CAST(a.n AS INTEGER) AS article_shingles, count(*) * 100.0 / a.n AS similarity
   FROM (SELECT article_id, len(s) AS n, unnest(s) AS shingle
-        FROM (SELECT article_id, {_sql_shingles(Q.html_to_text('body_html'))} AS s FROM v_articles)) a
-  JOIN (SELECT source_id, unnest({_sql_shingles('text')}) AS shingle FROM v_corpus) c USING (shingle)
+        FROM (SELECT article_id, {_sql_shingles('tok')} AS s
+              FROM (SELECT article_id, {_sql_tokens(Q.html_to_text('body_html'))} AS tok FROM v_articles))) a
+  JOIN (SELECT source_id, unnest(s) AS shingle
+        FROM (SELECT source_id, {_sql_shingles('tok')} AS s
+              FROM (SELECT source_id, {_sql_tokens('text')} AS tok FROM v_corpus))) c USING (shingle)
   GROUP BY a.article_id, c.source_id, a.n
 """
 
