@@ -1,12 +1,44 @@
-"""Flagship query for the smoke check (replaced as the pipeline grows)."""
+"""Flagship: the per-article enrichment record -- draft
+articles joined with everything the pipeline derives for them: language
+route, missing-keyword outcome, heading repair summary, competitor structure
+for their keyword and the similarity flag against the reference corpus."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkwell.operators import keywords as K
+from inkwell.functions import html as H
+from inkwell.functions.language import detect_language, route_language
+from inkwell.operators import competitors as C
+from inkwell.operators import events as E
+from inkwell.operators import headings as HD
+from inkwell.operators import similarity as SIM
 from inkwell.sources import views as V
 
 
+def enrichment_star(spark: SparkSession, sf: str) -> DataFrame:
+    a = V.v_articles(spark, sf)
+    text = a.select("article_id", H.html_to_text("body_html").alias("text"))
+    lang = text.withColumn("_d", detect_language(F.col("text"))).select(
+        "article_id", route_language(F.col("_d")).alias("language"))
+    heads = HD.heading_skips(HD.with_heading_plan(a))
+    kws = a.select(F.col("target_keyword").alias("keyword")).where(F.col("keyword").isNotNull())
+    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
+    struct = C.competitor_structure(kws, top, C.fetch_competitors(top, V.v_web(spark, sf)))
+    sim = SIM.similarity_flag(a, SIM.similarity_join(text, V.v_corpus(spark, sf)))
+    base = E.missing_keyword_split(a).select("article_id", "target_keyword", "outcome")
+    return (
+        base.join(lang, "article_id").join(heads, "article_id").join(sim, "article_id")
+        .join(struct, base["target_keyword"] == struct["keyword"], "left")
+        .select(
+            "article_id", "language", "target_keyword", "outcome", "headings", "corrected",
+            F.coalesce(F.col("structure_source"), F.lit("none")).alias("structure_source"),
+            F.array_join(F.coalesce(F.col("h2_topics"), F.array().cast("array<string>")), " | ").alias("h2_topics"),
+            "max_similarity", "plagiarism_flagged",
+        )
+    )
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return K.secondary_keywords(K.related_keywords_parse(V.v_keyword_reports(spark, sf)))
+    return enrichment_star(spark, sf)

@@ -37,3 +37,4 @@ def load_all() -> None:
         catalog_runs,
         catalog_scores,
     )
+    from inkwell.plans import catalog_flagship  # noqa: F401  (composes the others)
