@@ -24,20 +24,31 @@ FALLBACK = "fr"
 DETECT_CHARS = 2000
 
 
+def _vote_map() -> Column:
+    """word -> per-profile 0/1 flags (a word may belong to several lists)."""
+    words: dict[str, list[int]] = {}
+    for p, (_, ws) in enumerate(PROFILES):
+        for w in ws.split():
+            words.setdefault(w, [0] * len(PROFILES))[p] = 1
+    return F.create_map(*[x for w, flags in words.items()
+                          for x in (F.lit(w), F.array(*[F.lit(f) for f in flags]))])
+
+
 def detect_language(plain_text: Column) -> Column:
-    """Four-way vote (``fr``/``en``/``de``/``es``) on the first 2,000 chars."""
+    """Four-way vote (``fr``/``en``/``de``/``es``) on the first 2,000 chars:
+    one pass over the tokens adds each token's profile flags."""
     toks = F.regexp_extract_all(F.lower(F.substring(plain_text, 1, DETECT_CHARS)),
                                 F.lit(r"[\p{L}\p{N}]+"), 0)
-    def member(words: str):
-        vocab = words.split()
-        return lambda t: t.isin(*vocab)
-
-    votes = [(lang, F.size(F.filter(toks, member(words)))) for lang, words in PROFILES]
-    best = F.greatest(*[v for _, v in votes])
-    out = None
-    for lang, v in votes:
-        out = F.when(v == best, F.lit(lang)) if out is None else out.when(v == best, F.lit(lang))
-    return F.when(best == 0, F.lit(FALLBACK)).otherwise(out)
+    vmap = _vote_map()
+    zero = F.array(*[F.lit(0) for _ in PROFILES])
+    votes = F.aggregate(
+        toks, zero,
+        lambda acc, t: F.zip_with(acc, F.coalesce(F.element_at(vmap, t), zero), lambda a, b: a + b))
+    best = F.array_max(votes)
+    langs = F.array(*[F.lit(lang) for lang, _ in PROFILES])
+    # array_position finds the first maximum: ties go to the earlier profile
+    return F.when(best == 0, F.lit(FALLBACK)).otherwise(
+        F.element_at(langs, F.array_position(votes, best).cast("int")))
 
 
 def route_language(detected: Column) -> Column:
