@@ -34,6 +34,7 @@ def load_all() -> None:
         catalog_headings,
         catalog_events,
         catalog_keywords,
+        catalog_responses,
         catalog_runs,
         catalog_scores,
     )
