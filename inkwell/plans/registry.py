@@ -39,3 +39,4 @@ def load_all() -> None:
         catalog_scores,
     )
     from inkwell.plans import catalog_flagship  # noqa: F401  (composes the others)
+    from inkwell.plans import catalog_streaming  # noqa: F401  (reuses batch oracles)
