@@ -191,3 +191,64 @@ def run_upsert(spark, sf):
         (F.col("article_id").cast("bigint") * 2 + 1).cast("string").alias("article_id"), F.col("initial").alias("initial_surfer_score"), F.col("final").alias("final_surfer_score"))
     changes = intake.unionByName(upd, allowMissingColumns=True)
     return RU.run_upsert(runs, changes, NOW)
+
+
+# --- K4 / X15: approval task rows with the report text ------------------------
+from inkwell.operators import keywords as K  # noqa: E402
+from inkwell.operators import scores as S  # noqa: E402
+from inkwell.plans import catalog_keywords as CK  # noqa: E402
+from inkwell.plans.catalog_scores import _SIM_VALUE  # noqa: E402
+
+
+def _tmpl(s: str) -> str:
+    return "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+def _report_input(spark, sf):
+    runs = V.v_runs(spark, sf).where(F.col("status") == "awaiting_approval")
+    sc = S.score_delta(V.v_scores(spark, sf)).select(
+        F.col("article_id").cast("bigint").alias("id"), F.col("initial").alias("initial_score"),
+        F.col("final").alias("final_score"), "score_delta_pct")
+    sim = S.max_similarity_flag(V.v_scores(spark, sf).select("article_id"), V.v_matches(spark, sf)).select(
+        F.col("article_id").cast("bigint").alias("id"), F.col("max_similarity").alias("plagiarism_max_similarity"),
+        "plagiarism_flagged")
+    ov = K.main_keyword(K.keyword_overview_parse(V.v_overview_reports(spark, sf))).select(
+        F.col("report_id").alias("id"), "main_keyword", "main_kw_volume", "main_kw_difficulty")
+    return (runs.select("id", "article_id", "title", "created_at").join(sc, "id", "left").join(sim, "id", "left")
+            .join(ov, "id", "left")
+            .withColumn("main_keyword", F.coalesce("main_keyword", F.lit("")))
+            .withColumn("competitor_urls", F.array().cast("array<string>"))
+            .withColumn("changes_summary", F.lit(""))
+            .withColumn("internal_link_suggestions",
+                        F.array().cast("array<struct<location:string,suggested_topic:string>>")))
+
+
+_K4 = f"""
+  SELECT article_id, '{R.APPROVAL_TITLE_PREFIX}' || coalesce(title, 'None') AS task_title,
+         printf({_tmpl(R.REPORT_TEMPLATE)}, coalesce(title, 'None'), main_keyword, printf('%,d', vol),
+                printf('%.0f', diff), printf('%.0f', ini), printf('%.0f', fin),
+                CASE WHEN pct >= 0 THEN '+' ELSE '' END, printf('%.1f', pct), 'N/A',
+                CASE WHEN flagged THEN printf({_tmpl(R.SIMILARITY_YES)}, printf('%.1f', sim))
+                     ELSE printf({_tmpl(R.SIMILARITY_NO)}, printf('%.1f', sim)) END,
+                '', '{R.NO_LINKS}') AS notes,
+         CASE isodow(CAST(created_at AS DATE)) WHEN 5 THEN CAST(created_at AS DATE) + 3
+              WHEN 6 THEN CAST(created_at AS DATE) + 2 ELSE CAST(created_at AS DATE) + 1 END AS due_on
+  FROM (
+    SELECT r.article_id, r.title, r.created_at, coalesce(ov.main_keyword, '') AS main_keyword,
+           coalesce(ov.volume, 0) AS vol, coalesce(ov.difficulty, 0.0) AS diff,
+           coalesce(s.initial, 0.0) AS ini, coalesce(s.final, 0.0) AS fin,
+           coalesce(CASE WHEN coalesce(s.initial, 0.0) <> 0 THEN (s.final - s.initial) / s.initial * 100 ELSE 0.0 END, 0.0) AS pct,
+           coalesce(m.mx, 0.0) AS sim, coalesce(m.mx, 0.0) > {S.SIMILARITY_THRESHOLD} AS flagged
+    FROM v_runs r
+    LEFT JOIN v_scores s ON CAST(s.article_id AS BIGINT) = r.id
+    LEFT JOIN (SELECT article_id, max({_SIM_VALUE}) AS mx FROM v_matches GROUP BY article_id) m
+           ON CAST(m.article_id AS BIGINT) = r.id
+    LEFT JOIN (SELECT report_id, coalesce(nullif(keyword, ''), seed) AS main_keyword, volume, difficulty
+               FROM ({CK._OVERVIEW})) ov ON ov.report_id = r.id
+    WHERE r.status = 'awaiting_approval')
+"""
+
+
+@register("approval_task_rows", with_views(_K4, "v_runs", "v_scores", "v_matches", "v_overview_reports"))
+def approval_task_rows(spark, sf):
+    return R.approval_task_rows(_report_input(spark, sf), F.to_date("created_at"))
