@@ -81,6 +81,17 @@ def conclusion_bounds(spark, sf):
         .alias("conclusion_end"))
 
 
+def _oracle_skips() -> str:
+    return f"""
+  SELECT a.article_id, CAST(coalesce(s.headings, 0) AS INTEGER) AS headings,
+         CAST(coalesce(s.skips, 0) AS INTEGER) AS skips, CAST(coalesce(s.corrected, 0) AS INTEGER) AS corrected
+  FROM v_articles a LEFT JOIN (
+    SELECT article_id, count(*) AS headings, sum(CASE WHEN fixed_level > prev + 1 THEN 1 ELSE 0 END) AS skips,
+           sum(CASE WHEN fixed_level <> level THEN 1 ELSE 0 END) AS corrected
+    FROM (SELECT *, coalesce(lag(fixed_level) OVER (PARTITION BY article_id ORDER BY seq), 1) AS prev FROM ({NORM}))
+    GROUP BY article_id) s USING (article_id)"""
+
+
 @register("heading_skips", with_views(f"""
   SELECT a.article_id, CAST(coalesce(s.headings, 0) AS INTEGER) AS headings,
          CAST(coalesce(s.skips, 0) AS INTEGER) AS skips, CAST(coalesce(s.corrected, 0) AS INTEGER) AS corrected

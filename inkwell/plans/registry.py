@@ -30,6 +30,7 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every catalog module so that its queries register."""
     from inkwell.plans import (  # noqa: F401
+        catalog_audit,
         catalog_competitors,
         catalog_headings,
         catalog_events,
