@@ -114,3 +114,17 @@ def audit_sections(plan: DataFrame) -> DataFrame:
     return plan.select("article_id", (F.col("intro_start") > 0).alias("intro"),
                        (F.col("conclusion_at") > 0).alias("conclusion"),
                        ((F.col("intro_start") > 0) & (F.col("conclusion_at") > 0)).alias("ok"))
+
+
+LINK_MARKER_RE = r"\[INTERNAL LINK NEEDED:\s*([^\]]*)\]"
+
+
+def internal_link_markers(parsed: DataFrame) -> DataFrame:
+    """Q11: the topics of ``[INTERNAL LINK NEEDED: topic]`` markers in the
+    rewritten HTML, one row per marker in document order."""
+    topics = F.regexp_extract_all(F.col("optimized_html"), F.lit(LINK_MARKER_RE), 1)
+    return parsed.where(F.col("valid")).select(
+        "article_id", F.posexplode_outer(topics).alias("marker_no", "topic")
+    ).where(F.col("topic").isNotNull()).select(
+        "article_id", (F.col("marker_no") + 1).cast("int").alias("marker_no"),
+        F.trim(F.col("topic")).alias("topic"))

@@ -117,3 +117,11 @@ def audit_voice_phrases(spark, sf):
   FROM v_articles a LEFT JOIN ({CH.MARKS}) m USING (article_id)""", "v_articles", "v_headings"))
 def audit_sections(spark, sf):
     return AU.audit_sections(HD.with_heading_plan(V.v_articles(spark, sf)))
+
+
+@register("internal_link_markers", with_views(f"""
+  SELECT article_id, CAST(generate_subscripts(t, 1) AS INTEGER) AS marker_no, trim(unnest(t)) AS topic
+  FROM (SELECT article_id, regexp_extract_all(optimized_html, '\\[INTERNAL LINK NEEDED:\\s*([^\\]]*)\\]', 1) AS t
+        FROM ({CR._PARSED}) WHERE valid)""", "v_responses"))
+def internal_link_markers(spark, sf):
+    return AU.internal_link_markers(RS.parse_responses(V.v_responses(spark, sf)))

@@ -194,7 +194,9 @@ def _slug_words(expr: str, n: int) -> str:
 
 _FIRST = f"string_split(text, {NL})[1]"
 _BODY = f"""CAST(json_object(
-    'optimized_html', '<h1>' || {sql_escape(_FIRST)} || '</h1>' || {NL} || '<p>' || {sql_escape('text')} || '</p>',
+    'optimized_html', '<h1>' || {sql_escape(_FIRST)} || '</h1>' || {NL} || '<p>' || {sql_escape('text')} || '</p>'
+        || CASE WHEN (conv_id * 1000 + turn) % 3 = 0
+                THEN {NL} || '<p>See [INTERNAL LINK NEEDED: ' || {_slug_words('text', 2)} || ']</p>' ELSE '' END,
     'title_tag', substr({_FIRST}, 1, 58),
     'meta_description', substr(text, 1, 155),
     'slug', {_slug_words('text', 4)},

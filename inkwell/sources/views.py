@@ -253,7 +253,10 @@ def response_body(conv_text: F.Column, key: F.Column) -> F.Column:
     first_line = F.split(conv_text, "\n", -1).getItem(0)
     return F.to_json(F.struct(
         F.concat(F.lit("<h1>"), escape_text(first_line), F.lit("</h1>\n<p>"),
-                 escape_text(conv_text), F.lit("</p>")).alias("optimized_html"),
+                 escape_text(conv_text), F.lit("</p>"),
+                 F.when(key % 3 == 0, F.concat(F.lit("\n<p>See [INTERNAL LINK NEEDED: "),
+                                               _slug_words(conv_text, 2), F.lit("]</p>")))
+                 .otherwise(F.lit(""))).alias("optimized_html"),
         F.substring(first_line, 1, 58).alias("title_tag"),
         F.substring(conv_text, 1, 155).alias("meta_description"),
         _slug_words(conv_text, 4).alias("slug"),
