@@ -128,3 +128,26 @@ def internal_link_markers(parsed: DataFrame) -> DataFrame:
     ).where(F.col("topic").isNotNull()).select(
         "article_id", (F.col("marker_no") + 1).cast("int").alias("marker_no"),
         F.trim(F.col("topic")).alias("topic"))
+
+
+# Our own slug stop words (EN/FR articles, conjunctions, prepositions).
+SLUG_STOP_WORDS = ("a", "an", "the", "and", "or", "of", "to", "in", "for",
+                   "le", "la", "les", "de", "des", "du", "et", "un", "une")
+SLUG_RE = r"^[\p{Ll}\p{N}]+(-[\p{Ll}\p{N}]+){2,4}$"
+
+
+def audit_metadata(parsed: DataFrame, keyword: str = "keyword") -> DataFrame:
+    """Q8: title tag 50-60 chars starting with the keyword; meta description
+    150-160 chars containing it; slug of 3-5 lower-case kebab words containing
+    it, without stop words; OG description 150-200 chars, not the meta text."""
+    kw = F.lower(F.col(keyword))
+    t, m, sl, og = F.col("title_tag"), F.col("meta_description"), F.col("slug"), F.col("og_description")
+    title_ok = F.char_length(t).between(50, 60) & F.startswith(F.lower(t), kw)
+    meta_ok = F.char_length(m).between(150, 160) & F.contains(F.lower(m), kw)
+    stop = F.array(*[F.lit(w) for w in SLUG_STOP_WORDS])
+    slug_ok = sl.rlike(SLUG_RE) & F.contains(sl, kw) & ~F.arrays_overlap(F.split(sl, "-"), stop)
+    og_ok = F.char_length(og).between(150, 200) & (og != m)
+    cols = [F.coalesce(c, F.lit(False)).alias(n) for c, n in
+            ((title_ok, "title_ok"), (meta_ok, "meta_ok"), (slug_ok, "slug_ok"), (og_ok, "og_ok"))]
+    out = parsed.where(F.col("valid")).select("article_id", *cols)
+    return out.withColumn("ok", F.col("title_ok") & F.col("meta_ok") & F.col("slug_ok") & F.col("og_ok"))

@@ -125,3 +125,22 @@ def audit_sections(spark, sf):
         FROM ({CR._PARSED}) WHERE valid)""", "v_responses"))
 def internal_link_markers(spark, sf):
     return AU.internal_link_markers(RS.parse_responses(V.v_responses(spark, sf)))
+
+
+_STOPS = "[" + ", ".join(f"'{w}'" for w in AU.SLUG_STOP_WORDS) + "]"
+
+
+@register("audit_metadata", with_views(f"""
+  SELECT article_id, title_ok, meta_ok, slug_ok, og_ok, title_ok AND meta_ok AND slug_ok AND og_ok AS ok
+  FROM (SELECT p.article_id,
+          coalesce(length(title_tag) BETWEEN 50 AND 60 AND starts_with(lower(title_tag), lower(a.target_keyword)), false) AS title_ok,
+          coalesce(length(meta_description) BETWEEN 150 AND 160 AND contains(lower(meta_description), lower(a.target_keyword)), false) AS meta_ok,
+          coalesce(regexp_full_match(slug, '{AU.SLUG_RE.strip("^$")}') AND contains(slug, lower(a.target_keyword))
+                   AND NOT list_has_any(string_split(slug, '-'), {_STOPS}), false) AS slug_ok,
+          coalesce(length(og_description) BETWEEN 150 AND 200 AND og_description <> meta_description, false) AS og_ok
+        FROM ({CR._PARSED}) p LEFT JOIN v_articles a USING (article_id) WHERE p.valid)""",
+                                       "v_responses", "v_articles"))
+def audit_metadata(spark, sf):
+    parsed = RS.parse_responses(V.v_responses(spark, sf))
+    kw = V.v_articles(spark, sf).select("article_id", F.col("target_keyword").alias("keyword"))
+    return AU.audit_metadata(parsed.join(kw, "article_id", "left"))
