@@ -45,11 +45,17 @@ def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def stream_draft_intake(spark: SparkSession, webhooks: DataFrame, runs: DataFrame, secret: str,
-                        blog_id: str | None = None, max_files: int = 1) -> DataFrame:
+                        blog_id: str | None = None, max_files: int | None = None) -> DataFrame:
     """F3 -> S2 -> F1 -> F2 -> first delivery per article, never an
-    article that already has a run or was accepted by an earlier batch."""
+    article that already has a run or was accepted by an earlier batch.
+    "First" is exact inside a micro-batch; across batches the file source
+    orders files by modification time, so an earlier batch wins (the default
+    reads everything available in one batch)."""
     path, schema = stage(webhooks, "webhooks", "delivery_id")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = reader.parquet(path)
     drafts = E.blog_filter(E.draft_filter(E.webhook_parse(E.signature_filter_base64(stream, secret))), blog_id)
     out_schema = "delivery_id bigint, article_id string"
     known = runs.select("article_id")
