@@ -151,3 +151,22 @@ def audit_metadata(parsed: DataFrame, keyword: str = "keyword") -> DataFrame:
             ((title_ok, "title_ok"), (meta_ok, "meta_ok"), (slug_ok, "slug_ok"), (og_ok, "og_ok"))]
     out = parsed.where(F.col("valid")).select("article_id", *cols)
     return out.withColumn("ok", F.col("title_ok") & F.col("meta_ok") & F.col("slug_ok") & F.col("og_ok"))
+
+
+SECONDARY_MIN_HEADINGS = 2
+
+
+def audit_secondary_headings(headings: DataFrame, secondary: DataFrame) -> DataFrame:
+    """Q7: at least two H2/H3 headings contain (case-insensitively) one of the
+    article's secondary keywords.  ``headings``: article_id, seed, seq, level,
+    heading_text; ``secondary``: seed, keyword (at most 5 per seed, so the
+    join fans out by at most 5)."""
+    h = headings.where(F.col("level").isin(2, 3))
+    hits = h.join(secondary.select("seed", F.lower("keyword").alias("_kw")), "seed").where(
+        F.contains(F.lower(F.col("heading_text")), F.col("_kw"))
+    ).groupBy("article_id").agg(F.countDistinct("seq").alias("_n"))
+    base = headings.select("article_id").distinct()
+    n = F.coalesce(F.col("_n"), F.lit(0))
+    return base.join(hits, "article_id", "left").select(
+        "article_id", n.cast("int").alias("headings_with_secondary"),
+        (n >= SECONDARY_MIN_HEADINGS).alias("ok"))

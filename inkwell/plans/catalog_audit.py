@@ -16,6 +16,16 @@ from inkwell.plans.oracle_views import with_views
 from inkwell.plans.registry import register
 from inkwell.sources import views as V
 
+from inkwell.plans import catalog_keywords as CK  # noqa: E402
+from inkwell.operators import keywords as _K  # noqa: E402
+
+CK_SECONDARY = f"""
+  SELECT seed, keyword FROM (
+    SELECT seed, keyword,
+           row_number() OVER (PARTITION BY seed ORDER BY CAST(volume AS DOUBLE) / greatest(difficulty, 1.0) DESC, pos) AS r
+    FROM ({CK._RELATED}))
+  WHERE r <= {_K.SECONDARY_LIMIT}"""
+
 _T = f"lower({Q.html_to_text('body_html')})"
 
 
@@ -144,3 +154,28 @@ def audit_metadata(spark, sf):
     parsed = RS.parse_responses(V.v_responses(spark, sf))
     kw = V.v_articles(spark, sf).select("article_id", F.col("target_keyword").alias("keyword"))
     return AU.audit_metadata(parsed.join(kw, "article_id", "left"))
+
+
+_SEED = "'Brand#' || CAST(CAST(article_id AS BIGINT) % 25 + 1 AS VARCHAR)"
+
+
+@register("audit_secondary_headings", with_views(f"""
+  SELECT a.article_id, CAST(coalesce(c.n, 0) AS INTEGER) AS headings_with_secondary, coalesce(c.n, 0) >= 2 AS ok
+  FROM v_articles a LEFT JOIN (
+    SELECT h.article_id, count(DISTINCT h.seq) AS n
+    FROM v_headings h JOIN ({CK_SECONDARY}) s ON s.seed = {_SEED.replace('article_id', 'h.article_id')}
+    WHERE h.level IN (2, 3) AND contains(lower(h.heading_text), lower(s.keyword))
+    GROUP BY h.article_id) c USING (article_id)""", "v_articles", "v_headings", "v_keyword_reports"))
+def audit_secondary_headings(spark, sf):
+    from inkwell.operators import keywords as K
+    sec = K.secondary_keywords(K.related_keywords_parse(V.v_keyword_reports(spark, sf)))
+    plan = HD.with_heading_plan(V.v_articles(spark, sf))
+    rows = F.arrays_zip(F.col("raw_levels").alias("level"), F.col("_t").alias("heading_text"))
+    heads = (plan.withColumn("_t", F.when(F.col("h1_inserted"), F.slice("fixed_texts", 2, 1 << 30))
+                             .otherwise(F.col("fixed_texts")))
+             .select("article_id", F.concat(F.lit("Brand#"), (F.col("article_id").cast("bigint") % 25 + 1)
+                                            .cast("string")).alias("seed"),
+                     F.posexplode_outer(rows).alias("_i", "_h"))
+             .select("article_id", "seed", (F.col("_i") + 1).alias("seq"),
+                     F.col("_h.level").alias("level"), F.col("_h.heading_text").alias("heading_text")))
+    return AU.audit_secondary_headings(heads, sec)
