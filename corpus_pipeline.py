@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.llm.common import staged, table
 from inkwell.llm.quality import quality_rules
+from inkwell.llm.toxicity import toxicity
+
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that pass the base and the certified quality rules."""
@@ -23,8 +25,16 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.where("doc_id is not null").join(rejected, "doc_id", "left_anti").select(docs.columns)
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents with a toxicity score of a half or more."""
+    scored = toxicity(docs, table(spark, sf_dir, "labels"))
+    toxic = scored.where("score >= 0.5").select("doc_id").distinct()
+    return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
+
+
 STAGES = [
     ("quality_rules", drop_low_quality),
+    ("toxicity", drop_toxic),
 ]
 
 #: The conditional random field and the local search have no SQL form.

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from inkwell.llm.quality import op3_quality_rules, oracle_op3
+from inkwell.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
 }
 
