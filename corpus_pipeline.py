@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.llm.common import staged, table
+from inkwell.llm.jaccard import near_duplicates
 from inkwell.llm.quality import quality_rules
 from inkwell.llm.toxicity import toxicity
 
@@ -32,9 +33,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near duplicates,
+    once if its row repeats."""
+    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+
+
 STAGES = [
     ("quality_rules", drop_low_quality),
     ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_near_duplicates),
 ]
 
 #: The conditional random field and the local search have no SQL form.
