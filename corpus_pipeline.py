@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.llm.common import staged, table
 from inkwell.llm.jaccard import near_duplicates
+from inkwell.llm.packing import packed_sequences
 from inkwell.llm.quality import quality_rules
 from inkwell.llm.toxicity import toxicity
 
@@ -40,10 +41,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 
 
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document: its sequence and its place there."""
+    return packed_sequences(docs)
+
+
 STAGES = [
     ("quality_rules", drop_low_quality),
     ("toxicity", drop_toxic),
     ("ngram_jaccard", drop_near_duplicates),
+    ("best_fit_packing", pack_documents),
 ]
 
 #: The conditional random field and the local search have no SQL form.

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from inkwell.llm.jaccard import op5_ngram_jaccard
+from inkwell.llm.packing import op2_best_fit_packing
 from inkwell.llm.quality import op3_quality_rules, oracle_op3
 from inkwell.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op5_ngram_jaccard": op5_ngram_jaccard,
 }
