@@ -39,6 +39,13 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` marked for broadcast if it has no more than ``most`` rows, else as
+    it is (then the join shuffles).  For frames of a few numbers a row, written
+    or cheap to count."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def id_remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (null for a null id)."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(mod))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from inkwell.llm.bpe import op4_bpe_trie
 from inkwell.llm.jaccard import op5_ngram_jaccard
 from inkwell.llm.packing import op2_best_fit_packing
 from inkwell.llm.quality import op3_quality_rules, oracle_op3
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_bpe_trie": op4_bpe_trie,
     "op5_ngram_jaccard": op5_ngram_jaccard,
 }
 

@@ -29,20 +29,21 @@ score is 0 for all.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import id_remainder, rows_of, staged, table
+from inkwell.llm.common import id_remainder, rows_of, small, staged, table
 
-_TOKEN = regex.compile(r"\p{L}+")
+_TOKEN = re.compile(r"[^\W\d_]+")
 _LANE = 64
 
 
@@ -94,21 +95,19 @@ def marks_in(words: set[str]) -> set[str]:
 
 # ---- forward-backward -------------------------------------------------------
 
-def _lanes(unary: np.ndarray, first: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """Transfer matrices (lane, step, 2, 2) of a chain, padded with identity."""
+def _potentials(unary: np.ndarray, first: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Transfer potentials (00, 01, 10, 11; token) of a chain, padded to whole
+    lanes with the identity, and scaled so that no product overflows."""
     n = len(unary)
-    lanes = -(-n // _LANE)
-    m = np.zeros((lanes * _LANE, 2, 2))
-    m[:, 0, 0] = m[:, 1, 1] = 1.0
+    out = np.zeros((4, -(-n // _LANE) * _LANE))
+    out[0, n:] = out[3, n:] = 1.0
+    clean, toxic = np.exp(np.minimum(-unary, 0.0)), np.exp(np.minimum(unary, 0.0))
     e = np.exp(move - move.max())
-    up = np.exp(np.minimum(unary, 0.0))[:, None]  # scaled by the larger state's potential
-    down = np.exp(np.minimum(-unary, 0.0))[:, None]
-    m[:n, :, 0] = e[:, 0] * down
-    m[:n, :, 1] = e[:, 1] * up
     s = np.exp(start - start.max())
-    m[:n][first, :, 0] = s[0] * down[first]
-    m[:n][first, :, 1] = s[1] * up[first]
-    return m.reshape(lanes, _LANE, 2, 2)
+    for before in (0, 1):
+        out[2 * before, :n] = np.where(first, s[0], e[before, 0]) * clean
+        out[2 * before + 1, :n] = np.where(first, s[1], e[before, 1]) * toxic
+    return out
 
 
 def marginals(unary: np.ndarray, first: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
@@ -118,46 +117,61 @@ def marginals(unary: np.ndarray, first: np.ndarray, start: np.ndarray, move: np.
 
 
 def _messages(unary, first, start, move) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals, forward messages (token, state) and transfer matrices."""
+    """Marginals, forward messages (state, token) and transfer potentials."""
     n = len(unary)
-    m = _lanes(unary, first, start, move)
+    flat = _potentials(unary, first, start, move)
     if not n:
-        return np.zeros(0), np.zeros((0, 2)), m.reshape(-1, 2, 2)
-    lanes = len(m)
-    product = np.broadcast_to(np.eye(2), (lanes, 2, 2))
+        return np.zeros(0), np.zeros((2, 0)), flat
+    m = np.ascontiguousarray(flat.reshape(4, -1, _LANE).transpose(0, 2, 1))  # potential, step, lane
+    lanes = m.shape[2]
+    a, b, c, d = np.ones(lanes), np.zeros(lanes), np.zeros(lanes), np.ones(lanes)
     for t in range(_LANE):
-        product = product @ m[:, t]
-        product = product / product.sum(axis=(1, 2), keepdims=True)
-    begin, end = np.empty((lanes, 2)), np.empty((lanes, 2))
-    a, b = np.full(2, 0.5), np.full(2, 0.5)
-    for i in range(lanes):
-        begin[i] = a
-        a = a @ product[i]
-        a = a / a.sum()
+        w, x, y, z = m[:, t]
+        a, b, c, d = a * w + b * y, a * x + b * z, c * w + d * y, c * x + d * z
+        scale = 1.0 / (a + b + c + d)
+        a, b, c, d = a * scale, b * scale, c * scale, d * scale
+    # states at the lanes' ends, one lane after the other
+    begin, end = np.empty((2, lanes)), np.empty((2, lanes))
+    p, q = 0.5, 0.5
+    across = list(zip(a.tolist(), b.tolist(), c.tolist(), d.tolist()))
+    for i, (w, x, y, z) in enumerate(across):
+        begin[0, i], begin[1, i] = p, q
+        p, q = p * w + q * y, p * x + q * z
+        p, q = p / (p + q), q / (p + q)
+    p, q = 0.5, 0.5
     for i in range(lanes - 1, -1, -1):
-        end[i] = b
-        b = product[i] @ b
-        b = b / b.sum()
-    before, after = np.empty((lanes, _LANE, 2)), np.empty((lanes, _LANE, 2))
+        end[0, i], end[1, i] = p, q
+        w, x, y, z = across[i]
+        p, q = w * p + x * q, y * p + z * q
+        p, q = p / (p + q), q / (p + q)
+    before, after = np.empty((2, _LANE, lanes)), np.empty((2, _LANE, lanes))
+    p, q = begin
     for t in range(_LANE):
-        begin = (begin[:, :, None] * m[:, t]).sum(axis=1)
-        begin /= begin.sum(axis=1, keepdims=True)
-        before[:, t] = begin
+        w, x, y, z = m[:, t]
+        p, q = p * w + q * y, p * x + q * z
+        scale = 1.0 / (p + q)
+        p, q = p * scale, q * scale
+        before[0, t], before[1, t] = p, q
+    p, q = end
     for t in range(_LANE - 1, -1, -1):
-        after[:, t] = end
-        end = (m[:, t] * end[:, None, :]).sum(axis=2)
-        end /= end.sum(axis=1, keepdims=True)
-    both = (before * after).reshape(-1, 2)[:n]
-    return both[:, 1] / both.sum(axis=1), before.reshape(-1, 2)[:n], m.reshape(-1, 2, 2)
+        after[0, t], after[1, t] = p, q
+        w, x, y, z = m[:, t]
+        p, q = w * p + x * q, y * p + z * q
+        scale = 1.0 / (p + q)
+        p, q = p * scale, q * scale
+    both = before * after
+    share = both[1] / (both[0] + both[1])
+    return share.T.reshape(-1)[:n], before.transpose(0, 2, 1).reshape(2, -1)[:, :n], flat
 
 
 def _pairs(first: np.ndarray, p: np.ndarray, before: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Expected transitions (2, 2) between tokens of the same document, from
     forward messages and the marginals of the next token."""
-    joint = before[:-1, :, None] * m[1:len(p)]
-    given = joint / joint.sum(axis=1, keepdims=True)  # of the earlier state, by the next one
-    after = np.stack([1 - p[1:], p[1:]], axis=1)
-    return (given * after[:, None, :])[~first[1:]].sum(axis=0)
+    n = len(p)
+    joint = before[:, None, :-1] * m[:, 1:n].reshape(2, 2, n - 1)  # earlier, later state
+    given = joint / joint.sum(axis=0)  # of the earlier state, by the later one
+    later = np.stack([1 - p[1:], p[1:]])
+    return (given * later)[:, :, ~first[1:]].sum(axis=2)
 
 
 # ---- training ---------------------------------------------------------------
@@ -271,11 +285,11 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Field | None:
     """A field from ``train`` (doc_id, toxic, text), or None if one class is
     missing."""
     toxic = toxic_marks(train, settings)
-    ranked = train.withColumn("_r", F.xxhash64("doc_id"))
-    sample = []
-    for c in (0, 1):
-        sample += ranked.where(F.col("toxic") == c).orderBy("_r", "doc_id").limit(settings.sample_docs) \
-            .select("toxic", F.left("text", F.lit(settings.sample_chars)).alias("text")).collect()
+    chosen = [r["doc_id"] for c in (0, 1) for r in
+              train.where(F.col("toxic") == c).select("doc_id").distinct()
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_docs).collect()]
+    sample = train.where(F.col("doc_id").isin(chosen)).dropDuplicates(["doc_id"]) \
+        .select("toxic", F.left("text", F.lit(settings.sample_chars)).alias("text")).collect()
     labels = np.array([r["toxic"] for r in sample])
     if not toxic or len(set(labels.tolist())) < 2:
         return None
@@ -362,7 +376,7 @@ def _scorer(field: Field | None):
             else:
                 docs = [tokens_of(r[1]) for r in block]
                 first, bounds = _starts(docs)
-                at = np.fromiter((unary[w] for d in docs for w in d), float, bounds[-1])
+                at = np.fromiter(map(unary.__getitem__, chain.from_iterable(docs)), float, bounds[-1])
                 p = marginals(at, first, field.start, field.move)
                 score = 1 / (1 + np.exp(-np.clip(_sums(p, bounds) @ field.judge, -30, 30)))
                 spans = [_spans(r[1], own) if (own := p[bounds[i]:bounds[i + 1]]).max(initial=0) >= 0.5 else []
@@ -387,12 +401,13 @@ def score(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col
 
 def training_rows(docs: DataFrame, labels: DataFrame, without_remainder: int | None = 0) -> DataFrame:
     """(doc_id, toxic, text) of the labelled documents outside the held-out
-    fifth; several texts under one id are all used."""
+    fifth; several texts under one id are all used.  Up to a million labels
+    are sent to the texts; beyond that both are shuffled."""
     known = (labels.where("doc_id is not null and toxic is not null")
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     if without_remainder is not None:
         known = known.where(id_remainder(F.col("doc_id"), 5) != without_remainder)
-    return docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "toxic", "text")
+    return docs.select("doc_id", "text").join(small(known, 1_000_000), "doc_id").select("doc_id", "toxic", "text")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
