@@ -46,6 +46,13 @@ def small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def hash_sample(df: DataFrame, by: str, want: int) -> DataFrame:
+    """About ``want`` rows of ``df`` (all, if it has fewer), chosen by a hash of
+    ``by``; the same rows at every call, however the rows are dealt out."""
+    share = want / max(want, df.count())
+    return df.where(F.pmod(F.xxhash64(F.col(by), F.lit(7919)), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
 def id_remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (null for a null id)."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(mod))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from inkwell.llm.bpe import op4_bpe_trie
+from inkwell.llm.embeddings import op10_itq_near_dedup
 from inkwell.llm.jaccard import op5_ngram_jaccard
 from inkwell.llm.packing import op2_best_fit_packing
 from inkwell.llm.quality import op3_quality_rules, oracle_op3
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe_trie": op4_bpe_trie,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op10_itq_near_dedup": op10_itq_near_dedup,
 }
 
 ORACLES = {
