@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from inkwell.llm.bpe import op4_bpe_trie
+from inkwell.llm.chat import ORACLE_OP6, op6_reply_trees
 from inkwell.llm.embeddings import op10_itq_near_dedup
 from inkwell.llm.jaccard import op5_ngram_jaccard
 from inkwell.llm.packing import op2_best_fit_packing
@@ -15,9 +16,11 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe_trie": op4_bpe_trie,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_reply_trees": op6_reply_trees,
     "op10_itq_near_dedup": op10_itq_near_dedup,
 }
 
 ORACLES = {
     "op3_quality_rules": oracle_op3(),
+    "op6_reply_trees": ORACLE_OP6,
 }
