@@ -6,6 +6,7 @@ from inkwell.llm.bpe import op4_bpe_trie
 from inkwell.llm.chat import ORACLE_OP6, op6_reply_trees
 from inkwell.llm.embeddings import op10_itq_near_dedup
 from inkwell.llm.jaccard import op5_ngram_jaccard
+from inkwell.llm.langid import op7_ppm_language
 from inkwell.llm.packing import op2_best_fit_packing
 from inkwell.llm.quality import op3_quality_rules, oracle_op3
 from inkwell.llm.toxicity import op1_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_bpe_trie": op4_bpe_trie,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_reply_trees": op6_reply_trees,
+    "op7_ppm_language": op7_ppm_language,
     "op10_itq_near_dedup": op10_itq_near_dedup,
 }
 
