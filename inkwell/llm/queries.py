@@ -8,6 +8,7 @@ from inkwell.llm.embeddings import op10_itq_near_dedup
 from inkwell.llm.jaccard import op5_ngram_jaccard
 from inkwell.llm.langid import op7_ppm_language
 from inkwell.llm.licenses import op8_license_scan, oracle_op8
+from inkwell.llm.lm import op9_attention_lm
 from inkwell.llm.packing import op2_best_fit_packing
 from inkwell.llm.quality import op3_quality_rules, oracle_op3
 from inkwell.llm.toxicity import op1_toxicity
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_reply_trees": op6_reply_trees,
     "op7_ppm_language": op7_ppm_language,
     "op8_license_scan": op8_license_scan,
+    "op9_attention_lm": op9_attention_lm,
     "op10_itq_near_dedup": op10_itq_near_dedup,
 }
 
