@@ -142,7 +142,7 @@ def _scheme_keys(s, bounds, rows, band, allowed, seed):
     size = bounds[rows + 1] - bounds[rows]
     which = np.repeat(np.arange(len(rows)), size)
     at = np.repeat(bounds[rows] - np.concatenate([[0], np.cumsum(size)])[:-1], size) + np.arange(size.sum())
-    element = mix64(s[at] + _U(seed + 1) * _U(0xD1342543DE82EF95))
+    element = mix64(s[at] + mix64(np.array([seed + 1], _U)))
     block = first[which] + ((element >> _U(32)) % k[which].astype(_U)).astype(np.int64)
     word = np.zeros(first[-1], _U)
     np.bitwise_xor.at(word, block, element)

@@ -176,11 +176,13 @@ class Trees:
             return np.full((len(codes), len(self.langs)), 8.0, np.float32)
         own = codes & np.uint32((1 << 8 * (order + 1)) - 1)
         row = self._index("grams", order).find(own)
-        out = self.costs[order][row]
+        out = self.costs[order][row] if len(self.grams[order]) else np.empty((len(codes), len(self.langs)), np.float32)
         missing = np.flatnonzero(row < 0)
         if len(missing):
             at = self._index("contexts", order).find(own[missing] >> np.uint32(8))
-            out[missing] = np.where((at >= 0)[:, None], self.escapes[order][at], 0) + self.cost(codes[missing], order - 1)
+            out[missing] = self.cost(codes[missing], order - 1)
+            known = at >= 0
+            out[missing[known]] += self.escapes[order][at[known]]
         return out
 
 
