@@ -61,13 +61,13 @@ def html_to_text(html: Column | str) -> Column:
         out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", " ")
     out = F.regexp_replace(out, r"(?s)<[^>]*>", " ")
     out = decode_entities(out)
-    out = F.regexp_replace(out, r"\s+", " ")
+    out = F.regexp_replace(out, r"(?U)\s+", " ")
     return F.trim(out)
 
 
 def word_count(text: Column | str) -> Column:
     """Number of whitespace-separated words."""
-    return F.size(F.filter(F.split(_c(text), r"\s+"), lambda w: w != "")).cast("int")
+    return F.size(F.filter(F.split(_c(text), r"(?U)\s+"), lambda w: w != "")).cast("int")
 
 
 def heading_inner_text(inner: Column | str, sep: str = "") -> Column:

@@ -1,9 +1,8 @@
 """Language routing by stop-word votes.
 
-The reference runs a detection library on the first 2,000 characters of the
-plain text and keeps only ``fr``/``en`` (anything else, empty or an error ->
-``fr``).  Here each of four profiles counts the text's tokens that are in its
-stop-word list; the highest count wins, ties go to the earlier profile and no
+The reference keeps only ``fr``/``en`` of a detection library's answers (anything
+else, empty or an error -> ``fr``).  Here each of four profiles counts the
+tokens of the whole text that are in its stop-word list; the highest count wins, ties go to the earlier profile and no
 vote at all gives ``fr``; then the same two-language mapping applies.
 """
 
@@ -21,34 +20,27 @@ PROFILES = (
 )
 KEPT = ("fr", "en")
 FALLBACK = "fr"
-DETECT_CHARS = 2000
 
 
-def _vote_map() -> Column:
-    """word -> per-profile 0/1 flags (a word may belong to several lists)."""
-    words: dict[str, list[int]] = {}
-    for p, (_, ws) in enumerate(PROFILES):
-        for w in ws.split():
-            words.setdefault(w, [0] * len(PROFILES))[p] = 1
-    return F.create_map(*[x for w, flags in words.items()
-                          for x in (F.lit(w), F.array(*[F.lit(f) for f in flags]))])
+def _votes(tokens: Column, words: str) -> Column:
+    listed = words.split()
+    return F.size(F.filter(tokens, lambda t: t.isin(*listed)))
 
 
 def detect_language(plain_text: Column) -> Column:
-    """Four-way vote (``fr``/``en``/``de``/``es``) on the first 2,000 chars:
-    one pass over the tokens adds each token's profile flags."""
-    toks = F.regexp_extract_all(F.lower(F.substring(plain_text, 1, DETECT_CHARS)),
-                                F.lit(r"[\p{L}\p{N}]+"), 0)
-    vmap = _vote_map()
-    zero = F.array(*[F.lit(0) for _ in PROFILES])
-    votes = F.aggregate(
-        toks, zero,
-        lambda acc, t: F.zip_with(acc, F.coalesce(F.element_at(vmap, t), zero), lambda a, b: a + b))
-    best = F.array_max(votes)
+    """Four-way vote (``fr``/``en``/``de``/``es``) over the whole text.  Tokens
+    and votes are bound as lambda variables, so each is computed once."""
+    toks = F.regexp_extract_all(F.lower(plain_text), F.lit(r"[\p{L}\p{N}]+"), 0)
     langs = F.array(*[F.lit(lang) for lang, _ in PROFILES])
-    # array_position finds the first maximum: ties go to the earlier profile
-    return F.when(best == 0, F.lit(FALLBACK)).otherwise(
-        F.element_at(langs, F.array_position(votes, best).cast("int")))
+
+    def winner(votes: Column) -> Column:
+        best = F.array_max(votes)
+        # array_position finds the first maximum: ties go to the earlier profile
+        return F.when(best == 0, F.lit(FALLBACK)).otherwise(
+            F.element_at(langs, F.array_position(votes, best).cast("int")))
+
+    votes = F.transform(F.array(toks), lambda t: F.array(*[_votes(t, words) for _, words in PROFILES]))
+    return F.coalesce(F.transform(votes, winner)[0], F.lit(FALLBACK))
 
 
 def route_language(detected: Column) -> Column:

@@ -38,7 +38,7 @@ def audit_h1(plan: DataFrame) -> DataFrame:
 
 def audit_keyword_first_100(articles: DataFrame) -> DataFrame:
     """Q2: the keyword within the first 100 words of the plain text."""
-    words = F.filter(F.split(F.lower(html_to_text("body_html")), r"\s+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(html_to_text("body_html")), r"(?U)\s+"), lambda w: w != "")
     head = F.array_join(F.slice(words, 1, FIRST_WORDS), " ")
     return articles.select("article_id", F.coalesce(F.contains(head, _kw()), F.lit(False)).alias("ok"))
 
@@ -52,9 +52,10 @@ def audit_question_h2(articles: DataFrame) -> DataFrame:
 def audit_keyword_density(articles: DataFrame) -> DataFrame:
     """Q6: whole-phrase keyword occurrences per 100 words, within 1-2."""
     d = articles.withColumn("_t", F.lower(html_to_text("body_html"))).withColumn("_kw", _kw())
-    words = F.size(F.filter(F.split("_t", r"\s+"), lambda w: w != ""))
-    occ = F.when(F.length("_kw") > 0, ((F.length("_t") - F.length(F.replace("_t", "_kw", F.lit("")))) /
-                                       F.length("_kw")).cast("int")).otherwise(0)
+    words = F.size(F.filter(F.split("_t", r"(?U)\s+"), lambda w: w != ""))
+    phrase = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.replace("_kw", F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
+                      F.lit(r"\E(?![\p{L}\p{N}])"))
+    occ = F.when(F.length("_kw") > 0, F.regexp_count("_t", phrase)).otherwise(0)
     dens = F.when(words > 0, occ * 100.0 / words).otherwise(0.0)
     return d.select("article_id", occ.alias("occurrences"), words.cast("int").alias("words"),
                     dens.alias("density"), ((dens >= DENSITY_MIN) & (dens <= DENSITY_MAX)).alias("ok"))
@@ -145,7 +146,7 @@ def audit_metadata(parsed: DataFrame, keyword: str = "keyword") -> DataFrame:
     title_ok = F.char_length(t).between(50, 60) & F.startswith(F.lower(t), kw)
     meta_ok = F.char_length(m).between(150, 160) & F.contains(F.lower(m), kw)
     stop = F.array(*[F.lit(w) for w in SLUG_STOP_WORDS])
-    slug_ok = sl.rlike(SLUG_RE) & F.contains(sl, kw) & ~F.arrays_overlap(F.split(sl, "-"), stop)
+    slug_ok = sl.rlike(SLUG_RE) & F.contains(sl, F.replace(kw, F.lit(" "), F.lit("-"))) & ~F.arrays_overlap(F.split(sl, "-"), stop)
     og_ok = F.char_length(og).between(150, 200) & (og != m)
     cols = [F.coalesce(c, F.lit(False)).alias(n) for c, n in
             ((title_ok, "title_ok"), (meta_ok, "meta_ok"), (slug_ok, "slug_ok"), (og_ok, "og_ok"))]

@@ -7,7 +7,7 @@ article is never split, and nothing groups articles together.
 Semantics, in order:
   W1  first H1 kept, later H1s become H2; no H1 in a non-blank body -> an H1
       with the title is inserted before the first element;
-  W2  level_i = min(raw_i, level_{i-1} + 1), level_0 = 1 (a fold);
+  W2  level_i = min(raw_i, level_{i-1} + 1), level_0 = 1;
   W3  with an H1 and an H2: intro starts before the H1, ends before the first
       H2 (even when that H2 comes first);
   W4  the last H2 whose lower-cased text contains a closing word: conclusion
@@ -38,15 +38,17 @@ def _lit_array(values) -> Column:
 
 
 def normalise_levels(levels: Column) -> Column:
-    """W2 fold over an ``array<int>``: each level at most one deeper than the
-    previous repaired level; the virtual level before the first is 1."""
-    init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(1).alias("prev"))
+    """W2 over an ``array<int>``: each level at most one deeper than the previous
+    repaired level; the virtual level before the first is 1.
 
-    def step(acc, x):
-        lvl = F.least(x, acc["prev"] + 1)
-        return F.struct(F.array_append(acc["out"], lvl).alias("out"), lvl.alias("prev"))
+    Unrolled, the recurrence is the minimum of raw_j + (i - j) over all j <= i and
+    of i + 1 (1-based).  Levels are 1 to 6, so a heading more than 5 places back
+    can never be the minimum: one look back per place, linear in the headings."""
+    def repaired(raw: Column) -> Column:
+        return F.transform(raw, lambda x, i: F.least(
+            x, i + 2, *[F.get(raw, i - back) + back for back in range(1, 6)]))
 
-    return F.aggregate(levels, init, step, lambda acc: acc["out"])
+    return F.transform(F.array(levels), repaired)[0]
 
 
 def with_heading_plan(articles: DataFrame, body: str = "body_html", title: str = "title") -> DataFrame:

@@ -7,15 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkwell.functions.values import strip_ws
+from inkwell.functions.values import FLOAT_RE, strip_ws
 
 SIMILARITY_THRESHOLD = 15.0
 POLL_MAX_ATTEMPTS = 12
 LOW_DELTA = 10.0
 
-_FLOAT_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-
-
 def score_delta(df: DataFrame, initial: str = "initial", final: str = "final") -> DataFrame:
     """Delta and percent change; 0.0 percent when the initial score is 0
     or missing (a missing initial score counts as 0)."""
@@ -32,7 +29,7 @@ def low_delta_flag(df: DataFrame, threshold: float = LOW_DELTA) -> DataFrame:
 
 def _as_float(c: Column) -> Column:
     s = strip_ws(c)
-    return F.when(s.rlike(_FLOAT_RE), s.try_cast("double"))
+    return F.when(s.rlike(FLOAT_RE), s.try_cast("double"))
 
 
 def similarity_value(m: DataFrame) -> Column:

@@ -6,9 +6,11 @@ shingles; article and corpus shingle sets are equi-joined on the shingle text
 and counted per (article, source).  Whole texts are used.
 
 Scale: the shingle sets are de-duplicated per document before the join (map
-side, inside the row).  The corpus side is broadcast only when its row count
-is checked to be under ``BROADCAST_MAX_ROWS``; otherwise both sides shuffle on
-the shingle and AQE splits skewed (very common) shingles.
+side, inside the row), and the join is on 64-bit hashes of the shingles, so no
+shingle text is shuffled.  Spark picks the join by the sides' sizes at run time
+and splits skewed (very common) shingles.  Every sharing pair is part of the
+result, so a shingle that many articles and sources share costs as much as it
+reports.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE_WORDS = 5
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def tokens(text: Column) -> Column:
@@ -42,13 +43,8 @@ def with_shingles(df: DataFrame, text: str, out: str = "_s", k: int = SHINGLE_WO
     return df.withColumn("_tok", tokens(F.col(text))).withColumn(out, shingles(F.col("_tok"), k)).drop("_tok")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked size (one count job)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def similarity_join(articles: DataFrame, corpus: DataFrame, text: str = "text",
-                    k: int = SHINGLE_WORDS, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    k: int = SHINGLE_WORDS) -> DataFrame:
     """Per (article, source) sharing at least one shingle: shared
     shingles, the article's shingles and ``similarity`` = shared / article
     shingles x 100."""
@@ -56,11 +52,11 @@ def similarity_join(articles: DataFrame, corpus: DataFrame, text: str = "text",
     # infer ``size(_s) > 0`` and push it (with the whole shingle expression)
     # below the projection that computes the shingles once.
     a = with_shingles(articles.select("article_id", text), text, "_s", k).select(
-        "article_id", F.size("_s").alias("article_shingles"), F.explode_outer("_s").alias("shingle")
+        "article_id", F.size("_s").alias("article_shingles"),
+        F.explode_outer(F.transform("_s", lambda x: F.xxhash64(x))).alias("shingle")
     ).where(F.col("shingle").isNotNull())
     c = with_shingles(corpus.select("source_id", text), text, "_s", k).select(
-        "source_id", F.explode_outer("_s").alias("shingle")).where(F.col("shingle").isNotNull())
-    c = broadcast_if_small(c, max_broadcast_rows)
+        "source_id", F.explode_outer(F.transform("_s", lambda x: F.xxhash64(x))).alias("shingle")).where(F.col("shingle").isNotNull())
     pairs = a.join(c, "shingle").groupBy("article_id", "source_id", "article_shingles").agg(
         F.count(F.lit(1)).cast("int").alias("shared"))
     return pairs.select("article_id", "source_id", "shared", F.col("article_shingles").cast("int"),

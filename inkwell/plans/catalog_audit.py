@@ -81,7 +81,7 @@ def audit_question_h2(spark, sf):
   FROM (SELECT article_id, occurrences, words,
                CASE WHEN words > 0 THEN occurrences * 100.0 / words ELSE 0.0 END AS density
         FROM (SELECT article_id,
-                     CASE WHEN length(kw) > 0 THEN CAST((length(t) - length(replace(t, kw, ''))) // length(kw) AS INTEGER)
+                     CASE WHEN length(kw) > 0 THEN CAST(len(list_filter(regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]+'), lambda w: w = kw)) AS INTEGER)
                           ELSE 0 END AS occurrences,
                      CAST(len(list_filter(regexp_split_to_array(t, '\\s+'), lambda w: w <> '')) AS INTEGER) AS words
               FROM (SELECT article_id, {_T} AS t, lower(target_keyword) AS kw FROM v_articles)))""", "v_articles"))
@@ -145,7 +145,7 @@ _STOPS = "[" + ", ".join(f"'{w}'" for w in AU.SLUG_STOP_WORDS) + "]"
   FROM (SELECT p.article_id,
           coalesce(length(title_tag) BETWEEN 50 AND 60 AND starts_with(lower(title_tag), lower(a.target_keyword)), false) AS title_ok,
           coalesce(length(meta_description) BETWEEN 150 AND 160 AND contains(lower(meta_description), lower(a.target_keyword)), false) AS meta_ok,
-          coalesce(regexp_full_match(slug, '{AU.SLUG_RE.strip("^$")}') AND contains(slug, lower(a.target_keyword))
+          coalesce(regexp_full_match(slug, '{AU.SLUG_RE.strip("^$")}') AND contains(slug, replace(lower(a.target_keyword), ' ', '-'))
                    AND NOT list_has_any(string_split(slug, '-'), {_STOPS}), false) AS slug_ok,
           coalesce(length(og_description) BETWEEN 150 AND 200 AND og_description <> meta_description, false) AS og_ok
         FROM ({CR._PARSED}) p LEFT JOIN v_articles a USING (article_id) WHERE p.valid)""",

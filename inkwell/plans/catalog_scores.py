@@ -142,7 +142,7 @@ def truncate_chars(spark, sf):
 
 
 def _sql_detect(text: str) -> str:
-    toks = f"regexp_extract_all(lower(substr({text}, 1, 2000)), '[\\p{{L}}\\p{{N}}]+')"
+    toks = f"regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')"
     votes = []
     for lang, words in PROFILES:
         lst = "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
