@@ -1,33 +1,29 @@
 """HTML handling with native regular expressions (no DOM, no UDF).
 
 Order matters and mirrors what a tree parser sees as text: comments first,
-then ``script``/``style`` bodies (their strings may hold ``"</p>"``), then
-every tag becomes a separator, then entities are decoded, then whitespace is
-collapsed.  The input pages contain no whitespace other than space and newline,
-so the ASCII ``\\s`` class is exact here.
+then ``script``/``style`` bodies (their strings may hold ``"</p>"``; an unclosed
+one runs to the end), then every tag becomes a separator, then entities are
+decoded in one pass, then Unicode white space is collapsed.  A tag ends at the
+first ``>`` outside quoted attribute values.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Elements dropped before measuring competitor pages.
 BOILERPLATE_TAGS = ("nav", "footer", "aside", "header")
 
-# Named entities decoded, in the order applied.  ``&amp;`` must be
-# last so that ``&amp;lt;`` decodes to the text ``&lt;`` and not to ``<``.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+# The rest of a tag up to its ">": quoted values first, any characters where
+# the quotes do not pair up.
+_REST = r"""(?:[^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+>|[^>]*>)"""
+_COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
+_TAG_RE = r"(?s)<[/!?a-zA-Z]" + _REST
+_BOILERPLATE_RE = rf"(?is)</?(?:{'|'.join(BOILERPLATE_TAGS)})\b" + _REST
+_ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 # Groups: 1 level, 2 attributes, 3 inner HTML.
 HEADING_RE = r"(?is)<h([1-6])\b([^>]*)>(.*?)</h\1\s*>"
@@ -37,29 +33,56 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def strip_boilerplate(html: Column | str, passes: int = 2) -> Column:
-    """Remove nav/footer/aside/header elements with their content.
-    A second pass removes an element that enclosed another of the same name."""
-    out = _c(html)
-    for _ in range(passes):
-        for tag in BOILERPLATE_TAGS:
-            out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    return out
+def strip_boilerplate(html: Column | str) -> Column:
+    """Remove nav/footer/aside/header elements with their content, however
+    deeply they are nested.  The text is cut at their tags once; a piece stays
+    if no such element is open before it (a stray closing tag opens nothing)."""
+    def kept(cut: Column) -> Column:
+        depths = F.aggregate(
+            cut["tags"], F.array(F.lit(0)),
+            lambda d, t: F.array_append(d, F.when(t.startswith("</"), F.greatest(F.element_at(d, -1) - 1, F.lit(0)))
+                                        .otherwise(F.element_at(d, -1) + 1)))
+        return F.transform(F.array(depths), lambda d: F.array_join(F.transform(
+            cut["pieces"], lambda p, i: F.when(F.get(d, i) == 0, p).otherwise("")), ""))[0]
+
+    text = _c(html)
+    cut = F.struct(F.split(text, _BOILERPLATE_RE, -1).alias("pieces"),
+                   F.regexp_extract_all(text, F.lit(_BOILERPLATE_RE), 0).alias("tags"))
+    return F.when(text.isNotNull(), F.transform(F.array(cut), kept)[0])
+
+
+def _entity(name: Column) -> Column:
+    """The character of an entity name (without ``&`` and ``;``), or the entity
+    as written if there is none.  A no-break space reads as a space."""
+    code = F.when(name.startswith("#x") | name.startswith("#X"), F.conv(F.substr(name, F.lit(3)), 16, 10)) \
+        .when(name.startswith("#"), F.substr(name, F.lit(2))).cast("int")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    named = F.create_map(*[F.lit(x) for n, c in name2codepoint.items() for x in (n, chr(c))],
+                         F.lit("apos"), F.lit("'"))
+    char = F.coalesce(numeric, F.element_at(named, name), F.concat(F.lit("&"), name, F.lit(";")))
+    return F.when(char == "\u00a0", " ").otherwise(char)
 
 
 def decode_entities(text: Column | str) -> Column:
-    out = _c(text)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Named and numeric entities, each decoded once (``&amp;lt;`` gives the
+    text ``&lt;``)."""
+    def joined(cut: Column) -> Column:
+        return F.array_join(F.transform(
+            cut["pieces"], lambda p, i: F.concat(p, F.coalesce(F.get(cut["chars"], i), F.lit("")))), "")
+
+    text = _c(text)
+    cut = F.struct(F.split(text, _ENTITY_RE, -1).alias("pieces"), F.transform(
+        F.regexp_extract_all(text, F.lit(_ENTITY_RE), 1), _entity).alias("chars"))
+    return F.when(F.contains(text, F.lit("&")), F.transform(F.array(cut), joined)[0]).otherwise(text)
 
 
 def html_to_text(html: Column | str) -> Column:
     """Visible text, pieces separated by one space, trimmed."""
-    out = F.regexp_replace(_c(html), r"(?s)<!--.*?-->", " ")
+    out = F.regexp_replace(_c(html), _COMMENT_RE, " ")
     for tag in ("script", "style"):
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", " ")
-    out = F.regexp_replace(out, r"(?s)<[^>]*>", " ")
+        out = F.regexp_replace(out, rf"(?is)<{tag}\b{_REST}.*?(?:</{tag}\s*>|\z)", " ")
+    out = F.regexp_replace(out, _TAG_RE, " ")
     out = decode_entities(out)
     out = F.regexp_replace(out, r"(?U)\s+", " ")
     return F.trim(out)
@@ -74,8 +97,8 @@ def heading_inner_text(inner: Column | str, sep: str = "") -> Column:
     """Text of a heading's inner HTML.  Each text piece is trimmed and the
     pieces are joined with ``sep`` -- by default nothing, so
     ``Foo <b>bar</b>`` gives ``Foobar``."""
-    out = F.regexp_replace(_c(inner), r"(?s)<!--.*?-->", "")
-    out = F.regexp_replace(out, r"(?s)\s*<[^>]*>\s*", sep)
+    out = F.regexp_replace(_c(inner), _COMMENT_RE, "")
+    out = F.regexp_replace(out, rf"(?s)\s*<[/!?a-zA-Z]{_REST}\s*", sep)
     return F.trim(decode_entities(out))
 
 

@@ -27,24 +27,27 @@ def lines(x: str) -> str:
             f"lambda l: NOT regexp_full_match(l, '\\s*'))")
 
 
-# --- HTML (twins of inkwell.functions.html; RE2 has no back-references, so
-# --- one pattern per tag, as in the Spark code) ---
-from inkwell.functions.html import BOILERPLATE_TAGS, ENTITIES  # noqa: E402
+# --- HTML: written for RE2 and lists, with its own tag and entity lists ---
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+             ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 
 def decode_entities(x: str) -> str:
     out = x
-    for ent, ch in ENTITIES:
+    for ent, ch in _ENTITIES:
         out = f"replace({out}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     return out
 
 
-def strip_boilerplate(x: str, passes: int = 2) -> str:
-    out = x
-    for _ in range(passes):
-        for tag in BOILERPLATE_TAGS:
-            out = f"regexp_replace({out}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
-    return out
+def strip_boilerplate(x: str) -> str:
+    """Pieces between boilerplate tags whose count of open elements is 0: the
+    prefix sum of +1/-1, reflected at 0."""
+    tag = "(?is)</?(?:nav|footer|aside|header)\\b[^>]*>"
+    steps = f"list_transform(regexp_extract_all({x}, '{tag}'), lambda t: CASE WHEN starts_with(t, '</') THEN -1 ELSE 1 END)"
+    return (f"list_aggregate(list_transform(range(1, len(regexp_extract_all({x}, '{tag}')) + 2), lambda i: "
+            f"CASE WHEN coalesce(list_sum(({steps})[1:i - 1]), 0) - least(0, coalesce(list_min(list_transform(range(1, i), "
+            f"lambda j: list_sum(({steps})[1:j]))), 0)) = 0 THEN regexp_split_to_array({x}, '{tag}')[i] ELSE '' END), "
+            f"'string_agg', '')")
 
 
 def html_to_text(x: str) -> str:
