@@ -11,6 +11,7 @@ from inkwell.functions.html import html_to_text, tag_texts
 
 DENSITY_MIN, DENSITY_MAX = 1.0, 2.0
 FIRST_WORDS = 100
+# The keys of a generated output.
 OUTPUT_KEYS = ("optimized_html", "title_tag", "meta_description", "slug", "og_title", "og_description",
                "schema_markup", "alt_texts", "internal_link_suggestions", "changes_summary")
 # Our own voice lists (words to avoid / to use), per language.

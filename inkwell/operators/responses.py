@@ -18,6 +18,7 @@ INVALID_REASON = "Text generation failed to produce valid JSON after retry."
 
 LINKS_TYPE = T.ArrayType(T.StructType([T.StructField("location", T.StringType()),
                                        T.StructField("suggested_topic", T.StringType())]))
+# The fields of a generated output.
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("optimized_html", T.StringType()),
     T.StructField("title_tag", T.StringType()),

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from inkwell.operators.reports import iso_timestamp
 from inkwell.operators.sequence import number_within
+from inkwell.session import scratch_path
 from inkwell.sources.views import RUN_COLUMNS
 
 # Run statuses.
 STATUSES = ("pending", "processing", "awaiting_approval", "approved", "completed", "rejected", "failed")
 HISTORY_LIMIT = 50
+# The fields of a history row.
 HISTORY_COLUMNS = (
     "id", "article_id", "blog_id", "title", "language", "status", "main_keyword",
     "target_keyword_input", "initial_surfer_score", "final_surfer_score", "score_delta",
@@ -76,34 +78,37 @@ def run_upsert(runs: DataFrame, changes: DataFrame, now: _dt.datetime) -> DataFr
     """K1: merge ``changes`` (``article_id`` + any run columns) into the run
     table.  Given, non-null columns overwrite; ``updated_at`` becomes ``now``
     on touched rows.  New articles are inserted as ``pending`` with fresh ids
-    after the current maximum (numbered without a single-task window)."""
+    after the current maximum (numbered without a single-task window).
+
+    The changes are evaluated once, into a table in the shared folder; only the
+    article ids of the new ones are numbered."""
+    spark = runs.sparkSession
+    path = scratch_path(spark, "run-changes")
+    changes.write.parquet(path)
+    changes = spark.read.schema(changes.schema).parquet(path)
     given = [c for c in changes.columns if c != "article_id"]
-    ch = changes.select("article_id", *[F.col(c).alias(f"_n_{c}") for c in given]).withColumn("_touch", F.lit(True))
-    merged = runs.withColumn("_old", F.lit(True)).join(ch, "article_id", "full_outer")
+    ch = changes.select("article_id", *[F.col(c).alias(f"_n_{c}") for c in given], F.lit(True).alias("_touch"))
     ts = F.lit(now).cast("timestamp_ntz")
-    cols = []
-    for n, t in RUN_COLUMNS:
-        if n == "article_id":
-            cols.append(F.col("article_id"))
-        elif n == "updated_at":
-            cols.append(F.when(F.col("_touch"), ts).otherwise(F.col("updated_at")).alias(n))
-        elif n == "created_at":
-            cols.append(F.coalesce(F.col("created_at"), ts).alias(n))
-        elif n == "status":
-            new = F.col("_n_status") if "status" in given else F.lit(None)
-            cols.append(F.coalesce(new, F.col("status"), F.lit("pending")).alias(n))
-        elif n in given:
-            cols.append(F.coalesce(F.col(f"_n_{n}").cast(t), F.col(n)).alias(n))
-        else:
-            cols.append(F.col(n))
-    out = merged.select(*cols, "_old")
-    max_id = runs.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
-    fresh = number_within(out.where(F.col("_old").isNull()).withColumn("_g", F.lit(0)),
-                          ["_g"], ["article_id"], "_seq")
-    fresh = fresh.crossJoin(F.broadcast(max_id)).withColumn("id", F.col("_max") + F.col("_seq")).drop(
-        "_g", "_seq", "_max")
-    return out.where(F.col("_old").isNotNull()).drop("_old").unionByName(fresh.drop("_old")).select(
-        *[n for n, _ in RUN_COLUMNS])
+    types = dict(RUN_COLUMNS)
+
+    def merged(n: str, old: Column) -> Column:
+        if n in ("id", "article_id"):
+            return old
+        if n == "updated_at":
+            return F.when(F.col("_touch"), ts).otherwise(old)
+        return F.coalesce(F.col(f"_n_{n}").cast(types[n]), old) if n in given else old
+
+    updated = runs.join(ch, "article_id", "left").select(
+        *[merged(n, F.col(n)).alias(n) for n, _ in RUN_COLUMNS])
+    new_ids = ch.select("article_id").join(runs.select("article_id"), "article_id", "left_anti")
+    max_id = runs.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))  # one row
+    numbered = number_within(new_ids.withColumn("_g", F.lit(0)), ["_g"], ["article_id"], "_seq") \
+        .crossJoin(F.broadcast(max_id)).select("article_id", (F.col("_max") + F.col("_seq")).alias("id"))
+    first = {"created_at": ts, "status": F.lit("pending")}
+    inserted = ch.join(numbered, "article_id").select(
+        *[merged(n, F.col(n) if n in ("id", "article_id") else first.get(n, F.lit(None).cast(t))).alias(n)
+          for n, t in RUN_COLUMNS])
+    return updated.unionByName(inserted)
 
 
 # --- T3: status machine as an associative fold -------------------------------
@@ -146,21 +151,44 @@ def _compose_sorted(fns: Column) -> Column:
     return F.aggregate(fns, ident, lambda acc, f: F.transform(acc, lambda s: F.element_at(f, s + 1)))
 
 
-def run_state_machine(events: DataFrame, levels: int = 3) -> DataFrame:
+def fold_transitions(events: DataFrame, keys: list[str], levels: int = 3) -> DataFrame:
+    """One transition table (``moves``) per ``keys``, of all its events in
+    ``(ts, event_id)`` order, with the ``ts`` and ``event_id`` of the first.
+    Events are numbered per key without a single-task window, grouped
+    ``BUCKET`` at a time, each bucket folded, then the buckets folded again,
+    ``levels`` times and once more (512**4 events per key)."""
+    ev = number_within(events.select(*keys, "ts", "event_id", "action"), keys, ["ts", "event_id"], "_seq")
+    return _folded(ev.select(*keys, (F.col("_seq") - 1).cast("long").alias("_pos"), "ts", "event_id",
+                             transition_table(F.col("action")).alias("moves")), keys, levels)
+
+
+def _folded(cur: DataFrame, keys: list[str], levels: int) -> DataFrame:
+    """Compose numbered rows (keys, _pos, ts, event_id, moves) bucket by bucket."""
+    for level in range(levels + 1):
+        bucket = (F.col("_pos") / BUCKET).cast("long") if level < levels else F.lit(0).cast("long")
+        cur = cur.groupBy(*keys, bucket.alias("_b")).agg(
+            F.min(F.struct("ts", "event_id")).alias("_first"),
+            F.array_sort(F.collect_list(F.struct("_pos", "moves"))).alias("_l")
+        ).select(*keys, F.col("_b").alias("_pos"), "_first.ts", "_first.event_id",
+                 _compose_sorted(F.col("_l.moves")).alias("moves"))
+    return cur
+
+
+def final_status(folded: DataFrame, levels: int = 1) -> DataFrame:
+    """(article_id, status) from transition tables of disjoint stretches of an
+    article's events (article_id, ts, event_id, moves), composed by time."""
+    numbered = number_within(folded, ["article_id"], ["ts", "event_id"], "_seq") \
+        .withColumn("_pos", (F.col("_seq") - 1).cast("long"))
+    whole = _folded(numbered, ["article_id"], levels)
+    names = F.array(*[F.lit(s) for s in STATES])
+    state = F.element_at(names, F.element_at("moves", _idx("none") + 1) + 1)
+    return whole.select("article_id", state.alias("status")).where(F.col("status") != "none")
+
+
+def run_state_machine(events: DataFrame) -> DataFrame:
     """T3 (batch): final status per article after its events in
-    ``(ts, event_id)`` order.  Events are numbered per article without a
-    single-task window, grouped ``BUCKET`` at a time, each bucket folded, then
-    the buckets folded again, ``levels`` times (512**3 events per article)."""
-    ev = number_within(events.select("article_id", "ts", "event_id", "action"),
-                       ["article_id"], ["ts", "event_id"], "_seq")
-    cur = ev.select("article_id", ((F.col("_seq") - 1)).cast("long").alias("_pos"),
-                    transition_table(F.col("action")).alias("_f"))
-    for _ in range(levels):
-        cur = cur.groupBy("article_id", (F.col("_pos") / BUCKET).cast("long").alias("_b")).agg(
-            F.array_sort(F.collect_list(F.struct("_pos", "_f"))).alias("_l")
-        ).select("article_id", F.col("_b").alias("_pos"), _compose_sorted(F.col("_l._f")).alias("_f"))
-    final = cur.groupBy("article_id").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "_f"))).alias("_l"))
+    ``(ts, event_id)`` order."""
+    whole = fold_transitions(events, ["article_id"])
     names = F.array(*[F.lit(s) for s in STATES])
-    state = F.element_at(names, F.element_at(_compose_sorted(F.col("_l._f")), _idx("none") + 1) + 1)
-    return final.select("article_id", state.alias("status")).where(F.col("status") != "none")
+    state = F.element_at(names, F.element_at("moves", _idx("none") + 1) + 1)
+    return whole.select("article_id", state.alias("status")).where(F.col("status") != "none")

@@ -13,6 +13,7 @@ from inkwell.operators import runs as RU
 from inkwell.plans import catalog_events as CE
 from inkwell.plans.oracle_views import with_views
 from inkwell.plans.registry import register
+from inkwell.session import scratch_path
 from inkwell.sources import views as V
 
 AS_OF = dt.datetime(1998, 8, 2, 0, 0, 0)
@@ -30,7 +31,9 @@ _HISTORY = ", ".join(_iso(c) + f" AS {c}" if c in ("created_at", "completed_at")
 
 @register("run_scan", with_views(f"SELECT {_RUN_COLS} FROM v_runs", "v_runs"))
 def run_scan(spark, sf):
-    return V.v_runs(spark, sf)
+    path = scratch_path(spark, "run-table")
+    V.v_runs(spark, sf).write.parquet(path)
+    return RU.run_scan(spark, path)
 
 
 @register("run_by_article", with_views(f"""

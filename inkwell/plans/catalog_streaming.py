@@ -7,16 +7,19 @@ from inkwell.plans.registry import ORACLES, register
 from inkwell.sources import views as V
 from inkwell.streaming import jobs as S
 
+FILES = 2
+
 
 def _register() -> None:
+    # the staged feeds are small, so the limit is in files: several batches each
     register("stream_draft_intake", ORACLES["idempotency_anti"])(
         lambda spark, sf: S.stream_draft_intake(spark, V.v_webhooks(spark, sf), V.v_runs(spark, sf),
-                                                V.DEFAULT_STORE_SECRET))
+                                                V.DEFAULT_STORE_SECRET, max_files=FILES))
     register("stream_comment_routing", ORACLES["route_comment"])(
         lambda spark, sf: S.stream_comment_routing(spark, V.v_comment_events(spark, sf),
-                                                   V.v_stories(spark, sf), V.DEFAULT_TASKS_SECRET))
+                                                   V.v_stories(spark, sf), V.DEFAULT_TASKS_SECRET, max_files=FILES))
     register("stream_run_state_machine", ORACLES["run_state_machine"])(
-        lambda spark, sf: S.stream_state_machine(spark, V.v_run_events(spark, sf)))
+        lambda spark, sf: S.stream_state_machine(spark, V.v_run_events(spark, sf), max_files=FILES))
 
 
 _register()

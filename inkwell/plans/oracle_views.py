@@ -222,7 +222,7 @@ VIEWS["v_stories"] = ("""
   SELECT CAST(conv_id AS VARCHAR) AS task_gid,
          CAST(conv_id * 1000 + turn AS VARCHAR) AS story_gid,
          CASE turn % 4 WHEN 0 THEN 'APPROVE'
-                       WHEN 1 THEN 'reject : ' || substr(text, 1, 30)
+                       WHEN 1 THEN 'reject : ' || text
                        WHEN 2 THEN 'REJECT'
                        ELSE text END AS text
   FROM conversations WHERE role = 'user'

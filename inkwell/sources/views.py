@@ -297,7 +297,7 @@ def v_stories(spark: SparkSession, sf: str) -> DataFrame:
     m = F.col("turn") % 4
     text = (
         F.when(m == 0, F.lit("APPROVE"))
-        .when(m == 1, F.concat(F.lit("reject : "), F.substring("text", 1, 30)))
+        .when(m == 1, F.concat(F.lit("reject : "), F.col("text")))
         .when(m == 2, F.lit("REJECT"))
         .otherwise(F.col("text"))
     )
@@ -332,6 +332,7 @@ def v_comment_events(spark: SparkSession, sf: str, secret: str = DEFAULT_TASKS_S
     )
 
 
+# The columns of the run table.
 RUN_COLUMNS = (
     ("id", "bigint"), ("article_id", "string"), ("blog_id", "string"), ("title", "string"),
     ("language", "string"), ("status", "string"), ("target_keyword_input", "string"),

@@ -1,137 +1,109 @@
 """Structured Streaming forms of the event flows.
 
-The same DataFrame operators as the batch queries run on a file stream.
-Exactly-once per article across micro-batches comes from ``foreachBatch``:
-each batch is anti-joined with what earlier batches already wrote (and with
-the run table) before it is appended.  Sinks and checkpoints live under the
-shared ``spark.checkpoint.dir``.
+The same DataFrame operators as the batch queries run on a file stream, in
+micro-batches of bounded size.  Every micro-batch writes a folder of its own and
+overwrites it, so a batch that is run again changes nothing, and no batch reads
+what earlier ones wrote: what spans batches (the first delivery of an article,
+the fold of its events) is settled by an exact aggregation over the sink.  Sinks
+and checkpoints live under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from inkwell.operators import events as E
-from inkwell.operators.runs import STATES
+from inkwell.operators.runs import final_status, fold_transitions
 from inkwell.session import scratch_path
 
+#: Input of one micro-batch.
+MAX_BYTES = "64g"
 
-def stage(df: DataFrame, name: str, order: str, files: int = 4) -> tuple[str, object]:
-    """Write a feed as parquet files (ordered ranges) in the shared folder;
-    return the path and its schema for ``readStream``."""
+
+def stage(df: DataFrame, name: str) -> str:
+    """Write a feed as parquet files in the shared folder, partitioned as the
+    frame is."""
     path = scratch_path(df.sparkSession, f"feed-{name}")
-    df.repartitionByRange(files, order).sortWithinPartitions(order).write.parquet(path)
-    return path, df.schema
+    df.write.parquet(path)
+    return path
+
 
+def read_feed(spark: SparkSession, path: str, schema, max_files: int | None = None,
+              max_bytes: str = MAX_BYTES) -> DataFrame:
+    """A file stream in micro-batches of ``max_bytes``, or of ``max_files``."""
+    reader = spark.readStream.schema(schema)
+    limit = ("maxFilesPerTrigger", max_files) if max_files else ("maxBytesPerTrigger", max_bytes)
+    return reader.option(*limit).parquet(path)
 
-def _run(stream: DataFrame, name: str, batch_fn, mode: str = "append") -> str:
+
+def _run(stream: DataFrame, name: str, batch_fn) -> str:
+    """Run a stream to its end; each batch overwrites its own sink folder."""
     spark = stream.sparkSession
     out = scratch_path(spark, f"sink-{name}")
-    q = (stream.writeStream.outputMode(mode).foreachBatch(lambda b, i: batch_fn(b, i, out))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch_fn(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(write)
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # nothing written yet
+def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All batches of a sink; an empty frame if no batch was run.  Any other
+    failure to read is an error."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(where):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def stream_draft_intake(spark: SparkSession, webhooks: DataFrame, runs: DataFrame, secret: str,
                         blog_id: str | None = None, max_files: int | None = None) -> DataFrame:
-    """F3 -> S2 -> F1 -> F2 -> first delivery per article, never an
-    article that already has a run or was accepted by an earlier batch.
-    "First" is exact inside a micro-batch; across batches the file source
-    orders files by modification time, so an earlier batch wins (the default
-    reads everything available in one batch)."""
-    path, schema = stage(webhooks, "webhooks", "delivery_id")
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.parquet(path)
+    """F3 -> S2 -> F1 -> F2 -> first delivery per article, never an article
+    that already has a run.  A batch keeps its first delivery of each article;
+    the sink's readers keep the first of all batches, in whatever order the
+    files came, so a late delivery is never lost to a watermark."""
+    path = stage(webhooks, "webhooks")
+    stream = read_feed(spark, path, webhooks.schema, max_files)
     drafts = E.blog_filter(E.draft_filter(E.webhook_parse(E.signature_filter_base64(stream, secret))), blog_id)
-    out_schema = "delivery_id bigint, article_id string"
     known = runs.select("article_id")
 
-    def batch(b: DataFrame, _i: int, out: str) -> None:
-        seen = _read_or_empty(spark, out, out_schema).select("article_id")
-        fresh = (E.first_per_article(b.select("delivery_id", "article_id"))
-                 .join(known, "article_id", "left_anti").join(seen, "article_id", "left_anti"))
-        fresh.select("delivery_id", "article_id").write.mode("append").parquet(out)
+    def batch(b: DataFrame) -> DataFrame:
+        return E.first_per_article(b).join(known, "article_id", "left_anti").select("delivery_id", "article_id")
 
     out = _run(drafts.select("delivery_id", "article_id"), "intake", batch)
-    return _read_or_empty(spark, out, out_schema)
+    return read_sink(spark, out, "delivery_id bigint, article_id string").groupBy("article_id").agg(
+        F.min("delivery_id").alias("delivery_id")).select("delivery_id", "article_id")
 
 
-def stream_comment_routing(spark: SparkSession, deliveries: DataFrame, stories: DataFrame,
-                           secret: str) -> DataFrame:
+def stream_comment_routing(spark: SparkSession, deliveries: DataFrame, stories: DataFrame, secret: str,
+                           max_files: int | None = None) -> DataFrame:
     """F4 -> S3 -> F5 -> J5 (stream-static join) -> X18."""
-    path, schema = stage(deliveries, "comments", "delivery_id")
-    stream = spark.readStream.schema(schema).parquet(path)
+    path = stage(deliveries, "comments")
+    stream = read_feed(spark, path, deliveries.schema, max_files)
     ev = E.comment_event_filter(E.comment_event_explode(E.signature_filter_hex(stream, secret)))
     routed = E.route_comment(E.story_text_join(ev, stories)).select(
         "delivery_id", "event_no", "story_gid", "task_gid", "comment_text", "decision", "reason")
+    return read_sink(spark, _run(routed, "comments", lambda b: b), routed.schema)
+
+
+def stream_state_machine(spark: SparkSession, events: DataFrame, max_files: int | None = None) -> DataFrame:
+    """T3 (stream): final status per article.  The feed is written in ranges of
+    (ts, event_id), so the files hold disjoint stretches of time.  A batch folds
+    the events of each (article, file) natively to one transition table; these
+    compose by their first event, in whatever order the files came."""
+    columns = events.select("article_id", "ts", "event_id", "action")
+    path = stage(columns.repartitionByRange(F.col("ts"), F.col("event_id")), "run-events")
+    stream = read_feed(spark, path, columns.schema, max_files).withColumn("file", F.col("_metadata.file_path"))
+    schema = "article_id string, ts timestamp_ntz, event_id bigint, moves array<int>"
+
+    def batch(b: DataFrame) -> DataFrame:
+        return fold_transitions(b, ["article_id", "file"]).select("article_id", "ts", "event_id", "moves")
 
-    def batch(b: DataFrame, _i: int, out: str) -> None:
-        b.write.mode("append").parquet(out)
-
-    out = _run(routed, "comments", batch)
-    return _read_or_empty(spark, out, routed.schema)
-
-
-_STATE_SCHEMA = "status string"
-_OUT_SCHEMA = "article_id string, status string, last_ts timestamp_ntz, last_event bigint"
-_TRANSITIONS = {
-    ("created", "none"): "pending", ("started", "pending"): "processing",
-    ("scored", "processing"): "awaiting_approval", ("failed", "pending"): "failed",
-    ("failed", "processing"): "failed", ("approve", "awaiting_approval"): "completed",
-}
-
-
-def _step(state: str, action: str) -> str:
-    if action == "reject" and state != "none":
-        return "rejected"
-    return _TRANSITIONS.get((action, state), state)
-
-
-def _fold_group(key, pdfs, state):
-    """applyInPandasWithState body: fold this batch's events of one article,
-    in (ts, event_id) order, onto the stored status."""
-    status = state.get[0] if state.exists else "none"
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return
-    ev = pd.concat(frames).sort_values(["ts", "event_id"])
-    for a in ev["action"]:
-        status = _step(status, a)
-    state.update((status,))
-    last = ev.iloc[-1]
-    yield pd.DataFrame({"article_id": [key[0]], "status": [status], "last_ts": [last["ts"]],
-                        "last_event": [int(last["event_id"])]})
-
-
-def stream_state_machine(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """T3 (stream): per-article status kept in state.  Events are applied in
-    (ts, event_id) order inside a micro-batch and on arrival across batches.
-    The final table keeps the latest emitted status per article."""
-    assert set(STATES) >= {"none", "rejected"}
-    path, schema = stage(events, "run-events", "ts")
-    stream = spark.readStream.schema(schema).parquet(path)
-    folded = stream.groupBy("article_id").applyInPandasWithState(
-        _fold_group, _OUT_SCHEMA, _STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
-
-    def batch(b: DataFrame, i: int, out: str) -> None:
-        b.withColumn("batch_id", F.lit(i)).write.mode("append").parquet(out)
-
-    out = _run(folded, "run-state", batch, mode="update")
-    res = _read_or_empty(spark, out, _OUT_SCHEMA + ", batch_id bigint")
-    w = Window.partitionBy("article_id").orderBy(F.desc("batch_id"))
-    latest = res.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1)
-    return latest.where(F.col("status") != "none").select("article_id", "status")
+    folded = read_sink(spark, _run(stream, "run-state", batch), schema)
+    return final_status(folded)
