@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import id_remainder, rows_of, small, staged, table
+from inkwell.llm.common import hash_sample, id_remainder, rows_of, small, staged, table
 
 _TOKEN = re.compile(r"[^\W\d_]+")
 _LANE = 64
@@ -56,8 +56,8 @@ class Settings:
     min_odds: float = 2.0  # log-odds for toxic documents
     min_families: int = 3  # families of toxic documents with a toxic mark ...
     least_share: float = 0.1  # ... and their share of the commonest mark's
-    sample_docs: int = 1000  # documents of each class the field is fitted on
-    sample_chars: int = 30_000  # characters of each of them
+    sample_docs: int = 600  # documents of each class the field is fitted on, about
+    sample_chars: int = 20_000  # characters of each of them
     features: int = 50_000  # words and beginnings with a weight of their own
     steps: int = 40
 
@@ -174,6 +174,20 @@ def _pairs(first: np.ndarray, p: np.ndarray, before: np.ndarray, m: np.ndarray)
     return (given * later)[:, :, ~first[1:]].sum(axis=2)
 
 
+def _expected(unary, first, start, move, block: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of a long chain and its expected transitions, in blocks of
+    whole documents of about ``block`` tokens."""
+    p, pairs = np.empty(len(unary)), np.zeros((2, 2))
+    begins = np.append(np.flatnonzero(first), len(unary))
+    at = 0
+    while at < len(unary):
+        to = begins[min(np.searchsorted(begins, at + block), len(begins) - 1)]
+        p[at:to], before, m = _messages(unary[at:to], first[at:to], start, move)
+        pairs += _pairs(first[at:to], p[at:to], before, m)
+        at = to
+    return p, pairs
+
+
 # ---- training ---------------------------------------------------------------
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,9 +216,10 @@ def _families(wanted: frozenset):
         for block in rows_of(batches):
             found = set()
             for (text,) in block:
-                words = set(tokens_of(text))
-                if here := marks_in(words) & wanted:
-                    family = min(zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words)
+                tokens = tokens_of(text)
+                if here := marks_in(set(tokens)) & wanted:
+                    family = min(zlib.crc32(f"{a} {b}".encode("utf-8", "surrogatepass"))
+                                 for a, b in zip(tokens, [*tokens[1:], ""]))
                     found.update((w, family) for w in here)
             items = list(found)
             yield pa.RecordBatch.from_arrays(
@@ -255,8 +270,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-
 
 def _sums(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Per document: a constant, log(1 + toxic mass), its share, the largest
-    marginal, and the noisy-or.  The mass is the sum of the squared marginals,
-    so that the many tokens of a long text that are surely clean add nothing."""
+    marginal, and the noisy-or.  Marginals count from a quarter on, so that the
+    many tokens of a long text that are hardly toxic add nothing."""
     n = len(bounds) - 1
     sizes = np.diff(bounds)
     out = np.zeros((n, 5))
@@ -264,11 +279,11 @@ def _sums(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     full = np.flatnonzero(sizes)
     if len(full):
         at = bounds[full]
-        p = p * p
+        p = np.maximum(0.0, (p - 0.25) / 0.75)
         total = np.add.reduceat(p, at)
         out[full, 1] = np.log1p(total)
         out[full, 2] = np.minimum(1.0, 20 * total / sizes[full])
-        out[full, 3] = np.sqrt(np.maximum.reduceat(p, at))
+        out[full, 3] = np.maximum.reduceat(p, at)
         out[full, 4] = -np.expm1(np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-12)), at))
     return out
 
@@ -285,11 +300,11 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Field | None:
     """A field from ``train`` (doc_id, toxic, text), or None if one class is
     missing."""
     toxic = toxic_marks(train, settings)
-    chosen = [r["doc_id"] for c in (0, 1) for r in
-              train.where(F.col("toxic") == c).select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_docs).collect()]
-    sample = train.where(F.col("doc_id").isin(chosen)).dropDuplicates(["doc_id"]) \
-        .select("toxic", F.left("text", F.lit(settings.sample_chars)).alias("text")).collect()
+    sample = []
+    for c in (0, 1):
+        chosen = hash_sample(train.where(F.col("toxic") == c), "doc_id", settings.sample_docs)
+        sample += chosen.select("doc_id", "toxic", F.left("text", F.lit(settings.sample_chars)).alias("text")).collect()
+    sample.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     labels = np.array([r["toxic"] for r in sample])
     if not toxic or len(set(labels.tolist())) < 2:
         return None
@@ -307,7 +322,8 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Field | None:
     bad = np.zeros(len(marks) + 1, bool)
     bad[[marks[m] for m in toxic if m in marks]] = True
     y = bad[borne].any(axis=1)[ids] & (np.repeat(labels, np.diff(bounds)) == 1)
-    n_docs, n_marks = len(docs), len(marks) + 1
+    n_docs, n_marks, n_types = len(docs), len(marks) + 1, len(types)
+    del docs, common, types, sample
     weight, bias, start = np.zeros(n_marks), -4.0, np.zeros(2)
     move, gold = np.zeros((2, 2)), np.zeros((2, 2))
     inner = ~first[1:]
@@ -316,19 +332,19 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Field | None:
     rate, ridge = 1.0, 1e-4
     for _ in range(settings.steps):
         unary = weight[borne].sum(axis=1)[ids] + bias
-        p, before, m = _messages(unary, first, start, move)
+        p, pairs = _expected(unary, first, start, move)
         gap = y - p
-        by_type = np.bincount(ids, gap, len(types))
+        by_type = np.bincount(ids, gap, n_types)
         g_mark = np.bincount(borne.ravel(), np.repeat(by_type, borne.shape[1]), n_marks) / n_docs - ridge * weight
         g_mark[0] = 0.0
         g_bias = gap.sum() / n_docs - ridge * bias
-        g_move = (gold - _pairs(first, p, before, m)) / n_docs - ridge * move
+        g_move = (gold - pairs) / n_docs - ridge * move
         sq = sq[0] + g_mark**2, sq[1] + g_bias**2, sq[2] + g_move**2
         weight = weight + rate * g_mark / np.sqrt(sq[0])
         bias += rate * g_bias / np.sqrt(sq[1])
         move = move + rate * g_move / np.sqrt(sq[2])
     weight[0] = 0.0
-    p = marginals(weight[borne].sum(axis=1)[ids] + bias, first, start, move)
+    p, _ = _expected(weight[borne].sum(axis=1)[ids] + bias, first, start, move)
     return Field({m: float(weight[i]) for m, i in marks.items()}, float(bias), start, move,
                  _logistic(_sums(p, bounds), labels.astype(float)))
 
