@@ -62,14 +62,17 @@ def paths(messages: DataFrame) -> DataFrame:
     now = staged(known.select("tree", "message", "up", F.array("message").alias("above"), "score"), "pointers")
     rounds, most = 0, m.count()
     # what is still open after as many steps as there are messages runs in a cycle
-    while now.where("up is not null").limit(1).count() and (1 << rounds) <= most:
+    while (1 << rounds) <= most:
+        unfinished = now.where("up is not null")
+        if not unfinished.limit(1).count():
+            break
         target = now.select(F.col("tree").alias("_t"), F.col("message").alias("_m"), F.col("up").alias("_up"),
                             F.col("above").alias("_above"), F.col("score").alias("_score"))
-        step = now.join(target, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_m")), "left").select(
+        step = unfinished.join(target, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_m")), "left").select(
             "tree", "message", F.when(F.col("_m").isNotNull(), F.col("_up")).alias("up"),
             F.when(F.col("_m").isNotNull(), F.concat("above", "_above")).otherwise(F.col("above")).alias("above"),
             (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"))
-        following = staged(step, "pointers")
+        following = staged(now.where("up is null").union(step), "pointers")
         discard(now)
         now, rounds = following, rounds + 1
     answered = known.where("up is not null").select(F.col("tree").alias("_t"), F.col("up").alias("_m")).distinct()
