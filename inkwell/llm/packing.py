@@ -47,7 +47,7 @@ def _cutter(vocabulary: str, length: int):
         for block in rows_of(batches):
             out = []
             for (doc, _), ids in zip(block, encode([r[1] for r in block])):
-                ids += b"\0\0\0\0"
+                ids = ids.astype("<u4").tobytes() + b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at:at + 4 * length]
                     out.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
