@@ -14,10 +14,10 @@ FIRST_WORDS = 100
 # The keys of a generated output.
 OUTPUT_KEYS = ("optimized_html", "title_tag", "meta_description", "slug", "og_title", "og_description",
                "schema_markup", "alt_texts", "internal_link_suggestions", "changes_summary")
-# Our own voice lists (words to avoid / to use), per language.
+# Our own voice lists (phrases to avoid / to use), per language.
 VOICE = {
-    "en": ("very really just basically", "you your we our"),
-    "fr": ("très vraiment juste simplement", "vous votre nous notre"),
+    "en": (("it was", "there is", "to be", "very"), ("this is", "with the", "for the", "your")),
+    "fr": (("il est", "dans la", "très"), ("avec le", "pour les", "votre")),
 }
 
 
@@ -90,25 +90,30 @@ def audit_output_keys(parsed: DataFrame) -> DataFrame:
                     F.coalesce(schema_ok, F.lit(False)).alias("schema_ok"))
 
 
+def _phrase_count(text: Column, phrase: str) -> Column:
+    """Occurrences of a phrase in words joined by two spaces, with one space at
+    either end (so that neighbours do not share a space)."""
+    found = " " + "  ".join(phrase.split()) + " "
+    return ((F.length(text) - F.length(F.replace(text, F.lit(found), F.lit("")))) / len(found)).cast("int")
+
+
 def audit_voice_phrases(articles: DataFrame, language: str = "language") -> DataFrame:
-    """Q10: words to avoid / to use, counted over the plain text per language."""
+    """Q10: phrases to avoid / to use, of one word or more, counted over the
+    plain text per language."""
     toks = F.regexp_extract_all(F.lower(html_to_text("body_html")), F.lit(r"[\p{L}\p{N}]+"), 0)
-    d = articles.withColumn("_tok", toks)
+    words = F.concat(F.lit(" "), F.array_join(toks, "  "), F.lit(" "))
 
-    def count(words_by_lang: dict[str, str]) -> Column:
-        out = None
-        for lang, ws in words_by_lang.items():
-            c = F.size(F.filter(F.col("_tok"), _member(ws.split())))
-            out = F.when(F.col(language) == lang, c) if out is None else out.when(F.col(language) == lang, c)
+    def count(text: Column, side: int) -> Column:
+        out = F
+        for lang, lists in VOICE.items():
+            out = out.when(F.col(language) == lang, sum(
+                (_phrase_count(text, p) for p in lists[side][1:]), _phrase_count(text, lists[side][0])))
         return out.otherwise(0).cast("int")
 
-    avoid = count({k: v[0] for k, v in VOICE.items()})
-    use = count({k: v[1] for k, v in VOICE.items()})
-    return d.select("article_id", avoid.alias("avoid_count"), use.alias("use_count"))
-
-
-def _member(vocab: list[str]):
-    return lambda t: t.isin(*vocab)
+    # the words are bound as a lambda variable, so they are found once
+    counts = F.transform(F.array(words), lambda w: F.struct(
+        count(w, 0).alias("avoid_count"), count(w, 1).alias("use_count")))[0]
+    return articles.select("article_id", counts.alias("_c")).select("article_id", "_c.avoid_count", "_c.use_count")
 
 
 def audit_sections(plan: DataFrame) -> DataFrame:

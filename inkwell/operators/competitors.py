@@ -17,6 +17,7 @@ from inkwell.functions.html import (
     tag_texts,
     word_count,
 )
+from inkwell.session import materialise
 
 # Result hosts that are never used as competitors (substring
 # match on the host, case-sensitive).
@@ -109,12 +110,14 @@ def page_heading_counts(pages: DataFrame) -> DataFrame:
 
 def fetch_competitors(top: DataFrame, web: DataFrame) -> DataFrame:
     """Fetch = equi-join of each kept link with the crawled documents; a link
-    with no document is a failed fetch and is dropped.  Only the joined pages
-    are parsed.  Duplicate URLs resolve to the lowest ``web_id``."""
-    joined = top.join(web.select(F.col("url").alias("link"), "web_id", "html"), "link", "inner")
-    first = joined.withColumn("_d", F.row_number().over(
-        Window.partitionBy("keyword", "rank").orderBy("web_id"))).where(F.col("_d") == 1)
-    return page_structure(first.drop("_d"))
+    with no document is a failed fetch and is dropped.  Duplicate URLs resolve
+    to the lowest ``web_id``, which is found on ids alone; each kept page is
+    parsed once, and after that only what was measured is joined."""
+    kept = top.select("link").distinct()
+    first = web.select(F.col("url").alias("link"), "web_id").join(kept, "link", "left_semi").groupBy("link").agg(
+        F.min("web_id").alias("web_id"))
+    pages = page_structure(web.select("web_id", "html").join(first.select("web_id"), "web_id", "left_semi"))
+    return top.join(first, "link").join(pages, "web_id")
 
 
 def heading_union(fetched: DataFrame) -> DataFrame:
@@ -158,6 +161,7 @@ def competitor_structure(keywords: DataFrame, top: DataFrame, fetched: DataFrame
     """X20 + A1 + A2 per searched keyword: the competitor URLs used and the
     dominant structure; the template when no page could be used.  Every list
     here is bounded (3 URLs, 8 topics), so the ordered collects are small."""
+    top, fetched = materialise(top, "competitor-links"), materialise(fetched, "competitor-pages")
     urls_found = top.groupBy("keyword").agg(
         F.array_sort(F.collect_list(F.struct("rank", "link"))).alias("_u"))
     urls_used = fetched.groupBy("keyword").agg(

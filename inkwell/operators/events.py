@@ -148,3 +148,11 @@ def metafield_lookup(articles: DataFrame, metafields: DataFrame,
         "article_id").agg(F.min_by("value", "pos").alias("_v"))
     return articles.join(first, "article_id", "left").withColumn(
         "target_keyword", F.nullif(F.col("_v"), F.lit(""))).drop("_v")
+
+
+def article_scan(records: DataFrame) -> DataFrame:
+    """Article records as the pipeline reads them: ids as text, a missing
+    title or body as ``""``."""
+    return records.select(
+        F.col("id").cast("string").alias("article_id"), F.col("blog_id").cast("string").alias("blog_id"),
+        F.coalesce("title", F.lit("")).alias("title"), F.coalesce("body_html", F.lit("")).alias("body_html"))

@@ -107,8 +107,14 @@ def audit_output_keys(spark, sf):
 def _voice_sql(i: int) -> str:
     parts = []
     for lang, lists in AU.VOICE.items():
-        lst = "[" + ", ".join(f"'{w}'" for w in lists[i].split()) + "]"
-        parts.append(f"WHEN language = '{lang}' THEN len(list_filter(tok, lambda t: list_contains({lst}, t)))")
+        counts = []
+        for p in lists[i]:
+            if " " in p:  # a pair: words at neighbouring places
+                a, b = p.split()
+                counts.append(f"len(list_filter(list_zip(tok, tok[2:]), lambda z: z[1] = '{a}' AND z[2] = '{b}'))")
+            else:
+                counts.append(f"len(list_filter(tok, lambda z: z = '{p}'))")
+        parts.append(f"WHEN language = '{lang}' THEN {' + '.join(counts)}")
     return f"CAST(CASE {' '.join(parts)} ELSE 0 END AS INTEGER)"
 
 

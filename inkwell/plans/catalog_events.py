@@ -148,3 +148,16 @@ def missing_keyword_split(spark, sf):
 def metafield_lookup(spark, sf):
     a = V.v_articles(spark, sf).select("article_id")
     return E.metafield_lookup(a, V.v_metafields(spark, sf)).select("article_id", "target_keyword")
+
+
+@register("article_scan", with_views("""
+  SELECT article_id, blog_id, CASE WHEN CAST(article_id AS BIGINT) % 5 = 0 THEN '' ELSE coalesce(title, '') END AS title,
+         CASE WHEN CAST(article_id AS BIGINT) % 7 = 0 THEN '' ELSE body_html END AS body_html
+  FROM v_articles""", "v_articles"))
+def article_scan(spark, sf):
+    # stored records: numeric ids, some without a title or a body
+    a, doc = V.v_articles(spark, sf), F.col("article_id").cast("bigint")
+    records = a.select(doc.alias("id"), F.col("blog_id").cast("bigint").alias("blog_id"),
+                       F.when(doc % 5 != 0, F.col("title")).alias("title"),
+                       F.when(doc % 7 != 0, F.col("body_html")).alias("body_html"))
+    return E.article_scan(records)

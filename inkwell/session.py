@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours gets.  AQE re-plans joins and coalesces small
 # shuffle partitions at runtime; skew-join splits oversized join partitions.
@@ -68,6 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for a frame that
+    several branches of a plan use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)

@@ -17,8 +17,8 @@ from inkwell.operators import events as E
 from inkwell.operators.runs import final_status, fold_transitions
 from inkwell.session import scratch_path
 
-#: Input of one micro-batch.
-MAX_BYTES = "64g"
+#: Bytes of input of one micro-batch.
+MAX_BYTES = 64 << 30
 
 
 def stage(df: DataFrame, name: str) -> str:
@@ -30,7 +30,7 @@ def stage(df: DataFrame, name: str) -> str:
 
 
 def read_feed(spark: SparkSession, path: str, schema, max_files: int | None = None,
-              max_bytes: str = MAX_BYTES) -> DataFrame:
+              max_bytes: int = MAX_BYTES) -> DataFrame:
     """A file stream in micro-batches of ``max_bytes``, or of ``max_files``."""
     reader = spark.readStream.schema(schema)
     limit = ("maxFilesPerTrigger", max_files) if max_files else ("maxBytesPerTrigger", max_bytes)
