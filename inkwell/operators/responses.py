@@ -92,7 +92,7 @@ def prompt_context(df: DataFrame) -> Column:
     """One JSON document of the nine context fields (non-ASCII kept)."""
     return F.to_json(F.struct(
         "title", "body_html", "language", "main_keyword", "secondary_keywords", "question_keywords",
-        "lsi_keywords", "suggested_headings", "competitor_heading_structure"))
+        "lsi_keywords", "suggested_headings", "competitor_heading_structure"), {"ignoreNullFields": "false"})
 
 
 def article_writeback(parsed: DataFrame) -> DataFrame:

@@ -54,17 +54,21 @@ def max_similarity_flag(articles: DataFrame, matches: DataFrame,
 
 def poll_first_done(polls: DataFrame, max_attempts: int = POLL_MAX_ATTEMPTS) -> DataFrame:
     """A5: per document, the first observation with status ``done`` within
-    ``max_attempts`` attempts; otherwise ``timeout``.  ``min`` over a struct
+    ``max_attempts`` attempts, with its term and heading lists (missing ones are
+    empty); otherwise ``timeout``.  ``min`` over a struct
     led by the attempt is a partial aggregate: a document with a third of the
     log still costs one row per map task."""
     done = (F.col("status") == "done") & (F.col("attempt") <= max_attempts)
     first = polls.groupBy("doc_id").agg(
-        F.min(F.when(done, F.struct("attempt", "content_score"))).alias("_d"))
+        F.min(F.when(done, F.struct("attempt", "content_score", "lsi_keywords", "suggested_headings"))).alias("_d"))
+    none = F.array().cast("array<string>")
     return first.select(
         "doc_id",
         F.when(F.col("_d").isNotNull(), F.lit("done")).otherwise(F.lit("timeout")).alias("outcome"),
         F.col("_d.attempt").alias("attempt"),
         F.when(F.col("_d").isNotNull(), F.coalesce(F.col("_d.content_score"), F.lit(0.0))).alias("content_score"),
+        F.coalesce(F.col("_d.lsi_keywords"), none).alias("lsi_keywords"),
+        F.coalesce(F.col("_d.suggested_headings"), none).alias("suggested_headings"),
     )
 
 

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from inkwell.operators import competitors as C
+from inkwell.operators import keywords as K
 from inkwell.operators import reports as R
 from inkwell.operators import responses as RS
+from inkwell.operators import scores as S
+from inkwell.plans import catalog_competitors as CC
+from inkwell.plans import catalog_keywords, catalog_scores  # noqa: F401  (their oracles are composed)
 from inkwell.plans.oracle_views import with_views
-from inkwell.plans.registry import register
+from inkwell.plans.registry import ORACLES, register
 from inkwell.sources import views as V
 
 _STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
@@ -121,17 +126,64 @@ def prompt_template_join(spark, sf):
     return RS.prompt_template_join(a, V.v_prompts(spark, sf)).select("article_id", "language", "system_prompt")
 
 
-@register("prompt_context")
+_SEED = "'Brand#' || CAST(CAST(article_id AS BIGINT) % 25 + 1 AS VARCHAR)"
+_STRUCTURE = f"""
+  SELECT p.keyword, {{'h2_topics': coalesce(t.topics, []), 'avg_word_count': a.avg_word_count,
+                     'avg_h2_count': a.avg_h2_count}} AS s
+  FROM (SELECT DISTINCT keyword FROM ({CC._FETCHED})) p
+  LEFT JOIN (SELECT keyword, list(h2 ORDER BY topic_rank) AS topics FROM ({CC._TOPICS_KEPT}) GROUP BY keyword) t USING (keyword)
+  LEFT JOIN ({CC._AVGS}) a USING (keyword)"""
+
+
+def _lists_sql(query: str, column: str) -> str:
+    return f"(SELECT seed, list({column} ORDER BY rank) AS l FROM ({ORACLES[query]}) GROUP BY seed)"
+
+
+def _context_oracle() -> str:
+    return with_views(f"""
+  SELECT a.article_id, CAST(json_object(
+           'title', a.title, 'body_html', a.body_html,
+           'language', CASE WHEN a.source_lang = 'fr' THEN 'fr' ELSE 'en' END, 'main_keyword', a.target_keyword,
+           'secondary_keywords', coalesce(k.l, []), 'question_keywords', coalesce(q.l, []),
+           'lsi_keywords', coalesce(o.lsi_keywords, []), 'suggested_headings', coalesce(o.suggested_headings, []),
+           'competitor_heading_structure', coalesce(c.s, {{'h2_topics': {CC._FALLBACK_TOPICS.replace('keyword', 'a.target_keyword')},
+             'avg_word_count': {C.FALLBACK_WORD_COUNT}, 'avg_h2_count': {C.FALLBACK_H2_COUNT}}})) AS VARCHAR) AS context
+  FROM (SELECT *, {_SEED} AS seed FROM v_articles WHERE target_keyword <> '') a
+  LEFT JOIN {_lists_sql('secondary_keywords', 'keyword')} k ON k.seed = a.seed
+  LEFT JOIN {_lists_sql('question_top3', 'question')} q ON q.seed = a.seed
+  LEFT JOIN ({ORACLES['poll_first_done']}) o ON o.doc_id = a.article_id
+  LEFT JOIN ({_STRUCTURE}) c ON c.keyword = a.target_keyword""", "v_articles", "v_serp_responses", "v_web")
+
+
+def _by_seed(rows, column: str):
+    """At most five values per seed, in rank order."""
+    return rows.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct("rank", column))).alias("_l")).select(
+        "seed", F.col(f"_l.{column}").alias(column + "s"))
+
+
+@register("prompt_context", _context_oracle())
 def prompt_context(spark, sf):
-    """X23 (rows-only check): the context document per article."""
-    a = V.v_articles(spark, sf).select(
-        "article_id", "title", "body_html",
-        F.when(F.col("source_lang") == "fr", "fr").otherwise("en").alias("language"),
+    """The context document of every article with a keyword."""
+    reports = V.v_keyword_reports(spark, sf)
+    secondary = _by_seed(K.secondary_keywords(K.related_keywords_parse(reports)), "keyword")
+    questions = _by_seed(K.question_top(K.question_keywords_parse(reports)), "question")
+    scored = S.poll_first_done(V.v_polls(spark, sf)).select("doc_id", "lsi_keywords", "suggested_headings")
+    a = V.v_articles(spark, sf).where("target_keyword <> ''")
+    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
+    structure = C.competitor_structure(a.select(F.col("target_keyword").alias("keyword")), top,
+                                       C.fetch_competitors(top, V.v_web(spark, sf)))
+    structure = structure.select("keyword", F.struct("h2_topics", "avg_word_count", "avg_h2_count")
+                                 .alias("competitor_heading_structure"))
+    none = F.array().cast("array<string>")
+    a = a.select(
+        "article_id", "title", "body_html", F.when(F.col("source_lang") == "fr", "fr").otherwise("en").alias("language"),
         F.col("target_keyword").alias("main_keyword"),
-        F.array().cast("array<string>").alias("secondary_keywords"),
-        F.array().cast("array<string>").alias("question_keywords"),
-        F.array().cast("array<string>").alias("lsi_keywords"),
-        F.array().cast("array<string>").alias("suggested_headings"),
-        F.struct(F.array().cast("array<string>").alias("h2_topics"), F.lit(1200).alias("avg_word_count"),
-                 F.lit(5).alias("avg_h2_count")).alias("competitor_heading_structure"))
-    return a.select("article_id", RS.prompt_context(a).alias("context"))
+        F.concat(F.lit("Brand#"), (F.col("article_id").cast("bigint") % 25 + 1).cast("string")).alias("seed"))
+    full = (a.join(secondary, "seed", "left").join(questions, "seed", "left")
+            .join(scored, a["article_id"] == scored["doc_id"], "left")
+            .join(structure, a["main_keyword"] == structure["keyword"], "left")
+            .select(*a.columns, F.coalesce("keywords", none).alias("secondary_keywords"),
+                    F.coalesce("questions", none).alias("question_keywords"),
+                    F.coalesce("lsi_keywords", none).alias("lsi_keywords"),
+                    F.coalesce("suggested_headings", none).alias("suggested_headings"), "competitor_heading_structure"))
+    return full.select("article_id", RS.prompt_context(full).alias("context"))

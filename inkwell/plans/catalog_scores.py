@@ -63,11 +63,13 @@ def max_similarity_flag(spark, sf):
 
 @register("poll_first_done", with_views(f"""
   SELECT doc_id, CASE WHEN a IS NOT NULL THEN 'done' ELSE 'timeout' END AS outcome,
-         a AS attempt, CASE WHEN a IS NOT NULL THEN coalesce(sc, 0.0) END AS content_score
+         a AS attempt, CASE WHEN a IS NOT NULL THEN coalesce(sc, 0.0) END AS content_score,
+         coalesce(o.lsi_keywords, []) AS lsi_keywords, coalesce(o.suggested_headings, []) AS suggested_headings
   FROM (SELECT doc_id,
                min(attempt) FILTER (WHERE status = 'done' AND attempt <= {S.POLL_MAX_ATTEMPTS}) AS a,
                arg_min(content_score, attempt) FILTER (WHERE status = 'done' AND attempt <= {S.POLL_MAX_ATTEMPTS}) AS sc
-        FROM v_polls GROUP BY doc_id)""", "v_polls"))
+        FROM v_polls GROUP BY doc_id)
+  LEFT JOIN (SELECT doc_id, attempt AS a, lsi_keywords, suggested_headings FROM v_polls) o USING (doc_id, a)""", "v_polls"))
 def poll_first_done(spark, sf):
     return S.poll_first_done(V.v_polls(spark, sf))
 

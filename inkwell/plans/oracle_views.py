@@ -172,7 +172,9 @@ VIEWS["v_scores"] = ("""
 VIEWS["v_polls"] = ("""
   SELECT CAST(user_id AS VARCHAR) AS doc_id, ts, event_id,
          CASE WHEN event_type = 'purchase' THEN 'done' ELSE 'pending' END AS status,
-         value AS content_score, props,
+         value AS content_score,
+         CASE WHEN event_id % 4 <> 0 THEN ['term ' || (event_id % 7), 'term ' || (event_id % 11 + 7)] END AS lsi_keywords,
+         CASE WHEN event_id % 3 <> 0 THEN ['Part ' || (event_id % 5)] END AS suggested_headings,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS attempt
   FROM events
 """, ())

@@ -223,7 +223,11 @@ def v_polls(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").cast("string").alias("doc_id"), "ts", "event_id",
         F.when(F.col("event_type") == "purchase", "done").otherwise("pending").alias("status"),
         F.col("value").alias("content_score"),
-        F.col("props"),
+        F.when(F.col("event_id") % 4 != 0, F.array(
+            F.concat(F.lit("term "), (F.col("event_id") % 7).cast("string")),
+            F.concat(F.lit("term "), (F.col("event_id") % 11 + 7).cast("string")))).alias("lsi_keywords"),
+        F.when(F.col("event_id") % 3 != 0, F.array(
+            F.concat(F.lit("Part "), (F.col("event_id") % 5).cast("string")))).alias("suggested_headings"),
     )
     return number_within(base, ["doc_id"], ["ts", "event_id"], "attempt")
 
