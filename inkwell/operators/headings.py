@@ -117,9 +117,9 @@ def position_to_seq(pos: Column) -> Column:
     return (pos - F.when(F.col("h1_inserted"), 1).otherwise(0)).cast("int")
 
 
-def heading_skips(plan: DataFrame) -> DataFrame:
-    """Per article, headings, raw jumps of more than one level (previous
-    of the first is 1) and headings whose level W2 changed."""
+def skip_columns() -> list[Column]:
+    """W8 columns of a heading plan: headings, raw jumps of more than one level
+    (previous of the first is 1) and headings whose level W2 changed."""
     jumps = F.aggregate(
         "fixed_levels",
         F.struct(F.lit(0).alias("n"), F.lit(1).alias("prev")),
@@ -129,12 +129,13 @@ def heading_skips(plan: DataFrame) -> DataFrame:
     )
     changed = F.size(F.filter(F.arrays_zip("fixed_levels", "levels"),
                               lambda z: z["fixed_levels"] != z["levels"]))
-    return plan.select(
-        "article_id",
-        F.size("fixed_levels").cast("int").alias("headings"),
-        jumps.cast("int").alias("skips"),
-        changed.cast("int").alias("corrected"),
-    )
+    return [F.size("fixed_levels").cast("int").alias("headings"), jumps.cast("int").alias("skips"),
+            changed.cast("int").alias("corrected")]
+
+
+def heading_skips(plan: DataFrame) -> DataFrame:
+    """The skip columns per article."""
+    return plan.select("article_id", *skip_columns())
 
 
 def _markers(k: Column) -> Column:

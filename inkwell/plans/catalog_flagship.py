@@ -12,8 +12,13 @@ def _oracle() -> str:
   SELECT a.article_id, l.language, a.target_keyword,
          CASE WHEN a.target_keyword IS NULL OR a.target_keyword = '' THEN 'failed' ELSE 'continue' END AS outcome,
          s.headings, s.corrected, coalesce(c.structure_source, 'none') AS structure_source,
-         coalesce(c.h2_topics, '') AS h2_topics, f.max_similarity, f.plagiarism_flagged
+         coalesce(c.h2_topics, '') AS h2_topics, f.max_similarity, f.plagiarism_flagged,
+         md5(r.normalized_html) AS normalized_md5, coalesce(k.l, '') AS secondary_keywords, o.content_score
   FROM v_articles a
+  JOIN ({ORACLES['heading_rewrite']}) r USING (article_id)
+  LEFT JOIN (SELECT seed, string_agg(keyword, ' | ' ORDER BY rank) AS l FROM ({ORACLES['secondary_keywords']}) GROUP BY seed) k
+    ON k.seed = 'Brand#' || CAST(CAST(a.article_id AS BIGINT) % 25 + 1 AS VARCHAR)
+  LEFT JOIN ({ORACLES['poll_first_done']}) o ON o.doc_id = a.article_id
   JOIN ({ORACLES['detect_language']}) l USING (article_id)
   JOIN ({ORACLES['heading_skips']}) s USING (article_id)
   JOIN ({ORACLES['similarity_flag']}) f USING (article_id)

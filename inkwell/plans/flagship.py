@@ -1,7 +1,8 @@
 """Flagship: the per-article enrichment record -- draft
 articles joined with everything the pipeline derives for them: language
-route, missing-keyword outcome, heading repair summary, competitor structure
-for their keyword and the similarity flag against the reference corpus."""
+route, missing-keyword outcome, heading repair and its HTML, secondary
+keywords, competitor structure for their keyword, content score and the
+similarity flag against the reference corpus."""
 
 from __future__ import annotations
 
@@ -13,29 +14,38 @@ from inkwell.functions.language import detect_language, route_language
 from inkwell.operators import competitors as C
 from inkwell.operators import events as E
 from inkwell.operators import headings as HD
+from inkwell.operators import keywords as K
+from inkwell.operators import scores as S
 from inkwell.operators import similarity as SIM
+from inkwell.session import materialise
 from inkwell.sources import views as V
 
 
 def enrichment_star(spark: SparkSession, sf: str) -> DataFrame:
-    a = V.v_articles(spark, sf)
-    text = a.select("article_id", H.html_to_text("body_html").alias("text"))
-    lang = text.withColumn("_d", detect_language(F.col("text"))).select(
-        "article_id", route_language(F.col("_d")).alias("language"))
-    heads = HD.heading_skips(HD.with_heading_plan(a))
+    # everything that comes from the article alone is one projection of it
+    a = HD.normalize_html_structure(V.v_articles(spark, sf)).withColumn("_text", H.html_to_text("body_html"))
+    a = materialise(a.select(
+        "article_id", "target_keyword", F.col("_text").alias("text"), *HD.skip_columns(),
+        F.concat(F.lit("Brand#"), (F.col("article_id").cast("bigint") % 25 + 1).cast("string")).alias("seed"),
+        route_language(detect_language(F.col("_text"))).alias("language"),
+        F.md5(F.col("normalized_html").cast("binary")).alias("normalized_md5")), "enrichment")
+    base = E.missing_keyword_split(a)
     kws = a.select(F.col("target_keyword").alias("keyword")).where(F.col("keyword").isNotNull())
     top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
     struct = C.competitor_structure(kws, top, C.fetch_competitors(top, V.v_web(spark, sf)))
-    sim = SIM.similarity_flag(a, SIM.similarity_join(text, V.v_corpus(spark, sf)))
-    base = E.missing_keyword_split(a).select("article_id", "target_keyword", "outcome")
+    sim = SIM.similarity_flag(a, SIM.similarity_join(a.select("article_id", "text"), V.v_corpus(spark, sf)))
+    secondary = K.secondary_keywords(K.related_keywords_parse(V.v_keyword_reports(spark, sf))).groupBy("seed").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "keyword"))).alias("_k"))  # at most five a seed
+    score = S.poll_first_done(V.v_polls(spark, sf)).select(F.col("doc_id").alias("article_id"), "content_score")
     return (
-        base.join(lang, "article_id").join(heads, "article_id").join(sim, "article_id")
+        base.join(sim, "article_id").join(score, "article_id", "left").join(secondary, "seed", "left")
         .join(struct, base["target_keyword"] == struct["keyword"], "left")
         .select(
-            "article_id", "language", "target_keyword", "outcome", "headings", "corrected",
+            "article_id", "language", "target_keyword", "outcome", "headings", "corrected", "normalized_md5",
+            F.array_join(F.coalesce(F.col("_k.keyword"), F.array().cast("array<string>")), " | ").alias("secondary_keywords"),
             F.coalesce(F.col("structure_source"), F.lit("none")).alias("structure_source"),
             F.array_join(F.coalesce(F.col("h2_topics"), F.array().cast("array<string>")), " | ").alias("h2_topics"),
-            "max_similarity", "plagiarism_flagged",
+            "content_score", "max_similarity", "plagiarism_flagged",
         )
     )
 
