@@ -54,10 +54,13 @@ def max_similarity_flag(articles: DataFrame, matches: DataFrame,
 
 def poll_first_done(polls: DataFrame, max_attempts: int = POLL_MAX_ATTEMPTS) -> DataFrame:
     """A5: per document, the first observation with status ``done`` within
-    ``max_attempts`` attempts, with its term and heading lists (missing ones are
-    empty); otherwise ``timeout``.  ``min`` over a struct
+    ``max_attempts`` attempts, with its term and heading lists (missing ones, or
+    a log without them, are empty); otherwise ``timeout``.  ``min`` over a struct
     led by the attempt is a partial aggregate: a document with a third of the
     log still costs one row per map task."""
+    for c in ("lsi_keywords", "suggested_headings"):
+        if c not in polls.columns:
+            polls = polls.withColumn(c, F.lit(None).cast("array<string>"))
     done = (F.col("status") == "done") & (F.col("attempt") <= max_attempts)
     first = polls.groupBy("doc_id").agg(
         F.min(F.when(done, F.struct("attempt", "content_score", "lsi_keywords", "suggested_headings"))).alias("_d"))

@@ -70,3 +70,13 @@ def test_state_machine_on_interleaved_files(spark):
     assert [tuple(r) for r in RU.run_state_machine(ev).collect()] == [("a", "rejected")]
     parts = [RU.fold_transitions(ev.where(c), ["article_id"]) for c in ("event_id >= 3", "event_id < 3")]
     assert [tuple(r) for r in RU.final_status(parts[0].union(parts[1])).collect()] == [("a", "rejected")]
+
+
+def test_poll_lists(spark):
+    from inkwell.operators.scores import poll_first_done
+
+    rows = [("d", 1, "pending", 1.0, ["x"], None), ("d", 2, "done", 5.0, ["a", "b"], None), ("d", 3, "done", 9.0, ["z"], ["h"])]
+    polls = spark.createDataFrame(rows, "doc_id string, attempt int, status string, content_score double, "
+                                        "lsi_keywords array<string>, suggested_headings array<string>")
+    (r,) = poll_first_done(polls).collect()
+    assert (r.attempt, r.lsi_keywords, r.suggested_headings) == (2, ["a", "b"], [])
