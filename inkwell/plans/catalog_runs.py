@@ -17,6 +17,7 @@ from inkwell.session import scratch_path
 from inkwell.sources import views as V
 
 AS_OF = dt.datetime(1998, 8, 2, 0, 0, 0)
+WRITEBACK_ERROR = "the store answered 503"  # of the staged store
 NOW = dt.datetime(2026, 1, 1, 0, 0, 0)
 _RUN_COLS = ", ".join(n for n, _ in V.RUN_COLUMNS)
 
@@ -73,17 +74,23 @@ def approval_guard(spark, sf):
 @register("task_action_rows", with_views(f"""
   SELECT task_gid, outcome,
          CASE outcome WHEN 'completed' THEN '{R.WRITEBACK_OK_COMMENT}'
+                      WHEN 'writeback_failed' THEN printf('{R.WRITEBACK_FAILED_COMMENT.replace(chr(39), chr(39) * 2).replace(chr(10), "' || chr(10) || '")}', '{WRITEBACK_ERROR}')
                       ELSE printf('{R.REJECTED_COMMENT.replace(chr(39), chr(39) * 2).replace(chr(10), "' || chr(10) || '")}', reason) END AS comment,
          outcome = 'completed' AS complete_task
   FROM (SELECT task_gid, reason,
-               CASE WHEN decision = 'approve' AND status = 'awaiting_approval' THEN 'completed'
+               CASE WHEN decision = 'approve' AND status = 'awaiting_approval'
+                    THEN CASE WHEN CAST(story_gid AS BIGINT) % 3 = 0 THEN 'writeback_failed' ELSE 'completed' END
                     WHEN decision = 'reject' THEN 'rejected' END AS outcome FROM ({_J4}))
   WHERE outcome IS NOT NULL""", "v_comment_events", "v_stories", "v_runs"))
 def task_action_rows(spark, sf):
     d = _j4(spark, sf)
-    outcome = (F.when((F.col("decision") == "approve") & (F.col("status") == "awaiting_approval"), "completed")
+    # the staged store refuses every third write-back
+    refused = F.col("story_gid").cast("bigint") % 3 == 0
+    outcome = (F.when((F.col("decision") == "approve") & (F.col("status") == "awaiting_approval"),
+                      F.when(refused, "writeback_failed").otherwise("completed"))
                .when(F.col("decision") == "reject", "rejected"))
-    return R.task_action_rows(d.withColumn("outcome", outcome).withColumn("error", F.lit(None).cast("string")))
+    return R.task_action_rows(d.withColumn("outcome", outcome).withColumn(
+        "error", F.when(outcome == "writeback_failed", F.lit(WRITEBACK_ERROR))))
 
 
 @register("run_history_projection", with_views(f"SELECT {_HISTORY} FROM v_runs", "v_runs"))
