@@ -151,44 +151,58 @@ def _compose_sorted(fns: Column) -> Column:
     return F.aggregate(fns, ident, lambda acc, f: F.transform(acc, lambda s: F.element_at(f, s + 1)))
 
 
+# Fixed value: how a rejected run records the reviewer's reason.
+REJECTED_REASON = "Rejected: %s"
+
+
 def fold_transitions(events: DataFrame, keys: list[str], levels: int = 3) -> DataFrame:
     """One transition table (``moves``) per ``keys``, of all its events in
-    ``(ts, event_id)`` order, with the ``ts`` and ``event_id`` of the first.
-    Events are numbered per key without a single-task window, grouped
+    ``(ts, event_id)`` order, with the ``ts`` and ``event_id`` of the first and
+    the last ``reject`` (ts, event_id, reason).  Events (with or without a
+    ``reason``) are numbered per key without a single-task window, grouped
     ``BUCKET`` at a time, each bucket folded, then the buckets folded again,
     ``levels`` times and once more (512**4 events per key)."""
-    ev = number_within(events.select(*keys, "ts", "event_id", "action"), keys, ["ts", "event_id"], "_seq")
-    return _folded(ev.select(*keys, (F.col("_seq") - 1).cast("long").alias("_pos"), "ts", "event_id",
-                             transition_table(F.col("action")).alias("moves")), keys, levels)
+    if "reason" not in events.columns:
+        events = events.withColumn("reason", F.lit(None).cast("string"))
+    ev = number_within(events.select(*keys, "ts", "event_id", "action", "reason"), keys, ["ts", "event_id"], "_seq")
+    return _folded(ev.select(
+        *keys, (F.col("_seq") - 1).cast("long").alias("_pos"), "ts", "event_id",
+        transition_table(F.col("action")).alias("moves"),
+        F.when(F.col("action") == "reject", F.struct("ts", "event_id", "reason")).alias("reject")), keys, levels)
 
 
 def _folded(cur: DataFrame, keys: list[str], levels: int) -> DataFrame:
-    """Compose numbered rows (keys, _pos, ts, event_id, moves) bucket by bucket."""
+    """Compose numbered rows (keys, _pos, ts, event_id, moves, reject) bucket by
+    bucket."""
     for level in range(levels + 1):
         bucket = (F.col("_pos") / BUCKET).cast("long") if level < levels else F.lit(0).cast("long")
         cur = cur.groupBy(*keys, bucket.alias("_b")).agg(
-            F.min(F.struct("ts", "event_id")).alias("_first"),
+            F.min(F.struct("ts", "event_id")).alias("_first"), F.max("reject").alias("reject"),
             F.array_sort(F.collect_list(F.struct("_pos", "moves"))).alias("_l")
         ).select(*keys, F.col("_b").alias("_pos"), "_first.ts", "_first.event_id",
-                 _compose_sorted(F.col("_l.moves")).alias("moves"))
+                 _compose_sorted(F.col("_l.moves")).alias("moves"), "reject")
     return cur
 
 
+def _statuses(whole: DataFrame) -> DataFrame:
+    """(article_id, status, failure_reason) from one table per article."""
+    names = F.array(*[F.lit(s) for s in STATES])
+    state = F.element_at(names, F.element_at("moves", _idx("none") + 1) + 1)
+    return whole.select("article_id", state.alias("status"), "reject").where(F.col("status") != "none").select(
+        "article_id", "status", F.when(F.col("status") == "rejected", F.format_string(
+            REJECTED_REASON, F.coalesce("reject.reason", F.lit("")))).alias("failure_reason"))
+
+
 def final_status(folded: DataFrame, levels: int = 1) -> DataFrame:
-    """(article_id, status) from transition tables of disjoint stretches of an
-    article's events (article_id, ts, event_id, moves), composed by time."""
+    """Final statuses from transition tables of disjoint stretches of an
+    article's events (article_id, ts, event_id, moves, reject), composed by
+    time."""
     numbered = number_within(folded, ["article_id"], ["ts", "event_id"], "_seq") \
         .withColumn("_pos", (F.col("_seq") - 1).cast("long"))
-    whole = _folded(numbered, ["article_id"], levels)
-    names = F.array(*[F.lit(s) for s in STATES])
-    state = F.element_at(names, F.element_at("moves", _idx("none") + 1) + 1)
-    return whole.select("article_id", state.alias("status")).where(F.col("status") != "none")
+    return _statuses(_folded(numbered, ["article_id"], levels))
 
 
 def run_state_machine(events: DataFrame) -> DataFrame:
     """T3 (batch): final status per article after its events in
-    ``(ts, event_id)`` order."""
-    whole = fold_transitions(events, ["article_id"])
-    names = F.array(*[F.lit(s) for s in STATES])
-    state = F.element_at(names, F.element_at("moves", _idx("none") + 1) + 1)
-    return whole.select("article_id", state.alias("status")).where(F.col("status") != "none")
+    ``(ts, event_id)`` order, and the reason of a rejected one."""
+    return _statuses(fold_transitions(events, ["article_id"]))

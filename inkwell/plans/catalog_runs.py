@@ -164,8 +164,9 @@ _STATE_CASE = """CASE
 
 
 @register("run_state_machine", with_views(f"""
-  SELECT article_id, status FROM (
-    SELECT article_id, list_reduce(list(action ORDER BY ts, event_id), lambda st, x: {_STATE_CASE}, 'none') AS status
+  SELECT article_id, status, CASE WHEN status = 'rejected' THEN 'Rejected: ' || coalesce(reason, '') END AS failure_reason FROM (
+    SELECT article_id, list_reduce(list(action ORDER BY ts, event_id), lambda st, x: {_STATE_CASE}, 'none') AS status,
+           (list(reason ORDER BY ts DESC, event_id DESC) FILTER (WHERE action = 'reject'))[1] AS reason
     FROM v_run_events GROUP BY article_id)
   WHERE status <> 'none'""", "v_run_events"))
 def run_state_machine(spark, sf):

@@ -275,7 +275,8 @@ VIEWS["v_run_events"] = ("""
          CASE WHEN event_type = 'signup' THEN 'created' WHEN event_type = 'view' THEN 'started'
               WHEN event_type = 'purchase' THEN 'scored' WHEN event_type = 'click' THEN 'approve'
               WHEN event_type = 'error' AND event_id % 2 = 1 THEN 'reject'
-              WHEN event_type = 'error' THEN 'failed' END AS action
+              WHEN event_type = 'error' THEN 'failed' END AS action,
+         CASE WHEN event_type = 'error' AND event_id % 2 = 1 THEN 'note ' || event_id END AS reason
   FROM events
 """, ())
 

@@ -381,6 +381,7 @@ def v_run_events(spark: SparkSession, sf: str) -> DataFrame:
     return e.select(
         F.col("user_id").cast("string").alias("article_id"), "ts", "event_id",
         action.alias("action"),
+        F.when(action == "reject", F.concat(F.lit("note "), F.col("event_id").cast("string"))).alias("reason"),
     )
 
 

@@ -97,13 +97,14 @@ def stream_state_machine(spark: SparkSession, events: DataFrame, max_files: int
     (ts, event_id), so the files hold disjoint stretches of time.  A batch folds
     the events of each (article, file) natively to one transition table; these
     compose by their first event, in whatever order the files came."""
-    columns = events.select("article_id", "ts", "event_id", "action")
+    columns = events.select("article_id", "ts", "event_id", "action", "reason")
     path = stage(columns.repartitionByRange(F.col("ts"), F.col("event_id")), "run-events")
     stream = read_feed(spark, path, columns.schema, max_files).withColumn("file", F.col("_metadata.file_path"))
-    schema = "article_id string, ts timestamp_ntz, event_id bigint, moves array<int>"
+    schema = ("article_id string, ts timestamp_ntz, event_id bigint, moves array<int>, "
+              "reject struct<ts:timestamp_ntz,event_id:bigint,reason:string>")
 
     def batch(b: DataFrame) -> DataFrame:
-        return fold_transitions(b, ["article_id", "file"]).select("article_id", "ts", "event_id", "moves")
+        return fold_transitions(b, ["article_id", "file"]).select("article_id", "ts", "event_id", "moves", "reject")
 
     folded = read_sink(spark, _run(stream, "run-state", batch), schema)
     return final_status(folded)

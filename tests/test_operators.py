@@ -67,9 +67,11 @@ def test_state_machine_on_interleaved_files(spark):
     rows = [("a", f"2024-01-01 00:00:{i:02d}", i, x) for i, x in enumerate(["created", "started", "scored", "approve", "reject"])]
     ev = spark.createDataFrame(rows, "article_id string, ts string, event_id long, action string") \
         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    assert [tuple(r) for r in RU.run_state_machine(ev).collect()] == [("a", "rejected")]
+    ev = ev.withColumn("reason", F.when(F.col("action") == "reject", "too short"))
+    want = [("a", "rejected", "Rejected: too short")]
+    assert [tuple(r) for r in RU.run_state_machine(ev).collect()] == want
     parts = [RU.fold_transitions(ev.where(c), ["article_id"]) for c in ("event_id >= 3", "event_id < 3")]
-    assert [tuple(r) for r in RU.final_status(parts[0].union(parts[1])).collect()] == [("a", "rejected")]
+    assert [tuple(r) for r in RU.final_status(parts[0].union(parts[1])).collect()] == want
 
 
 def test_poll_lists(spark):
