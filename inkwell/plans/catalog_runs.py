@@ -12,7 +12,7 @@ from inkwell.operators import reports as R
 from inkwell.operators import runs as RU
 from inkwell.plans import catalog_events as CE
 from inkwell.plans.oracle_views import with_views
-from inkwell.plans.registry import register
+from inkwell.plans.registry import ORACLES, register
 from inkwell.session import scratch_path
 from inkwell.sources import views as V
 
@@ -205,8 +205,11 @@ def run_upsert(spark, sf):
 
 
 # --- K4 / X15: approval task rows with the report text ------------------------
+from inkwell.operators import competitors as C  # noqa: E402
 from inkwell.operators import keywords as K  # noqa: E402
+from inkwell.operators import responses as RS  # noqa: E402
 from inkwell.operators import scores as S  # noqa: E402
+from inkwell.plans import catalog_competitors, catalog_responses as CR  # noqa: E402,F401
 from inkwell.plans import catalog_keywords as CK  # noqa: E402
 from inkwell.plans.catalog_scores import _SIM_VALUE  # noqa: E402
 
@@ -228,20 +231,32 @@ def _report_input(spark, sf):
     return (runs.select("id", "article_id", "title", "created_at").join(sc, "id", "left").join(sim, "id", "left")
             .join(ov, "id", "left")
             .withColumn("main_keyword", F.coalesce("main_keyword", F.lit("")))
-            .withColumn("competitor_urls", F.array().cast("array<string>"))
-            .withColumn("changes_summary", F.lit(""))
-            .withColumn("internal_link_suggestions",
-                        F.array().cast("array<struct<location:string,suggested_topic:string>>")))
+            .join(_used_urls(spark, sf), "article_id", "left").join(_rewrites(spark, sf), "article_id", "left"))
+
+
+def _used_urls(spark, sf):
+    """Competitor URLs of each article's keyword."""
+    a = V.v_articles(spark, sf).select("article_id", F.col("target_keyword").alias("keyword")).where("keyword is not null")
+    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
+    s = C.competitor_structure(a.select("keyword"), top, C.fetch_competitors(top, V.v_web(spark, sf)))
+    return a.join(s.select("keyword", "competitor_urls"), "keyword").select("article_id", "competitor_urls")
+
+
+def _rewrites(spark, sf):
+    """Summary and link suggestions of each valid rewrite."""
+    return RS.parse_responses(V.v_responses(spark, sf)).where("valid").select(
+        "article_id", "changes_summary", "internal_link_suggestions")
 
 
 _K4 = f"""
   SELECT article_id, '{R.APPROVAL_TITLE_PREFIX}' || coalesce(title, 'None') AS task_title,
          printf({_tmpl(R.REPORT_TEMPLATE)}, coalesce(title, 'None'), main_keyword, printf('%,d', vol),
                 printf('%.0f', diff), printf('%.0f', ini), printf('%.0f', fin),
-                CASE WHEN pct >= 0 THEN '+' ELSE '' END, printf('%.1f', pct), 'N/A',
+                CASE WHEN pct >= 0 THEN '+' ELSE '' END, printf('%.1f', pct),
+                CASE WHEN coalesce(urls, '') = '' THEN 'N/A' ELSE replace(urls, ' ', ', ') END,
                 CASE WHEN flagged THEN printf({_tmpl(R.SIMILARITY_YES)}, printf('%.1f', sim))
                      ELSE printf({_tmpl(R.SIMILARITY_NO)}, printf('%.1f', sim)) END,
-                '', '{R.NO_LINKS}') AS notes,
+                coalesce(summary, ''), coalesce(links_text, '{R.NO_LINKS}')) AS notes,
          CASE isodow(CAST(created_at AS DATE)) WHEN 5 THEN CAST(created_at AS DATE) + 3
               WHEN 6 THEN CAST(created_at AS DATE) + 2 ELSE CAST(created_at AS DATE) + 1 END AS due_on
   FROM (
@@ -249,8 +264,13 @@ _K4 = f"""
            coalesce(ov.volume, 0) AS vol, coalesce(ov.difficulty, 0.0) AS diff,
            coalesce(s.initial, 0.0) AS ini, coalesce(s.final, 0.0) AS fin,
            coalesce(CASE WHEN coalesce(s.initial, 0.0) <> 0 THEN (s.final - s.initial) / s.initial * 100 ELSE 0.0 END, 0.0) AS pct,
-           coalesce(m.mx, 0.0) AS sim, coalesce(m.mx, 0.0) > {S.SIMILARITY_THRESHOLD} AS flagged
+           coalesce(m.mx, 0.0) AS sim, coalesce(m.mx, 0.0) > {S.SIMILARITY_THRESHOLD} AS flagged,
+           c.competitor_urls AS urls, p.changes_summary AS summary, l.links_text
     FROM v_runs r
+    LEFT JOIN v_articles a ON a.article_id = r.article_id
+    LEFT JOIN ({ORACLES['competitor_fallback']}) c ON c.keyword = a.target_keyword
+    LEFT JOIN (SELECT * FROM ({CR._PARSED}) WHERE valid) p ON p.article_id = r.article_id
+    LEFT JOIN (SELECT * FROM ({ORACLES['format_internal_links']})) l ON l.article_id = p.article_id
     LEFT JOIN v_scores s ON CAST(s.article_id AS BIGINT) = r.id
     LEFT JOIN (SELECT article_id, max({_SIM_VALUE}) AS mx FROM v_matches GROUP BY article_id) m
            ON CAST(m.article_id AS BIGINT) = r.id
@@ -260,6 +280,7 @@ _K4 = f"""
 """
 
 
-@register("approval_task_rows", with_views(_K4, "v_runs", "v_scores", "v_matches", "v_overview_reports"))
+@register("approval_task_rows", with_views(
+    _K4, "v_runs", "v_scores", "v_matches", "v_overview_reports", "v_articles", "v_responses"))
 def approval_task_rows(spark, sf):
     return R.approval_task_rows(_report_input(spark, sf), F.to_date("created_at"))
