@@ -16,7 +16,8 @@ of them happens if it precedes the merge that takes x into its parent (that
 one is to the left and wins a tie) and does not come after the one that takes
 y into its parent.
 
-Encoded pieces are remembered per Python worker, a bounded number of them.
+Encoded pieces are remembered per Python worker, a bounded number of them, and
+ids are gathered by array operations for a block of texts.
 
 Defined results: a null text is empty and has no ids; a null id stays null;
 repeated rows are encoded one by one.  Strings of special tokens in a text
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import rows_of, table
+from inkwell.llm.subwords import PieceTable
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the byte-level pre-tokenization pattern (white space as Unicode has it).
@@ -53,11 +55,12 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class TrieEncoder:
-    """Byte-level BPE of one vocabulary file; remembers at most ``limit``
-    pieces and as many verdicts on token pairs."""
+class TrieEncoder(PieceTable):
+    """Byte-level BPE of one vocabulary file; remembers about ``limit`` pieces
+    and verdicts on token pairs."""
 
-    def __init__(self, name: str, limit: int = 250_000):
+    def __init__(self, name: str, limit: int = 350_000):
+        super().__init__(limit)
         import public_tokenizers
 
         with open(public_tokenizers.path(name), encoding="utf-8") as f:
@@ -82,9 +85,7 @@ class TrieEncoder:
             self.parts.setdefault(self.ids[as_bytes(a + b)], (x, y, r))
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.pieces = regex.compile(PATTERN)
-        self.limit = limit
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.verdicts: dict[tuple[int, int], bool] = {}
+        self.verdicts: dict[int, bool] = {}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """Tokens along one side of the merge tree, each with the rank of the
@@ -97,7 +98,8 @@ class TrieEncoder:
             token, taken = self.parts[token][side], self.parts[token][2]
 
     def stable(self, left: int, right: int) -> bool:
-        verdict = self.verdicts.get((left, right))
+        pair = left << 20 | right  # one number: no vocabulary is that large
+        verdict = self.verdicts.get(pair)
         if verdict is None:
             ours = self._spine(right, 0)
             verdict = True
@@ -106,9 +108,9 @@ class TrieEncoder:
                     r = self.rank.get((x, y))
                     if r is not None and r < x_taken and r <= y_taken:
                         verdict = False
-            if len(self.verdicts) >= 4 * self.limit:
+            if len(self.verdicts) >= self.limit:
                 self.verdicts.clear()
-            self.verdicts[left, right] = verdict
+            self.verdicts[pair] = verdict
         return verdict
 
     def encode_words(self, words: list[bytes]) -> Iterator[tuple[int, ...]]:
@@ -133,7 +135,7 @@ class TrieEncoder:
                         if before < 0:
                             ok = True
                         else:
-                            ok = verdicts.get((before, token))
+                            ok = verdicts.get(before << 20 | token)
                             if ok is None:
                                 ok = stable(before, token)
                         if ok:
@@ -149,32 +151,33 @@ class TrieEncoder:
                 at -= size[at]
             yield tuple(reversed(out))
 
-    def _learn(self, used: set[str]) -> None:
-        new = [p for p in used if p not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known = {p: i for p, i in self.known.items() if p in used}
-        by_bytes = sorted((p.encode("utf-8", "surrogatepass"), p) for p in new)
-        for (_, p), i in zip(by_bytes, self.encode_words([b for b, _ in by_bytes])):
-            self.known[p] = i
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        cut = []  # per text: lists of words, and ids of special tokens between them
-        for text in texts:
-            parts = [text or ""]
-            if text and self.splitter and any(s in text for s in self.specials):
-                parts = self.splitter.split(text)
-            cut.append([self.specials[p] if p in self.specials else self.pieces.findall(p) for p in parts])
-        self._learn(set().union(*(words for parts in cut for words in parts if isinstance(words, list))))
-        known, out = self.known.__getitem__, []
-        for parts in cut:
-            ids: list[int] = []
-            for words in parts:
-                if isinstance(words, list):
-                    ids.extend(chain.from_iterable(map(known, words)))
-                else:
-                    ids.append(words)
-            out.append(ids)
-        return out
+    def ids_of(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        raw = [p.encode("utf-8", "surrogatepass") for p in new]
+        order = sorted(range(len(raw)), key=raw.__getitem__)
+        found: list[tuple[int, ...]] = [()] * len(raw)
+        words = [raw[i] for i in order if raw[i] and new[i] not in self.specials]
+        encoded_words = self.encode_words(words)
+        for i in order:
+            if new[i] in self.specials:
+                found[i] = (self.specials[new[i]],)
+            elif raw[i]:
+                found[i] = next(encoded_words)
+        size = np.array([len(f) for f in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint32, size.sum()), size
+
+    def pieces_of(self, text: str | None) -> list[str]:
+        """The pieces of a text, its special tokens among them.  (No piece of
+        the pattern is the string of a special token: the text is split at
+        those first.)"""
+        if not text:
+            return []
+        if not self.splitter or not any(s in text for s in self.specials):
+            return self.pieces.findall(text)
+        return [w for p in self.splitter.split(text) for w in ([p] if p in self.specials else self.pieces.findall(p))]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        _, ids, bounds = self.look_up([self.pieces_of(t) for t in texts])
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
@@ -196,12 +199,10 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary)
         for block in rows_of(batches, 2_000_000):
-            ids = bpe.encode([r[1] for r in block])
-            bounds = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, bounds[-1])
+            _, flat, bounds = bpe.look_up([bpe.pieces_of(r[1]) for r in block])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in block], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))],
+                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32), pa.int32()))],
                 names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \

@@ -54,12 +54,67 @@ class _Index(dict):
         return number
 
 
-class ChunkEncoder:
-    """Ids of lists of chunks (all ``str``, or all UTF-8 ``bytes``).  When more
-    than ``limit`` chunks are known, those seen once are forgotten, and if need
-    be the rarest others; ``epoch`` then changes, as numbers do."""
+class PieceTable:
+    """Ids of known pieces (chunks, words) of text, in arrays.  When more than
+    ``limit`` pieces are known, those seen once are forgotten, and if need be the
+    rarest others; ``epoch`` then changes, as the pieces' numbers do."""
 
-    def __init__(self, name: str, limit: int = 700_000):
+    def __init__(self, limit: int):
+        self.limit, self.epoch = limit, 0
+        self.index = _Index()
+        self.flat = np.zeros(0, np.uint32)
+        self.start, self.size, self.used = np.zeros((3, 0), np.int64)
+
+    def ids_of(self, new: list) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of new pieces in a row, and the number of each one's."""
+        raise NotImplementedError
+
+    def _learn(self, new: list) -> None:
+        ids, size = self.ids_of(new)
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.used = np.concatenate([self.used, np.zeros(len(size), np.int64)])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in a row, and the end of each piece's."""
+        size = self.size[numbers]
+        ends = np.cumsum(size)
+        place = np.repeat(self.start[numbers] - (ends - size), size)
+        place += np.arange(len(place))
+        return self.flat[place], ends
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.used > 1)
+        if len(kept) > self.limit // 2:
+            kept = np.sort(kept[np.argsort(-self.used[kept], kind="stable")[: self.limit // 2]])
+        names = list(self.index)
+        self.index = _Index([names[i] for i in kept.tolist()])
+        self.flat, ends = self._gathered(kept)
+        self.size, self.used = self.size[kept], self.used[kept] // 2
+        self.start = ends - self.size
+        self.epoch += 1
+
+    def look_up(self, docs: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of documents given as lists of pieces: the number of each piece, all
+        ids in a row, and the bounds of the documents' ids."""
+        if len(self.index) > self.limit:
+            self._forget()
+        counts = np.array([len(d) for d in docs], np.int64)
+        numbers = np.fromiter(map(self.index.__getitem__, chain.from_iterable(docs)), np.int64, counts.sum())
+        if self.index.fresh:
+            self._learn(self.index.fresh)
+            self.index.fresh = []
+        self.used += np.bincount(numbers, minlength=len(self.used))
+        ids, ends = self._gathered(numbers)
+        return numbers, ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+
+
+class ChunkEncoder(PieceTable):
+    """Ids of lists of chunks (all ``str``, or all UTF-8 ``bytes``)."""
+
+    def __init__(self, name: str, limit: int = 600_000):
+        super().__init__(limit)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -70,10 +125,6 @@ class ChunkEncoder:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(_WORD_END)]] = True
-        self.limit, self.epoch = limit, 0
-        self.index = _Index()
-        self.flat = np.zeros(0, np.uint32)
-        self.start, self.size, self.used = np.zeros((3, 0), np.int64)
 
     def _encoded(self, words: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters (a thousand in a row) and then of other
@@ -98,7 +149,7 @@ class ChunkEncoder:
         one_by_one(others)
         return np.concatenate(ids), np.concatenate(sizes)
 
-    def _learn(self, new: list) -> None:
+    def ids_of(self, new: list) -> tuple[np.ndarray, np.ndarray]:
         texts = [c.decode("utf-8", "surrogatepass") for c in new] if isinstance(new[0], bytes) else new
         parts, counts, others = [], np.ones(len(texts), np.int64), set()
         for i, c in enumerate(texts):
@@ -119,7 +170,7 @@ class ChunkEncoder:
         words = set(parts) - others
         if any("İ" in w for w in words):  # its lower case has a mark, which punctuation after it would join
             parts, counts, words, others = texts, np.ones(len(texts), np.int64), set(), set(texts)
-        in_order = [sorted(words), sorted(others)]
+        in_order = [list(words), list(others)]
         ids, sizes = self._encoded(*in_order)
         number = dict(zip(chain(*in_order), range(1 << 62)))
         which = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
@@ -128,48 +179,12 @@ class ChunkEncoder:
         taken = sizes[which]
         place = np.repeat(starts[which] - (np.cumsum(taken) - taken), taken)
         place += np.arange(len(place))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.used = np.concatenate([self.used, np.zeros(len(size), np.int64)])
-        self.flat = np.concatenate([self.flat, ids[place]])
-
-    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks in a row, and the end of each chunk's."""
-        size = self.size[numbers]
-        ends = np.cumsum(size)
-        place = np.repeat(self.start[numbers] - (ends - size), size)
-        place += np.arange(len(place))
-        return self.flat[place], ends
-
-    def _forget(self) -> None:
-        kept = np.flatnonzero(self.used > 1)
-        if len(kept) > self.limit // 2:
-            kept = np.sort(kept[np.argsort(-self.used[kept], kind="stable")[: self.limit // 2]])
-        names = list(self.index)
-        self.index = _Index([names[i] for i in kept.tolist()])
-        self.flat, ends = self._gathered(kept)
-        self.size, self.used = self.size[kept], self.used[kept] // 2
-        self.start = ends - self.size
-        self.epoch += 1
-
-    def encode_chunks(self, docs: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of documents given as lists of chunks: the number of each chunk, all
-        ids in a row, and the bounds of the documents' ids."""
-        if len(self.index) > self.limit:
-            self._forget()
-        counts = np.array([len(d) for d in docs], np.int64)
-        numbers = np.fromiter(map(self.index.__getitem__, chain.from_iterable(docs)), np.int64, counts.sum())
-        if self.index.fresh:
-            self._learn(self.index.fresh)
-            self.index.fresh = []
-        self.used += np.bincount(numbers, minlength=len(self.used))
-        ids, ends = self._gathered(numbers)
-        return numbers, ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids[place], size
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
         docs = [_folded(t).replace("\n", " ").split(" ") if t else [] for t in texts]
-        _, ids, bounds = self.encode_chunks(docs)
+        _, ids, bounds = self.look_up(docs)
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 

@@ -22,7 +22,7 @@ def odd_texts():
 
 def test_equals_the_library_and_decodes():
     enc, tok, texts = B.TrieEncoder(B.VOCABULARY, limit=1000), library(), odd_texts()
-    got = [ids for i in range(0, len(texts), 200) for ids in enc.encode(texts[i:i + 200])]
+    got = [ids.tolist() for i in range(0, len(texts), 200) for ids in enc.encode(texts[i:i + 200])]
     want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
     assert got == want
     assert [enc.decode(i) for i in got] == [tok.decode(i, skip_special_tokens=False) for i in want] == texts
