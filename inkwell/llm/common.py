@@ -75,11 +75,13 @@ def rows_of(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000) -> It
         yield block
 
 
-def ascii_words(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased, as
-    UTF-8 (``bytes.split`` and ``bytes.lower`` touch exactly these ASCII
-    bytes)."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def ascii_words(text: str | bytes | None) -> list[bytes]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of the text (or its UTF-8) with A-Z
+    lower-cased, as UTF-8 (``bytes.split`` and ``bytes.lower`` touch exactly
+    these ASCII bytes)."""
+    if not text:
+        return []
+    return (text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text).lower().split()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
