@@ -51,14 +51,12 @@ _LANE = 64
 class Settings:
     """Bounds of the training."""
 
-    candidates: int = 5000  # toxic candidate marks kept, by significance
     min_g: float = 15.0  # significance: log-likelihood ratio (chi square, 1 degree)
     min_odds: float = 2.0  # log-odds for toxic documents
     min_families: int = 3  # families of toxic documents with a toxic mark ...
     least_share: float = 0.1  # ... and their share of the commonest mark's
     sample_docs: int = 600  # documents of each class the field is fitted on, about
-    sample_chars: int = 20_000  # characters of each of them
-    features: int = 50_000  # words and beginnings with a weight of their own
+    features: int = 50_000  # words and beginnings with a weight of their own; toxic marks all have one
     steps: int = 40
 
 
@@ -211,26 +209,26 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield flush()
 
 
-def _families(wanted: frozenset):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in rows_of(batches):
-            found = set()
-            for (text,) in block:
-                tokens = tokens_of(text)
-                if here := marks_in(set(tokens)) & wanted:
-                    family = min(zlib.crc32(f"{a} {b}".encode("utf-8", "surrogatepass"))
-                                 for a, b in zip(tokens, [*tokens[1:], ""]))
-                    found.update((w, family) for w in here)
-            items = list(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in items], pa.string()), pa.array([c for _, c in items], pa.int64())],
-                names=["word", "family"])
-    return run
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, family) of every mark of every text, once a block."""
+    for block in rows_of(batches):
+        found = set()
+        for (text,) in block:
+            tokens = tokens_of(text)
+            if tokens:
+                family = min(zlib.crc32(f"{a} {b}".encode("utf-8", "surrogatepass"))
+                             for a, b in zip(tokens, [*tokens[1:], ""]))
+                found.update((w, family) for w in marks_in(set(tokens)))
+        items = list(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([w for w, _ in items], pa.string()), pa.array([c for _, c in items], pa.int64())],
+            names=["word", "family"])
 
 
 def toxic_marks(train: DataFrame, settings: Settings) -> set[str]:
-    """Toxic marks from the whole of ``train`` (doc_id, toxic, text).  At most
-    ``candidates`` words reach the driver."""
+    """Toxic marks from the whole of ``train`` (doc_id, toxic, text).
+    Candidates stay on Spark, however many copied documents make; only words
+    with enough families reach the driver."""
     totals = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
@@ -246,14 +244,13 @@ def toxic_marks(train: DataFrame, settings: Settings) -> set[str]:
     g = 2 * (p * F.log(p / (rate * pos)) + F.when(q > 0, q * F.log(q / (rate * neg))).otherwise(F.lit(0.0)))
     found = words.where("p > 0").select("word", odds.alias("odds"), g.alias("g")) \
         .where((F.col("odds") >= settings.min_odds) & (F.col("g") >= settings.min_g))
-    wanted = frozenset(r["word"] for r in found.orderBy(F.desc("g"), "word").limit(settings.candidates).collect())
-    if not wanted:
-        return set()
-    apart = {r["word"]: r["n"] for r in
-             train.where("toxic = 1").select("text").mapInArrow(_families(wanted), "word string, family long")
-             .distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    enough = max(settings.min_families, settings.least_share * max(apart.values(), default=0))
-    return {w for w, n in apart.items() if n >= enough}
+    apart = staged(
+        train.where("toxic = 1").select("text").mapInArrow(_families, "word string, family long")
+        .join(found.select("word"), "word", "left_semi").distinct()
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")), "families")
+    most = apart.agg(F.max("n")).first()[0] or 0
+    enough = max(settings.min_families, settings.least_share * most)
+    return {r["word"] for r in apart.where(F.col("n") >= enough).select("word").collect()}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
@@ -303,7 +300,7 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Field | None:
     sample = []
     for c in (0, 1):
         chosen = hash_sample(train.where(F.col("toxic") == c), "doc_id", settings.sample_docs)
-        sample += chosen.select("doc_id", "toxic", F.left("text", F.lit(settings.sample_chars)).alias("text")).collect()
+        sample += chosen.select("doc_id", "toxic", "text").collect()
     sample.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     labels = np.array([r["toxic"] for r in sample])
     if not toxic or len(set(labels.tolist())) < 2:
@@ -311,7 +308,7 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Field | None:
     docs = [tokens_of(r["text"]) for r in sample]
     common = Counter(m for d in docs for m in marks_in(set(d)))
     known = [*sorted(toxic), *(m for m, c in common.most_common(settings.features) if c > 1 and m not in toxic)]
-    marks = {m: i + 1 for i, m in enumerate(known[: settings.features])}
+    marks = {m: i + 1 for i, m in enumerate(known[: max(settings.features, len(toxic))])}
     types = {w: i for i, w in enumerate({w: 0 for d in docs for w in d})}
     ids = np.fromiter((types[w] for d in docs for w in d), np.int64, sum(map(len, docs)))
     borne = np.zeros((len(types), 5), np.int64)  # 0: no mark with a weight
@@ -320,7 +317,7 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> Field | None:
         borne[i, : len(own)] = own
     first, bounds = _starts(docs)
     bad = np.zeros(len(marks) + 1, bool)
-    bad[[marks[m] for m in toxic if m in marks]] = True
+    bad[[marks[m] for m in toxic]] = True
     y = bad[borne].any(axis=1)[ids] & (np.repeat(labels, np.diff(bounds)) == 1)
     n_docs, n_marks, n_types = len(docs), len(marks) + 1, len(types)
     del docs, common, types, sample
@@ -406,7 +403,7 @@ def _scorer(field: Field | None):
 def score(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, spans) of every row of ``docs``; spans are the character
     offsets of toxic passages."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)  # at most ``features`` weights
+    shared = docs.sparkSession.sparkContext.broadcast(field)  # ``features`` weights, or the toxic marks
 
     def run(batches):
         return _scorer(shared.value)(batches)

@@ -68,3 +68,18 @@ def test_odd_rows(spark, corpus):
     assert len(out) == 10 and all(0 <= r.score < 0.5 for r in out)
     assert X.toxicity(odd_documents(spark), no_labels(spark)).where("score <> 0").count() == 0
     assert X.toxicity(odd_documents(spark).limit(0), labels).count() == 0
+
+
+def test_copied_documents_push_out_no_mark(spark):
+    """Words of toxic copies outnumber 5000 candidates of larger significance;
+    the rarer mark of many families stays, the copied words go."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    copied = " ".join("".join(w) for w in rng.choice(letters, (3000, 8)))
+    word = lambda: "".join(rng.choice(letters, 9))
+    rows = [(1, copied)] * 60
+    rows += [(1, " ".join([*(word() for _ in range(9)), "vilescum"])) for _ in range(30)]
+    rows += [(0, " ".join(word() for _ in range(10))) for _ in range(400)]
+    train = spark.createDataFrame([(i, c, t) for i, (c, t) in enumerate(rows)], "doc_id long, toxic int, text string")
+    marks = X.toxic_marks(train, X.Settings())
+    assert "vilescum" in marks and not marks & set(copied.split())
