@@ -5,6 +5,7 @@ from __future__ import annotations
 from inkwell.llm.bpe import op4_bpe_trie
 from inkwell.llm.chat import ORACLE_OP6, op6_reply_trees
 from inkwell.llm.embeddings import op10_itq_near_dedup
+from inkwell.llm.filter_audit import ORACLE_OP13, op13_filter_audit
 from inkwell.llm.jaccard import op5_ngram_jaccard
 from inkwell.llm.langid import op7_ppm_language
 from inkwell.llm.licenses import op8_license_scan, oracle_op8
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_attention_lm": op9_attention_lm,
     "op10_itq_near_dedup": op10_itq_near_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES = {
     "op3_quality_rules": oracle_op3(),
     "op6_reply_trees": ORACLE_OP6,
     "op8_license_scan": oracle_op8(),
+    "op13_filter_audit": ORACLE_OP13,
 }
