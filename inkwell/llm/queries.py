@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from inkwell.llm.bpe import op4_bpe_trie
 from inkwell.llm.chat import ORACLE_OP6, op6_reply_trees
+from inkwell.llm.decontam import ORACLE_OP12, op12_wu_manber_decontamination
 from inkwell.llm.embeddings import op10_itq_near_dedup
 from inkwell.llm.filter_audit import ORACLE_OP13, op13_filter_audit
 from inkwell.llm.jaccard import op5_ngram_jaccard
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_attention_lm": op9_attention_lm,
     "op10_itq_near_dedup": op10_itq_near_dedup,
+    "op12_wu_manber_decontamination": op12_wu_manber_decontamination,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -32,5 +34,6 @@ ORACLES = {
     "op3_quality_rules": oracle_op3(),
     "op6_reply_trees": ORACLE_OP6,
     "op8_license_scan": oracle_op8(),
+    "op12_wu_manber_decontamination": ORACLE_OP12,
     "op13_filter_audit": ORACLE_OP13,
 }
