@@ -75,6 +75,27 @@ def rows_of(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000) -> It
         yield block
 
 
+#: Bytes: A-Z lower-cased; other ASCII that is no letter or digit separates.
+_TERM_BYTES = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
+
+
+def ascii_terms(text: str | None) -> list[bytes]:
+    """Maximal runs of ASCII letters and digits and of any other characters,
+    ``[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+``, with A-Z lower-cased,
+    as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(_TERM_BYTES).split() if text else []
+
+
+def text_blocks(items: DataFrame, id_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The rows of ``items`` (id, text) that have both, as (id as string, text),
+    in blocks of about ``block_bytes`` bytes of text (or one longer item); rows
+    of one id are in one block.  One block at a time is in the driver."""
+    sized = items.select(F.col(id_col).cast("string").alias("id"), "text").where("id is not null and text is not null")
+    n = -(-(sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes)
+    for k in range(n):
+        yield [(r.id, r.text) for r in sized.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k).collect()]
+
+
 def ascii_words(text: str | bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the text (or its UTF-8) with A-Z
     lower-cased, as UTF-8 (``bytes.split`` and ``bytes.lower`` touch exactly

@@ -17,7 +17,7 @@ The words of a text inside any occurrence are hit.
 
 Scale: documents are read once, in one ``mapInArrow``; there is no shuffle.
 Items are put together by id, and their patterns reach the tasks as broadcast
-blocks of at most ``block_words`` words of items (or one longer item).  A common
+blocks of about ``block_bytes`` bytes of items (or one longer item).  A common
 benchmark is one block.  More blocks are searched one after another over the
 same piece of text, and only one is held in memory at a time.
 
@@ -29,35 +29,21 @@ nothing is hit; other columns of the inputs are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import rows_of, table
+from inkwell.llm.common import ascii_terms, rows_of, table, text_blocks
 
 WINDOW = 10
 
-#: Words of items that are broadcast at a time (under 200 MB of tables in a
+#: Bytes of item texts that are broadcast at a time (under 200 MB of tables in a
 #: task), and characters of documents that are searched at a time.
-BLOCK_WORDS = 250_000
+BLOCK_BYTES = 1_200_000
 PIECE_CHARS = 16_000_000
 
-#: Bytes: A-Z lower-cased; other ASCII that is no letter or digit separates.
-_FOLD = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z
-    lower-cased, as UTF-8."""
-    return text.encode("utf-8", "surrogatepass").translate(_FOLD).split(b" ") if text else []
-
-
-def _clean(text: str | None) -> list[bytes]:
-    return [w for w in words_of(text) if w]
-
 
 class Patterns:
     """Wu-Manber tables of the patterns of one length."""
@@ -113,12 +99,12 @@ class Patterns:
 class Tables:
     """The patterns of a block of items, a table a length."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
         self.ids: list[str] = []
         self.by_length: dict[int, Patterns] = {}
         at: dict[str, int] = {}
         for item, text in items:
-            words = _clean(text)
+            words = ascii_terms(text)
             if not words:
                 continue
             if item not in at:
@@ -151,24 +137,12 @@ def covered(places: list[tuple[int, int]]) -> int:
     return total
 
 
-def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[str, str | None]]]:
-    """Items with an id as (id, text), in blocks of about ``block_words`` words;
-    rows of one id are in one block.  One block is in the driver at a time."""
-    sized = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where(
-        "item_id is not null and text is not null").select(
-        "*", (F.octet_length("text") / 4).alias("size"))
-    n = math.ceil((sized.agg(F.sum("size")).first()[0] or 0) / block_words)
-    for k in range(n):
-        yield [(r.item_id, r.text) for r in
-               sized.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).select("item_id", "text").collect()]
-
-
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_words, n_hit, the sorted ids (as
     strings) of the items of ``items`` (item_id, text) that occur, and the hit
     places as a list of [start, end) in words."""
     sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(Tables(b, window)) for b in _blocks(items, block_words)]
+    blocks = [sc.broadcast(Tables(b, window)) for b in text_blocks(items, "item_id", block_bytes)]
     schema = "doc_id long, n_words long, n_hit long, items array<string>, places array<struct<start:long,end:long>>"
     arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
                        ("items", pa.list_(pa.string())),
@@ -176,7 +150,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in rows_of(batches, PIECE_CHARS if len(blocks) > 1 else PIECE_CHARS // 4):
-            texts = [_clean(t) for _, t in rows]
+            texts = [ascii_terms(t) for _, t in rows]
             places, found = [[] for _ in rows], [set() for _ in rows]
             for block in blocks:
                 tables = block.value

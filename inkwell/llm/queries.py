@@ -13,6 +13,7 @@ from inkwell.llm.licenses import op8_license_scan, oracle_op8
 from inkwell.llm.lm import op9_attention_lm
 from inkwell.llm.packing import op2_best_fit_packing
 from inkwell.llm.quality import op3_quality_rules, oracle_op3
+from inkwell.llm.search import ORACLE_OP11, op11_max_sketch_search
 from inkwell.llm.toxicity import op1_toxicity
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_attention_lm": op9_attention_lm,
     "op10_itq_near_dedup": op10_itq_near_dedup,
+    "op11_max_sketch_search": op11_max_sketch_search,
     "op12_wu_manber_decontamination": op12_wu_manber_decontamination,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -34,6 +36,7 @@ ORACLES = {
     "op3_quality_rules": oracle_op3(),
     "op6_reply_trees": ORACLE_OP6,
     "op8_license_scan": oracle_op8(),
+    "op11_max_sketch_search": ORACLE_OP11,
     "op12_wu_manber_decontamination": ORACLE_OP12,
     "op13_filter_audit": ORACLE_OP13,
 }

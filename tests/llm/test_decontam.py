@@ -1,9 +1,9 @@
-import hashlib
 import random
 
 from helpers import documents, odd_documents
 
 from inkwell.llm import decontam as D
+from inkwell.llm.common import text_blocks
 
 
 def fold(text):
@@ -68,8 +68,8 @@ def test_brute_force(spark):
 
 def test_blocks_of_items_give_the_same(spark):
     docs, items = cases()
-    assert len(list(D._blocks(spark.createDataFrame(items, "item_id long, text string"), 40))) > 5
-    assert search(spark, docs, items, block_words=40) == brute(docs, items)
+    assert len(list(text_blocks(spark.createDataFrame(items, "item_id long, text string"), "item_id", 100))) > 5
+    assert search(spark, docs, items, block_bytes=100) == brute(docs, items)
 
 
 def test_long_and_odd_documents(spark):
@@ -95,7 +95,3 @@ def test_shifts_skip_and_never_pass_an_occurrence():
         text = [rng.choice([b"a", b"b", b"c", b"z"]) for _ in range(rng.randint(0, 60))]
         want = [(i, tuple(text[i:i + m])) for i in range(len(text) - m + 1) if tuple(text[i:i + m]) in known]
         assert sorted(p.search(text)) == want
-
-
-def test_digest_of_no_items(spark):
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
