@@ -52,9 +52,10 @@ def signature_filter_hex(df: DataFrame, secret: str | None, accept_when_unset: b
     return df.where(signature_ok(F.col("payload"), F.col("signature"), secret, "hex", accept_when_unset))
 
 
-def webhook_parse(df: DataFrame) -> DataFrame:
+def webhook_parse(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode the article payload; malformed JSON and a missing id are
-    dropped; ids become strings; a missing body becomes ``""``."""
+    dropped; ids become strings; a missing body becomes ``""``.  Columns of the
+    delivery named in ``keep`` stay."""
     valid = F.try_parse_json(F.col("payload")).isNotNull()
     parsed = df.where(valid).withColumn("_a", F.from_json("payload", ARTICLE_SCHEMA))
     return parsed.where(F.col("_a.id").isNotNull()).select(
@@ -64,6 +65,7 @@ def webhook_parse(df: DataFrame) -> DataFrame:
         F.col("_a.status").alias("status"),
         F.col("_a.blog_id").alias("blog_id"),
         F.coalesce(F.col("_a.body_html"), F.lit("")).alias("body_html"),
+        *keep,
     )
 
 

@@ -74,11 +74,22 @@ def stale_pending_runs(runs: DataFrame, as_of: _dt.datetime, minutes: int = 60)
         "id", "article_id", "created_at")
 
 
-def run_upsert(runs: DataFrame, changes: DataFrame, now: _dt.datetime) -> DataFrame:
+def latest_changes(changes: DataFrame, order: str) -> DataFrame:
+    """One row per article: of every column the last non-null value in the
+    order of ``order`` (a partial aggregate)."""
+    given = [c for c in changes.columns if c not in ("article_id", order)]
+    if not given:
+        return changes.select("article_id").distinct()
+    return changes.groupBy("article_id").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in given])
+
+
+def run_upsert(runs: DataFrame, changes: DataFrame, now: _dt.datetime, max_id: int | None = None) -> DataFrame:
     """K1: merge ``changes`` (``article_id`` + any run columns) into the run
     table.  Given, non-null columns overwrite; ``updated_at`` becomes ``now``
     on touched rows.  New articles are inserted as ``pending`` with fresh ids
-    after the current maximum (numbered without a single-task window).
+    after the current maximum (numbered without a single-task window), which is
+    ``max_id`` where ``runs`` is only a part of the table.
 
     The changes are evaluated once, into a table in the shared folder; only the
     article ids of the new ones are numbered."""
@@ -101,9 +112,10 @@ def run_upsert(runs: DataFrame, changes: DataFrame, now: _dt.datetime) -> DataFr
     updated = runs.join(ch, "article_id", "left").select(
         *[merged(n, F.col(n)).alias(n) for n, _ in RUN_COLUMNS])
     new_ids = ch.select("article_id").join(runs.select("article_id"), "article_id", "left_anti")
-    max_id = runs.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))  # one row
+    top = runs.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max")) if max_id is None else \
+        spark.range(1).select(F.lit(max_id).alias("_max"))  # one row
     numbered = number_within(new_ids.withColumn("_g", F.lit(0)), ["_g"], ["article_id"], "_seq") \
-        .crossJoin(F.broadcast(max_id)).select("article_id", (F.col("_max") + F.col("_seq")).alias("id"))
+        .crossJoin(F.broadcast(top)).select("article_id", (F.col("_max") + F.col("_seq")).alias("id"))
     first = {"created_at": ts, "status": F.lit("pending")}
     inserted = ch.join(numbered, "article_id").select(
         *[merged(n, F.col(n) if n in ("id", "article_id") else first.get(n, F.lit(None).cast(t))).alias(n)
@@ -125,24 +137,27 @@ def _idx(name: str) -> int:
     return STATES.index(name)
 
 
+#: The moves of the status machine; other events change nothing.
+MOVES = {
+    "created": {"none": "pending"},
+    "started": {"pending": "processing"},
+    "scored": {"processing": "awaiting_approval"},
+    "failed": {"pending": "failed", "processing": "failed"},
+    "approve": {"awaiting_approval": "completed"},
+    "reject": {s: "rejected" for s in STATUSES},
+}
+
+
 def transition_table(action: Column) -> Column:
     """``array<int>`` mapping every state to its successor under ``action``."""
-    none_, pending, processing, awaiting = _idx("none"), _idx("pending"), _idx("processing"), \
-        _idx("awaiting_approval")
-
-    def nxt(s: int) -> Column:
-        keep = F.lit(s)
-        return (
-            F.when((action == "created") & F.lit(s == none_), F.lit(pending))
-            .when((action == "started") & F.lit(s == pending), F.lit(processing))
-            .when((action == "scored") & F.lit(s == processing), F.lit(awaiting))
-            .when((action == "failed") & F.lit(s in (pending, processing)), F.lit(_idx("failed")))
-            .when((action == "approve") & F.lit(s == awaiting), F.lit(_idx("completed")))
-            .when((action == "reject") & F.lit(s != none_), F.lit(_idx("rejected")))
-            .otherwise(keep)
-        )
-
-    return F.array(*[nxt(s) for s in range(len(STATES))])
+    def nxt(state: str) -> Column:
+        after = F.lit(_idx(state))
+        for event, moves in MOVES.items():
+            if state in moves:
+                after = F.when(action == event, F.lit(_idx(moves[state]))).otherwise(after)
+        return after
+
+    return F.array(*[nxt(s) for s in STATES])
 
 
 def _compose_sorted(fns: Column) -> Column:

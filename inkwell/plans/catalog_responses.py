@@ -14,6 +14,7 @@ from inkwell.plans import catalog_keywords, catalog_scores  # noqa: F401  (their
 from inkwell.plans.oracle_views import with_views
 from inkwell.plans.registry import ORACLES, register
 from inkwell.sources import views as V
+from inkwell.sources.published import published
 
 _STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
@@ -86,7 +87,7 @@ def format_internal_links(spark, sf):
   SELECT article_id, optimized_html AS body_html, title_tag AS title, slug AS handle
   FROM ({_PARSED}) WHERE valid""", "v_responses"))
 def article_writeback(spark, sf):
-    return RS.article_writeback(_parsed(spark, sf))
+    return published(RS.article_writeback(_parsed(spark, sf)), "writeback")
 
 
 @register("metafield_rows", with_views(f"""
@@ -98,7 +99,7 @@ def article_writeback(spark, sf):
     UNION ALL SELECT article_id, 'seo', 'schema_markup', schema_markup, 'json' FROM ({_PARSED}) WHERE valid)
   WHERE value IS NOT NULL AND value <> ''""", "v_responses"))
 def metafield_rows(spark, sf):
-    return RS.metafield_rows(_parsed(spark, sf))
+    return published(RS.metafield_rows(_parsed(spark, sf)), "metafields")
 
 
 @register("correction_batch", with_views(f"""

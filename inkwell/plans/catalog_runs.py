@@ -15,6 +15,7 @@ from inkwell.plans.oracle_views import with_views
 from inkwell.plans.registry import ORACLES, register
 from inkwell.session import scratch_path
 from inkwell.sources import views as V
+from inkwell.sources.published import published
 
 AS_OF = dt.datetime(1998, 8, 2, 0, 0, 0)
 WRITEBACK_ERROR = "the store answered 503"  # of the staged store
@@ -283,4 +284,4 @@ _K4 = f"""
 @register("approval_task_rows", with_views(
     _K4, "v_runs", "v_scores", "v_matches", "v_overview_reports", "v_articles", "v_responses"))
 def approval_task_rows(spark, sf):
-    return R.approval_task_rows(_report_input(spark, sf), F.to_date("created_at"))
+    return published(R.approval_task_rows(_report_input(spark, sf), F.to_date("created_at")), "approval-tasks")

@@ -11,6 +11,7 @@ from inkwell.functions.signatures import key_pads
 from inkwell.sources.views import (
     DEFAULT_STORE_SECRET,
     DEFAULT_TASKS_SECRET,
+    DELIVERY_MINUTES,
     KEYWORD_REPORT_HEADER,
     OVERVIEW_REPORT_HEADER,
     REPORT_PAGE_ROWS,
@@ -54,7 +55,7 @@ VIEWS["v_articles"] = (f"""
   SELECT CAST(doc_id AS VARCHAR) AS article_id,
          CAST(doc_id % 3 AS VARCHAR) AS blog_id,
          CASE WHEN doc_id % 4 = 0 THEN 'published' ELSE 'draft' END AS status,
-         substr(lines[1], 1, 60) AS title,
+         lines[1] AS title,
          CASE WHEN doc_id % 13 = 0 THEN NULL
               ELSE lower(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+')[2]) END AS target_keyword,
          array_to_string(list_filter(list_transform(lines, lambda x, i:
@@ -101,6 +102,13 @@ VIEWS["v_webhooks"] = (f"""
   )
 """, ("v_articles",))
 
+VIEWS["v_deliveries"] = (f"""
+  SELECT *, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(
+           (delivery_id // 2 * 7919) % {DELIVERY_MINUTES}
+           + (delivery_id % 2) * CASE WHEN delivery_id // 2 % 12 = 0 THEN 10 ELSE {DELIVERY_MINUTES} END AS BIGINT)) AS delivered_at
+  FROM v_webhooks
+""", ("v_webhooks",))
+
 VIEWS["v_keywords"] = ("""
   SELECT p_brand AS seed,
          CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS INTEGER) AS pos,

@@ -76,6 +76,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_of(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and ``path`` as it wants it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)

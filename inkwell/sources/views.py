@@ -59,7 +59,7 @@ def v_articles(spark: SparkSession, sf: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("article_id"),
         (doc % 3).cast("string").alias("blog_id"),
         F.when(doc % 4 == 0, "published").otherwise("draft").alias("status"),
-        F.substring(F.split("text", "\n", -1).getItem(0), 1, 60).alias("title"),
+        F.split("text", "\n", -1).getItem(0).alias("title"),
         F.when(doc % 13 == 0, F.lit(None).cast("string"))
         .otherwise(F.lower(second_word)).alias("target_keyword"),
         body.alias("body_html"),
@@ -91,6 +91,19 @@ def v_webhooks(spark: SparkSession, sf: str, secret: str = DEFAULT_STORE_SECRET)
     )
 
 
+#: Minutes over which the staged deliveries are spread.
+DELIVERY_MINUTES = 14_400
+
+
+def v_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Article events with their delivery time.  A second delivery comes ten
+    minutes after the first (every 12th article) or ten days after it."""
+    doc, copy = F.floor(F.col("delivery_id") / 2), F.col("delivery_id") % 2
+    minutes = (doc * 7919) % DELIVERY_MINUTES + copy * F.when(doc % 12 == 0, 10).otherwise(DELIVERY_MINUTES)
+    return v_webhooks(spark, sf).withColumn(
+        "delivered_at", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_dt_interval(mins=minutes.cast("int")))
+
+
 def v_keywords(spark: SparkSession, sf: str) -> DataFrame:
     """Related-keyword rows per seed with their report position."""
     p = read_table(spark, sf, "part")

@@ -1,11 +1,12 @@
-"""Structured Streaming forms of the event flows.
+"""Structured Streaming forms of the event flows.
 
 The same DataFrame operators as the batch queries run on a file stream, in
 micro-batches of bounded size.  Every micro-batch writes a folder of its own and
 overwrites it, so a batch that is run again changes nothing, and no batch reads
-what earlier ones wrote: what spans batches (the first delivery of an article,
-the fold of its events) is settled by an exact aggregation over the sink.  Sinks
-and checkpoints live under the shared ``spark.checkpoint.dir``.
+what earlier ones wrote: what spans batches (the first delivery of an article) is
+settled by an exact aggregation over the sink.  Sinks and checkpoints live under
+the shared ``spark.checkpoint.dir``.  Flows with keyed state and timers are in
+``inkwell.streaming.state``.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators import events as E
-from inkwell.operators.runs import final_status, fold_transitions
-from inkwell.session import scratch_path
+from inkwell.session import scratch_path, store_of
 
 #: Bytes of input of one micro-batch.
 MAX_BYTES = 64 << 30
@@ -37,15 +37,33 @@ def read_feed(spark: SparkSession, path: str, schema, max_files: int | None = No
     return reader.option(*limit).parquet(path)
 
 
-def _run(stream: DataFrame, name: str, batch_fn) -> str:
-    """Run a stream to its end; each batch overwrites its own sink folder."""
+def stage_arrivals(df: DataFrame, arrival: str, name: str, slices: int = 6, files: int = 2) -> str:
+    """Write a feed as it would have arrived: ``slices`` equal stretches of the
+    timestamp ``arrival``, one after another, each as at most ``files`` files.
+    A file stream reads files in the order they were written."""
+    path = scratch_path(df.sparkSession, f"feed-{name}")
+    at = F.unix_micros(F.col(arrival).cast("timestamp"))
+    low, high = df.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        df.write.parquet(path)
+        return path
+    k = F.least(((at - low) * slices / (high - low + 1)).cast("int"), F.lit(slices - 1))
+    for i in range(slices):
+        df.where(k == i).coalesce(files).write.mode("append").parquet(path)
+    return path
+
+
+def run_stream(stream: DataFrame, name: str, batch_fn, output_mode: str = "append") -> str:
+    """Run a stream to its end; each batch overwrites its own sink folder.  The
+    rows carry their batch as ``_batch``."""
     spark = stream.sparkSession
     out = scratch_path(spark, f"sink-{name}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch_fn(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch_fn(batch).withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(
+            f"{out}/batch_id={batch_id}")
 
-    q = (stream.writeStream.foreachBatch(write)
+    q = (stream.writeStream.foreachBatch(write).outputMode(output_mode)
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -55,8 +73,7 @@ def _run(stream: DataFrame, name: str, batch_fn) -> str:
 def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
     """All batches of a sink; an empty frame if no batch was run.  Any other
     failure to read is an error."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store, where = store_of(spark, path)
     if not store.exists(where):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
@@ -76,11 +93,29 @@ def stream_draft_intake(spark: SparkSession, webhooks: DataFrame, runs: DataFram
     def batch(b: DataFrame) -> DataFrame:
         return E.first_per_article(b).join(known, "article_id", "left_anti").select("delivery_id", "article_id")
 
-    out = _run(drafts.select("delivery_id", "article_id"), "intake", batch)
+    out = run_stream(drafts.select("delivery_id", "article_id"), "intake", batch)
     return read_sink(spark, out, "delivery_id bigint, article_id string").groupBy("article_id").agg(
         F.min("delivery_id").alias("delivery_id")).select("delivery_id", "article_id")
 
 
+def stream_intake_within(spark: SparkSession, path: str, schema, runs: DataFrame, secret: str, within: str,
+                         blog_id: str | None = None, max_files: int | None = None) -> DataFrame:
+    """T1 with bounded state: deliveries at ``path`` (event time
+    ``delivered_at``) pass once per article ``within`` the watermark, never for
+    an article that already has a run.  What repeats later than ``within`` after
+    the first passes again, and what arrives later than ``within`` is dropped:
+    the price of a state that forgets.  ``stream_draft_intake`` is the exact
+    form.  Returns the accepted deliveries."""
+    stream = read_feed(spark, path, schema, max_files).withColumn("delivered_at", F.col("delivered_at").cast("timestamp")) \
+        .withWatermark("delivered_at", within)
+    parsed = E.webhook_parse(E.signature_filter_base64(stream, secret), keep=("delivered_at",))
+    once = E.blog_filter(E.draft_filter(parsed), blog_id).dropDuplicatesWithinWatermark(["article_id"])
+    known = runs.select("article_id")
+    out = run_stream(once.select("delivery_id", "article_id"), "intake-within",
+                     lambda b: b.join(known, "article_id", "left_anti").select("delivery_id", "article_id"))
+    return read_sink(spark, out, "delivery_id bigint, article_id string")
+
+
 def stream_comment_routing(spark: SparkSession, deliveries: DataFrame, stories: DataFrame, secret: str,
                            max_files: int | None = None) -> DataFrame:
     """F4 -> S3 -> F5 -> J5 (stream-static join) -> X18."""
@@ -89,22 +124,4 @@ def stream_comment_routing(spark: SparkSession, deliveries: DataFrame, stories:
     ev = E.comment_event_filter(E.comment_event_explode(E.signature_filter_hex(stream, secret)))
     routed = E.route_comment(E.story_text_join(ev, stories)).select(
         "delivery_id", "event_no", "story_gid", "task_gid", "comment_text", "decision", "reason")
-    return read_sink(spark, _run(routed, "comments", lambda b: b), routed.schema)
-
-
-def stream_state_machine(spark: SparkSession, events: DataFrame, max_files: int | None = None) -> DataFrame:
-    """T3 (stream): final status per article.  The feed is written in ranges of
-    (ts, event_id), so the files hold disjoint stretches of time.  A batch folds
-    the events of each (article, file) natively to one transition table; these
-    compose by their first event, in whatever order the files came."""
-    columns = events.select("article_id", "ts", "event_id", "action", "reason")
-    path = stage(columns.repartitionByRange(F.col("ts"), F.col("event_id")), "run-events")
-    stream = read_feed(spark, path, columns.schema, max_files).withColumn("file", F.col("_metadata.file_path"))
-    schema = ("article_id string, ts timestamp_ntz, event_id bigint, moves array<int>, "
-              "reject struct<ts:timestamp_ntz,event_id:bigint,reason:string>")
-
-    def batch(b: DataFrame) -> DataFrame:
-        return fold_transitions(b, ["article_id", "file"]).select("article_id", "ts", "event_id", "moves", "reject")
-
-    folded = read_sink(spark, _run(stream, "run-state", batch), schema)
-    return final_status(folded)
+    return read_sink(spark, run_stream(routed, "comments", lambda b: b), routed.schema)

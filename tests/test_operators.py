@@ -8,6 +8,7 @@ from inkwell.operators import competitors as C
 from inkwell.operators import runs as RU
 from inkwell.sources import views as V
 from inkwell.streaming import jobs as S
+from inkwell.streaming import state as ST
 
 
 def test_competitor_structure_falls_back_to_the_template(spark):
@@ -46,7 +47,10 @@ def test_streams_in_many_batches_equal_the_batch_form(spark):
     sf = "/root/testdata/sf0.001"
     events = V.v_run_events(spark, sf)
     batch = {(r.article_id, r.status) for r in RU.run_state_machine(events).collect()}
-    assert {(r.article_id, r.status) for r in S.stream_state_machine(spark, events, max_files=1).collect()} == batch
+    path = S.stage(events.repartition(5), "run-events")  # every file spans all the time
+    for delay in ("60 days", "1 hour"):  # nothing late; nearly everything late
+        got = ST.stream_state_machine(spark, path, events.schema, delay, max_files=1).collect()
+        assert {(r.article_id, r.status) for r in got} == batch
     hooks = V.v_webhooks(spark, sf).repartition(5)
     whole = S.stream_draft_intake(spark, hooks, V.v_runs(spark, sf), V.DEFAULT_STORE_SECRET)
     parts = S.stream_draft_intake(spark, hooks, V.v_runs(spark, sf), V.DEFAULT_STORE_SECRET, max_files=1)
