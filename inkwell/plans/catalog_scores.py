@@ -117,12 +117,31 @@ def similarity_join(spark, sf):
     return _pairs(spark, sf)
 
 
+_BEST = f"""
+  SELECT a.article_id, p.source_id, coalesce(p.shared, 0) AS shared, CAST(a.n AS INTEGER) AS article_shingles,
+         coalesce(p.similarity, 0.0) AS similarity
+  FROM (SELECT article_id, len({_sql_shingles('tok')}) AS n
+        FROM (SELECT article_id, {_sql_tokens(Q.html_to_text('body_html'))} AS tok FROM v_articles)) a
+  LEFT JOIN (SELECT * FROM ({_PAIRS})
+             QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY shared DESC, source_id) = 1) p USING (article_id)"""
+
+
+def _best(spark, sf):
+    a = V.v_articles(spark, sf).select("article_id", H.html_to_text("body_html").alias("text"))
+    return SIM.best_source(a, V.v_corpus(spark, sf))
+
+
+@register("best_source", with_views(_BEST, "v_articles", "v_corpus"))
+def best_source(spark, sf):
+    return _best(spark, sf)
+
+
 @register("similarity_flag", with_views(f"""
   SELECT a.article_id, coalesce(p.mx, 0.0) AS max_similarity, coalesce(p.mx, 0.0) > 15.0 AS plagiarism_flagged
   FROM v_articles a LEFT JOIN (SELECT article_id, max(similarity) AS mx FROM ({_PAIRS}) GROUP BY article_id) p
   USING (article_id)""", "v_articles", "v_corpus"))
 def similarity_flag(spark, sf):
-    return SIM.similarity_flag(V.v_articles(spark, sf), _pairs(spark, sf))
+    return SIM.similarity_flag(_best(spark, sf))
 
 
 _WORDS = f"list_filter(regexp_split_to_array({Q.html_to_text('body_html')}, '\\s+'), lambda w: w <> '')"
