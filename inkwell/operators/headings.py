@@ -4,6 +4,8 @@ All of it is per-row array work on one article: its headings are extracted
 once, repaired with higher-order functions and written back.  No shuffle: an
 article is never split, and nothing groups articles together.
 
+Headings in comments and raw-text elements are none.
+
 Semantics, in order:
   W1  first H1 kept, later H1s become H2; no H1 in a non-blank body -> an H1
       with the title is inserted before the first element;
@@ -11,7 +13,9 @@ Semantics, in order:
   W3  with an H1 and an H2: intro starts before the H1, ends before the first
       H2 (even when that H2 comes first);
   W4  the last H2 whose lower-cased text contains a closing word: conclusion
-      starts before it and ends before the next heading, else at the end;
+      starts before it and ends before the next heading in the same container
+      (a heading inside a sibling element does not end it), else after the last
+      element of that container;
   W8  raw jumps of more than one level (diagnostic of W2).
 """
 
@@ -20,12 +24,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.html import HEADING_RE, escape_text, heading_texts
+from inkwell.functions.html import (
+    HEADING_RE,
+    RAW_MARK,
+    escape_text,
+    heading_containers,
+    heading_levels,
+    heading_texts,
+    hidden_parts,
+    hide_raw,
+    section_end,
+    show_raw,
+)
 
 # Words marking a closing section (matched as substrings of the
 # lower-cased H2 text).
 CONCLUSION_WORDS = ("conclusion", "summary", "résumé", "synthèse", "en résumé", "pour conclure")
 
+#: A tag that may hold headings: any but headings, paragraphs and line breaks.
+NESTING_RE = r"(?i)<(?!(?:h[1-6]|p|br|hr|img)\b)[a-z]"
+# Stands for the closing marker at the end of a container until the text is put
+# together again.
+_END_MARK = "\ue002"
+
 # Section markers written into the HTML.
 INTRO_START = "<!-- INTRODUCTION START -->"
 INTRO_END = "<!-- INTRODUCTION END -->"
@@ -61,10 +82,15 @@ def with_heading_plan(articles: DataFrame, body: str = "body_html", title: str =
     ``levels``          after W2;
     ``intro_start``/``intro_end``        1-based positions in ``levels`` (0 = none);
     ``conclusion_at``/``conclusion_end`` idem; ``conclusion_end`` is
-                        ``size(levels) + 1`` when the conclusion runs to the end.
+                        ``size(levels) + 1`` when no heading ends the conclusion;
+    ``containers``      per heading of ``levels`` the element that holds it (id, path);
+    ``hidden_body``     the body without comments and raw text (``hide_raw``).
     """
-    raw = F.transform(F.regexp_extract_all(F.col(body), F.lit(HEADING_RE), 1), lambda x: x.cast("int"))
-    df = articles.withColumn("raw_levels", raw).withColumn("_texts", heading_texts(F.col(body)))
+    root = F.struct(F.lit(0).alias("id"), F.lit("").alias("path"))
+    df = (articles.withColumn("hidden_body", hide_raw(F.col(body))).withColumn("raw_levels", heading_levels(F.col("hidden_body")))
+          .withColumn("_texts", heading_texts(F.col("hidden_body")))
+          .withColumn("_in", F.when(F.col("hidden_body").rlike(NESTING_RE), heading_containers(F.col("hidden_body")))
+                      .otherwise(F.transform("raw_levels", lambda _: root))))
     first_h1 = F.array_position("raw_levels", 1)
     insert = (first_h1 == 0) & (F.regexp_replace(F.coalesce(F.col(body), F.lit("")), r"\s+", "") != "")
     demoted = F.transform("raw_levels", lambda l, i: F.when((l == 1) & (i + 1 > first_h1), F.lit(2)).otherwise(l))
@@ -76,6 +102,7 @@ def with_heading_plan(articles: DataFrame, body: str = "body_html", title: str =
                                                               F.col("_texts")))
                     .otherwise(F.col("_texts")))
         .withColumn("levels", normalise_levels(F.col("fixed_levels")))
+        .withColumn("containers", F.when(insert, F.concat(F.array(root), F.col("_in"))).otherwise(F.col("_in")))
     )
     h1 = F.array_position("levels", 1)
     h2 = F.array_position("levels", 2)
@@ -87,13 +114,16 @@ def with_heading_plan(articles: DataFrame, body: str = "body_html", title: str =
         ).otherwise(0),
     ))
     both = (h1 > 0) & (h2 > 0)
+    # the next heading beside it; the positions after the last are past the end
+    beside = F.filter(F.sequence(F.col("conclusion_at") + 1, F.size("levels") + 1), lambda k: F.coalesce(
+        F.try_element_at("containers", k)["id"] == F.try_element_at("containers", F.col("conclusion_at"))["id"], F.lit(True)))
     return (
         df.withColumn("intro_start", F.when(both, h1).otherwise(0).cast("int"))
         .withColumn("intro_end", F.when(both, h2).otherwise(0).cast("int"))
         .withColumn("conclusion_at", F.coalesce(concl, F.lit(0)).cast("int"))
-        .withColumn("conclusion_end", F.when(F.col("conclusion_at") > 0, F.col("conclusion_at") + 1)
+        .withColumn("conclusion_end", F.when(F.col("conclusion_at") > 0, F.get(beside, F.lit(0)))
                     .otherwise(0).cast("int"))
-        .drop("_texts")
+        .drop("_texts", "_in")
     )
 
 
@@ -155,12 +185,18 @@ def normalize_html_structure(articles: DataFrame, body: str = "body_html", title
     body is returned as it is."""
     # Arrays used inside the lambda are materialised first: an inline
     # expression would be re-evaluated for every piece.
-    plan = (with_heading_plan(articles, body, title)
-            .withColumn("_pieces", F.split(F.col(body), HEADING_RE, -1))
-            .withColumn("_attrs", F.regexp_extract_all(F.col(body), F.lit(HEADING_RE), 2))
-            .withColumn("_inner", F.regexp_extract_all(F.col(body), F.lit(HEADING_RE), 3)))
-    pieces, attrs, inner = F.col("_pieces"), F.col("_attrs"), F.col("_inner")
+    plan = with_heading_plan(articles, body, title)
     shift = F.when(F.col("h1_inserted"), 1).otherwise(0)
+    at = section_end(F.col("hidden_body"), F.col("conclusion_at") - shift,
+                     F.try_element_at("containers", F.col("conclusion_at"))["id"])
+    to_end = (F.col("conclusion_at") > 0) & (F.col("conclusion_end") == F.size("levels") + 1)
+    plan = (plan.withColumn("_at", F.when(to_end, at))
+            .withColumn("_body", F.when(F.col("_at").isNull(), F.col("hidden_body")).otherwise(F.concat(
+                F.expr("substring(hidden_body, 1, _at)"), F.lit(_END_MARK), F.expr("substring(hidden_body, _at + 1)"))))
+            .withColumn("_pieces", F.split("_body", HEADING_RE, -1))
+            .withColumn("_attrs", F.regexp_extract_all("_body", F.lit(HEADING_RE), 2))
+            .withColumn("_inner", F.regexp_extract_all("_body", F.lit(HEADING_RE), 3)))
+    pieces, attrs, inner = F.col("_pieces"), F.col("_attrs"), F.col("_inner")
 
     def one(piece, i):
         # piece i (0-based) follows original heading i (1-based)
@@ -173,18 +209,20 @@ def normalize_html_structure(articles: DataFrame, body: str = "body_html", title
     rebuilt = F.array_join(F.transform(pieces, one), "")
     inserted_h1 = F.concat(_markers(F.lit(1)), F.lit("<h1>"),
                            escape_text(F.coalesce(F.col(title), F.lit(""))), F.lit("</h1>"))
-    tail = F.when((F.col("conclusion_at") > 0) & (F.col("conclusion_end") == F.size("levels") + 1),
-                  F.lit(CONCLUSION_END)).otherwise("")
     blank = F.regexp_replace(F.coalesce(F.col(body), F.lit("")), r"\s+", "") == ""
+    # a title may hold any character, so it comes in after the hidden parts
+    shown = F.when(F.col("_at").isNull(), show_raw(F.col("_rebuilt"), F.col("_hidden"))).otherwise(show_raw(
+        F.replace("_rebuilt", F.lit(_END_MARK), F.lit(CONCLUSION_END)), F.col("_hidden")))
     out = (
-        plan.withColumn("_rebuilt", rebuilt)
-        .withColumn("_lead", F.regexp_extract("_rebuilt", r"^[^<]*", 0))
+        plan.withColumn("_rebuilt", rebuilt).withColumn("_hidden", hidden_parts(F.col(body)))
+        .withColumn("_shown", shown)
+        .withColumn("_lead", F.when(F.col("h1_inserted"), show_raw(F.regexp_extract("_rebuilt", rf"^[^<{RAW_MARK}]*", 0),
+                                                                  F.col("_hidden"))))
         .withColumn("_with_h1", F.when(
             F.col("h1_inserted"),
-            F.concat(F.col("_lead"), inserted_h1,
-                     F.expr("substring(_rebuilt, char_length(_lead) + 1)")),
-        ).otherwise(F.col("_rebuilt")))
-        .withColumn("normalized_html", F.when(blank, F.coalesce(F.col(body), F.lit("")))
-                    .otherwise(F.concat("_with_h1", tail)))
+            F.concat(F.col("_lead"), inserted_h1, F.expr("substring(_shown, char_length(_lead) + 1)")),
+        ).otherwise(F.col("_shown")))
+        .withColumn("normalized_html", F.when(blank, F.coalesce(F.col(body), F.lit(""))).otherwise(F.col("_with_h1")))
     )
-    return out.drop("_rebuilt", "_lead", "_with_h1", "_pieces", "_attrs", "_inner")
+    return out.drop("_rebuilt", "_lead", "_with_h1", "_pieces", "_attrs", "_inner", "_at", "_body", "_hidden", "_shown",
+                    "hidden_body", "containers")

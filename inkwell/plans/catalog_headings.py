@@ -150,3 +150,72 @@ _REWRITE = f"""
 @register("heading_rewrite", with_views(f"SELECT * FROM ({_REWRITE})", "v_headings", "v_articles"))
 def heading_rewrite(spark, sf):
     return HD.normalize_html_structure(V.v_articles(spark, sf)).select("article_id", "normalized_html")
+
+
+# --- headings inside containers -------------------------------------------------
+def _nested(sql: str) -> str:
+    return sql.replace("v_headings", "v_nested_headings").replace("v_articles", "v_nested")
+
+
+@register("heading_containers", with_views(
+    "SELECT article_id, seq, level, heading_text, path FROM v_nested_headings", "v_nested", "v_nested_headings"))
+def heading_containers(spark, sf):
+    hidden = HD.hide_raw(F.col("body_html"))
+    n = V.v_nested(spark, sf).select("article_id", hidden.alias("h"))
+    rows = F.arrays_zip(HD.heading_levels("h").alias("level"), HD.heading_texts("h").alias("heading_text"),
+                        HD.heading_containers(F.col("h")).alias("at"))
+    return n.select("article_id", F.posexplode_outer(rows).alias("_i", "_h")).where("_h is not null").select(
+        "article_id", (F.col("_i") + 1).alias("seq"), "_h.level", "_h.heading_text", "_h.at.path")
+
+
+# a section ends at the next heading of the same container
+_NESTED_MARKS = _nested(MARKS).replace(
+    f"(SELECT article_id, seq, lead(seq) OVER (PARTITION BY article_id ORDER BY seq) AS next_seq\n             FROM ({_nested(NORM)}))",
+    "(SELECT article_id, seq, lead(seq) OVER (PARTITION BY article_id, coalesce(path, '') ORDER BY seq) AS next_seq\n"
+    f"             FROM ({_nested(NORM)}) LEFT JOIN (SELECT article_id, seq, path FROM v_nested_headings) USING (article_id, seq))")
+assert _NESTED_MARKS != _nested(MARKS)
+
+
+@register("conclusion_scope", with_views(
+    f"SELECT article_id, conclusion_seq, conclusion_end FROM ({_NESTED_MARKS}) WHERE conclusion_seq IS NOT NULL",
+    "v_nested", "v_nested_headings"))
+def conclusion_scope(spark, sf):
+    p = HD.with_heading_plan(V.v_nested(spark, sf)).where(F.col("conclusion_at") > 0)
+    return p.select(
+        "article_id", HD.position_to_seq(F.col("conclusion_at")).alias("conclusion_seq"),
+        F.when(F.col("conclusion_end") <= F.size("levels"), HD.position_to_seq(F.col("conclusion_end")))
+        .alias("conclusion_end"))
+
+
+_END = f"CASE WHEN mk.conclusion_seq IS NOT NULL AND mk.conclusion_end IS NULL THEN '{HD.CONCLUSION_END}' ELSE '' END"
+
+
+@register("nested_rewrite", with_views(f"""
+  SELECT * FROM (WITH mk AS ({_NESTED_MARKS}), norm AS ({_nested(NORM)}),
+  top AS (SELECT article_id, max(seq) AS n FROM v_headings GROUP BY article_id),
+  pieces AS (
+    SELECT article_id, i, x, CASE WHEN starts_with(x, '<h') THEN
+             row_number() OVER (PARTITION BY article_id, starts_with(x, '<h') ORDER BY i) END AS hseq
+    FROM (SELECT article_id, unnest(string_split(body_html, {NL})) AS x,
+                 generate_subscripts(string_split(body_html, {NL}), 1) AS i FROM v_nested)),
+  written AS (
+    SELECT p.article_id, p.i, CASE WHEN p.hseq IS NULL THEN p.x ELSE
+             CASE WHEN p.hseq = top.n AND CAST(p.article_id AS BIGINT) % 2 = 0 THEN '{V.NEST_OPEN}' ELSE '' END
+             || {_marker_sql('p.hseq')} || '<h' || CAST(nn.level AS VARCHAR) || '>' || p.x[5:-6]
+             || '</h' || CAST(nn.level AS VARCHAR) || '>' END AS piece
+    FROM pieces p LEFT JOIN mk ON mk.article_id = p.article_id LEFT JOIN top ON top.article_id = p.article_id
+    LEFT JOIN norm nn ON nn.article_id = p.article_id AND nn.seq = p.hseq),
+  joined AS (SELECT article_id, string_agg(piece, {NL} ORDER BY i) AS body FROM written GROUP BY article_id)
+  SELECT a.article_id,
+         CASE WHEN ins.article_id IS NOT NULL THEN {_marker_sql('0')} || '<h1>' || {sql_escape("coalesce(a.title, '')")} || '</h1>'
+              ELSE '' END || j.body ||
+         CASE WHEN CAST(a.article_id AS BIGINT) % 2 = 0
+              THEN CASE WHEN mk.conclusion_seq = top.n THEN {_END} ELSE '' END || '{V.NEST_CLOSE}' || {NL}
+                   || {_marker_sql('(top.n + 1)')} || '<h' || CAST(nn.level AS VARCHAR) || '>{V.NEST_RELATED[4:-5]}</h'
+                   || CAST(nn.level AS VARCHAR) || '>' || CASE WHEN mk.conclusion_seq < top.n THEN {_END} ELSE '' END
+              ELSE {NL} || '{V.NEST_SCRIPT[:-4]}' || {_END} || '{V.NEST_SCRIPT[-4:]}' END AS normalized_html
+  FROM v_nested a JOIN joined j USING (article_id) JOIN top USING (article_id) LEFT JOIN mk USING (article_id)
+  LEFT JOIN norm nn ON nn.article_id = a.article_id AND nn.seq = top.n + 1
+  LEFT JOIN (SELECT article_id FROM ({_nested(FIX)}) WHERE seq = 0) ins ON ins.article_id = a.article_id)""", "v_nested", "v_nested_headings", "v_headings"))
+def nested_rewrite(spark, sf):
+    return HD.normalize_html_structure(V.v_nested(spark, sf)).select("article_id", "normalized_html")

@@ -33,7 +33,7 @@ def enrichment_star(spark: SparkSession, sf: str) -> DataFrame:
     kws = a.select(F.col("target_keyword").alias("keyword")).where(F.col("keyword").isNotNull())
     top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
     struct = C.competitor_structure(kws, top, C.fetch_competitors(top, V.v_web(spark, sf)))
-    sim = SIM.similarity_flag(a, SIM.similarity_join(a.select("article_id", "text"), V.v_corpus(spark, sf)))
+    sim = SIM.similarity_flag(SIM.best_source(a.select("article_id", "text"), V.v_corpus(spark, sf)))
     secondary = K.secondary_keywords(K.related_keywords_parse(V.v_keyword_reports(spark, sf))).groupBy("seed").agg(
         F.array_sort(F.collect_list(F.struct("rank", "keyword"))).alias("_k"))  # at most five a seed
     score = S.poll_first_done(V.v_polls(spark, sf)).select(F.col("doc_id").alias("article_id"), "content_score")

@@ -13,6 +13,7 @@ from inkwell.sources.views import (
     DEFAULT_TASKS_SECRET,
     DELIVERY_MINUTES,
     KEYWORD_REPORT_HEADER,
+    NEST_RELATED,
     OVERVIEW_REPORT_HEADER,
     REPORT_PAGE_ROWS,
     WRONG_SIGNATURE,
@@ -102,6 +103,21 @@ VIEWS["v_webhooks"] = (f"""
   )
 """, ("v_articles",))
 
+VIEWS["v_nested"] = ("""
+  SELECT a.* FROM v_articles a WHERE article_id IN (SELECT article_id FROM v_headings)
+""", ("v_articles", "v_headings"))
+
+# headings of the nested articles with the element that holds them
+VIEWS["v_nested_headings"] = (f"""
+  SELECT h.article_id, h.seq, h.level, h.heading_text,
+         CASE WHEN even AND h.seq = n THEN 'section/div' ELSE '' END AS path
+  FROM v_headings h JOIN (
+    SELECT article_id, max(seq) AS n, CAST(article_id AS BIGINT) % 2 = 0 AS even FROM v_headings GROUP BY article_id) USING (article_id)
+  UNION ALL
+  SELECT article_id, CAST(max(seq) + 1 AS INTEGER), 3, '{NEST_RELATED[4:-5]}', '' FROM v_headings
+  WHERE CAST(article_id AS BIGINT) % 2 = 0 GROUP BY article_id
+""", ("v_headings",))
+
 VIEWS["v_deliveries"] = (f"""
   SELECT *, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(
            (delivery_id // 2 * 7919) % {DELIVERY_MINUTES}

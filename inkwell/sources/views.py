@@ -91,6 +91,26 @@ def v_webhooks(spark: SparkSession, sf: str, secret: str = DEFAULT_STORE_SECRET)
     )
 
 
+# What the nested articles are wrapped in.
+NEST_OPEN = '<section><div class="a>b">'
+NEST_CLOSE = "</div><!-- <h2>Conclusion</h2> --><p>after</p></section>"
+NEST_RELATED = "<h3>Related</h3>"
+NEST_SCRIPT = "<script>var s = \"<h2>Conclusion</h2>\";</script>tail"
+
+
+def v_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles with a heading whose last section (from its last heading on)
+    lies in containers, before a further heading outside them (even ids), or
+    whose end is a script that looks like a heading (odd ids)."""
+    a = v_articles(spark, sf).withColumn("_p", F.split("body_html", "\n", -1))
+    last = F.array_max(F.transform("_p", lambda p, i: F.when(p.startswith("<h"), i + 1).otherwise(0)))
+    inner = F.concat(F.lit(NEST_OPEN), F.array_join(F.slice("_p", F.col("_at"), 1 << 30), "\n"), F.lit(NEST_CLOSE))
+    wrapped = F.array_join(F.concat(F.slice("_p", F.lit(1), F.col("_at") - 1), F.array(inner, F.lit(NEST_RELATED))), "\n")
+    even = F.col("article_id").cast("bigint") % 2 == 0
+    return a.withColumn("_at", last).where(F.col("_at") > 0).withColumn(
+        "body_html", F.when(even, wrapped).otherwise(F.concat("body_html", F.lit("\n" + NEST_SCRIPT)))).drop("_p", "_at")
+
+
 #: Minutes over which the staged deliveries are spread.
 DELIVERY_MINUTES = 14_400
 
