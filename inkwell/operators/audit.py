@@ -44,10 +44,39 @@ def audit_keyword_first_100(articles: DataFrame) -> DataFrame:
     return articles.select("article_id", F.coalesce(F.contains(head, _kw()), F.lit(False)).alias("ok"))
 
 
-def audit_question_h2(articles: DataFrame) -> DataFrame:
-    """Q5: at least one H2 that is a question (ends with '?')."""
-    h2 = tag_texts("body_html", "h2")
-    return articles.select("article_id", F.exists(h2, lambda t: t.endswith("?")).alias("ok"))
+def question_matches(headings: DataFrame, questions: DataFrame) -> DataFrame:
+    """H2s based on a question keyword of the article's keyword: the same words
+    (case and punctuation aside), or all of the question's words among the
+    heading's.  ``headings``: article_id, keyword, seq, text; ``questions``:
+    keyword, question.  Returns article_id, seq, question, equal.
+
+    A question is looked up by its rarest word (in all headings) only, so a word
+    that every heading has joins nothing unless a question has no other; the
+    rest is compared inside the joined rows."""
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), 0))
+    h = headings.select("article_id", "keyword", "seq", words(F.col("text")).alias("_h"), F.lower("text").alias("_text"))
+    h = h.select("*", F.explode("_h").alias("word"))
+    q = questions.select("keyword", "question").distinct().select("*", words(F.col("question")).alias("_q"))
+    common = h.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    rarest = q.select("keyword", "question", "_q", F.explode("_q").alias("word")).join(common, "word", "left") \
+        .groupBy("keyword", "question").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("_r"),
+                                            F.first("_q").alias("_q")) \
+        .where("_r.n > 0").select("keyword", "question", "_q", F.col("_r.word").alias("word"))
+    same = lambda c: F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}]+"), 0)
+    return h.join(rarest, ["keyword", "word"]).where(F.size(F.array_except("_q", "_h")) == 0).select(
+        "article_id", "seq", "question", (same(F.col("_text")) == same(F.lower("question"))).alias("equal"))
+
+
+def audit_question_h2(articles: DataFrame, questions: DataFrame) -> DataFrame:
+    """Q5: at least one H2 based on a question keyword of the article's keyword;
+    also the H2s that are written as a question (end with '?')."""
+    h = articles.select("article_id", F.col("target_keyword").alias("keyword"), tag_texts("body_html", "h2").alias("_h"))
+    rows = h.select("article_id", "keyword", F.posexplode("_h").alias("seq", "text"))
+    hits = question_matches(rows, questions).groupBy("article_id").agg(F.countDistinct("seq").alias("_n"))
+    n = F.coalesce(F.col("_n"), F.lit(0))
+    return h.join(hits, "article_id", "left").select(
+        "article_id", F.size(F.filter("_h", lambda t: t.endswith("?"))).alias("question_h2s"),
+        n.cast("int").alias("matched_h2s"), (n > 0).alias("ok"))
 
 
 def audit_keyword_density(articles: DataFrame) -> DataFrame:
@@ -90,6 +119,15 @@ def audit_output_keys(parsed: DataFrame) -> DataFrame:
                     F.coalesce(schema_ok, F.lit(False)).alias("schema_ok"))
 
 
+def alt_text_rows(parsed: DataFrame, keyword: str = "keyword") -> DataFrame:
+    """Q9: one row per image of a valid rewrite: its alt text and whether it has
+    the keyword (any case)."""
+    return parsed.where(F.col("valid")).select(
+        "article_id", F.col(keyword).alias("_kw"), F.explode("alt_texts").alias("image", "alt_text")).select(
+        "article_id", "image", "alt_text",
+        F.coalesce(F.contains(F.lower("alt_text"), F.lower("_kw")), F.lit(False)).alias("has_keyword"))
+
+
 def _phrase_count(text: Column, phrase: str) -> Column:
     """Occurrences of a phrase in words joined by two spaces, with one space at
     either end (so that neighbours do not share a space)."""

@@ -17,14 +17,6 @@ from inkwell.plans.registry import register
 from inkwell.sources import views as V
 
 from inkwell.plans import catalog_keywords as CK  # noqa: E402
-from inkwell.operators import keywords as _K  # noqa: E402
-
-CK_SECONDARY = f"""
-  SELECT seed, keyword FROM (
-    SELECT seed, keyword,
-           row_number() OVER (PARTITION BY seed ORDER BY CAST(volume AS DOUBLE) / greatest(difficulty, 1.0) DESC, pos) AS r
-    FROM ({CK._RELATED}))
-  WHERE r <= {_K.SECONDARY_LIMIT}"""
 
 _T = f"lower({Q.html_to_text('body_html')})"
 
@@ -69,11 +61,36 @@ def audit_topic_copy(spark, sf):
     return AU.audit_topic_copy(V.v_articles(spark, sf), topics)
 
 
+def _toks(x: str) -> str:
+    return f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+_H2S = f"""
+  SELECT article_id, keyword, text, i AS seq FROM (
+    SELECT article_id, target_keyword AS keyword, unnest(h) AS text, generate_subscripts(h, 1) - 1 AS i
+    FROM (SELECT article_id, target_keyword, {Q.tag_texts('body_html', 'h2')} AS h FROM v_articles))"""
+_MATCHES = f"""
+  SELECT h.article_id, CAST(h.seq AS INTEGER) AS seq, q.question, {_toks('h.text')} = {_toks('q.question')} AS equal
+  FROM ({_H2S}) h JOIN (SELECT DISTINCT seed, question FROM ({CK.TOPIC_QUESTIONS})) q
+    ON q.seed = h.keyword AND list_has_all({_toks('h.text')}, {_toks('q.question')}) AND len({_toks('q.question')}) > 0"""
+
+
+@register("question_matches", with_views(_MATCHES, "v_articles", "v_question_reports"))
+def question_matches(spark, sf):
+    a = V.v_articles(spark, sf)
+    h = a.select("article_id", F.col("target_keyword").alias("keyword"),
+                 F.posexplode(AU.tag_texts("body_html", "h2")).alias("seq", "text"))
+    return AU.question_matches(h, CK.topic_questions(spark, sf).withColumnRenamed("seed", "keyword"))
+
+
 @register("audit_question_h2", with_views(f"""
-  SELECT article_id, coalesce(list_bool_or(list_transform({Q.tag_texts('body_html', 'h2')},
-         lambda t: ends_with(t, '?'))), false) AS ok FROM v_articles""", "v_articles"))
+  SELECT a.article_id, CAST(len(list_filter({Q.tag_texts('a.body_html', 'h2')}, lambda t: ends_with(t, '?'))) AS INTEGER) AS question_h2s,
+         CAST(coalesce(m.n, 0) AS INTEGER) AS matched_h2s, coalesce(m.n, 0) > 0 AS ok
+  FROM v_articles a LEFT JOIN (SELECT article_id, count(DISTINCT seq) AS n FROM ({_MATCHES}) GROUP BY article_id) m
+  USING (article_id)""", "v_articles", "v_question_reports"))
 def audit_question_h2(spark, sf):
-    return AU.audit_question_h2(V.v_articles(spark, sf))
+    return AU.audit_question_h2(V.v_articles(spark, sf),
+                                CK.topic_questions(spark, sf).withColumnRenamed("seed", "keyword"))
 
 
 @register("audit_keyword_density", with_views(f"""
@@ -162,26 +179,30 @@ def audit_metadata(spark, sf):
     return AU.audit_metadata(parsed.join(kw, "article_id", "left"))
 
 
-_SEED = "'Brand#' || CAST(CAST(article_id AS BIGINT) % 25 + 1 AS VARCHAR)"
+@register("alt_text_rows", with_views(f"""
+  SELECT article_id, image, alt_text, coalesce(contains(lower(alt_text), lower(target_keyword)), false) AS has_keyword
+  FROM (SELECT p.article_id, a.target_keyword, unnest(['hero.jpg', 'detail.jpg']) AS image,
+               unnest([json_extract_string(extracted, '$.alt_texts."hero.jpg"'),
+                       json_extract_string(extracted, '$.alt_texts."detail.jpg"')]) AS alt_text
+        FROM ({CR._PARSED}) p LEFT JOIN v_articles a USING (article_id) WHERE p.valid)""", "v_responses", "v_articles"))
+def alt_text_rows(spark, sf):
+    kw = V.v_articles(spark, sf).select("article_id", F.col("target_keyword").alias("keyword"))
+    return AU.alt_text_rows(RS.parse_responses(V.v_responses(spark, sf)).join(kw, "article_id", "left"))
 
 
 @register("audit_secondary_headings", with_views(f"""
   SELECT a.article_id, CAST(coalesce(c.n, 0) AS INTEGER) AS headings_with_secondary, coalesce(c.n, 0) >= 2 AS ok
   FROM v_articles a LEFT JOIN (
     SELECT h.article_id, count(DISTINCT h.seq) AS n
-    FROM v_headings h JOIN ({CK_SECONDARY}) s ON s.seed = {_SEED.replace('article_id', 'h.article_id')}
+    FROM v_headings h JOIN v_articles t USING (article_id) JOIN ({CK.TOPIC_KEYWORDS}) s ON s.seed = t.target_keyword
     WHERE h.level IN (2, 3) AND contains(lower(h.heading_text), lower(s.keyword))
-    GROUP BY h.article_id) c USING (article_id)""", "v_articles", "v_headings", "v_keyword_reports"))
+    GROUP BY h.article_id) c USING (article_id)""", "v_articles", "v_headings", "v_topic_reports"))
 def audit_secondary_headings(spark, sf):
-    from inkwell.operators import keywords as K
-    sec = K.secondary_keywords(K.related_keywords_parse(V.v_keyword_reports(spark, sf)))
     plan = HD.with_heading_plan(V.v_articles(spark, sf))
     rows = F.arrays_zip(F.col("raw_levels").alias("level"), F.col("_t").alias("heading_text"))
     heads = (plan.withColumn("_t", F.when(F.col("h1_inserted"), F.slice("fixed_texts", 2, 1 << 30))
                              .otherwise(F.col("fixed_texts")))
-             .select("article_id", F.concat(F.lit("Brand#"), (F.col("article_id").cast("bigint") % 25 + 1)
-                                            .cast("string")).alias("seed"),
-                     F.posexplode_outer(rows).alias("_i", "_h"))
+             .select("article_id", F.col("target_keyword").alias("seed"), F.posexplode_outer(rows).alias("_i", "_h"))
              .select("article_id", "seed", (F.col("_i") + 1).alias("seq"),
                      F.col("_h.level").alias("level"), F.col("_h.heading_text").alias("heading_text")))
-    return AU.audit_secondary_headings(heads, sec)
+    return AU.audit_secondary_headings(heads, CK.topic_keywords(spark, sf))

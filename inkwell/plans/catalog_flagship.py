@@ -16,8 +16,8 @@ def _oracle() -> str:
          md5(r.normalized_html) AS normalized_md5, coalesce(k.l, '') AS secondary_keywords, o.content_score
   FROM v_articles a
   JOIN ({ORACLES['heading_rewrite']}) r USING (article_id)
-  LEFT JOIN (SELECT seed, string_agg(keyword, ' | ' ORDER BY rank) AS l FROM ({ORACLES['secondary_keywords']}) GROUP BY seed) k
-    ON k.seed = 'Brand#' || CAST(CAST(a.article_id AS BIGINT) % 25 + 1 AS VARCHAR)
+  LEFT JOIN (SELECT seed, string_agg(keyword, ' | ' ORDER BY rank) AS l FROM ({ORACLES['topic_keywords']}) GROUP BY seed) k
+    ON k.seed = a.target_keyword
   LEFT JOIN ({ORACLES['poll_first_done']}) o ON o.doc_id = a.article_id
   JOIN ({ORACLES['detect_language']}) l USING (article_id)
   JOIN ({ORACLES['heading_skips']}) s USING (article_id)

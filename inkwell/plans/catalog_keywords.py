@@ -123,3 +123,30 @@ def search_locale(spark, sf):
     a = V.v_articles(spark, sf).select(
         "article_id", F.col("target_keyword").alias("keyword"), F.col("source_lang").alias("language"))
     return K.search_locale(a)
+
+
+# --- the same for the articles' own keywords ---------------------------------------
+def _topic(sql: str) -> str:
+    return sql.replace("v_keyword_reports", "v_topic_reports")
+
+
+TOPIC_KEYWORDS = _topic(f"""
+  SELECT seed, CAST(rank AS INTEGER) AS rank, keyword, ratio FROM (
+    SELECT seed, keyword, ratio, row_number() OVER (PARTITION BY seed ORDER BY ratio DESC, pos ASC) AS rank
+    FROM (SELECT *, CAST(volume AS DOUBLE) / greatest(difficulty, 1.0) AS ratio FROM ({_RELATED})))
+  WHERE rank <= {K.SECONDARY_LIMIT}""")
+TOPIC_QUESTIONS = f"""
+  SELECT seed, CAST(rank AS INTEGER) AS rank, question FROM (
+    SELECT seed, question, row_number() OVER (PARTITION BY seed ORDER BY pos) AS rank
+    FROM ({_QUESTIONS.replace("v_keyword_reports", "v_question_reports")}))
+  WHERE rank <= {K.QUESTION_LIMIT}"""
+
+
+@register("topic_keywords", with_views(TOPIC_KEYWORDS, "v_topic_reports"))
+def topic_keywords(spark, sf):
+    return K.secondary_keywords(K.related_keywords_parse(V.v_topic_reports(spark, sf)))
+
+
+@register("topic_questions", with_views(TOPIC_QUESTIONS, "v_question_reports"))
+def topic_questions(spark, sf):
+    return K.question_top(K.question_keywords_parse(V.v_question_reports(spark, sf)))

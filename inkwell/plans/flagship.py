@@ -26,7 +26,7 @@ def enrichment_star(spark: SparkSession, sf: str) -> DataFrame:
     a = HD.normalize_html_structure(V.v_articles(spark, sf)).withColumn("_text", H.html_to_text("body_html"))
     a = materialise(a.select(
         "article_id", "target_keyword", F.col("_text").alias("text"), *HD.skip_columns(),
-        F.concat(F.lit("Brand#"), (F.col("article_id").cast("bigint") % 25 + 1).cast("string")).alias("seed"),
+        F.col("target_keyword").alias("seed"),
         route_language(detect_language(F.col("_text"))).alias("language"),
         F.md5(F.col("normalized_html").cast("binary")).alias("normalized_md5")), "enrichment")
     base = E.missing_keyword_split(a)
@@ -34,7 +34,7 @@ def enrichment_star(spark: SparkSession, sf: str) -> DataFrame:
     top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
     struct = C.competitor_structure(kws, top, C.fetch_competitors(top, V.v_web(spark, sf)))
     sim = SIM.similarity_flag(SIM.best_source(a.select("article_id", "text"), V.v_corpus(spark, sf)))
-    secondary = K.secondary_keywords(K.related_keywords_parse(V.v_keyword_reports(spark, sf))).groupBy("seed").agg(
+    secondary = K.secondary_keywords(K.related_keywords_parse(V.v_topic_reports(spark, sf))).groupBy("seed").agg(
         F.array_sort(F.collect_list(F.struct("rank", "keyword"))).alias("_k"))  # at most five a seed
     score = S.poll_first_done(V.v_polls(spark, sf)).select(F.col("doc_id").alias("article_id"), "content_score")
     return (

@@ -219,31 +219,65 @@ def _slug_words(expr: str, n: int) -> str:
 
 
 _FIRST = f"string_split(text, {NL})[1]"
-_BODY = f"""CAST(json_object(
+_KEY = "(conv_id * 8 + turn)"
+_KW = "coalesce(a.target_keyword, 'none')"
+_TITLE = f"{_KW} || ' ' || replace(text, {NL}, ' ')"
+
+
+def _body(og_title: str) -> str:
+    return f"""CAST(json_object(
     'optimized_html', '<h1>' || {sql_escape(_FIRST)} || '</h1>' || {NL} || '<p>' || {sql_escape('text')} || '</p>'
-        || CASE WHEN (conv_id * 1000 + turn) % 3 = 0
+        || CASE WHEN {_KEY} % 3 = 0
                 THEN {NL} || '<p>See [INTERNAL LINK NEEDED: ' || {_slug_words('text', 2)} || ']</p>' ELSE '' END,
-    'title_tag', substr({_FIRST}, 1, 58),
-    'meta_description', substr(text, 1, 155),
-    'slug', {_slug_words('text', 4)},
-    'og_title', substr({_FIRST}, 1, 60),
-    'og_description', substr(text, 1, 180),
-    'schema_markup', json_object('@type', 'BlogPosting', 'headline', substr({_FIRST}, 1, 60),
-                                 'description', substr(text, 1, 100)),
-    'alt_texts', json_object('hero.jpg', substr({_FIRST}, 1, 40)),
+    'title_tag', CASE {_KEY} % 3 WHEN 0 THEN substr({_TITLE}, 1, 55) WHEN 1 THEN {_FIRST} ELSE {_TITLE} END,
+    'meta_description', CASE {_KEY} % 4 WHEN 1 THEN substr({_TITLE}, 1, 155) WHEN 3 THEN text ELSE substr(text, 1, 155) END,
+    'slug', CASE WHEN {_KEY} % 5 < 3 THEN {_KW} || '-guide-' || CAST({_KEY} AS VARCHAR) ELSE {_slug_words('text', 4)} END,
+    {og_title}
+    'og_description', CASE WHEN {_KEY} % 6 = 0 THEN text ELSE substr(text, 1, 180) END,
+    'schema_markup', json_object('@type', CASE WHEN {_KEY} % 7 = 0 THEN 'Article' ELSE 'BlogPosting' END,
+                                 'headline', {_FIRST}, 'description', text),
+    'alt_texts', json_object('hero.jpg', {_FIRST}, 'detail.jpg', 'Photo of ' || {_KW}),
     'internal_link_suggestions', [json_object('location', 'introduction',
                                               'suggested_topic', {_slug_words('text', 2)})],
-    'changes_summary', 'Rewrote turn ' || CAST(conv_id * 1000 + turn AS VARCHAR)) AS VARCHAR)"""
+    'changes_summary', 'Rewrote turn ' || CAST({_KEY} AS VARCHAR)) AS VARCHAR)"""
+
 
 VIEWS["v_responses"] = (f"""
-  SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS article_id,
+  SELECT article_id,
          CASE conv_id % 4 WHEN 0 THEN body
                           WHEN 1 THEN '```json' || {NL} || body || {NL} || '```'
                           WHEN 2 THEN '```' || {NL} || body
                           ELSE left(body, length(body) - 7) END AS raw
-  FROM (SELECT conv_id, turn, {_BODY} AS body FROM conversations WHERE role = 'assistant')
+  FROM (SELECT CAST({_KEY} AS VARCHAR) AS article_id, conv_id,
+               CASE WHEN {_KEY} % 11 = 0 THEN {_body('')} ELSE {_body(f"'og_title', {_FIRST},")} END AS body
+        FROM conversations c LEFT JOIN v_articles a ON a.article_id = CAST({_KEY} AS VARCHAR) WHERE c.role = 'assistant')
+""", ("v_articles",))
+
+VIEWS["v_topic_lines"] = (f"""
+  SELECT seed, doc_id, words, CAST(row_number() OVER (PARTITION BY seed ORDER BY doc_id) AS INTEGER) AS pos FROM (
+    SELECT doc_id, lower(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+')[2]) AS seed,
+           regexp_extract_all(lower(coalesce(nullif(string_split(text, {NL})[4], ''), string_split(text, {NL})[1])),
+                              '[\\p{{L}}\\p{{N}}]+') AS words
+    FROM documents WHERE doc_id % 13 <> 0)
+  WHERE seed IS NOT NULL AND len(words) > 0
 """, ())
 
+
+def _pages(line: str, header: str) -> str:
+    return f"""
+  SELECT seed, CAST((pos - 1) // {REPORT_PAGE_ROWS} AS INTEGER) AS page,
+         '{header}' || {NL} || string_agg({line}, {NL} ORDER BY pos) AS report
+  FROM v_topic_lines GROUP BY seed, (pos - 1) // {REPORT_PAGE_ROWS}"""
+
+
+VIEWS["v_topic_reports"] = (_pages(
+    "array_to_string(words[1:2], ' ') || ';' || CAST(doc_id * 31 % 997 + 1 AS VARCHAR) || ';' || CAST(doc_id % 50 AS VARCHAR)",
+    KEYWORD_REPORT_HEADER), ("v_topic_lines",))
+
+VIEWS["v_question_reports"] = (_pages(
+    "CASE doc_id % 4 WHEN 0 THEN array_to_string(words, ' ') || '?' WHEN 2 THEN array_to_string(words[1:3], ' ') || ' ?' "
+    "ELSE 'What is ' || seed || '?' END", "Keyword"), ("v_topic_lines",))
+
 VIEWS["v_stories"] = ("""
   SELECT CAST(conv_id AS VARCHAR) AS task_gid,
          CAST(conv_id * 1000 + turn AS VARCHAR) AS story_gid,

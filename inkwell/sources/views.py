@@ -147,19 +147,52 @@ def keyword_report_line() -> F.Column:
     )
 
 
+def _report_pages(lines: DataFrame, header: str) -> DataFrame:
+    """(seed, page, report) from (seed, pos, line), a page of
+    ``REPORT_PAGE_ROWS`` lines each."""
+    grouped = lines.withColumn("page", ((F.col("pos") - 1) / REPORT_PAGE_ROWS).cast("int")).groupBy("seed", "page").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("_l"))
+    return grouped.select("seed", "page", F.concat_ws("\n", F.lit(header), F.col("_l.line")).alias("report"))
+
+
+def _topic_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Per article with a keyword: the words of its second heading line (of its
+    first, if there is none), in lower case, numbered within the keyword."""
+    d = read_table(spark, sf, "documents").where(F.col("doc_id") % 13 != 0)
+    lines = F.split("text", "\n", -1)
+    line = F.coalesce(F.nullif(F.get(lines, F.lit(3)), F.lit("")), F.get(lines, F.lit(0)))
+    words = F.regexp_extract_all(F.lower(line), F.lit(r"[\p{L}\p{N}]+"), 0)
+    seed = F.try_element_at(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), 0), F.lit(2))
+    base = d.select(F.lower(seed).alias("seed"), "doc_id", words.alias("words")).where("seed is not null and size(words) > 0")
+    return number_within(base, ["seed"], ["doc_id"], "pos")
+
+
+def v_topic_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Related-keyword reports of the articles' own keywords: the first two
+    words of a heading of each article with this keyword."""
+    doc = F.col("doc_id")
+    line = F.concat_ws(";", F.array_join(F.slice("words", 1, 2), " "), ((doc * 31) % 997 + 1).cast("string"),
+                       (doc % 50).cast("string"))
+    return _report_pages(_topic_lines(spark, sf).select("seed", "pos", line.alias("line")), KEYWORD_REPORT_HEADER)
+
+
+def v_question_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Question-keyword reports of the articles' own keywords: a heading of the
+    article as a question (every fourth), three words of it, or a question
+    about the keyword."""
+    m = F.col("doc_id") % 4
+    line = F.when(m == 0, F.concat(F.array_join("words", " "), F.lit("?"))) \
+        .when(m == 2, F.concat(F.array_join(F.slice("words", 1, 3), " "), F.lit(" ?"))) \
+        .otherwise(F.concat(F.lit("What is "), F.col("seed"), F.lit("?")))
+    return _report_pages(_topic_lines(spark, sf).select("seed", "pos", line.alias("line")), "Keyword")
+
+
 def v_keyword_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Staged related-keyword reports: one report per (seed, page) holding at
     most ``REPORT_PAGE_ROWS`` lines, as the keyword service pages them.  Each
     report row is bounded, whatever the size of a seed."""
-    k = v_keywords(spark, sf).withColumn("page", ((F.col("pos") - 1) / REPORT_PAGE_ROWS).cast("int"))
-    lines = k.select("seed", "page", "pos", keyword_report_line().alias("line"))
-    grouped = lines.groupBy("seed", "page").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("_l")
-    )
-    return grouped.select(
-        "seed", "page",
-        F.concat_ws("\n", F.lit(KEYWORD_REPORT_HEADER), F.col("_l.line")).alias("report"),
-    )
+    return _report_pages(v_keywords(spark, sf).select("seed", "pos", keyword_report_line().alias("line")),
+                         KEYWORD_REPORT_HEADER)
 
 
 def v_overview_reports(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,26 +318,32 @@ def _slug_words(text: F.Column, n: int) -> F.Column:
     return F.array_join(F.slice(words, 1, n), "-")
 
 
-def response_body(conv_text: F.Column, key: F.Column) -> F.Column:
-    """Generated-output JSON (ten keys) derived from a conversation turn."""
+def response_body(conv_text: F.Column, key: F.Column, keyword: F.Column) -> F.Column:
+    """Generated-output JSON derived from a conversation turn and the keyword of
+    the article it rewrites.  Lengths, keyword, type and keys are right in some
+    of the outputs and wrong in others."""
     first_line = F.split(conv_text, "\n", -1).getItem(0)
+    kw = F.coalesce(keyword, F.lit("none"))
+    title = F.concat(kw, F.lit(" "), F.replace(conv_text, F.lit("\n"), F.lit(" ")))
     return F.to_json(F.struct(
         F.concat(F.lit("<h1>"), escape_text(first_line), F.lit("</h1>\n<p>"),
                  escape_text(conv_text), F.lit("</p>"),
                  F.when(key % 3 == 0, F.concat(F.lit("\n<p>See [INTERNAL LINK NEEDED: "),
                                                _slug_words(conv_text, 2), F.lit("]</p>")))
                  .otherwise(F.lit(""))).alias("optimized_html"),
-        F.substring(first_line, 1, 58).alias("title_tag"),
-        F.substring(conv_text, 1, 155).alias("meta_description"),
-        _slug_words(conv_text, 4).alias("slug"),
-        F.substring(first_line, 1, 60).alias("og_title"),
-        F.substring(conv_text, 1, 180).alias("og_description"),
+        F.when(key % 3 == 0, F.left(title, F.lit(55))).when(key % 3 == 1, first_line).otherwise(title).alias("title_tag"),
+        F.when(key % 4 == 1, F.left(title, F.lit(155))).when(key % 4 == 3, conv_text)
+        .otherwise(F.left(conv_text, F.lit(155))).alias("meta_description"),
+        F.when(key % 5 < 3, F.concat(kw, F.lit("-guide-"), key.cast("string"))).otherwise(_slug_words(conv_text, 4)).alias("slug"),
+        F.when(key % 11 != 0, first_line).alias("og_title"),  # this key is missing from every eleventh output
+        F.when(key % 6 == 0, conv_text).otherwise(F.left(conv_text, F.lit(180))).alias("og_description"),
         F.struct(
-            F.lit("BlogPosting").alias("@type"),
-            F.substring(first_line, 1, 60).alias("headline"),
-            F.substring(conv_text, 1, 100).alias("description"),
+            F.when(key % 7 == 0, "Article").otherwise("BlogPosting").alias("@type"),
+            first_line.alias("headline"),
+            conv_text.alias("description"),
         ).alias("schema_markup"),
-        F.create_map(F.lit("hero.jpg"), F.substring(first_line, 1, 40)).alias("alt_texts"),
+        F.create_map(F.lit("hero.jpg"), first_line, F.lit("detail.jpg"),
+                     F.concat(F.lit("Photo of "), kw)).alias("alt_texts"),
         F.array(F.struct(
             F.lit("introduction").alias("location"),
             _slug_words(conv_text, 2).alias("suggested_topic"),
@@ -314,18 +353,21 @@ def response_body(conv_text: F.Column, key: F.Column) -> F.Column:
 
 
 def v_responses(spark: SparkSession, sf: str) -> DataFrame:
-    """Generated rewrites: plain JSON, fenced, unclosed fence, truncated."""
-    c = read_table(spark, sf, "conversations").where(F.col("role") == "assistant")
-    key = F.col("conv_id") * 1000 + F.col("turn")
-    body = response_body(F.col("text"), key)
+    """Generated rewrites of articles (a conversation has at most eight turns,
+    so each rewrite has an article of its own): plain JSON, fenced, unclosed
+    fence, truncated."""
+    key = F.col("conv_id") * 8 + F.col("turn")
+    kw = v_articles(spark, sf).select("article_id", F.col("target_keyword").alias("_kw"))
+    c = read_table(spark, sf, "conversations").where(F.col("role") == "assistant").withColumn(
+        "article_id", key.cast("string")).join(kw, "article_id", "left")
     m = F.col("conv_id") % 4
     raw = (
-        F.when(m == 0, body)
-        .when(m == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
-        .when(m == 2, F.concat(F.lit("```\n"), body))
+        F.when(m == 0, F.col("_b"))
+        .when(m == 1, F.concat(F.lit("```json\n"), F.col("_b"), F.lit("\n```")))
+        .when(m == 2, F.concat(F.lit("```\n"), F.col("_b")))
         .otherwise(F.expr("substring(_b, 1, char_length(_b) - 7)"))
     )
-    return c.withColumn("_b", body).select(key.cast("string").alias("article_id"), raw.alias("raw"))
+    return c.withColumn("_b", response_body(F.col("text"), key, F.col("_kw"))).select("article_id", raw.alias("raw"))
 
 
 def v_stories(spark: SparkSession, sf: str) -> DataFrame:

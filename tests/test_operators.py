@@ -35,8 +35,15 @@ def test_voice_counts_phrases(spark):
 
 
 def test_question_and_secondary_audits_have_both_outcomes(spark):
-    a = spark.createDataFrame([(1, "<h2>Why so?</h2>"), (2, "<h2>So</h2>")], "article_id int, body_html string")
-    assert {r.article_id: r.ok for r in AU.audit_question_h2(a).collect()} == {1: True, 2: False}
+    a = spark.createDataFrame(
+        [(1, "<h2>x</h2><h2>Why is it SO?</h2>", "k"), (2, "<h2>So why, of all things, is it?</h2>", "k"),
+         (3, "<h2>Why so?</h2>", "k"), (4, "<h2>why is it so</h2>", "other"), (5, "<p>none</p>", "k"), (6, "<h2>why so</h2>", None)],
+        "article_id int, body_html string, target_keyword string")
+    q = spark.createDataFrame([("k", "why is it so"), ("k", "never asked here"), ("k", "?")], "keyword string, question string")
+    assert {r.article_id: (r.question_h2s, r.matched_h2s, r.ok) for r in AU.audit_question_h2(a, q).collect()} == {
+        1: (1, 1, True), 2: (1, 1, True), 3: (1, 0, False), 4: (0, 0, False), 5: (0, 0, False), 6: (0, 0, False)}
+    h = spark.createDataFrame([(1, "k", 0, "Why is it SO?"), (2, "k", 0, "so why is it")], "article_id int, keyword string, seq int, text string")
+    assert {(r.article_id, r.equal) for r in AU.question_matches(h, q).collect()} == {(1, True), (2, False)}
     h = spark.createDataFrame([(1, "s", 1, 2, "Red shoes"), (1, "s", 2, 3, "blue SHOES"), (2, "s", 1, 2, "hats")],
                               "article_id int, seed string, seq int, level int, heading_text string")
     kw = spark.createDataFrame([("s", "Shoes")], "seed string, keyword string")
