@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.html import html_to_text, tag_texts
+from inkwell.session import materialise
 
 DENSITY_MIN, DENSITY_MAX = 1.0, 2.0
 FIRST_WORDS = 100
@@ -91,6 +92,58 @@ def audit_keyword_density(articles: DataFrame) -> DataFrame:
                     dens.alias("density"), ((dens >= DENSITY_MIN) & (dens <= DENSITY_MAX)).alias("ok"))
 
 
+def phrase_occurrences(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Whole-word occurrences of many phrases in many texts.  ``texts``: text_id,
+    words (array); ``wanted``: text_id, phrase, words (array, not empty).  Returns
+    text_id, phrase, occurrences for the phrases that occur.
+
+    A positional word index is joined on (text, first word of the phrase); the
+    words after it are verified by joining (text, position, word), so a text is
+    cut into words once however many phrases it is asked for.  Both joins are
+    equi-joins with a text in their key and split where they are skewed."""
+    index = materialise(texts.select("text_id", F.posexplode("words").alias("pos", "word")), "word-index")
+    found = index.join(wanted.select("text_id", "phrase", F.col("words").alias("_p"), F.get("words", F.lit(0)).alias("word")),
+                       ["text_id", "word"])
+    single = found.where(F.size("_p") == 1).select("text_id", "phrase", F.col("pos").alias("start"))
+    tail = found.where(F.size("_p") > 1).select(
+        "text_id", "phrase", F.col("pos").alias("start"), (F.size("_p") - 1).alias("_n"), F.posexplode(F.slice("_p", 2, 1 << 30)).alias("_k", "word"))
+    longer = tail.withColumn("pos", F.col("start") + F.col("_k") + 1).join(index, ["text_id", "pos", "word"]).groupBy(
+        "text_id", "phrase", "start", "_n").agg(F.count(F.lit(1)).alias("_c")).where("_c = _n").select("text_id", "phrase", "start")
+    return single.unionByName(longer).groupBy("text_id", "phrase").agg(F.count(F.lit(1)).cast("int").alias("occurrences"))
+
+
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
+
+
+def competitor_density(pages: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Q6 over competitors: per (keyword, phrase) the pages of the keyword, the
+    occurrences of the phrase on them and its mean density (occurrences per 100
+    words; a page without words counts as 0).  ``pages``: keyword, web_id, text,
+    word_count; ``phrases``: keyword, phrase."""
+    pages = materialise(pages.select("keyword", "web_id", "text", "word_count"), "density-pages")
+    texts = pages.select(F.col("web_id").alias("text_id"), "text").dropDuplicates(["text_id"]).select(
+        "text_id", _tokens(F.col("text")).alias("words"))
+    asked = phrases.select("keyword", "phrase").distinct()
+    wanted = pages.select("keyword", F.col("web_id").alias("text_id")).join(asked, "keyword").select("text_id", "phrase").distinct()
+    found = phrase_occurrences(texts, wanted.withColumn("words", _tokens(F.col("phrase"))).where(F.size("words") > 0))
+    per_page = asked.join(pages.select("keyword", F.col("web_id").alias("text_id"), "word_count"), "keyword").join(
+        found, ["text_id", "phrase"], "left").withColumn("n", F.coalesce("occurrences", F.lit(0)))
+    return per_page.groupBy("keyword", "phrase").agg(
+        F.count(F.lit(1)).cast("int").alias("pages"), F.sum("n").cast("long").alias("occurrences"),
+        F.avg(F.when(F.col("word_count") > 0, F.col("n") * 100.0 / F.col("word_count")).otherwise(0.0)).alias("density"))
+
+
+def audit_competitor_density(articles: DataFrame, competitors: DataFrame) -> DataFrame:
+    """Q6: the keyword's density in the article beside its mean density on the
+    competitor pages (none without pages), and whether the article uses it more."""
+    own = audit_keyword_density(articles).select("article_id", "density")
+    c = competitors.select(F.col("keyword").alias("target_keyword"), F.col("density").alias("competitor_density"), "pages")
+    return own.join(articles.select("article_id", "target_keyword"), "article_id").join(c, "target_keyword", "left").select(
+        "article_id", "density", "competitor_density", F.coalesce("pages", F.lit(0)).alias("pages"),
+        F.coalesce(F.col("density") > F.col("competitor_density"), F.lit(False)).alias("above"))
+
+
 def audit_topic_copy(articles: DataFrame, topics: DataFrame) -> DataFrame:
     """Q4: article H2s equal (case-insensitively) to a competitor topic of the
     article's keyword; 0 expected.  Equi-join on (keyword, lower text)."""

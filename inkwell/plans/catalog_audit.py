@@ -13,7 +13,7 @@ from inkwell.plans import catalog_headings as CH
 from inkwell.plans import catalog_responses as CR
 from inkwell.plans import sqlfrag as Q
 from inkwell.plans.oracle_views import with_views
-from inkwell.plans.registry import register
+from inkwell.plans.registry import ORACLES, register
 from inkwell.sources import views as V
 
 from inkwell.plans import catalog_keywords as CK  # noqa: E402
@@ -106,6 +106,44 @@ def audit_keyword_density(spark, sf):
     return AU.audit_keyword_density(V.v_articles(spark, sf))
 
 
+_DENSITY = f"""
+  SELECT keyword, phrase, CAST(count(*) AS INTEGER) AS pages, CAST(sum(n) AS BIGINT) AS occurrences,
+         avg(CASE WHEN word_count > 0 THEN n * 100.0 / word_count ELSE 0.0 END) AS density
+  FROM (SELECT p.keyword, q.phrase, p.word_count,
+               CASE WHEN len(q.w) = 0 THEN 0 ELSE len(list_filter(range(1, len(p.w) - len(q.w) + 2),
+                 lambda i: p.w[i:i + len(q.w) - 1] = q.w)) END AS n
+        FROM (SELECT keyword, word_count, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM ({CC.TEXTS})) p
+        JOIN (SELECT DISTINCT keyword, phrase, regexp_extract_all(lower(phrase), '[\\p{{L}}\\p{{N}}]+') AS w FROM (
+                SELECT seed AS keyword, keyword AS phrase FROM ({CK.TOPIC_KEYWORDS})
+                UNION ALL SELECT target_keyword, target_keyword FROM v_articles WHERE target_keyword IS NOT NULL)) q
+          USING (keyword))
+  GROUP BY keyword, phrase"""
+
+
+def _density(spark, sf):
+    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
+    phrases = CK.topic_keywords(spark, sf).select(F.col("seed").alias("keyword"), F.col("keyword").alias("phrase"))
+    own = V.v_articles(spark, sf).where("target_keyword is not null").select(
+        F.col("target_keyword").alias("keyword"), F.col("target_keyword").alias("phrase"))
+    return AU.competitor_density(C.competitor_texts(top, V.v_web(spark, sf)), phrases.union(own))
+
+
+@register("competitor_density", with_views(_DENSITY, "v_articles", "v_serp_responses", "v_web", "v_topic_reports"))
+def competitor_density(spark, sf):
+    return _density(spark, sf)
+
+
+@register("audit_competitor_density", with_views(f"""
+  SELECT o.article_id, o.density, c.density AS competitor_density, coalesce(c.pages, 0) AS pages,
+         coalesce(o.density > c.density, false) AS above
+  FROM ({ORACLES['audit_keyword_density']}) o JOIN v_articles a USING (article_id)
+  LEFT JOIN (SELECT * FROM ({_DENSITY}) WHERE phrase = keyword) c ON c.keyword = a.target_keyword""",
+                                                "v_articles", "v_serp_responses", "v_web", "v_topic_reports"))
+def audit_competitor_density(spark, sf):
+    c = _density(spark, sf).where("phrase = keyword")
+    return AU.audit_competitor_density(V.v_articles(spark, sf), c)
+
+
 _KEYS = "[" + ", ".join(f"'{k}'" for k in AU.OUTPUT_KEYS) + "]"
 
 

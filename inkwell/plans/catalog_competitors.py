@@ -39,6 +39,14 @@ _FETCHED = f"""
         QUALIFY row_number() OVER (PARTITION BY t.keyword, t.rank ORDER BY w.web_id) = 1)
 """
 
+TEXTS = f"""
+  SELECT keyword, web_id, text, {Q.word_count('text')} AS word_count FROM (
+    SELECT keyword, web_id, {Q.html_to_text('c')} AS text
+    FROM (SELECT t.keyword, w.web_id, {Q.strip_boilerplate('w.html')} AS c
+          FROM ({_TOP}) t JOIN v_web w ON w.url = t.link
+          QUALIFY row_number() OVER (PARTITION BY t.keyword, t.rank ORDER BY w.web_id) = 1))
+"""
+
 _UNION = f"""
   SELECT keyword, rank AS page_rank, CAST(generate_subscripts(h2s, 1) AS INTEGER) AS h2_pos, unnest(h2s) AS h2
   FROM ({_FETCHED})

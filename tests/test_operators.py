@@ -50,6 +50,20 @@ def test_question_and_secondary_audits_have_both_outcomes(spark):
     assert {r.article_id: r.ok for r in AU.audit_secondary_headings(h, kw).collect()} == {1: True, 2: False}
 
 
+def test_phrases_in_pages_are_counted_by_position(spark):
+    texts = [(1, "a b a b c a".split()), (2, "b a".split()), (3, [])]
+    wanted = [(i, p, p.split()) for i in (1, 2, 3) for p in ("a", "a b", "b a b", "a b a b c a", "c a x", "a a")]
+    got = AU.phrase_occurrences(spark.createDataFrame(texts, "text_id int, words array<string>"),
+                                spark.createDataFrame(wanted, "text_id int, phrase string, words array<string>"))
+    assert {(r.text_id, r.phrase): r.occurrences for r in got.collect()} == {
+        (1, "a"): 3, (1, "a b"): 2, (1, "b a b"): 1, (1, "a b a b c a"): 1, (2, "a"): 1}
+    pages = spark.createDataFrame([("k", 1, "Red shoes, red SHOES and more", 6), ("k", 2, "none here", 2), ("k", 3, "", 0)],
+                                  "keyword string, web_id int, text string, word_count int")
+    d = AU.competitor_density(pages, spark.createDataFrame([("k", "red shoes"), ("k", "hats"), ("x", "hats")], "keyword string, phrase string"))
+    assert {(r.keyword, r.phrase): (r.pages, r.occurrences, round(r.density, 4)) for r in d.collect()} == {
+        ("k", "red shoes"): (3, 2, 11.1111), ("k", "hats"): (3, 0, 0.0)}
+
+
 def test_streams_in_many_batches_equal_the_batch_form(spark):
     sf = "/root/testdata/sf0.001"
     events = V.v_run_events(spark, sf)
