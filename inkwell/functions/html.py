@@ -34,6 +34,7 @@ HEADING_RE = r"""(?is)<h([1-6])\b([^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+|
 COMMENT_MARK, RAW_MARK = "\ue000", "\ue001"
 _RAW_RE = rf"<(script|style|textarea|title)\b{_REST}.*?(?:</\1\s*>|\z)"
 _HIDDEN_RE = rf"(?is)<!--.*?(?:-->|\z)|{_RAW_RE}|[{COMMENT_MARK}{RAW_MARK}]"
+_MAY_HIDE_RE = rf"(?i)<(?:!--|script|style|textarea|title)|[{COMMENT_MARK}{RAW_MARK}]"
 # A heading element as a whole, any other tag, or a hidden raw element.
 _TOKEN_RE = rf"(?is)<h([1-6])\b{_REST}.*?</h\1\s*>|<[/!?a-z]{_REST}|{RAW_MARK}"
 # Elements without content; elements that end an open paragraph;
@@ -111,13 +112,16 @@ def word_count(text: Column | str) -> Column:
 
 def hide_raw(html: Column | str) -> Column:
     """The text with each comment and each raw-text element as one character."""
-    out = F.regexp_replace(_c(html), rf"(?s)<!--.*?(?:-->|\z)|{COMMENT_MARK}", COMMENT_MARK)
-    return F.regexp_replace(out, rf"(?is){_RAW_RE}|{RAW_MARK}", RAW_MARK)
+    text = _c(html)
+    out = F.regexp_replace(text, rf"(?s)<!--.*?(?:-->|\z)|{COMMENT_MARK}", COMMENT_MARK)
+    out = F.regexp_replace(out, rf"(?is){_RAW_RE}|{RAW_MARK}", RAW_MARK)
+    return F.when(text.rlike(_MAY_HIDE_RE), out).otherwise(text)
 
 
 def hidden_parts(html: Column | str) -> Column:
     """What :func:`hide_raw` hid, in order."""
-    return F.regexp_extract_all(_c(html), F.lit(_HIDDEN_RE), 0)
+    return F.when(_c(html).rlike(_MAY_HIDE_RE), F.regexp_extract_all(_c(html), F.lit(_HIDDEN_RE), 0)).otherwise(
+        F.array().cast("array<string>"))
 
 
 def show_raw(text: Column, parts: Column) -> Column:
@@ -218,33 +222,31 @@ def heading_inner_text(inner: Column | str, sep: str = "") -> Column:
     """Text of a heading's inner HTML.  Each text piece is trimmed and the
     pieces are joined with ``sep`` -- by default nothing, so
     ``Foo <b>bar</b>`` gives ``Foobar``."""
-    out = F.regexp_replace(_c(inner), _COMMENT_RE + f"|[{COMMENT_MARK}{RAW_MARK}]", "")
+    text = _c(inner)
+    out = F.regexp_replace(text, _COMMENT_RE + f"|[{COMMENT_MARK}{RAW_MARK}]", "")
     out = F.regexp_replace(out, rf"(?s)\s*<[/!?a-zA-Z]{_REST}\s*", sep)
-    return F.trim(decode_entities(out))
+    return F.when(text.rlike(f"[<&{COMMENT_MARK}{RAW_MARK}]"), F.trim(decode_entities(out))).otherwise(F.trim(text))
 
 
-def heading_levels(html: Column | str) -> Column:
+def heading_levels(html: Column | str, hidden: bool = False) -> Column:
     """Levels of all headings in document order, ``array<int>``; what looks like
-    one in a comment or a script is none."""
-    return F.transform(
-        F.regexp_extract_all(hide_raw(html), F.lit(HEADING_RE), 1), lambda x: x.cast("int")
-    )
+    one in a comment or a script is none (``hidden``: the text comes from
+    :func:`hide_raw`)."""
+    return F.transform(F.regexp_extract_all(_c(html) if hidden else hide_raw(html), F.lit(HEADING_RE), 1),
+                       lambda x: x.cast("int"))
 
 
-def heading_texts(html: Column | str, sep: str = "") -> Column:
+def heading_texts(html: Column | str, sep: str = "", hidden: bool = False) -> Column:
     """Texts of all headings in document order, ``array<string>``."""
-    return F.transform(
-        F.regexp_extract_all(hide_raw(html), F.lit(HEADING_RE), 3),
-        lambda x: heading_inner_text(x, sep),
-    )
+    return F.transform(F.regexp_extract_all(_c(html) if hidden else hide_raw(html), F.lit(HEADING_RE), 3),
+                       lambda x: heading_inner_text(x, sep))
 
 
-def tag_texts(html: Column | str, tag: str, sep: str = "") -> Column:
+def tag_texts(html: Column | str, tag: str, sep: str = "", hidden: bool = False) -> Column:
     """Texts of every ``<tag>`` element (e.g. ``h2``) in document order."""
     pat = rf"(?is)<{tag}\b{_REST}(.*?)</{tag}\s*>"
-    return F.transform(
-        F.regexp_extract_all(hide_raw(html), F.lit(pat), 1), lambda x: heading_inner_text(x, sep)
-    )
+    return F.transform(F.regexp_extract_all(_c(html) if hidden else hide_raw(html), F.lit(pat), 1),
+                       lambda x: heading_inner_text(x, sep))
 
 
 def escape_text(text: Column | str) -> Column:

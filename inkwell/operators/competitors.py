@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.functions.html import (
+    hide_raw,
     html_to_text,
     strip_boilerplate,
     tag_texts,
@@ -87,12 +88,11 @@ def competitor_top(results: DataFrame, requested: int = RESULTS_REQUESTED,
 def page_structure(pages: DataFrame, html: str = "html") -> DataFrame:
     """A4 + X5-X8: per page, after removing boilerplate elements: text of the
     first H1 (``""`` if none), H2 and H3 texts, and the word count."""
-    clean = strip_boilerplate(F.col(html))
-    return pages.withColumn("_clean", clean).select(
+    return pages.withColumn("_clean", strip_boilerplate(F.col(html))).withColumn("_hidden", hide_raw("_clean")).select(
         *[c for c in pages.columns if c != html],
-        F.coalesce(F.try_element_at(tag_texts("_clean", "h1"), F.lit(1)), F.lit("")).alias("h1"),
-        tag_texts("_clean", "h2").alias("h2s"),
-        tag_texts("_clean", "h3").alias("h3s"),
+        F.coalesce(F.try_element_at(tag_texts("_hidden", "h1", hidden=True), F.lit(1)), F.lit("")).alias("h1"),
+        tag_texts("_hidden", "h2", hidden=True).alias("h2s"),
+        tag_texts("_hidden", "h3", hidden=True).alias("h3s"),
         word_count(html_to_text("_clean")).alias("word_count"),
     )
 

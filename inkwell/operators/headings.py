@@ -87,8 +87,8 @@ def with_heading_plan(articles: DataFrame, body: str = "body_html", title: str =
     ``hidden_body``     the body without comments and raw text (``hide_raw``).
     """
     root = F.struct(F.lit(0).alias("id"), F.lit("").alias("path"))
-    df = (articles.withColumn("hidden_body", hide_raw(F.col(body))).withColumn("raw_levels", heading_levels(F.col("hidden_body")))
-          .withColumn("_texts", heading_texts(F.col("hidden_body")))
+    df = (articles.withColumn("hidden_body", hide_raw(F.col(body))).withColumn("raw_levels", heading_levels("hidden_body", hidden=True))
+          .withColumn("_texts", heading_texts("hidden_body", hidden=True))
           .withColumn("_in", F.when(F.col("hidden_body").rlike(NESTING_RE), heading_containers(F.col("hidden_body")))
                       .otherwise(F.transform("raw_levels", lambda _: root))))
     first_h1 = F.array_position("raw_levels", 1)
@@ -210,12 +210,12 @@ def normalize_html_structure(articles: DataFrame, body: str = "body_html", title
     inserted_h1 = F.concat(_markers(F.lit(1)), F.lit("<h1>"),
                            escape_text(F.coalesce(F.col(title), F.lit(""))), F.lit("</h1>"))
     blank = F.regexp_replace(F.coalesce(F.col(body), F.lit("")), r"\s+", "") == ""
+    mark = F.when(F.col("_at").isNotNull(), F.lit(_END_MARK)).otherwise(F.lit(""))  # "" replaces nothing
     # a title may hold any character, so it comes in after the hidden parts
-    shown = F.when(F.col("_at").isNull(), show_raw(F.col("_rebuilt"), F.col("_hidden"))).otherwise(show_raw(
-        F.replace("_rebuilt", F.lit(_END_MARK), F.lit(CONCLUSION_END)), F.col("_hidden")))
     out = (
-        plan.withColumn("_rebuilt", rebuilt).withColumn("_hidden", hidden_parts(F.col(body)))
-        .withColumn("_shown", shown)
+        plan.withColumn("_rebuilt", F.replace(rebuilt, mark, F.lit(CONCLUSION_END)))
+        .withColumn("_hidden", hidden_parts(F.col(body)))
+        .withColumn("_shown", show_raw(F.col("_rebuilt"), F.col("_hidden")))
         .withColumn("_lead", F.when(F.col("h1_inserted"), show_raw(F.regexp_extract("_rebuilt", rf"^[^<{RAW_MARK}]*", 0),
                                                                   F.col("_hidden"))))
         .withColumn("_with_h1", F.when(

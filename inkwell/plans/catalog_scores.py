@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkwell.functions import html as H
-from inkwell.functions.language import PROFILES, detect_language, route_language
+from inkwell.functions.language import BUCKETS, SCALE, detect_language, learn_profiles, route_language
 from inkwell.functions.values import truncate_chars as tchars, truncate_words as twords
 from inkwell.operators import scores as S
 from inkwell.operators import similarity as SIM
@@ -14,6 +14,7 @@ from inkwell.plans import sqlfrag as Q
 from inkwell.plans.oracle_views import with_views
 from inkwell.plans.registry import register
 from inkwell.sources import views as V
+from inkwell.sources.tables import read_table
 
 _FLOAT = f"(CASE WHEN regexp_full_match({{x}}, '{Q.FLOAT_RE}') THEN CAST({{x}} AS DOUBLE) END)"
 
@@ -162,22 +163,35 @@ def truncate_chars(spark, sf):
     return a.select("article_id", tchars(H.html_to_text("body_html"), 2000).alias("text"))
 
 
-def _sql_detect(text: str) -> str:
-    toks = f"regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')"
-    votes = []
-    for lang, words in PROFILES:
-        lst = "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
-        votes.append((lang, f"len(list_filter({toks}, lambda t: list_contains({lst}, t)))"))
-    best = "greatest(" + ", ".join(v for _, v in votes) + ")"
-    cases = " ".join(f"WHEN {v} = {best} THEN '{lang}'" for lang, v in votes)
-    return f"(CASE WHEN {best} = 0 THEN 'fr' {cases} END)"
+def _sql_buckets(rows: str, key: str, text: str) -> str:
+    """(key, b): a row per word, the bucket of its last three letters."""
+    code = lambda k: f"(CASE WHEN length(e) >= {k} THEN unicode(e[{k}:{k}]) ELSE 0 END)"
+    return f"""
+  SELECT {key}, ({code(1)} * 961 + {code(2)} * 31 + {code(3)}) % {BUCKETS} AS b FROM (
+    SELECT {key}, right(w, 3) AS e FROM (
+      SELECT {key}, unnest(regexp_extract_all(lower({text}), '\\p{{L}}+')) AS w FROM {rows}))"""
+
+
+_PROFILES = f"""
+  SELECT l, b, CAST(round({SCALE} * ln((coalesce(c.n, 0) + 0.5) / (t.n + 0.5 * {BUCKETS}))) AS BIGINT) AS w
+  FROM (SELECT l, sum(n) AS n FROM g GROUP BY l) t CROSS JOIN (SELECT unnest(range({BUCKETS})) AS b) b LEFT JOIN g c USING (l, b)"""
 
 
 @register("detect_language", with_views(f"""
-  SELECT article_id, source_lang, detected,
+  SELECT * FROM (WITH g AS (
+    SELECT l, b, count(*) AS n FROM ({_sql_buckets("(SELECT lang AS l, text FROM documents WHERE lang IS NOT NULL)", "l", "text")})
+    GROUP BY l, b),
+  p AS ({_PROFILES}),
+  x AS (SELECT article_id, b, count(*) AS n FROM (
+          {_sql_buckets(f"(SELECT article_id, {Q.html_to_text('body_html')} AS text FROM v_articles)", "article_id", "text")})
+        GROUP BY article_id, b),
+  s AS (SELECT article_id, l, sum(x.n * p.w) AS score FROM x JOIN p USING (b) GROUP BY article_id, l),
+  d AS (SELECT article_id, arg_min(l, l) AS detected FROM (
+          SELECT *, max(score) OVER (PARTITION BY article_id) AS best FROM s) WHERE score = best GROUP BY article_id)
+  SELECT article_id, source_lang, coalesce(detected, 'fr') AS detected,
          CASE WHEN detected IN ('fr', 'en') THEN detected ELSE 'fr' END AS language
-  FROM (SELECT article_id, source_lang, {_sql_detect(Q.html_to_text('body_html'))} AS detected FROM v_articles)""",
-                                        "v_articles"))
+  FROM v_articles LEFT JOIN d USING (article_id))""", "v_articles"))
 def detect_language_q(spark, sf):
-    a = V.v_articles(spark, sf).withColumn("detected", detect_language(H.html_to_text("body_html")))
+    profiles = learn_profiles(read_table(spark, sf, "documents"))
+    a = V.v_articles(spark, sf).withColumn("detected", detect_language(H.html_to_text("body_html"), profiles))
     return a.select("article_id", "source_lang", "detected", route_language(F.col("detected")).alias("language"))

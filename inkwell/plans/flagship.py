@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import html as H
-from inkwell.functions.language import detect_language, route_language
+from inkwell.functions.language import detect_language, learn_profiles, route_language
 from inkwell.operators import competitors as C
 from inkwell.operators import events as E
 from inkwell.operators import headings as HD
@@ -19,20 +19,23 @@ from inkwell.operators import scores as S
 from inkwell.operators import similarity as SIM
 from inkwell.session import materialise
 from inkwell.sources import views as V
+from inkwell.sources.tables import read_table
 
 
 def enrichment_star(spark: SparkSession, sf: str) -> DataFrame:
+    profiles = learn_profiles(read_table(spark, sf, "documents"))
     # everything that comes from the article alone is one projection of it
-    a = HD.normalize_html_structure(V.v_articles(spark, sf)).withColumn("_text", H.html_to_text("body_html"))
+    articles = materialise(V.v_articles(spark, sf), "articles")
+    a = HD.normalize_html_structure(articles).withColumn("_text", H.html_to_text("body_html"))
     a = materialise(a.select(
         "article_id", "target_keyword", F.col("_text").alias("text"), *HD.skip_columns(),
         F.col("target_keyword").alias("seed"),
-        route_language(detect_language(F.col("_text"))).alias("language"),
+        route_language(detect_language(F.col("_text"), profiles)).alias("language"),
         F.md5(F.col("normalized_html").cast("binary")).alias("normalized_md5")), "enrichment")
     base = E.missing_keyword_split(a)
     kws = a.select(F.col("target_keyword").alias("keyword")).where(F.col("keyword").isNotNull())
-    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
-    struct = C.competitor_structure(kws, top, C.fetch_competitors(top, V.v_web(spark, sf)))
+    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf, articles)))
+    struct = C.competitor_structure(kws, top, C.fetch_competitors(top, V.v_web(spark, sf, articles)))
     sim = SIM.similarity_flag(SIM.best_source(a.select("article_id", "text"), V.v_corpus(spark, sf)))
     secondary = K.secondary_keywords(K.related_keywords_parse(V.v_topic_reports(spark, sf))).groupBy("seed").agg(
         F.array_sort(F.collect_list(F.struct("rank", "keyword"))).alias("_k"))  # at most five a seed

@@ -155,16 +155,18 @@ def _report_pages(lines: DataFrame, header: str) -> DataFrame:
     return grouped.select("seed", "page", F.concat_ws("\n", F.lit(header), F.col("_l.line")).alias("report"))
 
 
-def _topic_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Per article with a keyword: the words of its second heading line (of its
-    first, if there is none), in lower case, numbered within the keyword."""
+def _topic_lines(spark: SparkSession, sf: str, line: F.Column) -> DataFrame:
+    """(seed, pos, line) per article with a keyword, numbered within the
+    keyword; ``line`` is made of ``seed``, ``doc_id`` and ``words``, the words of
+    the article's second heading line (of its first, if there is none), in lower
+    case."""
     d = read_table(spark, sf, "documents").where(F.col("doc_id") % 13 != 0)
     lines = F.split("text", "\n", -1)
-    line = F.coalesce(F.nullif(F.get(lines, F.lit(3)), F.lit("")), F.get(lines, F.lit(0)))
-    words = F.regexp_extract_all(F.lower(line), F.lit(r"[\p{L}\p{N}]+"), 0)
+    heading = F.coalesce(F.nullif(F.get(lines, F.lit(3)), F.lit("")), F.get(lines, F.lit(0)))
+    words = F.regexp_extract_all(F.lower(heading), F.lit(r"[\p{L}\p{N}]+"), 0)
     seed = F.try_element_at(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), 0), F.lit(2))
     base = d.select(F.lower(seed).alias("seed"), "doc_id", words.alias("words")).where("seed is not null and size(words) > 0")
-    return number_within(base, ["seed"], ["doc_id"], "pos")
+    return number_within(base.select("seed", "doc_id", line.alias("line")), ["seed"], ["doc_id"], "pos")
 
 
 def v_topic_reports(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,7 +175,7 @@ def v_topic_reports(spark: SparkSession, sf: str) -> DataFrame:
     doc = F.col("doc_id")
     line = F.concat_ws(";", F.array_join(F.slice("words", 1, 2), " "), ((doc * 31) % 997 + 1).cast("string"),
                        (doc % 50).cast("string"))
-    return _report_pages(_topic_lines(spark, sf).select("seed", "pos", line.alias("line")), KEYWORD_REPORT_HEADER)
+    return _report_pages(_topic_lines(spark, sf, line), KEYWORD_REPORT_HEADER)
 
 
 def v_question_reports(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,7 +186,7 @@ def v_question_reports(spark: SparkSession, sf: str) -> DataFrame:
     line = F.when(m == 0, F.concat(F.array_join("words", " "), F.lit("?"))) \
         .when(m == 2, F.concat(F.array_join(F.slice("words", 1, 3), " "), F.lit(" ?"))) \
         .otherwise(F.concat(F.lit("What is "), F.col("seed"), F.lit("?")))
-    return _report_pages(_topic_lines(spark, sf).select("seed", "pos", line.alias("line")), "Keyword")
+    return _report_pages(_topic_lines(spark, sf, line), "Keyword")
 
 
 def v_keyword_reports(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,7 +218,7 @@ SKIPPED_RESULT_URL = "https://en.wikipedia.org/wiki/"
 UNREACHABLE_URL = "https://offline.example.invalid/"
 
 
-def v_web(spark: SparkSession, sf: str) -> DataFrame:
+def v_web(spark: SparkSession, sf: str, articles: DataFrame | None = None) -> DataFrame:
     """The crawlable web: raw ``pages`` plus the articles served as pages.
     Each document is a search result for one keyword: a page for the target
     keyword of the document with the same id, an article for its own."""
@@ -235,21 +237,21 @@ def v_web(spark: SparkSession, sf: str) -> DataFrame:
     return pages.unionByName(arts)
 
 
-def v_serp(spark: SparkSession, sf: str) -> DataFrame:
+def v_serp(spark: SparkSession, sf: str, articles: DataFrame | None = None) -> DataFrame:
     """Organic search results: every web document with a keyword, ranked by
     ``web_id`` inside the keyword (a common keyword is a hot group)."""
-    w = v_web(spark, sf).where(F.col("keyword").isNotNull()).select(
+    w = v_web(spark, sf, articles).where(F.col("keyword").isNotNull()).select(
         "keyword", "web_id", F.col("url").alias("link"))
     return number_within(w, ["keyword"], ["web_id"], "position").select(
         "keyword", "position", "link", "web_id"
     )
 
 
-def v_serp_responses(spark: SparkSession, sf: str) -> DataFrame:
+def v_serp_responses(spark: SparkSession, sf: str, articles: DataFrame | None = None) -> DataFrame:
     """Staged search responses, one JSON document per result.  Around the
     result: a skipped-domain link first on every 5th, an entry without link on
     every 4th and an unreachable link last on every 7th."""
-    s = v_serp(spark, sf)
+    s = v_serp(spark, sf, articles)
     wid = F.col("web_id")
     entry = lambda keep, link, pos: F.struct(keep.alias("keep"), link.alias("link"), pos.alias("position"))
     entries = F.array(

@@ -1,11 +1,12 @@
 """Literal expectations of the text layer, independent of any oracle."""
 
 import pytest
+import regex as re
 from pyspark.sql import functions as F
 
 from inkwell.functions import html as H
 from inkwell.functions import values as V
-from inkwell.functions.language import detect_language
+from inkwell.functions.language import BUCKETS, detect_language, learn_profiles, ending_buckets
 from inkwell.operators.audit import audit_keyword_density, audit_metadata
 from inkwell.operators.headings import normalise_levels
 
@@ -46,8 +47,26 @@ def test_words_and_trimming(spark):
 
 
 def test_language_reads_the_whole_text(spark):
-    late = "xx " * 2000 + "the of and to in is that"
-    assert [one(spark, t, detect_language(F.col("x"))) for t in (late, "der die das", "", "qqq")] == ["en", "de", "fr", "fr"]
+    rows = [("the cat and the dog of this house", "en"), ("der hund und die katze nicht", "de"), ("zzz", None), (None, "en")]
+    p = learn_profiles(spark.createDataFrame(rows, "text string, lang string"))
+    assert p.languages == ("de", "en")
+    late = "xx " * 2000 + "the house of this cat and the dog " * 40
+    assert [one(spark, t, detect_language(F.col("x"), p)) for t in (late, "die Katze", "", "12 ?!", None)] == ["en", "de", "fr", "fr", "fr"]
+    assert one(spark, "any", detect_language(F.col("x"), learn_profiles(spark.createDataFrame([], "text string, lang string")))) == "fr"
+
+
+def test_language_of_texts_not_learned_from(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    p = learn_profiles(d.where("doc_id % 3 > 0"))
+    held = d.where("doc_id % 3 = 0").select("lang", detect_language(F.col("text"), p).alias("got")).collect()
+    assert len(held) > 300 and sum(r.lang == r.got for r in held) >= 0.98 * len(held)
+
+
+def test_word_endings_by_plain_code(spark):
+    for t in ("", "a", "Ab cédé!", "  x--yzw ", "日本語語 ok", "e\u0301abc", "1"):
+        ends = [[ord(c) for c in w[-3:]] + [0, 0] for w in re.findall(r"\p{L}+", t.lower())]
+        want = [(e[0] * 961 + e[1] * 31 + e[2]) % BUCKETS for e in ends]
+        assert one(spark, t, ending_buckets(F.col("x"))) == want
 
 
 def test_level_repair(spark):
