@@ -18,8 +18,10 @@ texts certifies nothing and its texts are kept unless the base rule fails.
 
 Defined results: a null text has no words; a null or unseen language is the
 stratum of null (its texts are kept when it certifies nothing); a null id stays
-null; repeated rows are judged one by one; a labelled id counts once, as good
-only if all its labels say so.
+null; repeated rows are judged one by one.  The holdout has one observation for
+each distinct text of a stratum and at most one for each labelled id (of several
+texts under one id the one with the least MD5), good only if all labels of the id
+say so: copies are no further evidence.
 """
 
 from __future__ import annotations
@@ -115,12 +117,12 @@ def text_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     stratum = F.col(stratum_col) if stratum_col else F.lit(None)
     return docs.select(
-        F.col(id_col).alias("doc_id"), stratum.cast("string").alias("stratum"),
+        F.col(id_col).alias("doc_id"), stratum.cast("string").alias("stratum"), F.md5(text.cast("binary")).alias("text_md5"),
         of_words.alias("w"), of_lines.alias("l"),
         F.length(_without(text, SPACES)).cast("long").alias("word_chars"),
         (F.octet_length(text) - F.octet_length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.octet_length(text) - F.octet_length(_without(text, "!"))).cast("long").alias("n_exclaims"),
-    ).select("doc_id", "stratum", "w.n_words", "word_chars", "n_symbols", "l.n_dup_lines",
+    ).select("doc_id", "stratum", "text_md5", "w.n_words", "word_chars", "n_symbols", "l.n_dup_lines",
              "w.n_repeat_words", "l.n_lines", "n_exclaims")
 
 
@@ -173,7 +175,9 @@ def certified_cutoffs(judged: DataFrame, good: DataFrame, rules: tuple[Rule, ...
     cutoff of each rule, or null.  ``judged`` has the signals, ``good`` the ids
     of the labelled good texts.  Texts that fail the base rule are no part of
     the holdout, since the method's verdict is never asked for them."""
-    held = judged.where(~F.col("base_failed")).join(good, "doc_id", "left_semi")
+    names = sorted({r.signal for r in rules})
+    held = judged.where(~F.col("base_failed")).join(good, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min(F.struct("text_md5", "stratum", *names)).alias("one")).select("one.*").dropDuplicates(["stratum", "text_md5"])
     counts = held.groupBy("stratum").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.array(*[F.sum(r.rejects(F.col(r.signal), F.lit(c)).cast("long")) for c in r.cutoffs])
@@ -241,7 +245,7 @@ def oracle_op3(rules: tuple[Rule, ...] = RULES, risk: float = 0.05, delta: float
       FROM t),
     h AS (SELECT *, map_from_entries(list_filter(map_entries(list_histogram(win)), lambda e: e.value > 1)) AS twice FROM v),
     m AS (
-      SELECT doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+      SELECT doc_id, stratum, md5(text) AS text_md5, CAST(len(w) AS BIGINT) AS n_words,
              CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_exclaims,
@@ -260,7 +264,11 @@ def oracle_op3(rules: tuple[Rule, ...] = RULES, risk: float = 0.05, delta: float
              CASE WHEN n_words > 0 THEN word_chars::DOUBLE / n_words ELSE 0 END AS word_chars_mean
       FROM m),
     good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(coalesce(quality, 0)) = 1),
-    held AS (SELECT s.* FROM s WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+    held AS (
+      SELECT * FROM (
+        SELECT * FROM s WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY text_md5, stratum NULLS FIRST) = 1)
+      QUALIFY row_number() OVER (PARTITION BY stratum, text_md5) = 1),
     g AS ({grid}),
     c AS (
       SELECT s.stratum, g.rule, g.step, g.cutoff, count(*) AS n,

@@ -24,6 +24,13 @@ def test_stages_keep_columns_and_drop_what_they_should(spark, tmp_path):
         assert stage(spark, empty, sf).count() == 0
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in ("first", "second", "third"))
+    docs = documents(spark, [(7, a), (7, b), (7, a), (5, b + " more"), (8, c), (8, c + " more"), (8, c)])
+    kept = CP.drop_near_duplicates(spark, docs, SMALL).collect()
+    assert sorted((r.doc_id, r.text[:5]) for r in kept) == [(5, "secon"), (7, "first"), (8, "third")]
+
+
 def test_run_covers_the_small_table(spark):
     rows = CP.run(spark, SMALL).collect()
     ids = {r.doc_id for r in rows}

@@ -41,13 +41,28 @@ def test_cutoffs_are_certified_per_stratum(spark):
     nothing is."""
     rules = (Q.Rule("symbol_share", (0.5, 0.1)),)
     judged = spark.createDataFrame(
-        [(i, "a", False, 0.3 if i % 4 == 0 else 0.0) for i in range(400)]
-        + [(1000 + i, "b", False, 0.0) for i in range(400)] + [(2000 + i, None, False, 0.0) for i in range(5)],
-        "doc_id long, stratum string, base_failed boolean, symbol_share double")
+        [(i, "a", f"{i}", False, 0.3 if i % 4 == 0 else 0.0) for i in range(400)]
+        + [(1000 + i, "b", f"{i}", False, 0.0) for i in range(400)] + [(2000 + i, None, f"{i}", False, 0.0) for i in range(5)],
+        "doc_id long, stratum string, text_md5 string, base_failed boolean, symbol_share double")
     got = {r.stratum: r.cutoffs for r in Q.certified_cutoffs(judged, judged.select("doc_id"), rules).collect()}
     assert got == {"a": [0.5], "b": [0.1]}
 
 
+def test_copies_are_no_further_evidence(spark):
+    """Twenty good texts certify nothing, nor do they in many rows of their ids,
+    in copies under other ids, or as texts that share an id."""
+    good = [f"good text number {i} " + " ".join(f"w{i}x{j}" for j in range(60)) for i in range(600)]
+
+    def cutoffs(rows):
+        d = documents(spark, rows)
+        return Q.certified_cutoffs(Q.signals(Q.text_metrics(d)), d.select("doc_id").distinct()).count()
+
+    assert cutoffs(list(enumerate(good))) == 1
+    assert cutoffs([(i, t) for i, t in enumerate(good[:20])] * 20) == 0
+    assert cutoffs([(i, good[i % 20]) for i in range(600)]) == 0
+    assert cutoffs([(i % 20, t) for i, t in enumerate(good)]) == 0
+
+
 def test_odd_rows(spark):
     out = Q.quality_rules(odd_documents(spark), no_labels(spark)).collect()
     assert len(out) == 10
