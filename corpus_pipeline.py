@@ -12,6 +12,7 @@ id when any of them is rejected.  Empty tables give empty results.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from inkwell.llm.common import staged, table
 from inkwell.llm.jaccard import near_duplicates
@@ -35,10 +36,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates,
-    once if its row repeats."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Keep one document of each group of near duplicates, the one with the
+    smallest id, once if its row repeats.  Texts that differ under one id are
+    documents of their own, and of those in one group the first by a hash stays."""
+    nodes = docs.withColumn("_node", F.xxhash64("doc_id", "text"))
+    groups = near_duplicates(nodes.select(F.col("_node").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_node"), "component_id").distinct()
+    kept = (groups.join(nodes.select("_node", "doc_id").distinct(), "_node").groupBy("component_id")
+            .agg(F.min(F.struct("doc_id", "_node")).alias("first")).select("first._node"))
+    return nodes.join(kept, "_node", "left_semi").dropDuplicates(["_node"]).select(docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
