@@ -10,9 +10,15 @@ language with the shortest one, with -log2 of its share of the training texts
 added, is predicted.  The score is the posterior of that language.
 
 All training texts are counted: tasks count four-byte windows by language, Spark
-adds the counts up, and the shorter contexts are their marginals.  The model is
-bounded: in each order, windows below a count are cut from the tree so that no
-more than ``cells`` (window, language) costs remain.
+adds the counts up, and the shorter contexts are their marginals.  No count is
+cut.  The counts stay a table, dealt by the two middle bytes of a window: with
+them lie all windows, contexts and shorter windows that its costs depend on, but
+for contexts of one byte and none, which every task has (65,536 windows a
+language at most).  Each task builds the trees of its part and gives the distinct
+windows of the texts their costs.  The most frequent windows, of ``cells``
+(window, language) costs at most, are sent to the tasks that read the texts; the
+other windows of a text are kept aside by count, joined with the table of costs,
+and added up.  So every text has its exact code lengths at any size.
 
 Texts are lower-cased.  Before its first byte a text has the context of zero
 bytes.
@@ -37,8 +43,10 @@ from pyspark.sql import functions as F
 from inkwell.llm.common import id_remainder, rows_of, staged, table
 
 ORDER = 3
-#: (window, language) costs of each order at most: 16 MB.
+#: (window, language) costs that are sent to the tasks, at most: 16 MB.
 CELLS = 4_000_000
+#: Rows (window, language) of counts that one task builds trees of, about.
+PART = 1_000_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -129,12 +137,11 @@ class Index:
 
 @dataclass
 class Trees:
-    """langs; prior: cost of each language; by order: windows and their costs
-    (backed off where a language has not seen them), contexts and the cost of
-    their escape (0 where a language does not know the context)."""
+    """langs; by order: windows and their costs (backed off where a language has
+    not seen them), contexts and the cost of their escape (0 where a language
+    does not know the context)."""
 
     langs: list[str]
-    prior: np.ndarray
     grams: list[np.ndarray] = field(default_factory=list)
     costs: list[np.ndarray] = field(default_factory=list)
     contexts: list[np.ndarray] = field(default_factory=list)
@@ -186,66 +193,144 @@ class Trees:
         return out
 
 
-def train(texts: DataFrame, cells: int = CELLS) -> Trees | None:
-    """Trees from all rows of ``texts`` (lang, text), none null."""
+@dataclass
+class Profiles:
+    """langs; prior: cost of each language; low: the trees of contexts of no and
+    one byte; counts: (lang, gram, n) of all training texts."""
+
+    langs: list[str]
+    prior: np.ndarray
+    low: Trees
+    counts: DataFrame
+
+
+def _low(order: int) -> int:
+    return (1 << 8 * (order + 1)) - 1
+
+
+def train(texts: DataFrame) -> Profiles | None:
+    """Profiles from all rows of ``texts`` (lang, text), none null."""
     share = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not share:
         return None
     langs = sorted(share)
-    trees = Trees(langs, -np.log2(np.array([share[x] for x in langs], float) / sum(share.values())))
+    place = {x: i for i, x in enumerate(langs)}
     counts = texts.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
     counts = staged(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    most = max(1, cells // len(langs))
-    for order in range(ORDER + 1):
-        mine = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1).cast("long")).alias("gram")) \
-            .agg(F.sum("n").alias("n"))
-        sizes = sorted((r["size"], r["grams"]) for r in mine.groupBy(F.floor(F.log2("n")).alias("size"))
-                       .agg(F.count(F.lit(1)).alias("grams")).collect())
-        least, kept = 0, sum(g for _, g in sizes)
-        for size, g in sizes:
-            if kept <= most:
-                break
-            least, kept = size + 1, kept - g
-        found = mine.where(F.col("n") >= (1 << least)).toArrow()
-        place = {x: i for i, x in enumerate(langs)}
-        trees.add(np.array([place[x] for x in found["lang"].to_pylist()], np.int64),
-                  found["gram"].to_numpy(), found["n"].to_numpy())
-    return trees
-
-
-def code_lengths(trees: Trees, texts: list[str]) -> np.ndarray:
-    """Bits of each text in each language."""
-    codes, bounds = windows(texts)
-    out = np.tile(trees.prior, (len(texts), 1))
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        cost = trees.cost(codes, ORDER)
-        out[full] += np.add.reduceat(cost, bounds[full], axis=0, dtype=np.float64)
-    return out
-
-
-def predicted(docs: DataFrame, trees: Trees | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by ``cells``
+    low = Trees(langs)
+    for order in (0, 1):
+        # no more rows than 65,536 a language
+        found = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(_low(order)).cast("long")).alias("gram")) \
+            .agg(F.sum("n").alias("n")).toArrow()
+        low.add(np.array([place[x] for x in found["lang"].to_pylist()], np.int64),
+                found["gram"].to_numpy(), found["n"].to_numpy())
+    return Profiles(langs, -np.log2(np.array([share[x] for x in langs], float) / sum(share.values())), low, counts)
+
+
+def window_costs(texts: DataFrame, profiles: Profiles) -> DataFrame:
+    """(gram, times, cost by language) of every distinct window of ``texts``
+    (text)."""
+    langs, low = profiles.langs, profiles.low
+    place = {x: i for i, x in enumerate(langs)}
+    wanted = texts.where("text is not null").select(F.lit("").alias("lang"), "text") \
+        .mapInArrow(_count, "lang string, gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    spark = texts.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-profiles.counts.count() // PART))
+    both = profiles.counts.select("gram", "n", "lang").unionByName(
+        wanted.select("gram", "n", F.lit(None).cast("string").alias("lang")))
+    dealt = both.repartition(parts, F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF).cast("long")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for block in rows_of(batches, 1_000_000):
-            lang, score = ["und"] * len(block), np.zeros(len(block))
-            with_letters = [i for i, r in enumerate(block) if model and r[1] and _LETTER.search(r[1])]
-            if with_letters:
-                bits = code_lengths(model, [block[i][1] for i in with_letters])
-                best = bits.argmin(axis=1)
-                spare = bits - bits.min(axis=1, keepdims=True)
-                score[with_letters] = 1 / np.exp2(-np.minimum(spare, 1000)).sum(axis=1)
-                for i, b in zip(with_letters, best):
-                    lang[i] = model.langs[b]
+        rows = pa.Table.from_batches(list(batches), pa.schema([("gram", pa.int64()), ("n", pa.int64()), ("lang", pa.string())]))
+        gram, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
+        lang = np.array([-1 if x is None else place[x] for x in rows["lang"].to_pylist()], np.int64)
+        trees = Trees(langs, *(list(getattr(low, k)) for k in ("grams", "costs", "contexts", "escapes")))
+        seen = lang >= 0
+        for order in range(2, ORDER + 1):
+            trees.add(lang[seen], gram[seen] & _low(order), n[seen])
+        gram, n = gram[~seen], n[~seen]
+        for at in range(0, len(gram), 100_000):
+            own = gram[at:at + 100_000]
+            cost = trees.cost(own.astype(np.uint32), ORDER)
+            bounds = pa.array(np.arange(len(own) + 1) * len(langs), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in block], pa.int64()), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=["doc_id", "lang_pred", "score"])
+                [pa.array(own), pa.array(n[at:at + 100_000]), pa.ListArray.from_arrays(bounds, pa.array(cost.ravel()))],
+                names=["gram", "times", "cost"])
+
+    return dealt.mapInArrow(run, "gram long, times long, cost array<float>")
+
+
+def _head(costs: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent windows and their costs, ``most`` windows at most."""
+    sizes = sorted((r["size"], r["grams"]) for r in costs.groupBy(F.floor(F.log2("times")).alias("size"))
+                   .agg(F.count(F.lit(1)).alias("grams")).collect())
+    least, kept = 0, sum(g for _, g in sizes)
+    for size, g in sizes:
+        if kept <= most:
+            break
+        least, kept = size + 1, kept - g
+    found = costs.where(F.col("times") >= (1 << least)).select("gram", "cost").toArrow().combine_chunks()
+    gram = found["gram"].to_numpy()
+    flat = found["cost"].combine_chunks() if len(gram) else None
+    cost = np.asarray(flat.flatten(), np.float32).reshape(len(gram), -1) if len(gram) else np.zeros((0, 1), np.float32)
+    order = np.argsort(gram)
+    return gram[order].astype(np.uint32), cost[order]
+
+
+def code_lengths(rows: DataFrame, profiles: Profiles, cells: int = CELLS) -> DataFrame:
+    """Rows (doc_id, text) as (doc_id, bits): bits of the text in each language
+    and of the language; null for a text without a letter."""
+    langs = profiles.langs
+    costs = staged(window_costs(rows.select("text"), profiles), "costs")
+    shared = rows.sparkSession.sparkContext.broadcast(  # bounded by ``cells``
+        (_head(costs, max(1, cells // len(langs))), profiles.prior))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(run, "doc_id long, lang_pred string, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (grams, cost), prior = shared.value
+        index = Index(grams)
+        cost = np.vstack([cost.reshape(len(grams), -1), np.zeros((1, len(prior)), np.float32)]) if len(grams) \
+            else np.zeros((1, len(prior)), np.float32)
+        for block in rows_of(batches, 1_000_000):
+            mine = np.array([bool(r[1] and _LETTER.search(r[1])) for r in block])
+            codes, bounds = windows([r[1] if kept else "" for r, kept in zip(block, mine)])
+            bits, full = np.tile(prior, (len(block), 1)), np.flatnonzero(np.diff(bounds))
+            rare = np.zeros((2, 0), np.int64)
+            if len(full):
+                at = index.find(codes)  # -1: the last row, of zeros
+                bits[full] += np.add.reduceat(cost[at], bounds[full], axis=0, dtype=np.float64)
+                missing = np.flatnonzero(at < 0)
+                of = np.repeat(np.arange(len(block)), np.diff(bounds))[missing]
+                rare = np.stack(np.unique((of.astype(np.uint64) << np.uint64(32)) | codes[missing], return_counts=True)).astype(np.int64)
+            found = pa.StructArray.from_arrays([pa.array(rare[0] & 0xFFFFFFFF), pa.array(rare[1])], names=["gram", "times"])
+            ends = np.searchsorted(rare[0] >> 32, np.arange(len(block) + 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in block], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1) * len(prior), pa.int32()), pa.array(bits.ravel()),
+                                          mask=pa.array(~mine)),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], names=["doc_id", "bits", "rare"])
+
+    first = staged(rows.mapInArrow(run, "doc_id long, bits array<double>, rare array<struct<gram:long,times:long>>")
+                   .withColumn("row", F.monotonically_increasing_id()), "bits")
+    more = first.select("row", F.inline("rare")).join(costs.select("gram", "cost"), "gram").groupBy("row").agg(
+        F.array(*(F.sum(F.col("times") * F.col("cost")[i].cast("double")) for i in range(len(langs)))).alias("more"))
+    return first.drop("rare").join(more, "row", "left").select(
+        "doc_id", F.when(F.col("more").isNull(), F.col("bits")).otherwise(
+            F.zip_with("bits", "more", lambda a, b: a + b)).alias("bits"))
+
+
+def predicted(docs: DataFrame, profiles: Profiles | None, id_col: str = "doc_id", text_col: str = "text",
+              cells: int = CELLS) -> DataFrame:
+    """(doc_id, lang_pred, score) of every row of ``docs``."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    if profiles is None:
+        return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    bits, best = F.col("bits"), F.array_min("bits")
+    weight = F.aggregate(bits, F.lit(0.0), lambda s, b: s + F.pow(F.lit(2.0), F.greatest(best - b, F.lit(-1000.0))))
+    return code_lengths(rows, profiles, cells).select(
+        "doc_id",
+        F.when(bits.isNull(), "und").otherwise(
+            F.array(*map(F.lit, profiles.langs))[F.array_position(bits, best).cast("int") - 1]).alias("lang_pred"),
+        F.when(bits.isNull(), 0.0).otherwise(1 / weight).alias("score"))
 
 
 def op7_ppm_language(spark, sf_dir: str) -> DataFrame:

@@ -40,13 +40,17 @@ def test_code_lengths_are_exact(spark):
         for i in range(L.ORDER, len(b)):
             for k in range(L.ORDER + 1):
                 counts.setdefault((lang, b[i - k:i]), Counter())[b[i]] += 1
-    trees = L.train(spark.createDataFrame(docs, "lang string, text string"))
-    texts = ["abra zyz", "qué?", "", "cadabra", "zz" * 5000]
+    profiles = L.train(spark.createDataFrame(docs, "lang string, text string"))
+    texts = ["abra zyz", "qué?", "x", "cadabra", "zz" * 5000]
     want = []
     for t in texts:
         b = b"\0" * L.ORDER + t.lower().encode()
         want.append([sum(brute_lower(counts, x, b[i - 3:i], b[i], L.ORDER) for i in range(3, len(b))) for x in "ab"])
-    assert np.allclose(L.code_lengths(trees, texts) - trees.prior, want, rtol=1e-5)
+    rows = spark.createDataFrame([*enumerate(texts), (9, ""), (10, None)], "doc_id long, text string")
+    for cells in (L.CELLS, 10, 1):  # all windows, or five or none of them, are sent to the tasks
+        got = {r.doc_id: r.bits for r in L.code_lengths(rows, profiles, cells).collect()}
+        assert len(got) == 7 and got[9] is None and got[10] is None
+        assert np.allclose(np.array([got[i] for i in range(5)]) - profiles.prior, want, rtol=1e-5)
 
 
 def test_index_finds_every_key():
@@ -57,11 +61,23 @@ def test_index_finds_every_key():
     assert (L.Index(keys[:0]).find(keys[:9]) == -1).all()
 
 
-def test_pruned_tree_stays_bounded(spark):
-    docs = [("a", "the quick brown fox jumps over the lazy dog " * 3), ("b", "le renard brun saute " * 4)]
-    trees = L.train(spark.createDataFrame(docs, "lang string, text string"), cells=40)
-    assert all(len(g) * 2 <= 80 for g in trees.grams)
-    assert L.code_lengths(trees, ["the fox", "le renard"]).argmin(axis=1).tolist() == [0, 1]
+def test_a_small_language_keeps_every_context(spark):
+    """Beside a language of a hundred times its size, with few windows sent to
+    the tasks."""
+    rng = np.random.default_rng(3)
+    word = lambda letters: "".join(rng.choice(list(letters), 6))
+    text = lambda letters: " ".join(word(letters) for _ in range(40))
+    big, small = [text("abcdefghijk") for _ in range(300)], [text("ghijklmnopq") for _ in range(3)]
+    profiles = L.train(spark.createDataFrame([("big", t) for t in big] + [("small", t) for t in small], "lang string, text string"))
+    want = set()
+    for t in small:
+        b = b"\0" * L.ORDER + t.encode()
+        want |= {int.from_bytes(b[i - 3:i + 1], "big") for i in range(3, len(b))}
+    assert {r.gram for r in profiles.counts.where("lang = 'small'").collect()} == want
+    docs = spark.createDataFrame(list(enumerate(big[:5] + small)), "doc_id long, text string")
+    few, whole = ({r.doc_id: r.bits for r in L.code_lengths(docs, profiles, c).collect()} for c in (200, L.CELLS))
+    assert all(np.allclose(few[i], whole[i]) for i in range(8))
+    assert [r.lang_pred for r in L.predicted(docs, profiles, cells=200).orderBy("doc_id").collect()] == ["big"] * 5 + ["small"] * 3
 
 
 def test_odd_rows(spark):
