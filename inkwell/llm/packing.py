@@ -7,9 +7,11 @@ groups of bounded size by hash and packs each group on its own: best-fit
 decreasing, then exchanges that increase the sum of squared fills.  The donor is
 the emptiest underfull bin; a move, a one-for-one or a two-for-one exchange
 passes some of its tokens to a fuller bin, the one of largest gain first, until
-the donor is empty and gone or nothing helps.  Bins filled to the brim are
-sealed; the pieces of the others meet in new, fewer groups in the next round.
-So the groups lose at most a bin or so each, and the rounds win that back.
+the donor is empty and gone or nothing helps.  A group loses at most a bin or so
+by being alone.  To win that back, the fuller half of its bins is sealed, and the
+pieces of the emptier half meet in half as many groups or fewer in the next round,
+until one group is left or the bins passed on are as few as their volume allows.
+Bins halve from round to round, so that all rounds cost about twice the first.
 
 Defined results: a null or empty text is the closing id alone; a null id is
 packed like any other; repeated rows are packed as often as they occur (pieces
@@ -132,21 +134,24 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, room: int) -> np.ndarray
     """Bins after exchanges; their number never grows."""
     bins = bins.copy()
     fill = np.bincount(bins, lengths).astype(np.int64)
-    stuck = np.zeros(len(fill), bool)
+    # when a bin changed, and when it was last tried in vain as the donor
+    changed, tried, clock = np.ones(len(fill), np.int64), np.zeros(len(fill), np.int64), 1
     while True:
         live = (fill > 0) & (fill < room)
         if (room - fill[live]).sum() < room:
             return bins  # no packing has fewer bins
-        donors = np.flatnonzero(live & ~stuck)
+        donors = np.flatnonzero(live & (tried < clock))
         if len(donors) == 0:
             return bins
         donor = int(donors[fill[donors].argmin()])
         live[donor] = False
         while fill[donor] > 0:
             under = live & (fill < room) & (fill >= fill[donor])
-            found = _best_exchange(np.flatnonzero(bins == donor), donor, lengths, bins, fill, under, room)
+            if changed[donor] <= tried[donor]:
+                under &= changed > tried[donor]  # with the other bins nothing helped, and nothing is different
+            found = _best_exchange(np.flatnonzero(bins == donor), donor, lengths, bins, fill, under, room) if under.any() else None
             if not found:
-                stuck[donor] = True
+                tried[donor] = clock
                 break
             _, given, taken, target = found
             passed = int(lengths[given].sum())
@@ -156,11 +161,13 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, room: int) -> np.ndarray
                 passed -= int(lengths[taken])
             fill[target] += passed
             fill[donor] -= passed
-            stuck[target] = False
+            clock += 1
+            changed[donor] = changed[target] = clock
 
 
 def pack_group(rows: np.ndarray, lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bin, offset in the bin and fill of the bin, of each piece."""
+    """Bin, offset in the bin, and whether the bin is not full and of the emptier
+    half, of each piece."""
     bins = local_search(lengths, best_fit(lengths, room), room)
     order = np.lexsort((rows, bins))
     in_order = lengths[order]
@@ -170,17 +177,20 @@ def pack_group(rows: np.ndarray, lengths: np.ndarray, room: int) -> tuple[np.nda
     offset = np.empty(len(rows), np.int64)
     offset[order] = ends - in_order - base
     fill = np.bincount(bins, lengths).astype(np.int64)
-    return bins, offset, fill[bins]
+    used = np.flatnonzero(fill)
+    emptier = np.zeros(len(fill), bool)
+    emptier[used[np.argsort(fill[used], kind="stable")][:-(-len(used) // 2)]] = True
+    return bins, offset, (emptier & (fill < room))[bins]
 
 
 # ---- rounds -----------------------------------------------------------------
 
 def _pack_round(turn: int, room: int):
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        bins, offset, fill = pack_group(part["row"].to_numpy(), part["length"].to_numpy(), room)
+        bins, offset, open_ = pack_group(part["row"].to_numpy(), part["length"].to_numpy(), room)
         return pd.DataFrame({
             "row": part["row"].to_numpy(), "length": part["length"].to_numpy(),
-            "sequence_id": (turn << 56) + (int(key[0]) << 24) + bins, "offset": offset, "fill": fill})
+            "sequence_id": (turn << 56) + (int(key[0]) << 24) + bins, "offset": offset, "open": open_})
     return run
 
 
@@ -191,19 +201,20 @@ def pack(cut: DataFrame, room: int = LENGTH, group: int = GROUP) -> DataFrame:
         "row", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     left = cut.where(F.col("length") < room).select("row", "length")
     sealed, turn, n = whole, 0, left.count()
+    groups = -(-n // group)
     while n:
-        groups = -(-n // group)
         done = staged(
             left.withColumn("_group", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups)))
             .groupBy("_group").applyInPandas(
-                _pack_round(turn, room), "row long, length long, sequence_id long, offset long, fill long"),
+                _pack_round(turn, room), "row long, length long, sequence_id long, offset long, open boolean"),
             "packed")
-        rest = done.where(F.col("fill") < room)
-        still = rest.count()
-        if groups == 1 or 2 * still > n:
+        rest = done.where("open")
+        n, tokens, bins = rest.agg(F.count(F.lit(1)), F.sum("length"), F.countDistinct("sequence_id")).first()
+        if groups == 1 or not n or bins == -(-tokens // room):
             return sealed.union(done.select("row", "sequence_id", "offset"))
-        sealed = sealed.union(done.where(F.col("fill") == room).select("row", "sequence_id", "offset"))
-        left, n, turn = rest.select("row", "length"), still, turn + 1
+        sealed = sealed.union(done.where("not open").select("row", "sequence_id", "offset"))
+        left, turn = rest.select("row", "length"), turn + 1
+        groups = min(-(-n // group), -(-groups // 2))
     return sealed
 
 

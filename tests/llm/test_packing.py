@@ -80,3 +80,45 @@ def test_exchanges_empty_bins():
         better = P.local_search(lengths, bins, 100)
         fill = np.bincount(better, lengths)
         assert fill.max() <= 100 and (fill > 0).sum() <= len(np.unique(bins))
+
+
+def fewest(lengths, room):
+    """Optimal number of bins, by trying every bin for every piece."""
+    best = [len(lengths)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(bins)
+            return
+        for b in {s: k for k, s in enumerate(bins) if s + lengths[i] <= room}.values():
+            place(i + 1, [*bins[:b], bins[b] + lengths[i], *bins[b + 1:]])
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_against_the_optimum():
+    rng, off, saved = np.random.default_rng(7), 0, 0
+    for _ in range(300):
+        lengths = np.sort(rng.integers(2, 12, rng.integers(3, 10)))[::-1]
+        start = P.best_fit(lengths, 20)
+        used = len(np.unique(P.local_search(lengths, start, 20)))
+        want = fewest(lengths.tolist(), 20)
+        assert want <= used <= len(np.unique(start))
+        off, saved = off + (used > want), saved + (len(np.unique(start)) > used)
+    assert off <= 3, (off, saved)
+
+
+def test_rounds_end_and_lose_little(spark):
+    """Many small groups, of pieces that fit together badly or are all alike."""
+    for lengths in ([int(x) for x in np.random.default_rng(1).integers(1, 64, 900)], [1] * 500, [40] * 300, [64] * 5):
+        cut = spark.createDataFrame(list(enumerate(lengths)), "row long, length long")
+        rows = P.pack(cut, room=64, group=20).collect()
+        fill, size = {}, dict(enumerate(lengths))
+        for r in rows:
+            fill[r.sequence_id] = fill.get(r.sequence_id, 0) + size[r.row]
+        assert len(rows) == len(lengths) and max(fill.values()) <= 64
+        assert len(fill) <= max(-(-sum(lengths) // 64) * 1.03 + 1, sum(x > 32 for x in lengths)), lengths[:3]
