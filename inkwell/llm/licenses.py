@@ -8,7 +8,7 @@ times idf over all texts; the best template by cosine is a match from
 ``threshold`` on.  Templates are a parameter: pairs of licence and text, any number
 of texts per licence.
 
-No word list decides what is compared.  Of a template's unit vector, the heaviest
+No word list decides what is compared.  Of a template's unit vector, the rarest
 terms whose removal leaves a norm below the threshold are its *anchors*; a passage
 without an anchor of any template cannot reach the threshold, and is skipped.  For
 the others the weights of template terms give the dot products, and a norm of at
@@ -201,8 +201,8 @@ def matches(files: DataFrame, threshold: float = THRESHOLD, templates: Sequence[
     # the terms of the templates: bounded by the parameter
     vectors = template_vectors(templates, df, total).collect()
     vectors = spark.createDataFrame(vectors, "template int, licence string, term string, weight double, v double")
-    heavier = Window.partitionBy("template").orderBy(F.desc("v"), "term").rowsBetween(Window.unboundedPreceding, -1)
-    rest = 1.0 - F.coalesce(F.sum(F.col("v") * F.col("v")).over(heavier), F.lit(0.0))
+    rarer = Window.partitionBy("template").orderBy(F.desc("weight"), "term").rowsBetween(Window.unboundedPreceding, -1)
+    rest = 1.0 - F.coalesce(F.sum(F.col("v") * F.col("v")).over(rarer), F.lit(0.0))
     anchors = vectors.select("term", rest.alias("rest")).where(F.col("rest") >= least * least).select("term").distinct()
     found = staged(passages(files, [r.term for r in anchors.collect()]), "passages")
     key = ["file", "version", "place"]
