@@ -3,9 +3,11 @@
 Messages name the message that they answer.  Iterative self-joins enumerate the
 root-to-leaf paths: each round joins every message's pointer with the pointer
 of the message it points to, so that a path of depth n takes log2(n) rounds, and
-only ids, places and score sums are shuffled; texts join once, at the end.  A
-path's score is the sum of its messages' scores; the paths of a tree are ranked
-by it, and each chosen path becomes one conversation.
+only ids, lengths and score sums are shuffled; texts join once, at the end.  A
+path's score is the sum of its messages' scores; the leaves of a tree are ranked
+by it, and each chosen path becomes one conversation.  The pointers of each round
+are kept as a table of jumps, by which the messages of the chosen paths, and only
+those, are enumerated: no row holds a list of ancestors.
 
 Template (a fixed value): ``<|im_start|>role<newline>text<|im_end|><newline>``
 per turn.  In roles and texts the characters ``&``, ``<`` and ``[`` are written
@@ -28,7 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import discard, staged, table
+from inkwell.llm.common import staged, table
+from inkwell.operators.sequence import number_within
 
 START, END = "<|im_start|>", "<|im_end|>"
 _ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;"))
@@ -48,51 +51,73 @@ def _unescaped(text: Column, role: bool = False) -> Column:
     return text
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """(tree, leaf, place, message) of every root-to-leaf path of ``messages``
-    (tree, message, parent, score), with the path's score.  place counts from 0
-    at the root."""
+def _same(tree: str, message: str) -> Column:
+    return F.col("tree").eqNullSafe(F.col("_t")) & F.col(tree).eqNullSafe(F.col(message))
+
+
+def leaves(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The leaves (tree, leaf, path_score, length) that a root is above, with the
+    number of messages on the path, and the jumps: the k-th frame tells (_t, _m,
+    _up), the ancestor 2**k steps above each message that has one."""
     m = staged(messages.select("tree", "message", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")),
                "messages")
     ids = m.select(F.col("tree").alias("_t"), F.col("message").alias("_m"))
     known = m.join(ids, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("parent") == F.col("_m")), "left") \
         .select("tree", "message", F.when(F.col("_m").isNotNull(), F.col("parent")).alias("up"), "score")
-    # pointer doubling: ``above`` lists the messages between a message (with
-    # itself) and ``up``, the ancestor reached so far, nearest first
-    now = staged(known.select("tree", "message", "up", F.array("message").alias("above"), "score"), "pointers")
-    rounds, most = 0, m.count()
+    # pointer doubling: score and length are of the messages from a message up to
+    # the one below ``up``
+    now = staged(known.withColumn("length", F.lit(1).cast("long")), "pointers")
+    jumps, most = [], m.count()
     # what is still open after as many steps as there are messages runs in a cycle
-    while (1 << rounds) <= most:
+    while (1 << len(jumps)) <= most:
         unfinished = now.where("up is not null")
         if not unfinished.limit(1).count():
             break
+        jumps.append(unfinished.select(F.col("tree").alias("_t"), F.col("message").alias("_m"), F.col("up").alias("_up")))
         target = now.select(F.col("tree").alias("_t"), F.col("message").alias("_m"), F.col("up").alias("_up"),
-                            F.col("above").alias("_above"), F.col("score").alias("_score"))
-        step = unfinished.join(target, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_m")), "left").select(
-            "tree", "message", F.when(F.col("_m").isNotNull(), F.col("_up")).alias("up"),
-            F.when(F.col("_m").isNotNull(), F.concat("above", "_above")).otherwise(F.col("above")).alias("above"),
-            (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"))
-        following = staged(now.where("up is null").union(step), "pointers")
-        discard(now)
-        now, rounds = following, rounds + 1
+                            F.col("score").alias("_score"), F.col("length").alias("_length"))
+        step = unfinished.join(target, _same("up", "_m")).select(
+            "tree", "message", F.col("_up").alias("up"), (F.col("score") + F.col("_score")).alias("score"),
+            (F.col("length") + F.col("_length")).alias("length"))
+        now = staged(now.where("up is null").union(step), "pointers")
     answered = known.where("up is not null").select(F.col("tree").alias("_t"), F.col("up").alias("_m")).distinct()
-    leaves = now.where("up is null").join(
+    ends = now.where("up is null").join(
         answered, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("message") == F.col("_m")), "left_anti")
-    return leaves.select("tree", F.col("message").alias("leaf"), F.col("score").alias("path_score"),
-                         F.posexplode(F.reverse("above")).alias("place", "message"))
+    return ends.select("tree", F.col("message").alias("leaf"), F.col("score").alias("path_score"), "length"), jumps
+
+
+def _enumerated(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(place, message) of every message on the paths of ``chosen`` leaves, beside
+    their columns.  The largest jump first, each round adds the ancestors one jump
+    above those found, so that every message of a path is met once; the rows are
+    as many as the paths are long."""
+    found = chosen.withColumn("message", F.col("leaf")).withColumn("place", F.col("length") - 1)
+    for k in reversed(range(len(jumps))):
+        higher = found.where(F.col("place") >= (1 << k)).join(jumps[k], _same("message", "_m"))
+        higher = higher.withColumn("message", F.col("_up")).withColumn("place", F.col("place") - (1 << k))
+        found = staged(found.union(higher.select(found.columns)), "paths")
+    return found.drop("length")
+
+
+def paths(messages: DataFrame) -> DataFrame:
+    """(tree, leaf, path_score, message, place) of every root-to-leaf path of
+    ``messages`` (tree, message, parent, score).  place counts from 0 at the root."""
+    ends, jumps = leaves(messages)
+    return _enumerated(staged(ends, "leaves"), jumps)
 
 
 def best_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
     """The paths of the ``top`` best leaves of each tree (all for None), by
-    score and then by the smaller leaf id, with their rank."""
-    every = staged(paths(messages), "paths")
-    order = Window.partitionBy("tree").orderBy(F.desc("path_score"), F.asc("leaf"))
-    ranked = every.where("place = 0").select("tree", "leaf", F.row_number().over(order).alias("rank"))
-    if top is not None:
-        ranked = ranked.where(F.col("rank") <= top)
-    ranked = ranked.select(F.col("tree").alias("_t"), F.col("leaf").alias("_l"), "rank")
-    return every.join(ranked, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("leaf") == F.col("_l"))) \
-        .select("tree", "leaf", "path_score", "rank", "place", "message")
+    score and then by the smaller leaf id, with their rank.  Only the paths of
+    chosen leaves are enumerated."""
+    ends, jumps = leaves(messages)
+    order = [F.desc("path_score"), F.asc("leaf")]
+    if top is None:
+        ranked = number_within(staged(ends, "leaves"), ["tree"], order, "rank")
+    else:
+        ranked = ends.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order))) \
+            .where(F.col("rank") <= top)
+    return _enumerated(staged(ranked, "leaves"), jumps)
 
 
 def formatted(messages: DataFrame, top: int | None = 1) -> DataFrame:
@@ -146,10 +171,10 @@ def masked(formatted_text: Column, loss: Column) -> Column:
 def linear_replies(turns: DataFrame) -> DataFrame:
     """Conversations of rows (conv_id, turn, role, text) as reply trees in which
     every turn answers the one before it."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return turns.select("conv_id", "turn", "role", "text").withColumn("message", F.row_number().over(order).cast("long")) \
-        .select(F.col("conv_id").alias("tree"), "message", (F.col("message") - 1).alias("parent"), "role", "text",
-                F.lit(0.0).alias("score"))
+    numbered = number_within(turns.select("conv_id", "turn", "role", "text"), ["conv_id"], ["turn", "role", "text"], "message")
+    place = F.col("message").cast("long")
+    return numbered.select(F.col("conv_id").alias("tree"), place.alias("message"), (place - 1).alias("parent"), "role", "text",
+                           F.lit(0.0).alias("score"))
 
 
 def op6_reply_trees(spark, sf_dir: str) -> DataFrame:

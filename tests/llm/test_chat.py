@@ -44,3 +44,45 @@ def test_linear_ties_and_repeats(spark):
     out = C.formatted(C.linear_replies(turns)).select("tree", C.parsed(F.col("formatted")).alias("t")).collect()
     got = {r.tree: [(t.role, t.text) for t in r.t] for r in out}
     assert got == {1: [("system", ""), ("user", "a"), ("user", "a"), ("user", "b")], 2: [("", "x")]}
+
+
+def test_paths_against_a_plain_walk(spark):
+    import random
+
+    draw = random.Random(3)
+    rows = []
+    for tree in (1, 2, None):
+        for i in range(120):  # long chains, branches, missing parents, a few cycles
+            up = draw.choice([i - 1, i - 1, i - 1, i - 1, draw.randrange(-3, i + 2), None]) if i else None
+            rows.append((tree, i, up, "user", str(i), float(draw.randrange(4))))
+    up = {(t, m): p for t, m, p, *_ in rows}
+    score = {(t, m): s for t, m, _, _, _, s in rows}
+    want = {}
+    for t, m in up:
+        if any(p == m for (u, _), p in up.items() if u == t):
+            continue
+        path, at = [], m
+        while at is not None and (t, at) in up and at not in path:
+            path.append(at)
+            at = up[t, at]
+        if at in path:
+            continue
+        want[t, m] = (sum(score[t, x] for x in path), path[::-1])
+    got = {}
+    out = C.best_paths(spark.createDataFrame(rows, SCHEMA), None).collect()
+    for r in out:
+        got.setdefault((r.tree, r.leaf), []).append((r.place, r.message, r.path_score, r["rank"]))
+    assert {k: (v[0][2], [m for _, m, *_ in sorted(v)]) for k, v in got.items()} == want
+    for tree in (1, 2, None):
+        ends = sorted(((-s, leaf) for (t, leaf), (s, _) in want.items() if t == tree))
+        assert [got[tree, leaf][0][3] for _, leaf in ends] == list(range(1, len(ends) + 1))
+    top = C.best_paths(spark.createDataFrame(rows, SCHEMA), 2).collect()
+    assert sorted(tuple(r[c] for c in ("leaf", "place", "message", "rank")) for r in top) == sorted(
+        tuple(r[c] for c in ("leaf", "place", "message", "rank")) for r in out if r["rank"] <= 2)
+
+
+def test_long_texts_extra_columns_and_one_long_conversation(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", "x" * 400_000 if i == 7 else f"m{i}", "clash", 5, 2.0) for i in range(3000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tree string, message int, score double")
+    (r,) = C.formatted(C.linear_replies(turns)).select("tree", C.parsed(F.col("formatted")).alias("t")).collect()
+    assert [(t.role, t.text) for t in r.t] == [(row[2], row[3]) for row in rows]
