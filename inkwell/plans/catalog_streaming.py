@@ -1,6 +1,6 @@
 """Streaming queries (T1-T3, and K1, A5, D1 as streams): the stream runs to
 completion (availableNow) and its sink is returned; each is checked against a
-batch oracle.  The feeds arrive in slices, one file and one micro-batch each;
+batch oracle.  The feeds arrive in slices, a micro-batch each;
 events reach their slice up to two days out of order."""
 
 from __future__ import annotations
@@ -37,13 +37,14 @@ register("stream_comment_routing", ORACLES["route_comment"])(
 def _disordered(df: DataFrame, name: str) -> str:
     """The feed as it arrives up to ``DISORDER_HOURS`` after its events."""
     wait = F.pmod(F.xxhash64("event_id"), F.lit(DISORDER_HOURS)).cast("int")
-    return S.stage_arrivals(df.withColumn("arrived", F.col("ts") + F.make_dt_interval(hours=wait)), "arrived", name, files=1)
+    return S.stage_arrivals(df.withColumn("arrived", F.col("ts") + F.make_dt_interval(hours=wait)), "arrived", name)
 
 
 @register("stream_run_state_machine", ORACLES["run_state_machine"])
 def stream_run_state_machine(spark, sf):
     events = V.v_run_events(spark, sf)
-    return ST.stream_state_machine(spark, _disordered(events, "run-events"), events.schema, DELAY, max_files=1)
+    path = _disordered(events, "run-events")
+    return ST.stream_state_machine(spark, path, events.schema, DELAY, max_files=S.files_a_slice(spark, path, S.ARRIVALS))
 
 
 # --- bounded intake: once within the watermark --------------------------------
@@ -60,8 +61,9 @@ WITHIN = "1 hour"
   GROUP BY article_id""", "v_deliveries", "v_runs"))
 def stream_intake_within(spark, sf):
     feed = V.v_deliveries(spark, sf)
-    path = S.stage_arrivals(feed, "delivered_at", "deliveries", files=1)
-    taken = S.stream_intake_within(spark, path, feed.schema, V.v_runs(spark, sf), V.DEFAULT_STORE_SECRET, WITHIN, max_files=1)
+    path = S.stage_arrivals(feed, "delivered_at", "deliveries")
+    taken = S.stream_intake_within(spark, path, feed.schema, V.v_runs(spark, sf), V.DEFAULT_STORE_SECRET, WITHIN,
+                                   max_files=S.files_a_slice(spark, path, S.ARRIVALS))
     return taken.groupBy("article_id").agg(F.count(F.lit(1)).alias("accepted"))
 
 
@@ -90,10 +92,9 @@ def run_changes(spark, sf) -> DataFrame:
     f"row_number() OVER (ORDER BY CAST(article_id AS BIGINT) % {CHANGE_SLICES}, article_id)"))
 def stream_run_upsert(spark, sf):
     changes = run_changes(spark, sf)
-    path = S.scratch_path(spark, "feed-run-changes")
-    for k in range(CHANGE_SLICES):
-        changes.where(F.col("slice") == k).coalesce(1).write.mode("append").parquet(path)
-    return RT.stream_run_upsert(spark, V.v_runs(spark, sf), path, changes.schema, CR.NOW, buckets=8, max_files=1)
+    path = S.stage_slices(changes, F.col("slice"), "run-changes", CHANGE_SLICES)
+    return RT.stream_run_upsert(spark, V.v_runs(spark, sf), path, changes.schema, CR.NOW, buckets=8,
+                                max_files=S.files_a_slice(spark, path, CHANGE_SLICES))
 
 
 # --- deadlines --------------------------------------------------------------------
@@ -118,8 +119,9 @@ STALE_MINUTES = 360
   WHERE epoch_ms(CASE WHEN ok THEN done ELSE deadline END) < (SELECT passed FROM mark))""", "v_polls"))
 def stream_poll_outcomes(spark, sf):
     polls = V.v_polls(spark, sf)
-    return ST.stream_poll_outcomes(spark, _disordered(polls, "polls"), polls.schema, f"{BUDGET_HOURS} hours", DELAY,
-                                   max_files=1)
+    path = _disordered(polls, "polls")
+    return ST.stream_poll_outcomes(spark, path, polls.schema, f"{BUDGET_HOURS} hours", DELAY,
+                                   max_files=S.files_a_slice(spark, path, S.ARRIVALS))
 
 
 _PENDING_MOVES = ", ".join(f"'{a}'" for a, m in MOVES.items() if "pending" in m)
@@ -135,5 +137,6 @@ _PENDING_MOVES = ", ".join(f"'{a}'" for a, m in MOVES.items() if "pending" in m)
                     AND e.ts >= c.created_at AND e.ts <= c.created_at + INTERVAL {STALE_MINUTES} MINUTE))""", "v_run_events"))
 def stream_stale_runs(spark, sf):
     events = V.v_run_events(spark, sf)
-    return ST.stream_stale_runs(spark, _disordered(events, "stale"), events.schema, f"{STALE_MINUTES} minutes", DELAY,
-                                max_files=1)
+    path = _disordered(events, "stale")
+    return ST.stream_stale_runs(spark, path, events.schema, f"{STALE_MINUTES} minutes", DELAY,
+                                max_files=S.files_a_slice(spark, path, S.ARRIVALS))

@@ -11,7 +11,7 @@ the shared ``spark.checkpoint.dir``.  Flows with keyed state and timers are in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators import events as E
@@ -19,6 +19,8 @@ from inkwell.session import scratch_path, store_of
 
 #: Bytes of input of one micro-batch.
 MAX_BYTES = 64 << 30
+#: Bytes of a file of a staged feed, about: what one task reads.
+FILE_BYTES = 8 << 20
 
 
 def stage(df: DataFrame, name: str) -> str:
@@ -37,20 +39,51 @@ def read_feed(spark: SparkSession, path: str, schema, max_files: int | None = No
     return reader.option(*limit).parquet(path)
 
 
-def stage_arrivals(df: DataFrame, arrival: str, name: str, slices: int = 6, files: int = 2) -> str:
+def stage_slices(df: DataFrame, slice_no: Column, name: str, slices: int, file_bytes: int = FILE_BYTES) -> str:
+    """Write a feed as ``slices`` arrivals (rows by ``slice_no``, from 0), one
+    after another.  A file stream reads files in the order they were written, and
+    every slice has the same number of files (:func:`files_a_slice`), so that a
+    micro-batch of so many files is a slice.  The rows are worked out once, and
+    no task writes or reads more than a file of about ``file_bytes``."""
+    spark = df.sparkSession
+    path, whole = scratch_path(spark, f"feed-{name}"), scratch_path(spark, f"slices-{name}")
+    df.withColumn("_slice", slice_no).write.partitionBy("_slice").parquet(whole)
+    rows = spark.read.schema(f"{df.schema.toDDL()}, _slice int").parquet(whole)
+    files = max(1, *(-(-_bytes(spark, f"{whole}/_slice={i}") // file_bytes) for i in range(slices)))
+    for i in range(slices):
+        mine = rows.where(F.col("_slice") == i).select(df.columns)
+        (mine.coalesce(1) if files == 1 else mine.repartition(files)).write.mode("append").parquet(path)
+        while len(_files(spark, path)) < (i + 1) * files:  # a part without rows has no file
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _files(spark: SparkSession, path: str) -> list:
+    store, where = store_of(spark, path)
+    return [f for f in (store.listStatus(where) if store.exists(where) else []) if f.getPath().getName().endswith(".parquet")]
+
+
+def _bytes(spark: SparkSession, path: str) -> int:
+    return sum(f.getLen() for f in _files(spark, path))
+
+
+def files_a_slice(spark: SparkSession, path: str, slices: int) -> int:
+    """Files of each slice of a feed of :func:`stage_slices`."""
+    return max(1, len(_files(spark, path)) // slices)
+
+
+#: Slices of a feed that arrives by time.
+ARRIVALS = 6
+
+
+def stage_arrivals(df: DataFrame, arrival: str, name: str, slices: int = ARRIVALS) -> str:
     """Write a feed as it would have arrived: ``slices`` equal stretches of the
-    timestamp ``arrival``, one after another, each as at most ``files`` files.
-    A file stream reads files in the order they were written."""
-    path = scratch_path(df.sparkSession, f"feed-{name}")
+    timestamp ``arrival``, as :func:`stage_slices` has them."""
     at = F.unix_micros(F.col(arrival).cast("timestamp"))
     low, high = df.agg(F.min(at), F.max(at)).first()
     if low is None:
-        df.write.parquet(path)
-        return path
-    k = F.least(((at - low) * slices / (high - low + 1)).cast("int"), F.lit(slices - 1))
-    for i in range(slices):
-        df.where(k == i).coalesce(files).write.mode("append").parquet(path)
-    return path
+        return stage(df, name)
+    return stage_slices(df, F.least(((at - low) * slices / (high - low + 1)).cast("int"), F.lit(slices - 1)), name, slices)
 
 
 def run_stream(stream: DataFrame, name: str, batch_fn, output_mode: str = "append") -> str:

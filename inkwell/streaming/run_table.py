@@ -39,7 +39,7 @@ def _overwrite(df: DataFrame, path: str) -> None:
 
 def create_run_table(runs: DataFrame, path: str, buckets: int = 64) -> None:
     df = runs.select(*[n for n, _ in RUN_COLUMNS], bucket_of(F.col("article_id"), buckets).alias("bucket"))
-    df.repartition(buckets, "bucket").write.partitionBy("bucket").parquet(f"{path}/table")
+    df.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{path}/table")
     runs.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("max_id")).coalesce(1).write.parquet(
         f"{path}/ids/batch_id=-1")
 
@@ -69,7 +69,8 @@ def merge_batch(spark: SparkSession, path: str, changes: DataFrame, batch_id: in
         current = read_run_table(spark, path).where(F.col("bucket").isin(touched)).drop("bucket")
         top = _max_id(spark, path, batch_id)
         merged = run_upsert(current, one, now, top).withColumn("bucket", key)
-        merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(staged)
+        # a bucket is as many files as it needs: large ones are split between tasks
+        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(staged)
     result = spark.read.schema(SCHEMA).parquet(staged)
     result.agg(F.greatest(F.max("id"), F.lit(_max_id(spark, path, batch_id))).alias("max_id")).coalesce(1) \
         .write.mode("overwrite").parquet(f"{path}/ids/batch_id={batch_id}")
