@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.html import html_to_text, tag_texts
+from inkwell.functions.html import html_to_text, plain_word_count, tag_texts
 from inkwell.session import materialise
 
 DENSITY_MIN, DENSITY_MAX = 1.0, 2.0
@@ -52,26 +52,31 @@ def question_matches(headings: DataFrame, questions: DataFrame) -> DataFrame:
     keyword, question.  Returns article_id, seq, question, equal.
 
     A question is looked up by its rarest word (in all headings) only, so a word
-    that every heading has joins nothing unless a question has no other; the
-    rest is compared inside the joined rows."""
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), 0))
-    h = headings.select("article_id", "keyword", "seq", words(F.col("text")).alias("_h"), F.lower("text").alias("_text"))
-    h = h.select("*", F.explode("_h").alias("word"))
+    that every heading has joins nothing unless a question has no other.  What is
+    shuffled a word is a heading's number and a hash of keyword and word; the
+    headings that are found join their text again and are compared."""
+    cut = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), 0)
+    words = lambda c: F.array_distinct(cut(c))
+    h = materialise(headings.select("article_id", "keyword", "seq", "text", F.monotonically_increasing_id().alias("_row")), "headings")
     q = questions.select("keyword", "question").distinct().select("*", words(F.col("question")).alias("_q"))
-    common = h.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    common = h.select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     rarest = q.select("keyword", "question", "_q", F.explode("_q").alias("word")).join(common, "word", "left") \
         .groupBy("keyword", "question").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("_r"),
                                             F.first("_q").alias("_q")) \
-        .where("_r.n > 0").select("keyword", "question", "_q", F.col("_r.word").alias("word"))
-    same = lambda c: F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}]+"), 0)
-    return h.join(rarest, ["keyword", "word"]).where(F.size(F.array_except("_q", "_h")) == 0).select(
-        "article_id", "seq", "question", (same(F.col("_text")) == same(F.lower("question"))).alias("equal"))
+        .where("_r.n > 0 and keyword is not null").select(
+            F.col("keyword").alias("_kw"), "question", "_q", F.xxhash64("keyword", "_r.word").alias("_at"))
+    places = h.where("keyword is not null").select("_row", "keyword", F.explode(words(F.col("text"))).alias("word")).select(
+        "_row", F.xxhash64("keyword", "word").alias("_at"))
+    found = places.join(rarest, "_at").drop("_at").join(h, "_row").where("keyword = _kw")
+    return found.where(F.size(F.array_except("_q", words(F.col("text")))) == 0).select(
+        "article_id", "seq", "question", (cut(F.col("text")) == cut(F.col("question"))).alias("equal"))
 
 
 def audit_question_h2(articles: DataFrame, questions: DataFrame) -> DataFrame:
     """Q5: at least one H2 based on a question keyword of the article's keyword;
     also the H2s that are written as a question (end with '?')."""
-    h = articles.select("article_id", F.col("target_keyword").alias("keyword"), tag_texts("body_html", "h2").alias("_h"))
+    h = materialise(articles.select("article_id", F.col("target_keyword").alias("keyword"), tag_texts("body_html", "h2").alias("_h")),
+                    "h2-texts")
     rows = h.select("article_id", "keyword", F.posexplode("_h").alias("seq", "text"))
     hits = question_matches(rows, questions).groupBy("article_id").agg(F.countDistinct("seq").alias("_n"))
     n = F.coalesce(F.col("_n"), F.lit(0))
@@ -83,7 +88,7 @@ def audit_question_h2(articles: DataFrame, questions: DataFrame) -> DataFrame:
 def audit_keyword_density(articles: DataFrame) -> DataFrame:
     """Q6: whole-phrase keyword occurrences per 100 words, within 1-2."""
     d = articles.withColumn("_t", F.lower(html_to_text("body_html"))).withColumn("_kw", _kw())
-    words = F.size(F.filter(F.split("_t", r"(?U)\s+"), lambda w: w != ""))
+    words = plain_word_count(F.col("_t"))
     phrase = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.replace("_kw", F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
                       F.lit(r"\E(?![\p{L}\p{N}])"))
     occ = F.when(F.length("_kw") > 0, F.regexp_count("_t", phrase)).otherwise(0)
