@@ -54,6 +54,8 @@ _LEAST = 4  # two different sets below this size are never similar enough
 _RATIO = 1.6
 _SEEDS = 8
 _HUB_ROUNDS = 3
+#: Characters of text that are words, hashes and bucket keys at once.
+_BLOCK = 1_000_000
 _U = np.uint64
 
 
@@ -79,7 +81,7 @@ class _WordHash(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = value
         return value
@@ -119,7 +121,7 @@ def _long(x: np.ndarray) -> pa.Array:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, n, f, g): set size and 128 bits that tell sets apart."""
     cache = _WordHash()
-    for block in rows_of(batches):
+    for block in rows_of(batches, _BLOCK):
         s, bounds = shingle_sets([r[1] for r in block], cache)
         n = np.diff(bounds)
         f, g = np.zeros(len(n), _U), np.zeros(len(n), _U)
@@ -162,7 +164,7 @@ def _scheme_keys(s, bounds, rows, band, allowed, seed):
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, id): the buckets that each document is entered in."""
     cache = _WordHash()
-    for block in rows_of(batches):
+    for block in rows_of(batches, _BLOCK):
         s, bounds = shingle_sets([r[1] for r in block], cache)
         n = np.diff(bounds)
         largest = n * WHOLE // PART
@@ -186,7 +188,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, n, bits, elements): parity bits and the set itself."""
     cache = _WordHash()
-    for block in rows_of(batches, 1_000_000):
+    for block in rows_of(batches, _BLOCK):
         s, bounds = shingle_sets([r[1] for r in block], cache)
         n = np.diff(bounds)
         words = 1 << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / 16.0)).astype(np.int64))
