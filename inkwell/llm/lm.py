@@ -7,9 +7,11 @@ the log transitions between classes are added.  An id has the probability of its
 class times its share in the class.  What is counted comes from *all* training
 documents, by aggregations on Spark: pairs of neighbouring ids, from them the
 classes (clusters of ids with similar neighbours) and the class transitions, and
-the shares.  Embeddings and attention are fitted in numpy on a bounded number of
-windows, drawn by a hash from all windows of the whole texts.  Every id has a
-share, so that a text's probability is that of one distribution over all id
+the shares.  Embeddings and attention start from a fit on windows drawn by a hash,
+and then learn from every place of every training text, once: in rounds, each over a
+part of the texts, tasks descend from the same model over their own texts, and what
+they found is averaged (an id's embedding by how often a task met the id).  Every id
+has a share, so that a text's probability is that of one distribution over all id
 sequences.
 
 Texts of any length are scored in windows of ``WINDOW`` inputs that advance by
@@ -31,7 +33,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import islice
 from math import isqrt
 
@@ -41,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import ascii_words, discard, id_remainder, mix64, rows_of, staged, table
-from inkwell.llm.subwords import encoder
+from inkwell.llm.subwords import drop_encoders, encoder
 
 VOCABULARY = "word_bpe_49k.json"
 #: Ids of the vocabulary; its start and end tokens.
@@ -55,13 +57,16 @@ MARKS, VECTOR = 256, 24
 class Settings:
     """Bounds of the training."""
 
-    sample_docs: int = 1500  # the attention is fitted on as many windows as ...
+    sample_docs: int = 1500  # the attention's start is fitted on as many windows as ...
     doc_windows: int = 128  # ... so many documents of this length have, about
     classes: int = 256
     width: int = 16
     steps: int = 3000
     batch: int = 64
     rate: float = 0.03
+    rounds: int = 4  # in which all texts are learned from, each in one of them
+    shard: int = 4_000_000  # ids that a task learns from in a round, about
+    large: int = 256  # windows of a step in these tasks
     head_words: int = 500_000  # words whose counts are sent to the tasks
 
 
@@ -88,7 +93,7 @@ class Model:
 
 # ---- model ------------------------------------------------------------------
 
-_FUTURE = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+_PAST = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
 def side(classes: int) -> int:
@@ -112,17 +117,18 @@ def _slots(m: Model) -> np.ndarray:
 def _attend(m: Model, ids: np.ndarray):
     """State of each place of windows of input ids, and what the gradient
     needs."""
-    x = m.embed[ids] + m.place
-    d = x.shape[-1]
-    q, k, v = np.split(x @ m.qkv, 3, axis=-1)
+    x = m.embed.take(ids, axis=0)
+    x += m.place
+    n, t, d = x.shape
+    q, k, v = np.split((x.reshape(-1, d) @ m.qkv).reshape(n, t, 3 * d), 3, axis=-1)
     s = q @ k.transpose(0, 2, 1)
     s *= np.float32(d ** -0.5)
-    s += _FUTURE
-    s -= s.max(axis=-1, keepdims=True)
+    np.clip(s, -80, 80, out=s)
     np.exp(s, out=s)
-    s /= s.sum(axis=-1, keepdims=True)
+    s *= _PAST
+    s *= (1 / (s.reshape(-1, t) @ np.ones(t, s.dtype))).reshape(n, t, 1)
     z = s @ v
-    return x + z @ m.out, (x, q, k, v, s, z)
+    return x + (z.reshape(-1, d) @ m.out).reshape(n, t, d), (x, q, k, v, s, z)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -132,8 +138,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 def _group_logits(m: Model, h: np.ndarray, before: np.ndarray) -> np.ndarray:
     c = m.head.shape[-1]
-    high = np.zeros((*h.shape[:-1], -(-c // side(c))), h.dtype) if m.top is None else h @ m.top + m.lift
-    return high if m.rise is None else high + m.rise[before]
+    high = np.zeros((*h.shape[:-1], -(-c // side(c))), h.dtype)
+    if m.top is not None:
+        np.matmul(h, m.top, out=high)
+        high += m.lift
+    if m.rise is not None:
+        high += m.rise.take(before, axis=0)
+    return high
 
 
 def _forward(m: Model, ids: np.ndarray):
@@ -148,21 +159,24 @@ def _forward(m: Model, ids: np.ndarray):
     return both.reshape(*both.shape[:-2], -1)[..., _slots(m)], h
 
 
-def _by_group(group: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each group with its rows."""
-    order = np.argsort(group, kind="stable")
+def _by_group(group: np.ndarray, groups: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The rows in the order of their groups, and each group with its part."""
+    order = np.argsort(group.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
     bounds = np.searchsorted(group[order], np.arange(groups + 1))
-    for g in np.flatnonzero(np.diff(bounds)):
-        yield g, order[bounds[g]:bounds[g + 1]]
+    return order, [(g, slice(bounds[g], bounds[g + 1])) for g in np.flatnonzero(np.diff(bounds))]
 
 
 def _minus_target(logits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
-    """Weighted loss and its gradient by the logits."""
-    logs, rows = _log_softmax(logits), np.arange(len(target))
-    loss = -(logs[rows, target] * weight).sum()
-    p = np.exp(logs)
-    p[rows, target] -= 1
-    return loss, p * weight[:, None]
+    """Weighted loss and its gradient by the logits, which are overwritten."""
+    rows = np.arange(len(target))
+    np.minimum(logits, 80, out=logits)
+    picked = logits[rows, target]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    loss = ((np.log(total) - picked) * weight).sum()
+    logits *= (weight / total)[:, None]
+    logits[rows, target] -= weight
+    return loss, logits
 
 
 def _gradient(m: Model, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray):
@@ -171,37 +185,53 @@ def _gradient(m: Model, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray
     h, (x, q, k, v, a, z) = _attend(m, ids)
     n, t, d = x.shape
     flat = lambda y: y.reshape(n * t, -1)
-    h, w = flat(h), (weight / weight.sum()).ravel().astype(h.dtype)
-    before, goal = m.of[ids].ravel(), _slots(m)[targets.ravel()]
+    w = (weight / weight.sum()).ravel().astype(h.dtype)
+    one = np.ones((n * t, d + 1), h.dtype)  # the bias is the weight of a one
+    one[:, :d] = h = flat(h)
+    before, goal = m.of.take(ids.ravel()), _slots(m).take(targets.ravel())
     c = m.head.shape[-1]
-    head, bias, move = _grid(m.head), _grid(m.bias, -1e9), None if m.move is None else _grid(m.move)
+    head = np.concatenate([_grid(m.head), _grid(m.bias, -1e9)[None]]).transpose(1, 0, 2)
     group, place = np.divmod(goal, side(c))
     loss, g = _minus_target(_group_logits(m, h, before), group, w)
-    grads, gh = {}, np.zeros_like(h)
+    order, parts = _by_group(group, len(head))
+    own, low = one.take(order, axis=0), np.empty((n * t, head.shape[2]), h.dtype)
+    for i, rows in parts:
+        np.matmul(own[rows], head[i], out=low[rows])
+    if m.move is not None:
+        move = _grid(m.move)
+        low += move.reshape(-1, move.shape[2]).take((before * len(head) + group).take(order), axis=0)
+    more, low = _minus_target(low, place.take(order), w.take(order))
+    ghead, back = np.zeros_like(head), np.empty_like(h)
+    for i, rows in parts:
+        np.matmul(own[rows].T, low[rows], out=ghead[i])
+        np.matmul(low[rows], head[i, :d].T, out=back[rows])
+    undo = np.empty_like(order)
+    undo[order] = np.arange(len(order))
+    gh = back.take(undo, axis=0)
+    ghead = ghead.transpose(1, 0, 2).reshape(d + 1, -1)[:, :c]
+    grads = {"head": ghead[:d], "bias": ghead[d]}
     if m.top is not None:
-        grads |= {"top": h.T @ g, "lift": g.sum(axis=0)}
+        gtop = one.T @ g
+        grads |= {"top": gtop[:d], "lift": gtop[d]}
         gh += g @ m.top.T
-    ghead, gbias = np.zeros_like(head), np.zeros_like(bias)
-    for i, rows in _by_group(group, len(bias)):
-        low = h[rows] @ head[:, i] + bias[i]
-        if move is not None:
-            low = low + move[before[rows], i]
-        more, g = _minus_target(low, place[rows], w[rows])
-        loss += more
-        ghead[:, i], gbias[i] = h[rows].T @ g, g.sum(axis=0)
-        gh[rows] += g @ head[:, i].T
-    grads |= {"head": ghead.reshape(d, -1)[:, :c], "bias": gbias.ravel()[:c], "out": flat(z).T @ gh}
-    gh = gh.reshape(n, t, d)
-    gz = gh @ m.out.T
-    ga = gz @ v.transpose(0, 2, 1)
-    gv = a.transpose(0, 2, 1) @ gz
-    gs = a * (ga - (ga * a).sum(axis=-1, keepdims=True)) * np.float32(d ** -0.5)
-    gqkv = np.concatenate([gs @ k, gs.transpose(0, 2, 1) @ q, gv], axis=-1)
-    grads["qkv"] = flat(x).T @ flat(gqkv)
-    gx = gh + gqkv @ m.qkv.T
-    grads["place"] = gx.sum(axis=0)
-    grads["embed"] = (ids.ravel(), flat(gx))
-    return loss, grads
+    grads["out"] = flat(z).T @ gh
+    gz = (gh @ m.out.T).reshape(n, t, d)
+    gs = gz @ v.transpose(0, 2, 1)
+    gs -= np.einsum("ntd,ntd->nt", gz, z)[..., None]  # what the attention's shares take from each other
+    gs *= a
+    gs *= np.float32(d ** -0.5)
+    gqkv = np.empty((n, t, 3 * d), h.dtype)
+    for i, (left, right) in enumerate(((gs, k), (gs.transpose(0, 2, 1), q), (a.transpose(0, 2, 1), gz))):
+        np.matmul(left, right, out=gqkv[..., i * d:(i + 1) * d])
+    gqkv = flat(gqkv)
+    grads["qkv"] = flat(x).T @ gqkv
+    gh += gqkv @ m.qkv.T
+    grads["place"] = gh.reshape(n, t, d).sum(axis=0)
+    order = np.argsort(ids.ravel().astype(np.uint16), kind="stable")
+    seen = ids.ravel().take(order)
+    first = np.flatnonzero(np.diff(seen, prepend=-1))
+    grads["embed"] = (seen[first], np.add.reduceat(gh.take(order, axis=0), first, axis=0))  # of the ids in the batch
+    return loss + more, grads
 
 
 class _Adam:
@@ -216,14 +246,11 @@ class _Adam:
             value = getattr(m, name)
             rows = slice(None)
             if name == "embed":  # only the rows of ids in the batch
-                rows, back = np.unique(g[0], return_inverse=True)
-                whole = np.zeros((len(rows), g[1].shape[1]), np.float32)
-                np.add.at(whole, back, g[1])
-                g = whole
+                rows, g = g
             first, second = self.state.setdefault(name, (np.zeros_like(value), np.zeros_like(value)))
-            first[rows] = 0.9 * first[rows] + 0.1 * g
-            second[rows] = 0.99 * second[rows] + 0.01 * g * g
-            value[rows] -= scale * first[rows] / (np.sqrt(second[rows]) + 1e-8)
+            first[rows] = mean = np.float32(0.9) * first[rows] + np.float32(0.1) * g
+            second[rows] = square = np.float32(0.99) * second[rows] + np.float32(0.01) * g * g
+            value[rows] -= scale * mean / (np.sqrt(square) + np.float32(1e-8))
 
 
 def windows_of(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,23 +262,24 @@ def windows_of(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return _cut(flat, sizes, *_turns(sizes))
 
 
-def _turns(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _turns(sizes: np.ndarray, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
     """Document and turn (from 0) of every window of documents of these sizes."""
-    later = np.maximum(0, -(-(sizes - WINDOW) // STEP))
+    later = np.maximum(0, -(-(sizes - WINDOW) // step))
     turn = np.arange(later.sum()) - np.repeat(np.cumsum(later) - later, later) + 1
     return (np.concatenate([np.arange(len(sizes)), np.repeat(np.arange(len(sizes)), later)]),
             np.concatenate([np.zeros(len(sizes), np.int64), turn]))
 
 
-def _cut(flat: np.ndarray, sizes: np.ndarray, of: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _cut(flat: np.ndarray, sizes: np.ndarray, of: np.ndarray, turn: np.ndarray,
+         step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The windows of these documents and turns, as :func:`windows_of` has them."""
     starts = np.cumsum(sizes) - sizes
-    at = turn[:, None] * STEP + np.arange(WINDOW)
+    at = turn[:, None] * step + np.arange(WINDOW)
     inside = at < sizes[of][:, None]
     place = starts[of][:, None] + np.minimum(at, sizes[of][:, None] - 1)
     targets = flat[place]
     inputs = np.where(at > 0, flat[np.maximum(place - 1, 0)], BEGIN)
-    scored = inside & ((np.arange(WINDOW) >= WINDOW - STEP) | (turn[:, None] == 0))
+    scored = inside & ((np.arange(WINDOW) >= WINDOW - step) | (turn[:, None] == 0))
     return inputs, targets, np.where(scored, of[:, None], -1)
 
 
@@ -266,36 +294,36 @@ class Scorer:
         self.head = np.vstack([_grid(m.head), _grid(m.bias, -1e9)[None]]).transpose(1, 0, 2).astype(np.float32)
         groups = len(self.head)
         self.top = np.zeros((d + 1, groups), np.float32) if m.top is None else np.vstack([m.top, m.lift]).astype(np.float32)
-        self.move = None if m.move is None else _grid(m.move)
-        self.group, self.at = (x.astype(np.int32) for x in np.divmod(_slots(m)[m.of], self.head.shape[2]))
-        self.past = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+        self.move = None if m.move is None else _grid(m.move).reshape(-1, self.head.shape[2])
+        self.group, self.at = np.divmod(_slots(m)[m.of], self.head.shape[2])
 
     def logs(self, inputs: np.ndarray, targets: np.ndarray, first: int) -> np.ndarray:
         """Log probabilities of the targets from place ``first`` on."""
         m, d = self.m, self.m.embed.shape[1]
         n, kept = len(inputs), WINDOW - first
-        x = m.embed[inputs]
+        x = m.embed.take(inputs, axis=0)
         x += m.place
         qkv = (x.reshape(-1, d) @ self.qkv).reshape(n, WINDOW, 3 * d)
         s = qkv[:, first:, :d] @ qkv[..., d:2 * d].transpose(0, 2, 1)
-        np.minimum(s, 80, out=s)
+        np.clip(s, -80, 80, out=s)
         np.exp(s, out=s)
-        s *= self.past[first:]
-        z = s @ qkv[..., 2 * d:]
-        z /= (s.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)).reshape(n, kept, 1)
+        s *= _PAST[first:]
+        z = (s @ qkv[..., 2 * d:]).reshape(-1, d)
+        z *= (1 / (s.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)))[:, None]
         h = np.ones((n * kept, d + 1), np.float32)
-        h[:, :d] = z.reshape(-1, d) @ m.out
-        h[:, :d] += x[:, first:].reshape(-1, d)
-        want, before = targets[:, first:].reshape(-1), m.of[inputs[:, first:].reshape(-1)]
-        group = self.group[want]
+        np.add((z @ m.out).reshape(n, kept, d), x[:, first:], out=h.reshape(n, kept, d + 1)[..., :d])
+        want, before = targets[:, first:].reshape(-1), m.of.take(inputs[:, first:].reshape(-1))
+        group = self.group.take(want)
         high = h @ self.top
-        low = np.empty((len(h), self.head.shape[2]), np.float32)
-        for g, rows in _by_group(group, len(self.head)):
-            low[rows] = h[rows] @ self.head[g]
+        order, parts = _by_group(group, len(self.head))
+        own, low = h.take(order, axis=0), np.empty((len(h), self.head.shape[2]), np.float32)
+        for g, rows in parts:
+            np.matmul(own[rows], self.head[g], out=low[rows])
         if m.move is not None:
-            high += m.rise[before]
-            low += self.move[before, group]
-        found = self._log(high, group) + self._log(low, self.at[want]) + m.share[want]
+            high += m.rise.take(before, axis=0)
+            low += self.move.take((before * len(self.head) + group).take(order), axis=0)
+        found = self._log(high, group) + m.share.take(want)
+        found[order] += self._log(low, self.at.take(want).take(order))
         return found.reshape(n, kept)
 
     @staticmethod
@@ -446,6 +474,91 @@ def fit_windows(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, of:
     return m
 
 
+#: What is learned, but for the embeddings.
+_DENSE = ("place", "qkv", "out", "head", "bias", "top", "lift")
+_LEARNED = "part int, weight binary, value binary"
+#: Parts of the embeddings that are averaged apart.
+_PARTS = 16
+
+
+def _descend(model: Model, rate: float, settings: Settings):
+    """Of rows (ids): what a descent from ``model`` over all their places comes
+    to, multiplied by its weight: embeddings in parts, by how often each id was
+    met; part -1 is all else, by the windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
+        m = replace(model, embed=model.embed.copy(), **{x: getattr(model, x).copy() for x in _DENSE})
+        adam, met, windows, rng = _Adam(rate, np.inf), np.zeros(SIZE), 0, np.random.default_rng(0)
+        for block in rows_of(batches, 400_000):
+            docs = [_ids(r[0]) for r in block]
+            sizes = np.array([len(d) for d in docs], np.int64)
+            inputs, targets, scored = _cut(np.concatenate(docs), sizes, *_turns(sizes, WINDOW), WINDOW)
+            steps = -(-len(inputs) // settings.large)
+            for pick in np.array_split(rng.permutation(len(inputs)), steps):
+                _, grads = _gradient(m, inputs[pick], m.of[targets[pick]], (scored[pick] >= 0).astype(np.float32))
+                adam.update(m, grads)
+            met += np.bincount(inputs.ravel(), minlength=SIZE)
+            windows += len(inputs)
+        if windows:
+            dense = np.concatenate([getattr(m, x).ravel() for x in _DENSE]) * windows
+            rows = [(-1, np.array([windows]), dense)]
+            for i, own in enumerate(np.array_split(np.arange(SIZE), _PARTS)):
+                rows.append((i, met[own], m.embed[own] * met[own][:, None]))
+            part, weight, value = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.array([np.asarray(x, np.float64).tobytes() for x in weight], pa.binary()),
+                 pa.array([np.asarray(x, np.float32).tobytes() for x in value], pa.binary())], names=["part", "weight", "value"])
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of what tasks learned, by part."""
+    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for b in batches:
+        for part, weight, value in zip(*(c.to_pylist() for c in b.columns)):
+            w, x = np.frombuffer(weight), np.frombuffer(value, np.float32)
+            if part not in sums:
+                sums[part] = np.zeros(len(w)), np.zeros(len(x))
+            for total, more in zip(sums[part], (w, x)):
+                total += more
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(sums, pa.int32()), *(pa.array([s[i].tobytes() for s in sums.values()], pa.binary()) for i in (0, 1))],
+        names=["part", "weight", "value"])
+
+
+def learned(rows: DataFrame, model: Model, ids: float, settings: Settings) -> Model:
+    """``model`` after it has learned from all of ``rows`` (doc_id, ids), which
+    hold about so many ids.  A row's round and task are a hash of it, so that the
+    same rows make the same model however they are stored.  The driver gets one
+    model a round."""
+    spark, rounds = rows.sparkSession, settings.rounds
+    shards = int(ids / rounds / settings.shard) + 1
+    mixed = F.xxhash64("doc_id", "ids", F.lit(40_503))
+    rows = rows.select("ids", mixed.alias("mixed"))
+    for r in range(rounds):
+        # each round goes on slower, from where the fit of the start ended
+        shared = spark.sparkContext.broadcast(model)  # bounded by SIZE
+        rate = settings.rate * 0.1 * (1 - r / rounds)
+
+        def run(batches, shared=shared, rate=rate):
+            return _descend(shared.value, rate, settings)(batches)
+
+        mine = rows.where(F.pmod("mixed", F.lit(rounds)) == r).repartition(shards, "mixed").sortWithinPartitions("mixed")
+        found = mine.select("ids").mapInArrow(run, _LEARNED).repartition(_PARTS + 1, "part").mapInArrow(_summed, _LEARNED).toArrow()
+        sums = {p: (np.frombuffer(w), np.frombuffer(x)) for p, w, x in zip(*(found[c].to_pylist() for c in ("part", "weight", "value")))}
+        shared.destroy()
+        if not sums:
+            continue
+        weight, dense = sums[-1]
+        ends = np.cumsum([getattr(model, x).size for x in _DENSE])[:-1]
+        new = {x: v.reshape(getattr(model, x).shape).astype(np.float32) for x, v in zip(_DENSE, np.split(dense / weight, ends))}
+        met = np.concatenate([sums[i][0] for i in range(_PARTS)])[:, None]
+        total = np.concatenate([sums[i][1] for i in range(_PARTS)]).reshape(SIZE, -1)
+        embed = np.where(met > 0, total / np.maximum(met, 1), model.embed).astype(np.float32)
+        model = replace(model, embed=embed, **new)
+    return model
+
+
 def fit(docs: list[np.ndarray], counts: np.ndarray, settings: Settings) -> Model:
     """A model from documents in memory (ids with the end token) and the counts
     of all ids in the training corpus."""
@@ -726,7 +839,8 @@ def fit_corpus(rows: DataFrame, base: Unigram, counts: np.ndarray, settings: Set
     counts_in = counts.copy()
     counts_in[BEGIN] += documents
     of, moves = classes_of(pairs, counts_in, settings.classes)
-    return fit_windows(drawn[:, 0], np.where(scored, drawn[:, 1], END), scored, of, moves, counts, settings)
+    start = fit_windows(drawn[:, 0].astype(np.int64), np.where(scored, drawn[:, 1], END), scored, of, moves, counts, settings)
+    return learned(rows.select("doc_id", "ids"), start, counts.sum(), settings)
 
 
 def train(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, Unigram, DataFrame]:
@@ -748,6 +862,7 @@ def scored_ids(rows: DataFrame, model: Model, base: Unigram, words: DataFrame) -
     shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by SIZE
 
     def run(batches):
+        drop_encoders()
         scorer = Scorer(shared.value)
         for b in batches:
             found = [scorer.score([_ids(r[0]) for r in block]) for block in rows_of(iter([b.select(["ids"])]), 400_000)]

@@ -197,3 +197,9 @@ def encoder(name: str, kind: type = str) -> ChunkEncoder:
     if (name, kind) not in _ENCODERS:
         _ENCODERS[name, kind] = ChunkEncoder(name)
     return _ENCODERS[name, kind]
+
+
+def drop_encoders() -> None:
+    """Give back the memory of the Python worker's encoders, in a task that has
+    no words to encode."""
+    _ENCODERS.clear()

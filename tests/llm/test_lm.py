@@ -158,3 +158,32 @@ def test_statistics_are_of_whole_texts_and_all_documents(spark):
     assert m.of[late] != 11  # 11: ids that never occur
     counts = np.bincount(np.concatenate(ids), minlength=M.SIZE).astype(float)
     assert (m.of == M.fit(ids, counts, M.Settings(classes=12, steps=1)).of).all()
+
+
+def test_all_texts_are_learned_from(spark):
+    """Ids that no drawn window holds are learned; equal texts and other
+    partitions make the same model."""
+    texts = [(i, f"{w} {w} alpha {w} beta") for i, w in enumerate(["zebra", "quartz", "river", "stone", "cloud", "paper"] * 5)]
+    docs = documents(spark, [*texts, (None, "without an id"), (99, "")]).select("doc_id", "text")
+    few = M.Settings(sample_docs=1, doc_windows=1, classes=12, steps=5, rounds=2, shard=100)
+    m, _, _ = M.train(docs, few)
+    start = (np.random.default_rng(0).normal(size=(M.SIZE, few.width)) * 0.1).astype(np.float32)
+    ids = M.subwords([M.ascii_words(t) for _, t in texts])[1]
+    met = np.unique(np.concatenate([d[:-1] for d in ids]))  # all but the end are followed by an id
+    assert (m.embed[met] != start[met]).any(axis=1).all()
+    again, _, _ = M.train(docs.repartition(5), few)
+    assert np.allclose(again.embed, m.embed, atol=1e-6) and np.allclose(again.head, m.head, atol=1e-6)
+
+
+def test_learned_is_the_mean_by_weight(spark):
+    m, docs = model()
+    settings = M.Settings(classes=12, large=8)
+    rows = [(np.concatenate(docs[a:b]).astype("<u2").tobytes(),) for a, b in ((0, 15), (15, 40))]
+    run = M._descend(m, 0.01, settings)
+    parts = [b for r in rows for b in run(spark.createDataFrame([r], "ids binary").toArrow().to_batches())]
+    sums = next(M._summed(iter(parts))).to_pylist()
+    assert sorted(r["part"] for r in sums) == list(range(-1, M._PARTS))
+    windows = [-(-len(r[0]) // 2 // M.WINDOW) for r in rows]
+    assert np.frombuffer(next(r["weight"] for r in sums if r["part"] == -1))[0] == sum(windows)
+    met = np.concatenate([np.frombuffer(r["weight"]) for r in sorted(sums, key=lambda r: r["part"])[1:]])
+    assert met[M.BEGIN] == 2 and met.sum() == sum(windows) * M.WINDOW
