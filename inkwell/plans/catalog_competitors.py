@@ -186,7 +186,7 @@ _FALLBACK_TOPICS = "[" + ", ".join(
 def competitor_fallback(spark, sf):
     kws = V.v_articles(spark, sf).select(F.col("target_keyword").alias("keyword")).where(
         F.col("keyword").isNotNull())
-    top = _top(spark, sf)
+    top = C.competitor_links(_responses(spark, sf))
     s = C.competitor_structure(kws, top, C.fetch_competitors(top, V.v_web(spark, sf)))
     return s.select(
         "keyword",

@@ -170,7 +170,7 @@ def prompt_context(spark, sf):
     questions = _by_seed(K.question_top(K.question_keywords_parse(reports)), "question")
     scored = S.poll_first_done(V.v_polls(spark, sf)).select("doc_id", "lsi_keywords", "suggested_headings")
     a = V.v_articles(spark, sf).where("target_keyword <> ''")
-    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
+    top = C.competitor_links(C.search_results_scan(V.v_serp_responses(spark, sf)))
     structure = C.competitor_structure(a.select(F.col("target_keyword").alias("keyword")), top,
                                        C.fetch_competitors(top, V.v_web(spark, sf)))
     structure = structure.select("keyword", F.struct("h2_topics", "avg_word_count", "avg_h2_count")
@@ -180,11 +180,15 @@ def prompt_context(spark, sf):
         "article_id", "title", "body_html", F.when(F.col("source_lang") == "fr", "fr").otherwise("en").alias("language"),
         F.col("target_keyword").alias("main_keyword"),
         F.concat(F.lit("Brand#"), (F.col("article_id").cast("bigint") % 25 + 1).cast("string")).alias("seed"))
-    full = (a.join(secondary, "seed", "left").join(questions, "seed", "left")
-            .join(scored, a["article_id"] == scored["doc_id"], "left")
-            .join(structure, a["main_keyword"] == structure["keyword"], "left")
-            .select(*a.columns, F.coalesce("keywords", none).alias("secondary_keywords"),
-                    F.coalesce("questions", none).alias("question_keywords"),
-                    F.coalesce("lsi_keywords", none).alias("lsi_keywords"),
-                    F.coalesce("suggested_headings", none).alias("suggested_headings"), "competitor_heading_structure"))
+    # the lists are joined to the keys alone, so that the texts are shuffled once
+    k = a.select("article_id", "main_keyword", "seed").distinct()
+    k = (k.join(secondary, "seed", "left").join(questions, "seed", "left")
+         .join(scored, k["article_id"] == scored["doc_id"], "left")
+         .join(structure, k["main_keyword"] == structure["keyword"], "left")
+         .select(F.col("article_id").alias("_id"), F.col("main_keyword").alias("_keyword"),
+                 F.coalesce("keywords", none).alias("secondary_keywords"),
+                 F.coalesce("questions", none).alias("question_keywords"),
+                 F.coalesce("lsi_keywords", none).alias("lsi_keywords"),
+                 F.coalesce("suggested_headings", none).alias("suggested_headings"), "competitor_heading_structure"))
+    full = a.join(k, a["article_id"].eqNullSafe(k["_id"]) & (a["main_keyword"] == k["_keyword"])).drop("_id", "_keyword")
     return full.select("article_id", RS.prompt_context(full).alias("context"))

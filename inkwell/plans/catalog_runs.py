@@ -238,7 +238,7 @@ def _report_input(spark, sf):
 def _used_urls(spark, sf):
     """Competitor URLs of each article's keyword."""
     a = V.v_articles(spark, sf).select("article_id", F.col("target_keyword").alias("keyword")).where("keyword is not null")
-    top = C.competitor_top(C.search_results_scan(V.v_serp_responses(spark, sf)))
+    top = C.competitor_links(C.search_results_scan(V.v_serp_responses(spark, sf)))
     s = C.competitor_structure(a.select("keyword"), top, C.fetch_competitors(top, V.v_web(spark, sf)))
     return a.join(s.select("keyword", "competitor_urls"), "keyword").select("article_id", "competitor_urls")
 

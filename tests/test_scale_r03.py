@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkwell.operators import audit as AU
+from inkwell.operators import competitors as C
 from inkwell.operators import headings as HD
 from inkwell.streaming import jobs as S
 
@@ -46,3 +47,18 @@ def test_question_matches_of_repeated_and_null_ids(spark):
         ("1", 0, "what is k", True), ("1", 0, "what is k", True), ("None", 1, "what is k", False)]
     # the words of all headings meet the questions without the headings' texts
     assert "xxhash64(keyword" in plan_of(got)
+
+
+def test_links_of_competitors_are_ranked_once(spark):
+    """What fetches the links reads them staged, in every branch."""
+    results = spark.createDataFrame([("k", i, 0, f"https://a/{i}") for i in range(5)] + [("k", 5, 0, "https://reddit.com/x")],
+                                    "keyword string, position bigint, entry int, link string")
+    web = spark.createDataFrame([(i, f"https://a/{i}", f"<h1>T</h1><h2>H{i}</h2>") for i in range(5)],
+                                "web_id bigint, url string, html string")
+    top = C.competitor_links(results)
+    fetched = C.fetch_competitors(top, web)
+    assert "row_number" not in plan_of(fetched)
+    s = C.competitor_structure(results.select("keyword"), top, fetched)
+    assert plan_of(s).count("row_number") == 1  # of the topics
+    assert [(r.competitor_urls, r.h2_topics, r.avg_h2_count) for r in s.collect()] == [
+        ([f"https://a/{i}" for i in range(3)], ["H0", "H1", "H2"], 1)]
