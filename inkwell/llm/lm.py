@@ -31,7 +31,6 @@ uniform.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import islice
@@ -42,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import ascii_words, discard, id_remainder, mix64, rows_of, staged, table
+from inkwell.llm.common import ascii_words, coded_words, discard, id_remainder, mix64, rows_of, slices_of, staged, table
 from inkwell.llm.subwords import drop_encoders, encoder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -114,21 +113,39 @@ def _slots(m: Model) -> np.ndarray:
     return np.arange(m.head.shape[-1]) if m.slot is None else m.slot
 
 
+def _joint(m: Model) -> tuple[np.ndarray, np.ndarray]:
+    """What the attention's four maps come to: queries with keys, values with
+    the output."""
+    d = m.embed.shape[1]
+    q, k, v = m.qkv[:, :d], m.qkv[:, d:2 * d], m.qkv[:, 2 * d:]
+    return (q * q.dtype.type(d ** -0.5)) @ k.T, v @ m.out
+
+
+def _weights(p: np.ndarray, x: np.ndarray, out: np.ndarray, first: int = 0) -> np.ndarray:
+    """What each place from ``first`` on gives to the places up to it, not yet
+    divided by the sums, which are returned inverted."""
+    s = np.matmul(p, x.transpose(0, 2, 1), out=out)
+    np.clip(s, -80, 80, out=s)
+    np.exp(s, out=s)
+    s *= _PAST[first:]
+    return 1 / (s.reshape(-1, WINDOW) @ np.ones(WINDOW, s.dtype))
+
+
 def _attend(m: Model, ids: np.ndarray):
     """State of each place of windows of input ids, and what the gradient
     needs."""
     x = m.embed.take(ids, axis=0)
     x += m.place
     n, t, d = x.shape
-    q, k, v = np.split((x.reshape(-1, d) @ m.qkv).reshape(n, t, 3 * d), 3, axis=-1)
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(d ** -0.5)
-    np.clip(s, -80, 80, out=s)
-    np.exp(s, out=s)
-    s *= _PAST
-    s *= (1 / (s.reshape(-1, t) @ np.ones(t, s.dtype))).reshape(n, t, 1)
-    z = s @ v
-    return x + (z.reshape(-1, d) @ m.out).reshape(n, t, d), (x, q, k, v, s, z)
+    pairs, values = _joint(m)
+    p = (x.reshape(-1, d) @ pairs).reshape(n, t, d)
+    s = np.empty((n, t, t), x.dtype)
+    r = _weights(p, x, s)[:, None]
+    z = (s @ x).reshape(-1, d)
+    z *= r
+    h = z @ values
+    h += x.reshape(-1, d)
+    return h.reshape(n, t, d), (x, p, s, r, z, pairs, values)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -168,69 +185,81 @@ def _by_group(group: np.ndarray, groups: int) -> tuple[np.ndarray, list[tuple[in
 
 def _minus_target(logits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
     """Weighted loss and its gradient by the logits, which are overwritten."""
-    rows = np.arange(len(target))
+    flat = logits.reshape(-1)
+    at = np.arange(0, flat.size, logits.shape[1])
+    at += target
     np.minimum(logits, 80, out=logits)
-    picked = logits[rows, target]
+    picked = flat.take(at)
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], logits.dtype)
     loss = ((np.log(total) - picked) * weight).sum()
     logits *= (weight / total)[:, None]
-    logits[rows, target] -= weight
+    flat[at] -= weight
     return loss, logits
 
 
 def _gradient(m: Model, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray):
     """Mean loss and gradients by parameter, for class targets.  Of the classes
     only those of the target's group are touched."""
-    h, (x, q, k, v, a, z) = _attend(m, ids)
+    h, (x, p, s, r, z, pairs, values) = _attend(m, ids)
     n, t, d = x.shape
-    flat = lambda y: y.reshape(n * t, -1)
     w = (weight / weight.sum()).ravel().astype(h.dtype)
-    one = np.ones((n * t, d + 1), h.dtype)  # the bias is the weight of a one
-    one[:, :d] = h = flat(h)
+    h, one = h.reshape(-1, d), np.ones(n * t, h.dtype)
     before, goal = m.of.take(ids.ravel()), _slots(m).take(targets.ravel())
     c = m.head.shape[-1]
-    head = np.concatenate([_grid(m.head), _grid(m.bias, -1e9)[None]]).transpose(1, 0, 2)
+    head, bias = _grid(m.head).transpose(1, 0, 2).copy(), _grid(m.bias, -1e9)
     group, place = np.divmod(goal, side(c))
     loss, g = _minus_target(_group_logits(m, h, before), group, w)
     order, parts = _by_group(group, len(head))
-    own, low = one.take(order, axis=0), np.empty((n * t, head.shape[2]), h.dtype)
+    own, low = h.take(order, axis=0), np.empty((n * t, head.shape[2]), h.dtype)
     for i, rows in parts:
         np.matmul(own[rows], head[i], out=low[rows])
-    if m.move is not None:
-        move = _grid(m.move)
-        low += move.reshape(-1, move.shape[2]).take((before * len(head) + group).take(order), axis=0)
+    if m.move is None:
+        low += bias.take(group.take(order), axis=0)
+    else:
+        follow = _grid(m.move)
+        follow += bias
+        before *= len(head)
+        before += group
+        low += follow.reshape(-1, follow.shape[2]).take(before.take(order), axis=0)
     more, low = _minus_target(low, place.take(order), w.take(order))
-    ghead, back = np.zeros_like(head), np.empty_like(h)
+    ghead, gbias, back = np.zeros_like(head), np.zeros_like(bias), np.empty_like(h)
     for i, rows in parts:
         np.matmul(own[rows].T, low[rows], out=ghead[i])
-        np.matmul(low[rows], head[i, :d].T, out=back[rows])
-    undo = np.empty_like(order)
-    undo[order] = np.arange(len(order))
-    gh = back.take(undo, axis=0)
-    ghead = ghead.transpose(1, 0, 2).reshape(d + 1, -1)[:, :c]
-    grads = {"head": ghead[:d], "bias": ghead[d]}
+        gbias[i] = one[rows] @ low[rows]
+        np.matmul(low[rows], head[i].T, out=back[rows])
+    gh = np.empty_like(h)
+    gh[order] = back
+    grads = {"head": ghead.transpose(1, 0, 2).reshape(d, -1)[:, :c], "bias": gbias.reshape(-1)[:c]}
     if m.top is not None:
-        gtop = one.T @ g
-        grads |= {"top": gtop[:d], "lift": gtop[d]}
+        grads |= {"top": h.T @ g, "lift": one @ g}
         gh += g @ m.top.T
-    grads["out"] = flat(z).T @ gh
-    gz = (gh @ m.out.T).reshape(n, t, d)
-    gs = gz @ v.transpose(0, 2, 1)
-    gs -= np.einsum("ntd,ntd->nt", gz, z)[..., None]  # what the attention's shares take from each other
-    gs *= a
-    gs *= np.float32(d ** -0.5)
-    gqkv = np.empty((n, t, 3 * d), h.dtype)
-    for i, (left, right) in enumerate(((gs, k), (gs.transpose(0, 2, 1), q), (a.transpose(0, 2, 1), gz))):
-        np.matmul(left, right, out=gqkv[..., i * d:(i + 1) * d])
-    gqkv = flat(gqkv)
-    grads["qkv"] = flat(x).T @ gqkv
-    gh += gqkv @ m.qkv.T
-    grads["place"] = gh.reshape(n, t, d).sum(axis=0)
-    order = np.argsort(ids.ravel().astype(np.uint16), kind="stable")
-    seen = ids.ravel().take(order)
-    first = np.flatnonzero(np.diff(seen, prepend=-1))
-    grads["embed"] = (seen[first], np.add.reduceat(gh.take(order, axis=0), first, axis=0))  # of the ids in the batch
+    gvalues = z.T @ gh
+    # of the states z, divided like the weights; and how much each weight is worth
+    gz = gh @ values.T
+    worth = np.einsum("nd,nd->n", gz, z)
+    gz *= r
+    worth *= r[:, 0]
+    gs = gz.reshape(n, t, d) @ x.transpose(0, 2, 1)
+    gs -= worth.reshape(n, t, 1)  # what the attention's shares take from each other
+    gs *= s
+    gp = (gs @ x).reshape(-1, d)
+    gpairs = x.reshape(-1, d).T @ gp
+    gx = gh + gp @ pairs.T
+    gx = gx.reshape(n, t, d)
+    gx += gs.transpose(0, 2, 1) @ p
+    gx += s.transpose(0, 2, 1) @ gz.reshape(n, t, d)
+    q, k, v = m.qkv[:, :d], m.qkv[:, d:2 * d], m.qkv[:, 2 * d:]
+    scale = gpairs.dtype.type(d ** -0.5)
+    grads["qkv"] = np.concatenate([gpairs @ k * scale, gpairs.T @ q * scale, gvalues @ m.out.T], axis=1)
+    grads["out"] = v.T @ gvalues
+    grads["place"] = gx.sum(axis=0)
+    flat = ids.ravel().astype(np.uint16)
+    order = np.argsort(flat, kind="stable")
+    seen = flat.take(order)
+    first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
+    rows = gx.reshape(-1, d).take(order, axis=0)
+    grads["embed"] = (seen[first].astype(np.int64), np.add.reduceat(rows, first, axis=0))  # of the ids in the batch
     return loss + more, grads
 
 
@@ -244,13 +273,28 @@ class _Adam:
         scale = np.float32(rate * np.sqrt(1 - 0.99 ** self.at) / (1 - 0.9 ** self.at))
         for name, g in grads.items():
             value = getattr(m, name)
-            rows = slice(None)
+            if name not in self.state:
+                self.state[name] = np.zeros((2, *value.shape) if name != "embed" else (len(value), 2, *value.shape[1:]), value.dtype)
+            both = self.state[name]
             if name == "embed":  # only the rows of ids in the batch
                 rows, g = g
-            first, second = self.state.setdefault(name, (np.zeros_like(value), np.zeros_like(value)))
-            first[rows] = mean = np.float32(0.9) * first[rows] + np.float32(0.1) * g
-            second[rows] = square = np.float32(0.99) * second[rows] + np.float32(0.01) * g * g
-            value[rows] -= scale * mean / (np.sqrt(square) + np.float32(1e-8))
+                held = both.take(rows, axis=0)
+                first, second = held[:, 0], held[:, 1]
+            else:
+                first, second = both
+            first *= np.float32(0.9)
+            first += np.float32(0.1) * g
+            second *= np.float32(0.99)
+            second += np.float32(0.01) * g * g
+            move = np.sqrt(second)
+            move += np.float32(1e-8)
+            np.divide(first, move, out=move)
+            move *= scale
+            if name == "embed":
+                both[rows] = held
+                value[rows] = value.take(rows, axis=0) - move
+            else:
+                value -= move
 
 
 def windows_of(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -289,39 +333,45 @@ class Scorer:
     def __init__(self, m: Model):
         self.m = m
         d = m.embed.shape[1]
-        scale = np.concatenate([np.full(d, d ** -0.5), np.ones(2 * d)])
-        self.qkv = (m.qkv * scale).astype(np.float32)
-        self.head = np.vstack([_grid(m.head), _grid(m.bias, -1e9)[None]]).transpose(1, 0, 2).astype(np.float32)
-        groups = len(self.head)
-        self.top = np.zeros((d + 1, groups), np.float32) if m.top is None else np.vstack([m.top, m.lift]).astype(np.float32)
-        self.move = None if m.move is None else _grid(m.move).reshape(-1, self.head.shape[2])
-        self.group, self.at = np.divmod(_slots(m)[m.of], self.head.shape[2])
+        pairs, values = _joint(m)
+        self.values = values.astype(np.float32)
+        self.input = np.hstack([m.embed, m.embed @ pairs]).astype(np.float32)  # of each id, and its query
+        self.place = np.hstack([m.place, m.place @ pairs]).astype(np.float32)
+        self.head = _grid(m.head).transpose(1, 0, 2).astype(np.float32)
+        groups, own = len(self.head), self.head.shape[2]
+        self.top = np.zeros((d, groups), np.float32) if m.top is None else m.top.astype(np.float32)
+        # what follows on a class: of each group, and of the classes of each group
+        classes = m.head.shape[-1]
+        self.rise = (np.zeros((classes, groups)) if m.rise is None else m.rise) + (0 if m.lift is None else m.lift)
+        self.rise = self.rise.astype(np.float32)
+        move = np.zeros((classes, groups, own)) if m.move is None else _grid(m.move)
+        self.move = (move + _grid(m.bias, -1e9)).reshape(-1, own).astype(np.float32)
+        self.group, self.at = np.divmod(_slots(m)[m.of], own)
 
     def logs(self, inputs: np.ndarray, targets: np.ndarray, first: int) -> np.ndarray:
         """Log probabilities of the targets from place ``first`` on."""
         m, d = self.m, self.m.embed.shape[1]
         n, kept = len(inputs), WINDOW - first
-        x = m.embed.take(inputs, axis=0)
-        x += m.place
-        qkv = (x.reshape(-1, d) @ self.qkv).reshape(n, WINDOW, 3 * d)
-        s = qkv[:, first:, :d] @ qkv[..., d:2 * d].transpose(0, 2, 1)
-        np.clip(s, -80, 80, out=s)
-        np.exp(s, out=s)
-        s *= _PAST[first:]
-        z = (s @ qkv[..., 2 * d:]).reshape(-1, d)
-        z *= (1 / (s.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)))[:, None]
-        h = np.ones((n * kept, d + 1), np.float32)
-        np.add((z @ m.out).reshape(n, kept, d), x[:, first:], out=h.reshape(n, kept, d + 1)[..., :d])
-        want, before = targets[:, first:].reshape(-1), m.of.take(inputs[:, first:].reshape(-1))
+        both = self.input.take(inputs, axis=0)
+        both += self.place
+        x = both[..., :d]
+        s = np.empty((n, kept, WINDOW), np.float32)
+        r = _weights(both[:, first:, d:], x, s, first)
+        z = (s @ x).reshape(-1, d)
+        z *= r[:, None]
+        h = z @ self.values
+        h.reshape(n, kept, d)[...] += x[:, first:]
+        want, before = targets[:, first:].ravel(), m.of.take(inputs[:, first:].ravel())
         group = self.group.take(want)
         high = h @ self.top
+        high += self.rise.take(before, axis=0)
         order, parts = _by_group(group, len(self.head))
         own, low = h.take(order, axis=0), np.empty((len(h), self.head.shape[2]), np.float32)
         for g, rows in parts:
             np.matmul(own[rows], self.head[g], out=low[rows])
-        if m.move is not None:
-            high += m.rise.take(before, axis=0)
-            low += self.move.take((before * len(self.head) + group).take(order), axis=0)
+        before *= len(self.head)
+        before += group
+        low += self.move.take(before.take(order), axis=0)
         found = self._log(high, group) + m.share.take(want)
         found[order] += self._log(low, self.at.take(want).take(order))
         return found.reshape(n, kept)
@@ -330,7 +380,7 @@ class Scorer:
     def _log(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log of the target's share; the logits are overwritten."""
         np.minimum(logits, 80, out=logits)
-        picked = logits[np.arange(len(target)), target]
+        picked = logits.reshape(-1).take(np.arange(0, logits.size, logits.shape[1]) + target)
         np.exp(logits, out=logits)
         return picked - np.log(logits @ np.ones(logits.shape[1], np.float32))
 
@@ -477,8 +527,11 @@ def fit_windows(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, of:
 #: What is learned, but for the embeddings.
 _DENSE = ("place", "qkv", "out", "head", "bias", "top", "lift")
 _LEARNED = "part int, weight binary, value binary"
+#: The same of one task: only of ids that it met, given by their place in the part.
+_FOUND = "part int, ids binary, weight binary, value binary"
 #: Parts of the embeddings that are averaged apart.
 _PARTS = 16
+_SPLIT = np.array_split(np.arange(SIZE), _PARTS)
 
 
 def _descend(model: Model, rate: float, settings: Settings):
@@ -501,13 +554,15 @@ def _descend(model: Model, rate: float, settings: Settings):
             windows += len(inputs)
         if windows:
             dense = np.concatenate([getattr(m, x).ravel() for x in _DENSE]) * windows
-            rows = [(-1, np.array([windows]), dense)]
-            for i, own in enumerate(np.array_split(np.arange(SIZE), _PARTS)):
-                rows.append((i, met[own], m.embed[own] * met[own][:, None]))
-            part, weight, value = zip(*rows)
+            rows = [(-1, np.zeros(0), np.array([windows]), dense)]
+            for i, own in enumerate(_SPLIT):
+                own = own[(met[own] > 0) | (own == own[0])]  # a task of few texts has few ids to tell of
+                rows.append((i, own - own[0], met[own], m.embed[own] * met[own][:, None]))
+            part, *packed = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array([np.asarray(x, np.float64).tobytes() for x in weight], pa.binary()),
-                 pa.array([np.asarray(x, np.float32).tobytes() for x in value], pa.binary())], names=["part", "weight", "value"])
+                [pa.array(part, pa.int32())] + [pa.array([np.asarray(x, t).tobytes() for x in v], pa.binary())
+                                                for v, t in zip(packed, (np.uint16, np.float64, np.float32))],
+                names=["part", "ids", "weight", "value"])
     return run
 
 
@@ -515,12 +570,15 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of what tasks learned, by part."""
     sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for b in batches:
-        for part, weight, value in zip(*(c.to_pylist() for c in b.columns)):
+        for i in range(b.num_rows):  # one in memory
+            part, ids, weight, value = (c[i].as_py() for c in b.columns)
             w, x = np.frombuffer(weight), np.frombuffer(value, np.float32)
+            ids = np.frombuffer(ids, np.uint16) if part >= 0 else np.zeros(1, np.int64)
             if part not in sums:
-                sums[part] = np.zeros(len(w)), np.zeros(len(x))
-            for total, more in zip(sums[part], (w, x)):
-                total += more
+                size = len(_SPLIT[part]) if part >= 0 else 1
+                sums[part] = np.zeros(size), np.zeros((size, len(x) // len(ids)))
+            for total, more in zip(sums[part], (w, x.reshape(len(ids), -1))):
+                total[ids] += more
     yield pa.RecordBatch.from_arrays(
         [pa.array(sums, pa.int32()), *(pa.array([s[i].tobytes() for s in sums.values()], pa.binary()) for i in (0, 1))],
         names=["part", "weight", "value"])
@@ -544,7 +602,7 @@ def learned(rows: DataFrame, model: Model, ids: float, settings: Settings) -> Mo
             return _descend(shared.value, rate, settings)(batches)
 
         mine = rows.where(F.pmod("mixed", F.lit(rounds)) == r).repartition(shards, "mixed").sortWithinPartitions("mixed")
-        found = mine.select("ids").mapInArrow(run, _LEARNED).repartition(_PARTS + 1, "part").mapInArrow(_summed, _LEARNED).toArrow()
+        found = mine.select("ids").mapInArrow(run, _FOUND).repartition(_PARTS + 1, "part").mapInArrow(_summed, _LEARNED).toArrow()
         sums = {p: (np.frombuffer(w), np.frombuffer(x)) for p, w, x in zip(*(found[c].to_pylist() for c in ("part", "weight", "value")))}
         shared.destroy()
         if not sums:
@@ -712,22 +770,26 @@ def _id_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def flush() -> pa.RecordBatch:
-        words, n = list(seen), list(seen.values())
-        seen.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([w.decode("utf-8", "surrogatepass") for w in words], pa.string()), pa.array(n, pa.int64())],
-            names=["word", "n"])
-
-    for block in rows_of(batches):
-        for (text,) in block:
-            seen.update(ascii_words(text))
-        if len(seen) > 400_000:
-            yield flush()
-    if seen:
-        yield flush()
+    parts, held = [], 0
+
+    def merged() -> pa.Table:
+        return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    def batches_of(counts: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield from counts.set_column(0, "word", counts["word"].cast(pa.string(), safe=False)).to_batches(100_000)
+
+    for block in slices_of(batches, 4_000_000):
+        words, at, _ = coded_words(block.column(0))
+        parts.append(pa.table({"word": words, "n": np.bincount(at, minlength=len(words))}))
+        held += len(words)
+        if held > 800_000:
+            parts = [merged()]
+            held = len(parts[0])
+            if held > 400_000:
+                yield from batches_of(parts[0])
+                parts, held = [], 0
+    if parts:
+        yield from batches_of(merged())
 
 
 @dataclass
@@ -766,31 +828,33 @@ def _encode(base: Unigram):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, epoch = encoder(VOCABULARY, bytes), -1
         end = float(np.log10((base.documents + 0.5) / base.norm))
-        for block in rows_of(batches, 2_000_000):
-            docs = [ascii_words(r[2]) for r in block]
-            numbers, ids = subwords(docs)
+        for block in slices_of(batches, 2_000_000):
+            found, at, size = coded_words(block.column("text"))
+            numbers, flat, bounds = words.look_up_coded(found.to_pylist(), at, size)
             if epoch != words.epoch:
                 epoch, names, value = words.epoch, [], np.zeros(0)
             fresh = list(islice(words.index, len(names), None))
             counts = np.array([base.head.get(w, np.nan) for w in fresh], float)
             value = np.concatenate([value, np.log10((counts + 0.5) / base.norm)])  # nan: not a frequent word
             names += fresh
-            size = np.array([len(d) for d in docs], np.int64)
-            of = np.repeat(np.arange(len(docs)), size)
+            docs = len(size)
+            of = np.repeat(np.arange(docs), size)
             mine = value[numbers]
             rare = np.isnan(mine)
-            known = np.bincount(of[~rare], minlength=len(docs)) + (base.documents > 0)
-            sums = np.bincount(of[~rare], mine[~rare], len(docs)) + end
+            known = np.bincount(of[~rare], minlength=docs) + (base.documents > 0)
+            sums = np.bincount(of[~rare], mine[~rare], docs) + end
             pair, times = np.unique(of[rare] * len(names) + numbers[rare], return_counts=True)
             found = pa.StructArray.from_arrays(
                 [pa.array([names[i].decode("utf-8", "surrogatepass") for i in (pair % max(1, len(names))).tolist()], pa.string()),
                  pa.array(times, pa.int32())], names=["word", "times"])
-            bounds = np.searchsorted(pair, np.arange(len(docs) + 1) * len(names))
+            ends = np.searchsorted(pair, np.arange(docs + 1) * len(names))
+            ids = np.insert(flat.astype("<u2"), bounds[1:], END)  # after the ids of each text
+            places = 2 * (bounds + np.arange(docs + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in block], pa.int64()), pa.array([r[1] for r in block], pa.bool_()),
+                [block.column("doc_id"), block.column("trained"),
                  pa.array(size + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found),
-                 pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())],
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
+                 pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(ids)])],
                 names=["doc_id", "trained", "n_tokens", "n_known", "base", "rare", "ids"])
     return run
 

@@ -17,6 +17,7 @@ operations for a whole block of texts.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 from itertools import chain
 from unicodedata import is_normalized
 
@@ -98,10 +99,15 @@ class PieceTable:
     def look_up(self, docs: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of documents given as lists of pieces: the number of each piece, all
         ids in a row, and the bounds of the documents' ids."""
+        counts = np.array([len(d) for d in docs], np.int64)
+        return self.look_up_coded(chain.from_iterable(docs), slice(None), counts)
+
+    def look_up_coded(self, pieces: Iterable, at, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`look_up`, of documents of so many pieces in a row, each given
+        by its place ``at`` in ``pieces``."""
         if len(self.index) > self.limit:
             self._forget()
-        counts = np.array([len(d) for d in docs], np.int64)
-        numbers = np.fromiter(map(self.index.__getitem__, chain.from_iterable(docs)), np.int64, counts.sum())
+        numbers = np.fromiter(map(self.index.__getitem__, pieces), np.int64)[at]
         if self.index.fresh:
             self._learn(self.index.fresh)
             self.index.fresh = []

@@ -2,10 +2,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SMALL, documents, odd_documents
 
 from inkwell.llm import lm as M
+from inkwell.llm.common import ascii_words, coded_words
 
 TINY = M.Settings(sample_docs=50, classes=12, steps=30)
 
@@ -187,3 +189,36 @@ def test_learned_is_the_mean_by_weight(spark):
     assert np.frombuffer(next(r["weight"] for r in sums if r["part"] == -1))[0] == sum(windows)
     met = np.concatenate([np.frombuffer(r["weight"]) for r in sorted(sums, key=lambda r: r["part"])[1:]])
     assert met[M.BEGIN] == 2 and met.sum() == sum(windows) * M.WINDOW
+
+
+def test_task_of_few_ids_tells_of_few(spark):
+    """What a task sends of the embeddings grows with its ids, not with the
+    vocabulary, and the others keep theirs."""
+    m, docs = model()
+    ids = pa.RecordBatch.from_arrays([pa.array([docs[0].astype("<u2").tobytes()], pa.binary())], names=["ids"])
+    parts = list(M._descend(m, 0.01, M.Settings(classes=12))(iter([ids])))
+    assert sum(b.nbytes for b in parts) < 100 * len(docs[0]) + 20_000
+    sums = {r["part"]: r for r in next(M._summed(iter(parts))).to_pylist()}
+    met = np.concatenate([np.frombuffer(sums[i]["weight"]) for i in range(M._PARTS)])
+    assert set(np.flatnonzero(met)) <= {M.BEGIN, *docs[0].tolist()} and len(met) == M.SIZE
+    total = np.concatenate([np.frombuffer(sums[i]["value"]) for i in range(M._PARTS)]).reshape(M.SIZE, -1)
+    assert (total[met == 0] == 0).all() and (total[met > 0] != 0).any(axis=1).all()
+
+
+def test_coded_words():
+    texts = ["", None, " \t\n", " A\x1cB \u00c9\x0bx ", "x  y\n\nx", "one", "\x00 a\u00a0b\x85c"]
+    array = pa.array([t and t.encode() for t in texts], pa.binary())
+    for a in (array, array.slice(3), array.slice(1, 2), array.slice(0, 0)):
+        words, at, size = coded_words(a)
+        found = iter([words[i].as_py() for i in at])
+        assert [[next(found) for _ in range(n)] for n in size] == [ascii_words(t.as_py()) for t in a]
+        assert next(found, None) is None
+
+
+def test_encoded_ids_are_those_of_the_encoder(spark):
+    texts = [(1, "Alpha beta, gamma"), (2, None), (3, " "), (None, "zebra  zebra\n"), (5, "quartz " * 50)]
+    _, base, _ = M.statistics(documents(spark, texts))
+    rows = {r.doc_id: r for r in M.encoded(documents(spark, texts), base).collect()}
+    for i, t in texts:
+        words = M.ascii_words(t)
+        assert M._ids(rows[i].ids).tolist() == M.subwords([words])[1][0].tolist() and rows[i].n_tokens == len(words) + 1
