@@ -130,39 +130,91 @@ def _best_exchange(own: np.ndarray, donor: int, lengths, bins, fill, under, room
     return best
 
 
+def _masks(sizes: list[int], room: int) -> tuple[int, int, int, int]:
+    """What a bin of pieces of these sizes gives and takes: its smallest piece,
+    a bit for the size of each piece and of each two, the space left, and a bit
+    for what it takes for one of its pieces (more than the piece, no more than
+    piece and space)."""
+    count: dict[int, int] = {}
+    for n in sizes:
+        count[n] = count.get(n, 0) + 1
+    spare = room - sum(sizes)
+    ones = gives = takes = 0
+    for n in count:
+        ones |= 1 << n
+    for n, c in count.items():
+        gives |= (ones if c > 1 else ones ^ (1 << n)) << n
+        takes |= ((1 << spare) - 1) << (n + 1)
+    return min(sizes), ones | gives, spare, takes
+
+
 def local_search(lengths: np.ndarray, bins: np.ndarray, room: int) -> np.ndarray:
-    """Bins after exchanges; their number never grows."""
+    """Bins after exchanges; their number never grows.  A bin tried in vain is
+    tried again with the bins changed since, of which bit masks tell whether any
+    exchange with them helps; the pieces are gone through only if one does, or if
+    the bin itself has changed."""
     bins = bins.copy()
     fill = np.bincount(bins, lengths).astype(np.int64)
     # when a bin changed, and when it was last tried in vain as the donor
     changed, tried, clock = np.ones(len(fill), np.int64), np.zeros(len(fill), np.int64), 1
+    known: dict[int, tuple[int, int, int, int]] = {}
+    latest: dict[int, int] = {}  # changed bins and when, the last one at the end
+
+    def masks(b: int) -> tuple[int, int, int, int]:
+        if b not in known:
+            known[b] = _masks(lengths[bins == b].tolist(), room)
+        return known[b]
+
+    def in_vain(donor: int, own_fill: int, since: int) -> bool:
+        least, gives, _, _ = masks(donor)
+        for at, b_fill, spare, takes in recent:
+            if at <= since:
+                return True
+            if b_fill >= own_fill and (least <= spare or gives & takes):
+                return False
+        return True
+
     while True:
         live = (fill > 0) & (fill < room)
         if (room - fill[live]).sum() < room:
             return bins  # no packing has fewer bins
         donors = np.flatnonzero(live & (tried < clock))
-        if len(donors) == 0:
-            return bins
-        donor = int(donors[fill[donors].argmin()])
-        live[donor] = False
-        while fill[donor] > 0:
-            under = live & (fill < room) & (fill >= fill[donor])
-            if changed[donor] <= tried[donor]:
-                under &= changed > tried[donor]  # with the other bins nothing helped, and nothing is different
-            found = _best_exchange(np.flatnonzero(bins == donor), donor, lengths, bins, fill, under, room) if under.any() else None
-            if not found:
+        donors = donors[np.argsort(fill[donors], kind="stable")]
+        recent = [(at, int(fill[b]), *masks(b)[2:]) for b, at in reversed(latest.items()) if live[b]]
+        now = clock
+        for donor, own_fill, since, last in zip(*(x[donors].tolist() for x in (np.arange(len(fill)), fill, tried, changed))):
+            # with the bins not changed since, nothing helped and nothing is different
+            if last <= since and in_vain(donor, own_fill, since):
                 tried[donor] = clock
+                continue
+            live[donor] = False
+            while fill[donor] > 0:
+                under = live & (fill < room) & (fill >= fill[donor])
+                if changed[donor] <= tried[donor]:
+                    under &= changed > tried[donor]
+                found = _best_exchange(np.flatnonzero(bins == donor), donor, lengths, bins, fill, under, room) if under.any() else None
+                if not found:
+                    tried[donor] = clock
+                    break
+                _, given, taken, target = found
+                passed = int(lengths[given].sum())
+                bins[given] = target
+                if taken >= 0:
+                    bins[taken] = donor
+                    passed -= int(lengths[taken])
+                fill[target] += passed
+                fill[donor] -= passed
+                clock += 1
+                changed[donor] = changed[target] = clock
+                for b in (donor, target):
+                    known.pop(b, None)
+                    latest.pop(b, None)
+                    latest[b] = clock
+            live[donor] = True
+            if clock > now:
                 break
-            _, given, taken, target = found
-            passed = int(lengths[given].sum())
-            bins[given] = target
-            if taken >= 0:
-                bins[taken] = donor
-                passed -= int(lengths[taken])
-            fill[target] += passed
-            fill[donor] -= passed
-            clock += 1
-            changed[donor] = changed[target] = clock
+        else:
+            return bins
 
 
 def pack_group(rows: np.ndarray, lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,7 +256,8 @@ def pack(cut: DataFrame, room: int = LENGTH, group: int = GROUP) -> DataFrame:
     groups = -(-n // group)
     while n:
         done = staged(
-            left.withColumn("_group", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups)))
+            left.withColumn("_group", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups)).cast("int"))
+            .repartitionById(groups, "_group")  # a task each: few bytes, which would else be one task's
             .groupBy("_group").applyInPandas(
                 _pack_round(turn, room), "row long, length long, sequence_id long, offset long, open boolean"),
             "packed")

@@ -123,3 +123,40 @@ def test_rounds_end_and_lose_little(spark):
         assert len(rows) == len(lengths) and max(fill.values()) <= 64
         # groups of 20 pieces hold some ten bins: 471 bins of the first lengths, 454 in one group
         assert len(fill) <= max(-(-sum(lengths) // 64) * 1.05 + 1, sum(x > 32 for x in lengths)), lengths[:3]
+
+
+def test_bins_tried_in_vain_are_not_searched_again(monkeypatch):
+    """Of few pieces a bin, most bins find nothing after every exchange of others:
+    the pieces are searched about once for each change of a bin, and the result is
+    one that no exchange improves."""
+    searched, search = [], P._best_exchange
+    monkeypatch.setattr(P, "_best_exchange", lambda *a: searched.append(search(*a)) or searched[-1])
+    lengths, room = np.random.default_rng(3).integers(300, 1200, 700), 2048
+    bins = P.local_search(lengths, P.best_fit(lengths, room), room)
+    fill = np.bincount(bins, lengths).astype(np.int64)
+    found = sum(f is not None for f in searched)
+    assert found > 100 and len(searched) < 3 * found + len(fill), (found, len(searched), len(fill))
+    for donor in np.flatnonzero(fill):
+        under = (fill >= fill[donor]) & (fill < room)
+        under[donor] = False
+        assert fill[donor] == room or not search(np.flatnonzero(bins == donor), donor, lengths, bins, fill, under, room)
+
+
+def test_masks_are_the_exchanges():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        mine, other = (rng.integers(1, 12, rng.integers(1, 5)).tolist() for _ in "ab")
+        room = max(sum(mine), sum(other)) + int(rng.integers(0, 4))
+        least, gives, _, _ = P._masks(mine, room)
+        _, _, spare, takes = P._masks(other, room)
+        sums = [*mine, *(a + b for i, a in enumerate(mine) for b in mine[:i])]
+        assert spare == room - sum(other) and (least <= spare) == any(a <= spare for a in mine)
+        assert bool(gives & takes) == any(q < s <= q + spare for s in sums for q in other)
+
+
+def test_groups_are_packed_side_by_side(spark, monkeypatch):
+    tasks, staged = [], P.staged
+    monkeypatch.setattr(P, "staged", lambda df, name: tasks.append(df.rdd.getNumPartitions()) or staged(df, name))
+    cut = spark.createDataFrame([(i, 1 + i % 63) for i in range(600)], "row long, length long")
+    assert P.pack(cut, room=64, group=100).count() == 600
+    assert tasks[0] == 6, tasks
