@@ -1,5 +1,7 @@
 """Literal expectations of the text layer, independent of any oracle."""
 
+import math
+
 import pytest
 import regex as re
 from pyspark.sql import functions as F
@@ -55,6 +57,15 @@ def test_language_reads_the_whole_text(spark):
     assert one(spark, "any", detect_language(F.col("x"), learn_profiles(spark.createDataFrame([], "text string, lang string")))) == "fr"
 
 
+def test_language_learns_from_every_text(spark):
+    rows = [(f"the {i}", "en") for i in range(9000)] + [(f"die {i}", "de") for i in range(2)]
+    p = learn_profiles(spark.createDataFrame(rows, "text string, lang string"))
+    assert p.languages == ("de", "en")
+    for weights, word, n in zip(p.weights, ("die", "the"), (2, 9000)):
+        b = (ord(word[0]) * 961 + ord(word[1]) * 31 + ord(word[2])) % BUCKETS
+        assert weights[b] == round(1000 * math.log((n + 0.5) / (n + 0.5 * BUCKETS)))
+
+
 def test_language_of_texts_not_learned_from(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
     p = learn_profiles(d.where("doc_id % 3 > 0"))
